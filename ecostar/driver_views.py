@@ -1,7 +1,8 @@
 """The warehouse domain seen in the test tables.
 
 Events become lake entries with real JSON payloads, suppliers become cities and
-river stations. All views are projections, so they cost one scan.
+river stations. The lake is written as a table, as the warehouse finds it; the other
+views are projections.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ecostar import schemas
 from ecostar.operators import anomalies, measures as m
+from ecostar.session import shared_folder
 from ecostar.sources import reference
 
 AS_OF = dt.datetime(2024, 1, 30, tzinfo=dt.timezone.utc)
@@ -30,267 +32,214 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _s(col) -> Column:
-    return (col if isinstance(col, Column) else F.lit(col)).cast("string")
+def _json(*parts: str) -> str:
+    """SQL that joins quoted text and values; a NULL value prints as null."""
+    return "concat(" + ", ".join(
+        p if p.startswith("'") else f"coalesce(string({p}), 'null')" for p in parts
+    ) + ")"
 
 
-def _json(*parts) -> Column:
-    """Text from literal strings and columns; a NULL column prints as null."""
-    return F.concat(
-        *(F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("null")) for p in parts)
-    )
+def _choice(items, index: str) -> str:
+    return "element_at(array(" + ", ".join(repr(i) for i in items) + f"), {index})"
+
+
+_CITY = "int(user_id % 10 + 1)"
+_SOURCE = f"""CASE event_type WHEN 'view' THEN '{schemas.WEATHER}' WHEN 'click' THEN '{schemas.AIR}'
+  WHEN 'purchase' THEN '{schemas.FLOW}' WHEN 'error' THEN '{schemas.INCIDENTS}'
+  ELSE CASE WHEN user_id % 2 = 0 THEN '{schemas.DRINKING_WATER}' ELSE '{schemas.RIVER_OBSERVATIONS}' END END"""
 
 
 def events(spark: SparkSession, sf_dir: str, months: bool = False) -> DataFrame:
     """``months`` moves each user's events by up to 23 months, for seasons and years."""
-    ts = F.col("ts").cast("timestamp")
-    if months:
-        ts = ts + F.make_ym_interval(F.lit(0), (F.col("user_id") % 24).cast("int"))
-    names = F.array(*(F.lit(c[1]) for c in reference.CITIES))
-    city = (F.col("user_id") % 10 + 1).cast("int")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        city.alias("city_id"),
-        F.element_at(names, city).alias("city_name"),
+    shift = " + make_ym_interval(0, int(user_id % 24))" if months else ""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id",
+        f"{_CITY} AS city_id",
+        f"{_choice([c[1] for c in reference.CITIES], _CITY)} AS city_name",
         "user_id",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        ts.alias("collected_at"),
-    )
-
-
-def _source() -> Column:
-    kind = F.col("event_type")
-    return (
-        F.when(kind == "view", schemas.WEATHER)
-        .when(kind == "click", schemas.AIR)
-        .when(kind == "purchase", schemas.FLOW)
-        .when(kind == "error", schemas.INCIDENTS)
-        .when(F.col("user_id") % 2 == 0, schemas.DRINKING_WATER)
-        .otherwise(schemas.RIVER_OBSERVATIONS)
-    )
-
-
-def _iso(ts) -> Column:
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-
-
-def weather_payload() -> Column:
-    k = F.col("k")
-    temp = F.round(F.col("value") / 3 - 10, 2)
-    codes = F.array(*(F.lit(c[0]) for c in reference.WEATHER_CODES), F.lit(999))
-    rain = F.when(k % 4 == 0, _json(',"rain":{"1h":', k / 10.0, "}")).otherwise(F.lit(""))
-    return F.concat(
-        _json('{"dt":', F.unix_timestamp("collected_at"), ',"main":{"temp":', temp, ',"feels_like":',
-              F.round(temp - 2, 2), ',"pressure":', 960 + k, ',"humidity":', k, '},"wind":{"speed":', k / 5.0,
-              ',"deg":', k * 3, ',"gust":', k / 4.0, '},"clouds":{"all":', k, '},"visibility":', k * 100,
-              ',"weather":[{"id":', F.element_at(codes, k % 37 + 1),
-              ',"main":"M', k % 5, '","description":"D', k % 7, '"}]'),
-        rain,
-        F.lit("}"),
+        "int(get_json_object(props, '$.k')) AS k",
+        f"timestamp(ts){shift} AS collected_at",
+        f"{_SOURCE} AS source",
     )
 
 
-def air_payload() -> Column:
-    """AQI ``"-"`` now and then, PM10 as an object or as a bare number, both kinds of attribution."""
-    k = F.col("k")
-    aqi = F.when(k % 10 == 0, F.lit('"-"')).otherwise(_s(F.floor(F.col("value") * 2)))
-    pm10 = F.when(k % 8 == 1, _s(k)).otherwise(_json('{"v":', k, "}"))
-    who = F.when(
-        k % 3 == 0, _json('"city":{"name":"', F.col("city_name"), '"}')
-    ).otherwise(_json('"attributions":[{"name":"Station ', F.col("user_id") % 3, '"}]'))
-    when = F.when(
-        k % 2 == 0, _json('"time":{"iso":"', _iso("collected_at"), '"}')
-    ).otherwise(
-        _json('"time":{"s":"', F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss"), '","tz":"01:00","v":0}')
+_ISO = "concat(date_format(collected_at, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00')"
+_TEMP = "round(value / 3 - 10, 2)"
+_CODES = [c[0] for c in reference.WEATHER_CODES] + [999]
+
+WEATHER_JSON = _json(
+    "'{\"dt\":'", "unix_timestamp(collected_at)", "',\"main\":{\"temp\":'", _TEMP, "',\"feels_like\":'",
+    f"round({_TEMP} - 2, 2)", "',\"pressure\":'", "960 + k", "',\"humidity\":'", "k", "'},\"wind\":{\"speed\":'",
+    "k / 5D", "',\"deg\":'", "k * 3", "',\"gust\":'", "k / 4D", "'},\"clouds\":{\"all\":'", "k",
+    "'},\"visibility\":'", "k * 100", "',\"weather\":[{\"id\":'", _choice(_CODES, "k % 37 + 1"),
+    "',\"main\":\"M'", "k % 5", "'\",\"description\":\"D'", "k % 7", "'\"}]'",
+    "CASE WHEN k % 4 = 0 THEN concat(',\"rain\":{\"1h\":', k / 10D, '}') ELSE '' END", "'}'",
+)
+
+# AQI "-" now and then, PM10 as an object or a bare number, both kinds of attribution and time.
+AIR_JSON = _json(
+    "'{\"status\":\"ok\",\"data\":{\"aqi\":'", "CASE WHEN k % 10 = 0 THEN '\"-\"' ELSE string(floor(value * 2)) END",
+    "',\"iaqi\":{\"pm25\":{\"v\":'", "value", "'},\"pm10\":'",
+    "CASE WHEN k % 8 = 1 THEN string(k) ELSE concat('{\"v\":', k, '}') END", "',\"no2\":{\"v\":'", "k / 2D", "'}},'",
+    "CASE WHEN k % 3 = 0 THEN concat('\"city\":{\"name\":\"', city_name, '\"}') "
+    "ELSE concat('\"attributions\":[{\"name\":\"Station ', user_id % 3, '\"}]') END", "','",
+    f"CASE WHEN k % 2 = 0 THEN concat('\"time\":{{\"iso\":\"', {_ISO}, '\"}}') "
+    "ELSE concat('\"time\":{\"s\":\"', date_format(collected_at, 'yyyy-MM-dd HH:mm:ss'), '\",\"tz\":\"01:00\",\"v\":0}') END",
+    "'}}'",
+)
+
+_FREE_SPEED = "50 + (k % 3) * 20"
+FLOW_JSON = _json(
+    "'{\"code_point\":\"P'", "user_id % 3", "'\",\"latitude\":'", "40D + city_id", "',\"longitude\":'",
+    "double(user_id % 3)", "',\"traffic_model_id\":\"model-'", "k",
+    "'-with-a-rather-long-identifier\",\"vitesse_actuelle_kmph\":'", "k", "',\"vitesse_fluide_kmph\":'", _FREE_SPEED,
+    "',\"temps_trajet_actuel_s\":'", "value", "',\"temps_trajet_fluide_s\":30,\"indice_confiance\":'", "k / 100D",
+    "',\"congestion_ratio\":'", "nullif(value, 0D) / 30", "',\"speed_ratio\":'",
+    f"nullif(double(k), 0D) / ({_FREE_SPEED})", "'}'",
+)
+
+INCIDENT_JSON = _json(
+    "'{\"incident_id\":\"I'", "id", "'\",\"categorie_incident\":'", "k % 12",
+    "',\"libelle_categorie\":\"Unknown\",\"gravite_retard\":'", "k % 5", "',\"retard_s\":'", "floor(value * 10)",
+    "',\"longueur_m\":'", "k * 10", "',\"traffic_model_id\":\"model-'", "k", "'\"}'",
+)
+
+_DAY = "string(date_sub(to_date(collected_at), k % 5))"
+DRINKING_JSON = _json(
+    "'{\"nom_commune\":\"Commune '", "user_id % 20", "'\",\"code_commune\":'",
+    "CASE WHEN k % 25 <> 0 THEN concat('\"', 75000 + user_id % 20, '\"') END", "',\"date_prelevement\":\"'",
+    f"concat({_DAY}, CASE WHEN k % 2 = 0 THEN '' ELSE 'T00:00:00Z' END)", "'\",\"libelle_parametre\":\"P'", "k % 5",
+    "'\",\"resultat_numerique\":'", "value", "',\"libelle_unite\":\"mg/L\",\"conclusion_conformite_prelevement\":\"C'",
+    "k % 2", "'\"}'",
+)
+
+# The sampling hour, where there is one, stands in the record or in its raw copy.
+RIVER_JSON = _json(
+    "'{\"code_station\":\"S'", "user_id % 15", "'\",'",
+    "CASE WHEN k % 4 = 0 THEN concat('\"heure_prelevement\":\"', date_format(collected_at, 'HH'), ':00:00\",') "
+    "WHEN k % 2 = 0 THEN concat('\"donnees_brutes\":{\"heure_prelevement\":\"', date_format(collected_at, 'HH'), "
+    "':00:00\"},') ELSE '' END", "'\"date_prelevement\":\"'", _DAY, "'\",\"libelle_parametre\":\"P'", "k % 5",
+    "'\",\"resultat\":'", "value", "',\"symbole_unite\":\"mg/L\",\"code_remarque\":\"'", "k % 3", "'\"}'",
+)
+
+
+def lake_entries(spark: SparkSession, sf_dir: str, months: bool = False) -> DataFrame:
+    raw = f"""CASE source WHEN '{schemas.WEATHER}' THEN {WEATHER_JSON} WHEN '{schemas.AIR}' THEN {AIR_JSON}
+      WHEN '{schemas.FLOW}' THEN {FLOW_JSON} WHEN '{schemas.INCIDENTS}' THEN {INCIDENT_JSON}
+      WHEN '{schemas.DRINKING_WATER}' THEN {DRINKING_JSON} ELSE {RIVER_JSON} END"""
+    return events(spark, sf_dir, months).selectExpr(
+        "id", "city_id", "city_name", "source", f"{raw} AS raw_data", "collected_at", "k < 30 AS processed",
+        "timestamp(NULL) AS processed_at",
     )
-    return _json('{"status":"ok","data":{"aqi":', aqi, ',"iaqi":{"pm25":{"v":', F.col("value"), '},"pm10":',
-                 pm10, ',"no2":{"v":', k / 2.0, "}},", who, ",", when, "}}")
-
-
-def _flow_numbers():
-    k = F.col("k")
-    return k, 50 + (k % 3) * 20, F.col("value"), F.lit(30)
-
-
-def flow_payload() -> Column:
-    speed, free, time, free_time = _flow_numbers()
-    congestion = F.nullif(time, F.lit(0.0)) / free_time
-    speed_ratio = F.nullif(speed.cast("double"), F.lit(0.0)) / free
-    return _json('{"code_point":"P', F.col("user_id") % 3, '","latitude":', 40.0 + F.col("city_id"),
-                 ',"longitude":', (F.col("user_id") % 3).cast("double"), ',"traffic_model_id":"model-', F.col("k"),
-                 '-with-a-rather-long-identifier","vitesse_actuelle_kmph":', speed, ',"vitesse_fluide_kmph":', free,
-                 ',"temps_trajet_actuel_s":', time, ',"temps_trajet_fluide_s":', free_time,
-                 ',"indice_confiance":', F.col("k") / 100.0, ',"congestion_ratio":', congestion, ',"speed_ratio":',
-                 speed_ratio, "}")
-
-
-def incident_payload() -> Column:
-    k = F.col("k")
-    return _json('{"incident_id":"I', F.col("id"), '","categorie_incident":', k % 12,
-                 ',"libelle_categorie":"Unknown","gravite_retard":', k % 5, ',"retard_s":',
-                 F.floor(F.col("value") * 10), ',"longueur_m":', k * 10, ',"traffic_model_id":"model-', k, '"}')
-
-
-def _sampling_day() -> Column:
-    return F.date_format(F.date_sub(F.to_date("collected_at"), F.col("k") % 5), "yyyy-MM-dd")
-
-
-def drinking_payload() -> Column:
-    k = F.col("k")
-    commune = F.when(k % 25 != 0, _json('"', 75000 + F.col("user_id") % 20, '"'))
-    day = F.when(k % 2 == 0, _sampling_day()).otherwise(F.concat(_sampling_day(), F.lit("T00:00:00Z")))
-    return _json('{"nom_commune":"Commune ', F.col("user_id") % 20, '","code_commune":', commune,
-                 ',"date_prelevement":"', day, '","libelle_parametre":"P', k % 5, '","resultat_numerique":',
-                 F.col("value"), ',"libelle_unite":"mg/L","conclusion_conformite_prelevement":"C', k % 2, '"}')
-
 
-def _sampling_hour() -> Column:
-    return F.concat(F.date_format("collected_at", "HH"), F.lit(":00:00"))
 
-
-def river_payload() -> Column:
-    """The sampling hour, where there is one, stands in the record or in its raw copy."""
-    k = F.col("k")
-    hour = (
-        F.when(k % 4 == 0, _json('"heure_prelevement":"', _sampling_hour(), '",'))
-        .when(k % 2 == 0, _json('"donnees_brutes":{"heure_prelevement":"', _sampling_hour(), '"},'))
-        .otherwise(F.lit(""))
-    )
-    return _json('{"code_station":"S', F.col("user_id") % 15, '",', hour, '"date_prelevement":"', _sampling_day(),
-                 '","libelle_parametre":"P', k % 5, '","resultat":', F.col("value"),
-                 ',"symbole_unite":"mg/L","code_remarque":"', k % 3, '"}')
+_LAKES: dict[tuple, str] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str, months: bool = False) -> DataFrame:
-    ev = events(spark, sf_dir, months).withColumn("source", _source())
-    src = F.col("source")
-    raw = (
-        F.when(src == schemas.WEATHER, weather_payload())
-        .when(src == schemas.AIR, air_payload())
-        .when(src == schemas.FLOW, flow_payload())
-        .when(src == schemas.INCIDENTS, incident_payload())
-        .when(src == schemas.DRINKING_WATER, drinking_payload())
-        .otherwise(river_payload())
-    )
-    return ev.select(
-        "id",
-        "city_id",
-        "city_name",
-        "source",
-        raw.alias("raw_data"),
-        "collected_at",
-        (F.col("k") < 30).alias("processed"),
-        F.lit(None).cast("timestamp").alias("processed_at"),
-    )
+    """The lake as a stored table, by source; written once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, months)
+    if key not in _LAKES:
+        path = shared_folder(spark, "lake")
+        lake_entries(spark, sf_dir, months).hint("rebalance", "source").write.partitionBy("source").parquet(path)
+        _LAKES[key] = path
+    return spark.read.schema(schemas.LAKE).parquet(_LAKES[key])
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries that a run has dealt with: those of a high value."""
-    return events(spark, sf_dir).select(
-        "id",
-        F.lit(AS_OF).alias("processed_at"),
-        F.when(F.col("value") > 60, "rejected").otherwise("processed").alias("outcome"),
-        "value",
-        "k",
+    """Entries that a run has dealt with; those of a high value were rejected."""
+    return events(spark, sf_dir).selectExpr(
+        "id", "CASE WHEN value > 60 THEN 'rejected' ELSE 'processed' END AS outcome", "value"
     )
 
 
 # Answers of the source APIs, one per event of the source ---------------------------
 
 
-def _answers(spark, sf_dir, source: str, raw: Column) -> DataFrame:
-    ev = events(spark, sf_dir).withColumn("source", _source()).filter(F.col("source") == source)
-    return ev.select("id", "city_id", "collected_at", raw.alias("raw_data"))
+def _answers(spark, sf_dir, source: str, raw: str) -> DataFrame:
+    return events(spark, sf_dir).filter(F.col("source") == source).selectExpr(
+        "id", "city_id", "collected_at", f"{raw} AS raw_data"
+    )
 
 
 def flow_answers(spark, sf_dir) -> DataFrame:
-    speed, free, time, free_time = _flow_numbers()
-    closed = F.when(F.col("k") % 9 == 0, F.lit(',"roadClosure":true')).otherwise(F.lit(""))
-    segment = _json('{"flowSegmentData":{"currentSpeed":', speed, ',"freeFlowSpeed":', free,
-                    ',"currentTravelTime":', time, ',"freeFlowTravelTime":', free_time,
-                    ',"confidence":', F.col("k") / 100.0, closed, ',"frc":"FRC', F.col("k") % 4, '"}}')
-    raw = F.when(F.col("k") % 17 == 0, F.lit('{"error":"quota"}')).otherwise(segment)
+    segment = _json(
+        "'{\"flowSegmentData\":{\"currentSpeed\":'", "k", "',\"freeFlowSpeed\":'", _FREE_SPEED,
+        "',\"currentTravelTime\":'", "value", "',\"freeFlowTravelTime\":30,\"confidence\":'", "k / 100D",
+        "CASE WHEN k % 9 = 0 THEN ',\"roadClosure\":true' ELSE '' END", "',\"frc\":\"FRC'", "k % 4", "'\"}}'",
+    )
+    raw = f"CASE WHEN k % 17 = 0 THEN '{{\"error\":\"quota\"}}' ELSE {segment} END"
     return _answers(spark, sf_dir, schemas.FLOW, raw)
 
 
 def incident_answers(spark, sf_dir) -> DataFrame:
     """Answers with no, one or two incidents; the second one lacks delay, length and reports."""
-    k = F.col("k")
-    full = _json('{"type":"Feature","geometry":{"type":"LineString"},"properties":{"id":"A', F.col("id"),
-                 '","iconCategory":', k % 12, ',"magnitudeOfDelay":', k % 5, ',"delay":',
-                 F.floor(F.col("value") * 10), ',"length":', k * 10, ',"startTime":"', _iso("collected_at"),
-                 '","numberOfReports":', k % 6, "}}")
-    bare = _json('{"type":"Feature","geometry":{"type":"Point"},"properties":{"id":"B', F.col("id"),
-                 '","iconCategory":', k % 7, "}}")
-    raw = F.concat(
-        F.lit('{"incidents":['),
-        F.when(k % 3 > 0, full).otherwise(F.lit("")),
-        F.when(k % 3 > 1, F.concat(F.lit(","), bare)).otherwise(F.lit("")),
-        F.lit("]}"),
+    full = _json(
+        "'{\"type\":\"Feature\",\"geometry\":{\"type\":\"LineString\"},\"properties\":{\"id\":\"A'", "id",
+        "'\",\"iconCategory\":'", "k % 12", "',\"magnitudeOfDelay\":'", "k % 5", "',\"delay\":'", "floor(value * 10)",
+        "',\"length\":'", "k * 10", "',\"startTime\":\"'", _ISO, "'\",\"numberOfReports\":'", "k % 6", "'}}'",
+    )
+    bare = _json(
+        "',{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\"},\"properties\":{\"id\":\"B'", "id",
+        "'\",\"iconCategory\":'", "k % 7", "'}}'",
+    )
+    raw = _json(
+        "'{\"incidents\":['", f"CASE WHEN k % 3 > 0 THEN {full} ELSE '' END",
+        f"CASE WHEN k % 3 > 1 THEN {bare} ELSE '' END", "']}'",
     )
     return _answers(spark, sf_dir, schemas.INCIDENTS, raw)
 
 
 def drinking_answers(spark, sf_dir) -> DataFrame:
-    raw = F.concat(F.lit('{"count":1,"data":['), drinking_payload(), F.lit("]}"))
+    raw = _json("'{\"count\":1,\"data\":['", DRINKING_JSON, "']}'")
     return _answers(spark, sf_dir, schemas.DRINKING_WATER, raw)
 
 
 def river_obs_answers(spark, sf_dir) -> DataFrame:
-    raw = F.concat(F.lit('{"data":['), river_payload(), F.lit("]}"))
-    return _answers(spark, sf_dir, schemas.RIVER_OBSERVATIONS, raw)
+    return _answers(spark, sf_dir, schemas.RIVER_OBSERVATIONS, _json("'{\"data\":['", RIVER_JSON, "']}'"))
 
 
-def _station_json() -> Column:
-    return _json('{"code_station":"S', F.col("s_suppkey"), '","libelle_station":"', F.col("s_name"),
-                 '","latitude":', F.col("s_nationkey") + 30.5, ',"longitude":', F.col("s_nationkey") / 2.0,
-                 ',"code_commune":"', 75000 + F.col("s_nationkey"), '","libelle_commune":"N', F.col("s_nationkey"), '"}')
+STATION_JSON = _json(
+    "'{\"code_station\":\"S'", "s_suppkey", "'\",\"libelle_station\":\"'", "s_name", "'\",\"latitude\":'",
+    "s_nationkey + 30.5D", "',\"longitude\":'", "s_nationkey / 2D", "',\"code_commune\":\"'", "75000 + s_nationkey",
+    "'\",\"libelle_commune\":\"N'", "s_nationkey", "'\"}'",
+)
 
 
 def station_answers(spark, sf_dir) -> DataFrame:
-    raw = F.concat(F.lit('{"data":['), _station_json(), F.lit("]}"))
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), raw.alias("raw_data"))
-
-
-# Station entries stand before all events in the lake.
-STATION_ID_SHIFT = 1 << 40
+    raw = _json("'{\"data\":['", STATION_JSON, "']}'")
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", f"{raw} AS raw_data")
 
 
 def station_lake(spark, sf_dir) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
-    return s.select(
-        (F.col("s_suppkey") - STATION_ID_SHIFT).alias("id"),
-        F.lit(1).alias("city_id"),
-        F.lit("Paris").alias("city_name"),
-        F.lit(schemas.RIVER_STATIONS).alias("source"),
-        _station_json().alias("raw_data"),
-        F.lit(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)).alias("collected_at"),
-        F.lit(False).alias("processed"),
-        F.lit(None).cast("timestamp").alias("processed_at"),
+    """Station entries; their ids stand before those of all events."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey - 1099511627776 AS id", "1 AS city_id", "'Paris' AS city_name",
+        f"'{schemas.RIVER_STATIONS}' AS source", f"{STATION_JSON} AS raw_data",
+        "TIMESTAMP '2024-01-01 00:00:00' AS collected_at", "FALSE AS processed", "timestamp(NULL) AS processed_at",
     )
 
 
-def _groundwater_record() -> Column:
-    k = F.col("k")
-    when = F.when(k % 2 == 0, _json('"date_mesure_utc":"', _iso("collected_at"), '"')).otherwise(
-        _json('"date_mesure":"', F.date_format("collected_at", "yyyy-MM-dd"), '"')
-    )
-    return _json('{"bss_id":"B', F.col("user_id") % 40, '","code_bss":"', F.col("user_id") % 40, 'X/F",', when,
-                 ',"timestamp_mesure":', F.unix_timestamp("collected_at"), ',"groundwater_level_ngf_m":',
-                 F.col("value"), ',"groundwater_depth_m":', k / 4.0, "}")
+GROUNDWATER_JSON = _json(
+    "'{\"bss_id\":\"B'", "user_id % 40", "'\",\"code_bss\":\"'", "user_id % 40", "'X/F\",'",
+    f"CASE WHEN k % 2 = 0 THEN concat('\"date_mesure_utc\":\"', {_ISO}, '\"') "
+    "ELSE concat('\"date_mesure\":\"', date_format(collected_at, 'yyyy-MM-dd'), '\"') END",
+    "',\"timestamp_mesure\":'", "unix_timestamp(collected_at)", "',\"groundwater_level_ngf_m\":'", "value",
+    "',\"groundwater_depth_m\":'", "k / 4D", "'}'",
+)
 
 
 def groundwater_answers(spark, sf_dir) -> DataFrame:
-    raw = F.concat(F.lit('{"data":['), _groundwater_record(), F.lit("]}"))
-    return events(spark, sf_dir).select("id", "city_id", "collected_at", raw.alias("raw_data"))
+    raw = _json("'{\"data\":['", GROUNDWATER_JSON, "']}'")
+    return events(spark, sf_dir).selectExpr("id", "city_id", "collected_at", f"{raw} AS raw_data")
 
 
 def groundwater_lake(spark, sf_dir) -> DataFrame:
-    return events(spark, sf_dir).select(
-        "id", "city_id", "city_name", F.lit("hubeau_chroniques_tr").alias("source"),
-        _groundwater_record().alias("raw_data"), "collected_at",
+    return events(spark, sf_dir).selectExpr(
+        "id", "city_id", "city_name", "'hubeau_chroniques_tr' AS source", f"{GROUNDWATER_JSON} AS raw_data",
+        "collected_at",
     )
 
 
@@ -299,24 +248,21 @@ def groundwater_lake(spark, sf_dir) -> DataFrame:
 
 def supplier_cities(spark, sf_dir) -> DataFrame:
     """Suppliers as cities; some lack a station, one in eleven a place."""
-    s, key = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
-    station = F.when(key % 3 == 0, F.concat(F.lit("/st-"), _s(key), F.lit("/"))).when(key % 3 == 1, F.lit(""))
-    return s.select(
-        (key + 1).cast("int").alias("id"),
-        F.col("s_name").alias("name"),
-        F.when(key % 11 != 5, F.col("s_nationkey") + 30.5).otherwise(0.0).alias("latitude"),
-        (F.col("s_nationkey") / 4.0 + 1).alias("longitude"),
-        station.alias("aqi_station"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "int(s_suppkey + 1) AS id",
+        "s_name AS name",
+        "CASE WHEN s_suppkey % 11 <> 5 THEN s_nationkey + 30.5D ELSE 0D END AS latitude",
+        "s_nationkey / 4D + 1 AS longitude",
+        "CASE s_suppkey % 3 WHEN 0 THEN concat('/st-', s_suppkey, '/') WHEN 1 THEN '' END AS aqi_station",
     )
 
 
 def customer_reference(spark, sf_dir) -> DataFrame:
-    """A station reference: by id for low keys, by name for all customers."""
-    c, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
-    return c.select(
-        F.when(key % 2 == 0, (key + 1).cast("int")).alias("id"),
-        F.regexp_replace("c_name", "Customer", "Supplier").alias("name"),
-        F.when(key % 5 != 4, F.concat(F.lit("ref-"), _s(key))).alias("aqi_station"),
+    """A station reference: by id for even keys, by name for all customers."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CASE WHEN c_custkey % 2 = 0 THEN int(c_custkey + 1) END AS id",
+        "replace(c_name, 'Customer', 'Supplier') AS name",
+        "CASE WHEN c_custkey % 5 <> 4 THEN concat('ref-', c_custkey) END AS aqi_station",
     )
 
 
@@ -327,12 +273,17 @@ def measures(spark, sf_dir, months: bool = False) -> DataFrame:
     return m.combine(lake(spark, sf_dir, months))
 
 
-def facts(spark, sf_dir, months: bool = True) -> DataFrame:
-    """Measures within the physical limits as fact rows."""
-    judged = anomalies.judge(measures(spark, sf_dir, months))
+def as_facts(spark, rows: DataFrame) -> DataFrame:
+    """Fact rows; the creation time lies some minutes off the capture, earlier for city 1."""
     return m.to_facts(
-        judged.filter(~F.col("is_rejected")),
+        rows,
         reference.dim_weather_condition(spark),
         late(),
-        F.col("captured_at") + F.make_dt_interval(mins=(F.col("city_id") - 2)),
+        F.expr("captured_at + make_dt_interval(0, 0, city_id - 2)"),
     )
+
+
+def facts(spark, sf_dir, months: bool = True) -> DataFrame:
+    """Measures within the physical limits as fact rows."""
+    judged = anomalies.judge(measures(spark, sf_dir, months))
+    return as_facts(spark, judged.filter(~F.col("is_rejected")))

@@ -44,7 +44,6 @@ def share_of_total(count: Column, total: Column) -> Column:
     ).cast("double")
 
 
-def plain_number(value: Column) -> Column:
-    """Text of a number, without ``.0`` where it is whole."""
-    whole = value == F.floor(value)
-    return F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string"))
+def plain_number(value: str) -> str:
+    """SQL for the text of a number, without ``.0`` where it is whole."""
+    return f"CASE WHEN {value} = floor({value}) THEN string(bigint({value})) ELSE string({value}) END"

@@ -26,25 +26,33 @@ def weather_struct(raw: Column) -> Column:
     return F.from_json(payload_text(raw), schemas.WEATHER_PAYLOAD)
 
 
-def weather_fields(w: Column) -> dict[str, Column]:
-    """The 14 weather values of a parsed weather payload."""
-    first = F.try_element_at(w["weather"], F.lit(1))
-    return {
-        "temperature": w["main"]["temp"],
-        "feels_like": w["main"]["feels_like"],
-        "pressure": w["main"]["pressure"],
-        "humidity": w["main"]["humidity"],
-        "wind_speed": w["wind"]["speed"],
-        "wind_deg": w["wind"]["deg"],
-        "wind_gust": w["wind"]["gust"],
-        "clouds": w["clouds"]["all"],
-        "visibility": w["visibility"],
-        "rain_1h": F.coalesce(w["rain"]["1h"], F.lit(0.0)),
-        "snow_1h": F.coalesce(w["snow"]["1h"], F.lit(0.0)),
-        "weather_id": first["id"],
-        "weather_main": first["main"],
-        "weather_description": first["description"],
-    }
+# The 14 weather values of a parsed weather payload ``w``.
+WEATHER_FIELDS = {
+    "temperature": "w.main.temp",
+    "feels_like": "w.main.feels_like",
+    "pressure": "w.main.pressure",
+    "humidity": "w.main.humidity",
+    "wind_speed": "w.wind.speed",
+    "wind_deg": "w.wind.deg",
+    "wind_gust": "w.wind.gust",
+    "clouds": "w.clouds.all",
+    "visibility": "w.visibility",
+    "rain_1h": "coalesce(w.rain.`1h`, 0D)",
+    "snow_1h": "coalesce(w.snow.`1h`, 0D)",
+    "weather_id": "try_element_at(w.weather, 1).id",
+    "weather_main": "try_element_at(w.weather, 1).main",
+    "weather_description": "try_element_at(w.weather, 1).description",
+}
+
+# The values of a parsed air payload ``a``; ``bare`` is its reading with bare numbers.
+AIR_FIELDS = {
+    "aqi_index": "try_cast(a.data.aqi AS INT)",
+    **{p: f"coalesce(a.data.iaqi.{p}.v, bare.data.iaqi.{p})" for p in schemas.POLLUTANTS},
+}
+
+
+def fields(sources: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in sources.items()]
 
 
 _BARE_POLLUTANT = r'"(' + "|".join(schemas.POLLUTANTS) + r')"\s*:\s*-?[0-9]'
@@ -60,13 +68,6 @@ def bare_air_struct(raw: Column) -> Column:
     return F.when(text.rlike(_BARE_POLLUTANT), F.from_json(text, schemas.AIR_PAYLOAD_BARE))
 
 
-def air_fields(a: Column, bare: Column) -> dict[str, Column]:
-    fields = {"aqi_index": a["data"]["aqi"].try_cast("int")}
-    for p in schemas.POLLUTANTS:
-        fields[p] = F.coalesce(a["data"]["iaqi"][p]["v"], bare["data"]["iaqi"][p])
-    return fields
-
-
 def air_attribution(raw: Column) -> Column:
     """First attribution's name, else the city's name, else the city text."""
     text = payload_text(raw)

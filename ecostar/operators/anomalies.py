@@ -50,21 +50,17 @@ def value_of(field: str) -> Column:
     return F.col(COLUMN_OF.get(field, field)).cast("double")
 
 
-def _hit(type_, severity, field, value, low, high, score, text, action) -> Column:
-    def col(c):
-        return c if isinstance(c, Column) else F.lit(c)
-
-    return F.struct(
-        col(type_).alias("anomaly_type"),
-        col(severity).alias("severity"),
-        col(field).alias("field_name"),
-        col(value).cast("double").alias("actual_value"),
-        col(low).cast("double").alias("expected_range_min"),
-        col(high).cast("double").alias("expected_range_max"),
-        col(score).cast("double").alias("anomaly_score"),
-        col(text).alias("description"),
-        col(action).alias("action_taken"),
+def _value_sql(field: str) -> str:
+    return f"CAST({COLUMN_OF.get(field, field)} AS DOUBLE)"
+
+
+def _hit(when: str, **columns: str) -> Column:
+    """A hit as a struct where the condition holds, else NULL; all parts are SQL text."""
+    doubles = ("actual_value", "expected_range_min", "expected_range_max", "anomaly_score")
+    parts = ", ".join(
+        f"'{c}', {f'CAST({columns[c]} AS DOUBLE)' if c in doubles else columns[c]}" for c in HIT
     )
+    return F.expr(f"CASE WHEN {when} THEN named_struct({parts}) END")
 
 
 def _found(hits: list[Column]) -> Column:
@@ -82,14 +78,22 @@ def _rule_hits(columns: list[str], rules: dict, fields) -> list[Column]:
         if COLUMN_OF.get(field, field) not in columns:
             continue
         low, high, unit = rules[field]
-        value = value_of(field)
-        text = F.concat(
-            F.lit(f"{field} = "),
-            plain_number(value),
-            F.lit(f" {unit} est hors limites physiques [{low}, {high}]"),
+        value = _value_sql(field)
+        hits.append(
+            _hit(
+                f"{value} < {low} OR {value} > {high}",
+                anomaly_type="'business_rule'",
+                severity="'critical'",
+                field_name=f"'{field}'",
+                actual_value=value,
+                expected_range_min=str(low),
+                expected_range_max=str(high),
+                anomaly_score="NULL",
+                description=f"concat('{field} = ', {plain_number(value)}, "
+                f"' {unit} est hors limites physiques [{low}, {high}]')",
+                action_taken="'rejected'",
+            )
         )
-        hit = _hit("business_rule", "critical", field, value, low, high, None, text, "rejected")
-        hits.append(F.when((value < low) | (value > high), hit))
     return hits
 
 
@@ -114,30 +118,36 @@ def with_city_stats(measures: DataFrame, stats: DataFrame) -> DataFrame:
     return measures.join(stats, "city_id", "left")
 
 
-def z_severity(z: Column) -> Column:
-    severity = F.lit(None).cast("string")
-    for name, step in reversed(Z_STEPS):
-        severity = F.when(z >= step, F.lit(name)).otherwise(severity)
-    return severity
+def _steps(value: str, steps, op: str, otherwise: str = "NULL") -> str:
+    cases = " ".join(f"WHEN {value} {op} {limit} THEN '{name}'" for name, limit in steps)
+    return f"CASE {cases} ELSE {otherwise} END"
 
 
-def action(severity: Column) -> Column:
-    return F.when(severity.isin("low", "medium"), "flagged").otherwise("rejected")
+def _action(severity: str) -> str:
+    return f"CASE WHEN {severity} IN ('low', 'medium') THEN 'flagged' ELSE 'rejected' END"
 
 
 def _z_hits() -> list[Column]:
     hits = []
     for f in Z_FIELDS:
-        value, mean, std = value_of(f), F.col(f"mean_{f}"), F.col(f"std_{f}")
-        z = F.abs((value - mean) / F.nullif(std, F.lit(0.0)))
-        severity = z_severity(z)
-        text = F.format_string(
-            f"{f} = %.1f s'écarte de %.2f écarts-types (μ=%.1f, σ=%.1f)", value, z, mean, std
-        )
-        hit = _hit(
-            "statistical", severity, f, value, mean - 3 * std, mean + 3 * std, z, text, action(severity)
+        value, mean, std = _value_sql(f), f"mean_{f}", f"std_{f}"
+        z = f"abs(({value} - {mean}) / nullif({std}, 0D))"
+        severity = _steps(z, Z_STEPS, ">=")
+        hits.append(
+            _hit(
+                f"{z} >= {Z_STEPS[-1][1]}",
+                anomaly_type="'statistical'",
+                severity=severity,
+                field_name=f"'{f}'",
+                actual_value=value,
+                expected_range_min=f"{mean} - 3 * {std}",
+                expected_range_max=f"{mean} + 3 * {std}",
+                anomaly_score=z,
+                description=f"format_string('{f} = %.1f s\\'écarte de %.2f écarts-types (μ=%.1f, σ=%.1f)', "
+                f"{value}, {z}, {mean}, {std})",
+                action_taken=_action(severity),
+            )
         )
-        hits.append(F.when(severity.isNotNull(), hit))
     return hits
 
 
@@ -148,21 +158,25 @@ def zscore_hits(measures: DataFrame, stats: DataFrame) -> DataFrame:
 FOREST_SCORE = "forest_score"
 
 
-def forest_severity(score: Column) -> Column:
-    return (
-        F.when(score < -0.8, "critical").when(score < -0.6, "high").when(score < -0.4, "medium").otherwise("low")
-    )
+# Severity of a forest score, most severe first.
+FOREST_STEPS = (("critical", -0.8), ("high", -0.6), ("medium", -0.4))
 
 
 def forest_hit(threshold: float) -> Column:
     """The hit of a measure whose ``forest_score`` lies below the threshold."""
-    score = F.col(FOREST_SCORE)
-    severity = forest_severity(score)
-    text = F.format_string("Anomalie multivariée détectée (score=%.3f)", score)
-    hit = _hit(
-        "ml_isolation_forest", severity, "multivariate", None, None, None, score, text, action(severity)
+    severity = _steps(FOREST_SCORE, FOREST_STEPS, "<", "'low'")
+    return _hit(
+        f"{FOREST_SCORE} < CAST({threshold!r} AS DOUBLE)",
+        anomaly_type="'ml_isolation_forest'",
+        severity=severity,
+        field_name="'multivariate'",
+        actual_value="NULL",
+        expected_range_min="NULL",
+        expected_range_max="NULL",
+        anomaly_score=FOREST_SCORE,
+        description=f"format_string('Anomalie multivariée détectée (score=%.3f)', {FOREST_SCORE})",
+        action_taken=_action(severity),
     )
-    return F.when(score < threshold, hit)
 
 
 def judge(
@@ -185,15 +199,17 @@ def judge(
         hits += _z_hits()
     if threshold is not None:
         hits.append(forest_hit(threshold))
-    scores = F.filter(F.transform("hits", lambda h: h["anomaly_score"]), lambda s: s != 0)
     return (
         df.withColumn("hits", _found(hits))
         .select(*measures.columns, "hits")
         .withColumns(
             {
-                "is_anomaly": F.size("hits") > 0,
-                "anomaly_score": F.when(F.size("hits") > 0, F.coalesce(F.array_max(scores), F.lit(0.0))),
-                "is_rejected": F.exists("hits", lambda h: h["severity"] == "critical"),
+                "is_anomaly": F.expr("size(hits) > 0"),
+                "anomaly_score": F.expr(
+                    "CASE WHEN size(hits) > 0 THEN "
+                    "coalesce(array_max(filter(hits.anomaly_score, s -> s <> 0)), 0D) END"
+                ),
+                "is_rejected": F.expr("exists(hits, h -> h.severity = 'critical')"),
             }
         )
     )

@@ -58,39 +58,32 @@ def combine(lake: DataFrame) -> DataFrame:
             F.when(is_air, p.bare_air_struct(raw)).alias("bare"),
         )
     )
-    weather = p.weather_fields(F.col("w"))
+    weather = dict(p.WEATHER_FIELDS)
     # Rain and snow default to 0 only where a weather object was read.
     for name in ("rain_1h", "snow_1h"):
-        weather[name] = F.when(F.col("w").isNotNull(), weather[name])
-    air = p.air_fields(F.col("a"), F.col("bare"))
-    flat = entries.select(
+        weather[name] = f"CASE WHEN w IS NOT NULL THEN {weather[name]} END"
+    flat = entries.selectExpr(
         "city_id",
         "collected_at",
         "lake_hour",
         "wid",
         "aid",
         "ok",
-        *(weather[c].alias(c) for c in schemas.WEATHER_COLUMNS),
-        *(air[c].alias(c) for c in schemas.AIR_COLUMNS),
-    )
-
-    def newest(col, order: str) -> Column:
-        return F.max_by(col, order)
-
-    def raw_id(order: str) -> Column:
-        return F.max_by(F.when(F.col("ok"), F.col(order)), order)
-
-    return flat.groupBy("city_id", "lake_hour").agg(
-        F.coalesce(newest("collected_at", "wid"), newest("collected_at", "aid")).alias("captured_at"),
-        F.max("wid").alias("weather_lake_id"),
-        F.max("aid").alias("air_lake_id"),
-        newest("collected_at", "wid").alias("weather_at"),
-        newest("collected_at", "aid").alias("air_at"),
-        raw_id("wid").alias("raw_weather_id"),
-        raw_id("aid").alias("raw_aqi_id"),
-        *(newest(c, "wid").alias(c) for c in schemas.WEATHER_COLUMNS),
-        *(newest(c, "aid").alias(c) for c in schemas.AIR_COLUMNS),
+        *(f"{weather[c]} AS {c}" for c in schemas.WEATHER_COLUMNS),
+        *(f"{p.AIR_FIELDS[c]} AS {c}" for c in schemas.AIR_COLUMNS),
     )
+    picks = [
+        "coalesce(max_by(collected_at, wid), max_by(collected_at, aid)) AS captured_at",
+        "max(wid) AS weather_lake_id",
+        "max(aid) AS air_lake_id",
+        "max_by(collected_at, wid) AS weather_at",
+        "max_by(collected_at, aid) AS air_at",
+        "max_by(CASE WHEN ok THEN wid END, wid) AS raw_weather_id",
+        "max_by(CASE WHEN ok THEN aid END, aid) AS raw_aqi_id",
+        *(f"max_by({c}, wid) AS {c}" for c in schemas.WEATHER_COLUMNS),
+        *(f"max_by({c}, aid) AS {c}" for c in schemas.AIR_COLUMNS),
+    ]
+    return flat.groupBy("city_id", "lake_hour").agg(*map(F.expr, picks))
 
 
 def incomplete(measures: DataFrame, as_of: Column) -> DataFrame:
@@ -127,7 +120,8 @@ def date_gate(df: DataFrame, dim_date: DataFrame, day: str) -> tuple[DataFrame,
 
 
 def with_condition(df: DataFrame, dim_weather: DataFrame) -> DataFrame:
-    return df.join(dim_weather.select("weather_id", "weather_condition_id"), "weather_id", "left")
+    codes = dim_weather.select("weather_id", "weather_condition_id").filter(F.col("weather_id").isNotNull())
+    return df.join(codes, "weather_id", "left")
 
 
 def with_aqi_level(df: DataFrame, dim_aqi: DataFrame) -> DataFrame:
@@ -140,25 +134,32 @@ def with_aqi_level(df: DataFrame, dim_aqi: DataFrame) -> DataFrame:
     return df.join(by_value, "aqi_index", "left")
 
 
-def aqi_level_id(aqi: Column) -> Column:
+_LEVEL = (
+    "CASE "
+    + " ".join(
+        f"WHEN {{0}} BETWEEN {low} AND {high} THEN {n}"
+        for n, (low, high, *_) in enumerate(reference.AQI_LEVELS, 1)
+    )
+    + " END"
+)
+
+
+def aqi_level_id(column: str) -> Column:
     """The lookup against the standard levels as one expression, without a join."""
-    level = F.lit(None).cast("int")
-    for n, (low, high, *_) in enumerate(reference.AQI_LEVELS, 1):
-        level = F.when(aqi.between(low, high), F.lit(n)).otherwise(level)
-    return level
+    return F.expr(_LEVEL.format(column))
 
 
-def _warehouse_value(name: str, type_: str) -> Column:
-    col = F.col(name)
-    return (F.round(col) if type_ == "INT" else col).try_cast(type_)
+def _warehouse_value(name: str, type_: str) -> str:
+    return f"try_cast({f'round({name})' if type_ == 'INT' else name} AS {type_})"
 
 
 def fits_warehouse() -> Column:
     """False where a value does not fit its column; such a row cannot be loaded."""
-    ok = F.lit(True)
-    for name, type_ in schemas.MEASURE_TYPES.items():
-        ok = ok & (F.col(name).isNull() | _warehouse_value(name, type_).isNotNull())
-    return ok
+    return F.expr(
+        " AND ".join(
+            f"({n} IS NULL OR {_warehouse_value(n, t)} IS NOT NULL)" for n, t in schemas.MEASURE_TYPES.items()
+        )
+    )
 
 
 def split_overflow(measures: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -183,7 +184,7 @@ def to_facts(
     score = F.col("anomaly_score") if "anomaly_score" in df.columns else F.lit(None).cast("double")
     values = {n: _warehouse_value(n, t) for n, t in schemas.MEASURE_TYPES.items()}
     for name in ("rain_1h", "snow_1h"):
-        values[name] = F.coalesce(values[name], F.lit(0).cast(schemas.MEASURE_TYPES[name]))
+        values[name] = f"coalesce({values[name]}, CAST(0 AS {schemas.MEASURE_TYPES[name]}))"
     return df.select(
         measure_id().alias("measure_id"),
         "city_id",
@@ -192,8 +193,8 @@ def to_facts(
         "capture_date",
         F.hour("captured_at").alias("capture_hour"),
         "weather_condition_id",
-        aqi_level_id(F.col("aqi_index")).alias("aqi_level_id"),
-        *(c.alias(n) for n, c in values.items()),
+        aqi_level_id("aqi_index").alias("aqi_level_id"),
+        *(F.expr(f"{sql} AS {n}") for n, sql in values.items()),
         flag.alias("is_anomaly"),
         score.alias("anomaly_score"),
         "raw_weather_id",

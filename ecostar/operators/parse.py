@@ -16,8 +16,7 @@ def _of(lake: DataFrame, *sources: str) -> DataFrame:
 
 def parse_weather(lake: DataFrame) -> DataFrame:
     parsed = _of(lake, schemas.WEATHER).withColumn("w", p.weather_struct(F.col("raw_data")))
-    fields = p.weather_fields(F.col("w"))
-    return parsed.select(*_KEYS, *(c.alias(n) for n, c in fields.items()))
+    return parsed.selectExpr(*_KEYS, *p.fields(p.WEATHER_FIELDS))
 
 
 def weather_timestamps(lake: DataFrame) -> DataFrame:
@@ -29,8 +28,7 @@ def parse_air_quality(lake: DataFrame) -> DataFrame:
     parsed = _of(lake, schemas.AIR).withColumns(
         {"a": p.air_struct(raw), "bare": p.bare_air_struct(raw), "station_attribution": p.air_attribution(raw)}
     )
-    fields = p.air_fields(F.col("a"), F.col("bare"))
-    return parsed.select(*_KEYS, *(c.alias(n) for n, c in fields.items()), "station_attribution")
+    return parsed.selectExpr(*_KEYS, *p.fields(p.AIR_FIELDS), "station_attribution")
 
 
 def air_attributions(lake: DataFrame) -> DataFrame:

@@ -238,9 +238,8 @@ def city_counts(df: DataFrame) -> DataFrame:
 
 def low_coverage(df: DataFrame) -> DataFrame:
     """Cities with less than half of the mean count, with that mean."""
-    counts = city_counts(df)
-    mean = counts.agg(F.avg("n")).scalar()
-    return counts.withColumn("average", mean).filter(F.col("n") < F.col("average") * 0.5)
+    counts = city_counts(df).withColumn("average", F.avg("n").over(W.partitionBy()))
+    return counts.filter(F.col("n") < F.col("average") * 0.5)
 
 
 def check_coverage(df: DataFrame, cities: DataFrame) -> DataFrame:
@@ -271,33 +270,18 @@ def check_coverage(df: DataFrame, cities: DataFrame) -> DataFrame:
 def outliers(df: DataFrame, fields=OUTLIER_FIELDS, z: float = 3.0) -> DataFrame:
     """Per field with at least ten values the rows beyond ``z`` population deviations."""
     present = [f for f in fields if _column(f) in df.columns]
-    values = df.select(*(F.col(_column(f)).cast("double").alias(f) for f in present))
-    stats = (
-        values.agg(
-            F.map_from_entries(
-                F.array(
-                    *(
-                        F.struct(
-                            F.lit(f),
-                            F.struct(
-                                F.count(f).alias("n"), F.avg(f).alias("mean"), F.stddev_pop(f).alias("std")
-                            ),
-                        )
-                        for f in present
-                    )
-                )
-            ).alias("stats")
-        )
+    pairs = F.array(
+        *(F.struct(F.lit(f).alias("field"), F.col(_column(f)).cast("double").alias("value")) for f in present)
     )
-    long = values.withColumn("stats", stats.scalar()).select(
-        F.explode(
-            F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value"), F.col("stats")[f].alias("s")) for f in present))
-        ).alias("v")
-    ).select("v.field", "v.value", "v.s.*")
+    long = df.select(F.explode(pairs).alias("v")).select("v.*").filter(F.col("value").isNotNull())
+    stats = long.groupBy("field").agg(
+        F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
+    ).filter(F.col("n") >= MIN_OUTLIER_VALUES)
+    # One row per checked field: the broadcast is bounded by the field list.
+    measured = long.join(F.broadcast(stats), "field")
     score = F.abs(F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     return (
-        long.filter(F.col("value").isNotNull() & (F.col("n") >= MIN_OUTLIER_VALUES))
-        .withColumn("zscore", score)
+        measured.withColumn("zscore", score)
         .groupBy("field")
         .agg(
             F.count_if(F.col("zscore") > z).alias("outliers"),

@@ -6,7 +6,7 @@ Facts are aggregated before they meet a dimension wherever the grouping allows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ecostar.functions.expr import mean_2, share_of_total
 from ecostar.sources.reference import SEASONS
@@ -97,7 +97,8 @@ def hottest_coldest(facts, dim_city) -> DataFrame:
 
 
 def _with_share(counts: DataFrame, n: str, share: str) -> DataFrame:
-    return counts.withColumn(share, share_of_total(F.col(n), counts.agg(F.sum(n)).scalar()))
+    """The window runs over the groups, whose number a dimension bounds."""
+    return counts.withColumn(share, share_of_total(F.col(n), F.sum(n).over(W.partitionBy())))
 
 
 def weather_distribution(facts, dim_weather) -> DataFrame:

@@ -193,9 +193,7 @@ def history_last_value(spark, sf):
 
 
 def _history_records(spark, sf):
-    cities = spark.createDataFrame(
-        reference.CITIES, "city_id INT, city_name STRING, latitude DOUBLE, longitude DOUBLE, aqi_station STRING"
-    )
+    cities = reference.city_reference(spark)
     return history.history_records(history.last_median(_history_rows(spark, sf)), cities)
 
 
@@ -372,7 +370,7 @@ def weather_condition_lookup(spark, sf):
 def aqi_level_lookup(spark, sf):
     rows = v.measures(spark, sf).select("city_id", "lake_hour", "aqi_index")
     return m.with_aqi_level(rows, reference.dim_air_quality_level(spark)).withColumn(
-        "by_expression", m.aqi_level_id(F.col("aqi_index"))
+        "by_expression", m.aqi_level_id("aqi_index")
     )
 
 
@@ -381,11 +379,11 @@ def _flows(spark, sf):
 
 
 def _points(spark, sf):
-    """The points of the first ten days exist; the others are created."""
+    """The points of the first day exist; the others are created."""
     flows = _flows(spark, sf)
     early = flows.filter(F.col("collected_at") < "2024-01-02")
     known = dimensions.traffic_points(_empty(spark, dimensions.TRAFFIC_POINT), early)
-    return dimensions.traffic_points(known, flows)
+    return warehouse.stage(dimensions.traffic_points(warehouse.stage(known, "points"), flows), "points")
 
 
 @query
@@ -408,11 +406,12 @@ def dim_commune_upsert(spark, sf):
 
 
 def _stations(spark, sf):
-    return dimensions.stations(
+    stations = dimensions.stations(
         _empty(spark, dimensions.STATION),
         parse.river_station_records(v.station_lake(spark, sf)),
         parse.river_obs_records(v.lake(spark, sf)),
     )
+    return warehouse.stage(stations, "stations")
 
 
 @query
@@ -428,8 +427,8 @@ def _stats(spark, sf):
 def city_stats_join(spark, sf):
     joined = anomalies.with_city_stats(v.measures(spark, sf), _stats(spark, sf))
     return joined.select(
-        "city_id", "lake_hour", "temperature", _r("mean_temperature", 4).alias("mean_temperature"),
-        _r("std_temperature", 4).alias("std_temperature"),
+        "city_id", "lake_hour", "temperature", _r("mean_temperature").alias("mean_temperature"),
+        _r("std_temperature").alias("std_temperature"),
     )
 
 
@@ -482,7 +481,7 @@ def _flow_facts(spark, sf):
 @query
 def fact_flow_load(spark, sf):
     flows, points = _flows(spark, sf), _points(spark, sf)
-    old = traffic.load_flow(_empty(spark, traffic.FLOW_FACT), _early(flows), points)
+    old = warehouse.stage(traffic.load_flow(_empty(spark, traffic.FLOW_FACT), _early(flows), points), "flow")
     return traffic.load_flow(old, flows, points).withColumns(
         {"congestion_ratio": _r("congestion_ratio"), "speed_ratio": _r("speed_ratio")}
     )
@@ -497,7 +496,7 @@ def incident_severity(spark, sf):
 def _incident_facts(spark, sf):
     incidents = parse.incident_records(v.lake(spark, sf))
     categories = dimensions.incident_categories(_empty(spark, dimensions.INCIDENT_CATEGORY), incidents)
-    return traffic.load_incidents(incidents, categories)
+    return traffic.load_incidents(incidents, warehouse.stage(categories, "categories"))
 
 
 @query
@@ -508,21 +507,23 @@ def fact_incident_load(spark, sf):
 @query
 def fact_drinking_water_load(spark, sf):
     records = parse.drinking_water_records(v.lake(spark, sf))
-    old = water.load_drinking_water(_empty(spark, water.DRINKING_FACT), _early(records))
+    old = warehouse.stage(water.load_drinking_water(_empty(spark, water.DRINKING_FACT), _early(records)), "water")
     return water.load_drinking_water(old, records)
 
 
 @query
 def fact_river_load(spark, sf):
     observations, stations = parse.river_obs_records(v.lake(spark, sf)), _stations(spark, sf)
-    old = water.load_river(_empty(spark, water.RIVER_FACT), _early(observations), stations)
+    old = warehouse.stage(water.load_river(_empty(spark, water.RIVER_FACT), _early(observations), stations), "river")
     return water.load_river(old, observations, stations)
 
 
 @query
 def fact_groundwater_load(spark, sf):
     readings = parse.groundwater_records(v.groundwater_lake(spark, sf))
-    stations = dimensions.groundwater_stations(_empty(spark, dimensions.GROUNDWATER_STATION), readings)
+    stations = warehouse.stage(
+        dimensions.groundwater_stations(_empty(spark, dimensions.GROUNDWATER_STATION), readings), "stations"
+    )
     old = _empty(spark, "groundwater_station_id INT, measured_at TIMESTAMP")
     return water.load_groundwater(old, readings, stations)
 
@@ -538,7 +539,7 @@ def business_rules(spark, sf):
 @query
 def city_stats(spark, sf):
     stats = _stats(spark, sf)
-    return stats.select("city_id", *(_r(c, 4).alias(c) for c in stats.columns if c != "city_id"))
+    return stats.select("city_id", *(_r(c).alias(c) for c in stats.columns if c != "city_id"))
 
 
 _HIT_NUMBERS = ("expected_range_min", "expected_range_max", "anomaly_score")
@@ -561,6 +562,8 @@ def _forest(spark, sf, limit=5000):
 def iforest_train(spark, sf):
     """Trees of a forest trained on the whole history: nodes, leaves and mean depth."""
     _, model = _forest(spark, sf, limit=None)
+    if model is None:
+        return _empty(spark, "tree INT, nodes BIGINT, leaves BIGINT, path DOUBLE, threshold DOUBLE")
     nodes = spark.createDataFrame(model.nodes, forest.NODES)
     leaf = F.col("feature") < 0
     return nodes.groupBy("tree").agg(
@@ -571,7 +574,8 @@ def iforest_train(spark, sf):
 @query
 def iforest_score(spark, sf):
     judged, model = _forest(spark, sf)
-    return forest.forest_hits(judged, model).select(
+    hits = anomalies.rule_hits(judged).limit(0) if model is None else forest.forest_hits(judged, model)
+    return hits.select(
         "city_id", "lake_hour", "captured_at", "severity", "field_name", _r("anomaly_score").alias("anomaly_score"),
         "action_taken",
     )
@@ -627,10 +631,11 @@ def groundwater_trend_7d(spark, sf):
 
 
 def _union(spark, sf, hours=24 * 40, as_of=None):
+    """Fact rows of all measures, those outside the physical limits included."""
     at = v.as_of() if as_of is None else as_of
-    return quality.union_facts(
-        v.facts(spark, sf, months=False), _flow_facts(spark, sf), _incident_facts(spark, sf), at, hours
-    )
+    measures = v.as_facts(spark, v.measures(spark, sf))
+    union = quality.union_facts(measures, _flow_facts(spark, sf), _incident_facts(spark, sf), at, hours)
+    return warehouse.stage(union, "facts")
 
 
 @query

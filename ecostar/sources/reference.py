@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -79,26 +80,40 @@ WEATHER_CODES = [
 SEASONS = {"Hiver": (12, 1, 2), "Printemps": (3, 4, 5), "Été": (6, 7, 8), "Automne": (9, 10, 11)}
 
 
+def fixed_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as a local relation, whose true size the planner knows."""
+
+    def literal(x) -> str:
+        if x is None:
+            return "NULL"
+        return "'" + x.replace("'", "\\'") + "'" if isinstance(x, str) else repr(x)
+
+    body = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    fields = [f.split(" ", 1) for f in re.split(r",\s+", schema)]
+    columns = ", ".join(f"CAST(c{n} AS {type_}) AS {name}" for n, (name, type_) in enumerate(fields))
+    names = ", ".join(f"c{n}" for n in range(len(fields)))
+    return spark.sql(f"SELECT {columns} FROM VALUES {body} AS t({names})")
+
+
 def dim_city(spark: SparkSession) -> DataFrame:
-    rows = [
-        (i, name, lat, lon, "Europe/Paris", None, "France", None, None)
-        for i, name, lat, lon, _ in CITIES
-    ]
-    return spark.createDataFrame(
+    rows = [(i, name, lat, lon, "Europe/Paris", None, "France", None, None) for i, name, lat, lon, _ in CITIES]
+    return fixed_table(
+        spark,
         rows,
-        "city_id INT, city_name STRING, latitude DOUBLE, longitude DOUBLE, timezone STRING, "
-        "region STRING, country STRING, population INT, altitude DOUBLE",
-    ).withColumns(
-        {
-            "latitude": F.col("latitude").cast("decimal(9,6)"),
-            "longitude": F.col("longitude").cast("decimal(9,6)"),
-            "altitude": F.col("altitude").cast("decimal(7,2)"),
-        }
+        "city_id INT, city_name STRING, latitude DECIMAL(9,6), longitude DECIMAL(9,6), timezone STRING, "
+        "region STRING, country STRING, population INT, altitude DECIMAL(7,2)",
+    )
+
+
+def city_reference(spark: SparkSession) -> DataFrame:
+    return fixed_table(
+        spark, CITIES, "city_id INT, city_name STRING, latitude DOUBLE, longitude DOUBLE, aqi_station STRING"
     )
 
 
 def dim_air_quality_level(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return fixed_table(
+        spark,
         [(n, *row) for n, row in enumerate(AQI_LEVELS, 1)],
         "aqi_level_id INT, aqi_min INT, aqi_max INT, level_name STRING, health_concern STRING, "
         "color_code STRING, health_advice STRING",
@@ -106,37 +121,41 @@ def dim_air_quality_level(spark: SparkSession) -> DataFrame:
 
 
 def dim_weather_condition(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return fixed_table(
+        spark,
         [(n, *row) for n, row in enumerate(WEATHER_CODES, 1)],
         "weather_condition_id INT, weather_id INT, main STRING, description STRING, category STRING, icon STRING",
     )
 
 
+_SEASON = (
+    "CASE "
+    + " ".join(f"WHEN month(date_value) IN {months} THEN '{name}'" for name, months in SEASONS.items())
+    + " END"
+)
+
+DATE_COLUMNS = (
+    "date_value",
+    "dayofmonth(date_value) AS day_of_month",
+    "dayofweek(date_value) - 1 AS day_of_week",
+    "date_format(date_value, 'EEEE') AS day_name",
+    "dayofyear(date_value) AS day_of_year",
+    "weekofyear(date_value) AS week_of_year",
+    "CAST(ceil(dayofmonth(date_value) / 7) AS INT) AS week_of_month",
+    "month(date_value) AS month",
+    "date_format(date_value, 'MMMM') AS month_name",
+    "quarter(date_value) AS quarter",
+    "concat('Q', quarter(date_value)) AS quarter_name",
+    "year(date_value) AS year",
+    "dayofweek(date_value) IN (1, 7) AS is_weekend",
+    "FALSE AS is_holiday",
+    f"{_SEASON} AS season",
+)
+
+
 def date_attributes(days: DataFrame) -> DataFrame:
     """The calendar columns of a one-column frame ``date_value``."""
-    d = F.col("date_value")
-    month = F.month(d)
-    season = F.lit(None).cast("string")
-    for name, months in SEASONS.items():
-        season = F.when(month.isin(*months), F.lit(name)).otherwise(season)
-    dow = F.dayofweek(d) - 1
-    return days.select(
-        d,
-        F.dayofmonth(d).alias("day_of_month"),
-        dow.alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        F.dayofyear(d).alias("day_of_year"),
-        F.weekofyear(d).alias("week_of_year"),
-        F.ceil(F.dayofmonth(d) / 7).cast("int").alias("week_of_month"),
-        month.alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.quarter(d).alias("quarter"),
-        F.concat(F.lit("Q"), F.quarter(d)).alias("quarter_name"),
-        F.year(d).alias("year"),
-        dow.isin(0, 6).alias("is_weekend"),
-        F.lit(False).alias("is_holiday"),
-        season.alias("season"),
-    )
+    return days.selectExpr(*DATE_COLUMNS)
 
 
 def dim_date(
@@ -144,9 +163,7 @@ def dim_date(
     start: dt.date = dt.date(2024, 1, 1),
     end: dt.date = dt.date(2027, 12, 31),
 ) -> DataFrame:
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_value")
-    )
+    days = spark.sql(f"SELECT explode(sequence(DATE '{start}', DATE '{end}')) AS date_value")
     return date_attributes(days)
 
 
