@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ecostar import schemas
@@ -153,12 +155,21 @@ def _warehouse_value(name: str, type_: str) -> str:
     return f"try_cast({f'round({name})' if type_ == 'INT' else name} AS {type_})"
 
 
+def _bound(name: str, type_: str) -> str:
+    if type_ == "INT":
+        return f"abs(round({name})) <= 2147483647"
+    precision, scale = map(int, re.findall(r"\d+", type_))
+    return f"abs(round({name}, {scale})) < {10 ** (precision - scale)}"
+
+
 def fits_warehouse() -> Column:
-    """False where a value does not fit its column; such a row cannot be loaded."""
+    """False where a value does not fit its column; such a row cannot be loaded.
+
+    Written with bounds and not with the casts of the load: the optimizer would
+    try every mix of a cast and the column that holds it.
+    """
     return F.expr(
-        " AND ".join(
-            f"({n} IS NULL OR {_warehouse_value(n, t)} IS NOT NULL)" for n, t in schemas.MEASURE_TYPES.items()
-        )
+        " AND ".join(f"coalesce({_bound(n, t)}, TRUE)" for n, t in schemas.MEASURE_TYPES.items())
     )
 
 

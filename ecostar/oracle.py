@@ -366,7 +366,7 @@ stations AS (
     ) GROUP BY code_station)
 )"""
 
-put("table_footprint", FACTS + "," + TRAFFIC[len(LAKE) + 1:], """
+put("table_footprint", FACTS_NOW + "," + TRAFFIC[len(LAKE) + 1:], """
 SELECT 'raw_data_lake' AS table_name, count(*) AS row_count, round(count(*) * 2000 / 1048576.0::DOUBLE, 6) AS mb FROM lake
 UNION ALL SELECT 'fact_measures', count(*), round(count(*) * 200 / 1048576.0::DOUBLE, 6) FROM facts
 UNION ALL SELECT 'fact_traffic_flow_hourly', count(*), round(count(*) * 200 / 1048576.0::DOUBLE, 6) FROM flow_facts""")
@@ -686,7 +686,7 @@ FROM (SELECT n, avg(n) OVER () AS mean FROM (SELECT city_id, count(*) AS n FROM
 WHERE n < mean * 0.5 HAVING count(*) > 0"""
 
 
-put("dq_coverage", U, _coverage("SELECT * FROM u WHERE temperature > 30 OR incident_severity_score > 4.5"))
+put("dq_coverage", U, _coverage("SELECT * FROM u WHERE temperature > 52 OR incident_severity_score > 5.4"))
 
 
 def _outlier(field: str) -> str:

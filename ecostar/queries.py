@@ -233,7 +233,7 @@ def etl_log(spark, sf):
 @query
 def table_footprint(spark, sf):
     facts = {
-        "fact_measures": v.facts(spark, sf),
+        "fact_measures": v.facts(spark, sf, months=False),
         "fact_traffic_flow_hourly": _flow_facts(spark, sf),
     }
     return lake_io.footprint(v.lake(spark, sf), facts).withColumn("mb", _r("mb"))
@@ -552,7 +552,7 @@ def zscore_anomalies(spark, sf):
 
 
 def _forest(spark, sf, limit=5000):
-    judged = anomalies.judge(v.measures(spark, sf, months=True)).withColumn(
+    judged = anomalies.judge(v.measures(spark, sf)).withColumn(
         "measure_id", m.measure_id()
     )
     return judged, forest.train_forest(judged, limit=limit)
@@ -700,7 +700,7 @@ def dq_limits(spark, sf):
 
 @query
 def dq_coverage(spark, sf):
-    busy = _union(spark, sf).filter((F.col("temperature") > 30) | (F.col("incident_severity_score") > 4.5))
+    busy = _union(spark, sf).filter((F.col("temperature") > 52) | (F.col("incident_severity_score") > 5.4))
     return quality.check_coverage(busy, reference.dim_city(spark)).drop("details")
 
 
