@@ -138,16 +138,21 @@ def lake_entries(spark: SparkSession, sf_dir: str, months: bool = False) -> Data
 _LAKES: dict[tuple, str] = {}
 
 
-def lake(spark: SparkSession, sf_dir: str, months: bool = False) -> DataFrame:
-    """The lake as a stored table, by source; written once per application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, months)
+def _stored(entries: DataFrame, *key) -> DataFrame:
+    """Lake entries as a stored table, by source; written once per application and key."""
+    spark = entries.sparkSession
+    key = (spark.sparkContext.applicationId, *key)
     if key not in _LAKES:
         path = shared_folder(spark, "lake")
-        lake_entries(spark, sf_dir, months).hint("rebalance", "source").write.partitionBy("source").parquet(path)
+        entries.hint("rebalance", "source").write.partitionBy("source").parquet(path)
         _LAKES[key] = path
     return spark.read.schema(schemas.LAKE).parquet(_LAKES[key])
 
 
+def lake(spark: SparkSession, sf_dir: str, months: bool = False) -> DataFrame:
+    return _stored(lake_entries(spark, sf_dir, months), "lake", sf_dir, months)
+
+
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries that a run has dealt with; those of a high value were rejected."""
     return events(spark, sf_dir).selectExpr(
@@ -237,10 +242,11 @@ def groundwater_answers(spark, sf_dir) -> DataFrame:
 
 
 def groundwater_lake(spark, sf_dir) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(
+    entries = events(spark, sf_dir).selectExpr(
         "id", "city_id", "city_name", "'hubeau_chroniques_tr' AS source", f"{GROUNDWATER_JSON} AS raw_data",
-        "collected_at",
+        "collected_at", "FALSE AS processed", "timestamp(NULL) AS processed_at",
     )
+    return _stored(entries, "groundwater", sf_dir)
 
 
 # Cities and stations ------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ecostar.sources.warehouse import number_rows
+from ecostar.sources.warehouse import number_rows, stage
 
 
 def new_rows(
@@ -13,7 +13,8 @@ def new_rows(
     """One row per natural key that the dimension lacks.
 
     The attributes come from the entry with the lowest lake id, and the ids follow
-    the order of first appearance.
+    the order of first appearance. The new keys are written out before they are
+    numbered, so the entries behind them are read once.
     """
     attributes = [c for c in dim.columns if c not in (*keys, id_col)]
     known = incoming.dropna(subset=keys).join(dim.select(*keys), keys, "left_anti")
@@ -21,7 +22,7 @@ def new_rows(
         F.min(order).alias("_first"),
         *(F.min_by(c, order).alias(c) for c in attributes if c in incoming.columns),
     )
-    numbered = number_rows(first, "_first", id_col, dim.agg(F.max(id_col)).scalar())
+    numbered = number_rows(stage(first, "new-keys"), "_first", id_col, dim.agg(F.max(id_col)).scalar())
     typed = numbered.withColumn(id_col, F.col(id_col).cast(dim.schema[id_col].dataType))
     return typed.select(*(c for c in dim.columns if c in typed.columns))
 

@@ -57,7 +57,8 @@ def rolling_mean(df: DataFrame, key: str, ts: str, col: str, days: int = 7) -> D
     """Each row with the mean of its key over the last ``days`` days, itself included."""
     sums = rolling_sums(df, key, ts, F.col(col), days)
     return df.join(sums, [key, ts], "left").withColumn(
-        f"{col}_mean_{days}d", (F.col("window_s") / F.col("window_n")).cast("double")
+        f"{col}_mean_{days}d",
+        (F.col("window_s").cast("decimal(20,4)") / F.col("window_n").cast("decimal(12,0)")).cast("double"),
     ).drop("window_n", "window_s", "window_ss")
 
 

@@ -109,6 +109,7 @@ def run_batch(
 
     Touched city-hours are computed anew from the whole lake and replace their
     rows, so the result does not depend on how the entries were cut into batches.
+    Records that feed both a dimension and a fact are parsed once and staged.
     """
     at = F.lit(as_of)
     dim_date, dim_weather = reference.dim_date(spark), reference.dim_weather_condition(spark)
@@ -128,7 +129,9 @@ def run_batch(
 
     # Traffic.
     flows, no_date = m.date_gate(
-        parse.flow_records(batch).withColumn("date_value", F.to_date("collected_at")), dim_date, "date_value"
+        stage(parse.flow_records(batch), "flow-records").withColumn("date_value", F.to_date("collected_at")),
+        dim_date,
+        "date_value",
     )
     rejects = [no_date.select("id", "reason")]
     points = _grow_dimension(
@@ -141,7 +144,7 @@ def run_batch(
 
     hours = _touched(batch, schemas.INCIDENTS)
     incidents, no_date = m.date_gate(
-        parse.incident_records(_affected(lake, hours, schemas.INCIDENTS)).withColumn(
+        stage(parse.incident_records(_affected(lake, hours, schemas.INCIDENTS)), "incident-records").withColumn(
             "date_value", F.to_date("collected_at")
         ),
         dim_date,
@@ -163,7 +166,7 @@ def run_batch(
     replace_partitions(kept.unionByName(new_incidents), root, "fact_traffic_incident_hourly", "date_value")
 
     # Water.
-    drinking = parse.drinking_water_records(batch)
+    drinking = stage(parse.drinking_water_records(batch), "water-records")
     _grow_dimension(
         spark, root, "dim_eau_potable_commune", dimensions.COMMUNE,
         lambda dim: dimensions.communes(dim, drinking), ["code_commune"],
@@ -175,7 +178,7 @@ def run_batch(
     fresh_water = water.keep_first(old_water, rows, water.DRINKING_KEY).drop("id")
     append_table(stage(fresh_water, "water"), root, "fact_eau_potable", "date_value")
 
-    observations = parse.river_obs_records(batch)
+    observations = stage(parse.river_obs_records(batch), "river-records")
     stations = _grow_dimension(
         spark, root, "dim_cours_deau_station", dimensions.STATION,
         lambda dim: dimensions.stations(dim, parse.river_station_records(batch), observations),

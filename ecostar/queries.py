@@ -42,8 +42,12 @@ def query(fn):
     return fn
 
 
-def _empty(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+_empty = warehouse.empty_table
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    """Records that a query reads more than once, parsed once."""
+    return warehouse.stage(df, "records")
 
 
 def _r(col, digits=6):
@@ -375,12 +379,11 @@ def aqi_level_lookup(spark, sf):
 
 
 def _flows(spark, sf):
-    return parse.flow_records(v.lake(spark, sf))
+    return _staged(parse.flow_records(v.lake(spark, sf)))
 
 
-def _points(spark, sf):
+def _points(spark, flows):
     """The points of the first day exist; the others are created."""
-    flows = _flows(spark, sf)
     early = flows.filter(F.col("collected_at") < "2024-01-02")
     known = dimensions.traffic_points(_empty(spark, dimensions.TRAFFIC_POINT), early)
     return warehouse.stage(dimensions.traffic_points(warehouse.stage(known, "points"), flows), "points")
@@ -388,7 +391,7 @@ def _points(spark, sf):
 
 @query
 def dim_traffic_point_upsert(spark, sf):
-    return _points(spark, sf)
+    return _points(spark, _flows(spark, sf))
 
 
 @query
@@ -405,18 +408,16 @@ def dim_commune_upsert(spark, sf):
     )
 
 
-def _stations(spark, sf):
+def _stations(spark, sf, observations):
     stations = dimensions.stations(
-        _empty(spark, dimensions.STATION),
-        parse.river_station_records(v.station_lake(spark, sf)),
-        parse.river_obs_records(v.lake(spark, sf)),
+        _empty(spark, dimensions.STATION), parse.river_station_records(v.station_lake(spark, sf)), observations
     )
     return warehouse.stage(stations, "stations")
 
 
 @query
 def dim_station_upsert(spark, sf):
-    return _stations(spark, sf)
+    return _stations(spark, sf, parse.river_obs_records(v.lake(spark, sf)))
 
 
 def _stats(spark, sf):
@@ -475,12 +476,14 @@ def _early(df):
 
 
 def _flow_facts(spark, sf):
-    return traffic.load_flow(_empty(spark, traffic.FLOW_FACT), _flows(spark, sf), _points(spark, sf))
+    flows = _flows(spark, sf)
+    return traffic.load_flow(_empty(spark, traffic.FLOW_FACT), flows, _points(spark, flows))
 
 
 @query
 def fact_flow_load(spark, sf):
-    flows, points = _flows(spark, sf), _points(spark, sf)
+    flows = _flows(spark, sf)
+    points = _points(spark, flows)
     old = warehouse.stage(traffic.load_flow(_empty(spark, traffic.FLOW_FACT), _early(flows), points), "flow")
     return traffic.load_flow(old, flows, points).withColumns(
         {"congestion_ratio": _r("congestion_ratio"), "speed_ratio": _r("speed_ratio")}
@@ -494,7 +497,7 @@ def incident_severity(spark, sf):
 
 
 def _incident_facts(spark, sf):
-    incidents = parse.incident_records(v.lake(spark, sf))
+    incidents = _staged(parse.incident_records(v.lake(spark, sf)))
     categories = dimensions.incident_categories(_empty(spark, dimensions.INCIDENT_CATEGORY), incidents)
     return traffic.load_incidents(incidents, warehouse.stage(categories, "categories"))
 
@@ -506,21 +509,22 @@ def fact_incident_load(spark, sf):
 
 @query
 def fact_drinking_water_load(spark, sf):
-    records = parse.drinking_water_records(v.lake(spark, sf))
+    records = _staged(parse.drinking_water_records(v.lake(spark, sf)))
     old = warehouse.stage(water.load_drinking_water(_empty(spark, water.DRINKING_FACT), _early(records)), "water")
     return water.load_drinking_water(old, records)
 
 
 @query
 def fact_river_load(spark, sf):
-    observations, stations = parse.river_obs_records(v.lake(spark, sf)), _stations(spark, sf)
+    observations = _staged(parse.river_obs_records(v.lake(spark, sf)))
+    stations = _stations(spark, sf, observations)
     old = warehouse.stage(water.load_river(_empty(spark, water.RIVER_FACT), _early(observations), stations), "river")
     return water.load_river(old, observations, stations)
 
 
 @query
 def fact_groundwater_load(spark, sf):
-    readings = parse.groundwater_records(v.groundwater_lake(spark, sf))
+    readings = _staged(parse.groundwater_records(v.groundwater_lake(spark, sf)))
     stations = warehouse.stage(
         dimensions.groundwater_stations(_empty(spark, dimensions.GROUNDWATER_STATION), readings), "stations"
     )
@@ -613,15 +617,17 @@ def measure_anomalies_format(spark, sf):
 
 @query
 def rolling_zscore_30d(spark, sf):
-    rows = v.facts(spark, sf).select("measure_id", "city_id", "captured_at", "temperature")
+    rows = _staged(v.facts(spark, sf).select("measure_id", "city_id", "captured_at", "temperature"))
     scored = rolling.rolling_z(rows, "city_id", "captured_at", "temperature", 30)
     return scored.select("city_id", "captured_at", "temperature", _r("temperature_z_30d", 4).alias("z"))
 
 
 @query
 def groundwater_trend_7d(spark, sf):
-    readings = parse.groundwater_records(v.groundwater_lake(spark, sf)).select(
-        "id", "code_bss", "measured_at", "groundwater_level_ngf_m"
+    readings = _staged(
+        parse.groundwater_records(v.groundwater_lake(spark, sf)).select(
+            "id", "code_bss", "measured_at", "groundwater_level_ngf_m"
+        )
     )
     trend = rolling.rolling_mean(readings, "code_bss", "measured_at", "groundwater_level_ngf_m", 7)
     return trend.select("id", "code_bss", _r("groundwater_level_ngf_m_mean_7d", 4).alias("mean_7d"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 from ecostar.session import shared_folder
@@ -12,13 +12,20 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+def empty_table(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
+    """No rows of a schema, as a relation that the optimizer knows to be empty."""
+    struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in struct)
+    return spark.sql(f"SELECT {columns} WHERE FALSE")
+
+
+def read_table(spark: SparkSession, root: str, name: str, schema: str | T.StructType) -> DataFrame:
     """A warehouse table, empty where nothing has been written yet."""
     try:
         return spark.read.schema(schema).parquet(table_path(root, name))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return empty_table(spark, schema)
         raise
 
 
