@@ -63,7 +63,7 @@ def combine(lake: DataFrame) -> DataFrame:
     weather = dict(p.WEATHER_FIELDS)
     # Rain and snow default to 0 only where a weather object was read.
     for name in ("rain_1h", "snow_1h"):
-        weather[name] = f"CASE WHEN w IS NOT NULL THEN {weather[name]} END"
+        weather[name] = f"CASE WHEN ok AND wid IS NOT NULL THEN {weather[name]} END"
     flat = entries.selectExpr(
         "city_id",
         "collected_at",

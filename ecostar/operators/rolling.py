@@ -5,70 +5,70 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-def rolling_sums(df: DataFrame, key: str, ts: str, value: Column, days: int) -> DataFrame:
-    """Count, sum and sum of squares over ``[t - days, t]`` for each (key, t).
+_SCALE = 10000
+
+
+def rolling_sums(df: DataFrame, key: str, ts: str, value: Column, days: int, squares: bool = False) -> DataFrame:
+    """Count and sum (in 1/10,000) over ``[t - days, t]`` for each (key, t), squares on demand.
 
     Equal instants are summed first. Each instant t then asks for two running
     totals, up to t and before t - days; their difference is the window. Running
     totals are taken within one day of a key and the totals of the days before are
-    added, so no task sees a whole series. Decimal sums keep the difference exact.
+    added, so no task sees a whole series. Whole-number sums keep the difference exact.
     """
-    exact = value.cast("decimal(12,4)")
-    cells = df.filter(value.isNotNull() & F.col(ts).isNotNull()).groupBy(
-        F.col(key).alias("key"), F.col(ts).alias("owner")
-    ).agg(
-        F.count("*").alias("n"),
-        F.sum(exact).cast("decimal(24,4)").alias("s"),
-        F.sum(exact * exact).cast("decimal(34,8)").alias("ss"),
+    scaled = F.round(value * _SCALE).cast("bigint")
+    sums = {"n": F.count("*"), "s": F.sum(scaled)}
+    if squares:
+        wide = scaled.cast("decimal(19,0)")
+        sums["ss"] = F.sum(wide * wide).cast("decimal(38,0)")
+    cells = (
+        df.filter(value.isNotNull() & F.col(ts).isNotNull())
+        .groupBy(F.col(key).alias("key"), F.col(ts).alias("owner"))
+        .agg(*(c.alias(name) for name, c in sums.items()))
     )
+    # Per instant one question before its window (side 0) and one at itself (side 1).
+    # A question about the time before ``at`` sorts ahead of the values at ``at``.
     start = F.col("owner") - F.make_dt_interval(days=F.lit(days))
-    zero = {"n": F.lit(0).cast("bigint"), "s": F.lit(0).cast("decimal(24,4)"), "ss": F.lit(0).cast("decimal(34,8)")}
-    upto = cells.select("key", "owner", F.col("owner").alias("at"), F.lit(1).alias("side"), "n", "s", "ss")
-    before = cells.select(
-        "key", "owner", start.alias("at"), F.lit(0).alias("side"), *(c.alias(k) for k, c in zero.items())
+    sides = F.array(
+        F.struct(start.alias("at"), F.lit(0).alias("side")), F.struct(F.col("owner").alias("at"), F.lit(1).alias("side"))
+    )
+    events = (
+        cells.withColumn("q", F.explode(sides))
+        .select("key", "owner", "q.at", "q.side", F.to_date("q.at").alias("day"), *sums)
+        .withColumns({c: F.when(F.col("side") == 1, F.col(c)).otherwise(F.lit(0)) for c in sums})
     )
-    # A question about the time before ``at`` sorts ahead of the values at ``at``.
-    events = upto.unionByName(before).withColumn("day", F.to_date("at"))
     inside = W.partitionBy("key", "day").orderBy("at", "side").rowsBetween(W.unboundedPreceding, 0)
     earlier = W.partitionBy("key").orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    daily = events.groupBy("key", "day").agg(*(F.sum(c).alias(f"day_{c}") for c in ("n", "s", "ss")))
+    daily = events.groupBy("key", "day").agg(*(F.sum(c).alias(f"day_{c}") for c in sums))
     bases = daily.select(
-        "key",
-        "day",
-        *(F.coalesce(F.sum(f"day_{c}").over(earlier), F.lit(0)).alias(f"base_{c}") for c in ("n", "s", "ss")),
+        "key", "day", *(F.coalesce(F.sum(f"day_{c}").over(earlier), F.lit(0)).alias(f"base_{c}") for c in sums)
     )
     running = events.join(bases, ["key", "day"]).select(
-        "key",
-        "owner",
-        "side",
-        *((F.col(f"base_{c}") + F.sum(c).over(inside)).alias(f"run_{c}") for c in ("n", "s", "ss")),
+        "key", "owner", "side", *((F.col(f"base_{c}") + F.sum(c).over(inside)).alias(f"run_{c}") for c in sums)
     )
 
     def difference(c: str) -> Column:
         run = F.col(f"run_{c}")
         return F.sum(F.when(F.col("side") == 1, run).otherwise(-run)).alias(f"window_{c}")
 
-    return running.groupBy(F.col("key").alias(key), F.col("owner").alias(ts)).agg(
-        *(difference(c) for c in ("n", "s", "ss"))
-    )
+    return running.groupBy(F.col("key").alias(key), F.col("owner").alias(ts)).agg(*(difference(c) for c in sums))
 
 
 def rolling_mean(df: DataFrame, key: str, ts: str, col: str, days: int = 7) -> DataFrame:
     """Each row with the mean of its key over the last ``days`` days, itself included."""
     sums = rolling_sums(df, key, ts, F.col(col), days)
-    return df.join(sums, [key, ts], "left").withColumn(
-        f"{col}_mean_{days}d",
-        (F.col("window_s").cast("decimal(20,4)") / F.col("window_n").cast("decimal(12,0)")).cast("double"),
-    ).drop("window_n", "window_s", "window_ss")
+    total = F.col("window_s").cast("decimal(20,0)") / F.lit(_SCALE)
+    mean = (total.cast("decimal(20,4)") / F.col("window_n").cast("decimal(12,0)")).cast("double")
+    return df.join(sums, [key, ts], "left").withColumn(f"{col}_mean_{days}d", mean).drop("window_n", "window_s")
 
 
 def rolling_z(df: DataFrame, key: str, ts: str, col: str, days: int = 30) -> DataFrame:
     """Each row with its z-score against the last ``days`` days of its key (sample deviation)."""
-    sums = rolling_sums(df, key, ts, F.col(col), days)
-    n, s, ss = F.col("window_n"), F.col("window_s"), F.col("window_ss")
+    sums = rolling_sums(df, key, ts, F.col(col), days, squares=True)
+    n, s, ss = F.col("window_n"), F.col("window_s").cast("decimal(19,0)"), F.col("window_ss")
     mean = s.cast("double") / n
-    spread = (ss * n - s * s).cast("double") / (n * F.nullif(n - 1, F.lit(0)))
-    z = (F.col(col).cast("double") - mean) / F.nullif(F.sqrt(spread), F.lit(0.0))
+    spread = (ss * n.cast("decimal(12,0)") - s * s).cast("double") / (n * F.nullif(n - 1, F.lit(0)))
+    z = (F.col(col).cast("double") * _SCALE - mean) / F.nullif(F.sqrt(spread), F.lit(0.0))
     return (
         df.join(sums, [key, ts], "left")
         .withColumn(f"{col}_z_{days}d", z)

@@ -103,12 +103,13 @@ def run_batch(
     root: str,
     as_of: dt.datetime,
     forest: iforest.Forest | None = None,
-    days: int = 30,
+    stats: DataFrame | None = None,
 ) -> None:
     """Transform one batch of lake entries into the warehouse under ``root``.
 
     Touched city-hours are computed anew from the whole lake and replace their
-    rows, so the result does not depend on how the entries were cut into batches.
+    rows, so with fixed ``stats`` the result does not depend on how the entries were
+    cut into batches. Without, the statistics are those of the facts before the batch.
     Records that feed both a dimension and a fact are parsed once and staged.
     """
     at = F.lit(as_of)
@@ -117,7 +118,8 @@ def run_batch(
     # Weather and air.
     touched = _touched(batch, schemas.WEATHER, schemas.AIR)
     old = read_table(spark, root, "judged_measures", JUDGED)
-    stats = anomalies.city_stats(facts_of(old), at, days)
+    if stats is None:
+        stats = anomalies.city_stats(facts_of(old), at)
     judged = judged_measures(_affected(lake, touched, schemas.WEATHER, schemas.AIR), at, stats, forest)
     fresh = judged_rows(judged, dim_weather, dim_date, at)
     keys = touched.select("city_id", "lake_hour")
@@ -212,10 +214,10 @@ def _grow_dimension(spark, root, name, schema, grow, keys) -> DataFrame:
 
 def run_transform(
     spark: SparkSession, lake_path: str, root: str, as_of: dt.datetime, batch_size: int | None = 1000,
-    forest: iforest.Forest | None = None,
+    forest: iforest.Forest | None = None, stats: DataFrame | None = None,
 ) -> None:
     """Process the lowest unprocessed ids of the lake, at most ``batch_size``."""
     lake = lake_io.load_lake(spark, lake_path)
     done = read_table(spark, root, "lake_processed", PROCESSED)
     batch = stage(lake_io.unprocessed(lake, done, batch_size), "batch")
-    run_batch(spark, batch, lake, root, as_of, forest)
+    run_batch(spark, batch, lake, root, as_of, forest, stats)

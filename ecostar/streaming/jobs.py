@@ -36,6 +36,7 @@ def stream_transform(
     files_per_batch: int | None = None,
     trigger: dict | None = None,
     forest=None,
+    stats: DataFrame | None = None,
 ) -> StreamingQuery:
     """New lake files through the transform; the checkpoint stands in for a processed flag.
 
@@ -45,7 +46,7 @@ def stream_transform(
     def each(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         batch.persist()
-        run_batch(session, batch, lake_io.load_lake(session, lake_path), root, clock(), forest)
+        run_batch(session, batch, lake_io.load_lake(session, lake_path), root, clock(), forest, stats)
         batch.unpersist()
 
     return (
