@@ -50,9 +50,11 @@ def flow_rows(flows: DataFrame, dim_points: DataFrame) -> DataFrame:
     )
 
 
-def load_flow(old: DataFrame, flows: DataFrame, dim_points: DataFrame) -> DataFrame:
+def load_flow(
+    old: DataFrame, flows: DataFrame, dim_points: DataFrame, within: str | None = None
+) -> DataFrame:
     """Rows to add: the first per point and hour, unless the table has one."""
-    return keep_first(old, flow_rows(flows, dim_points), FLOW_KEY)
+    return keep_first(old, flow_rows(flows, dim_points), FLOW_KEY, within=within)
 
 
 def scored_incidents(incidents: DataFrame) -> tuple[DataFrame, DataFrame]:

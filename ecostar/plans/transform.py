@@ -10,7 +10,7 @@ from ecostar import schemas
 from ecostar.functions import expr
 from ecostar.operators import anomalies, dimensions, forest as iforest, measures as m, parse, traffic, water
 from ecostar.sources import lake as lake_io, reference
-from ecostar.sources.warehouse import append_table, read_table, replace_partitions, stage
+from ecostar.sources.warehouse import append_table, read_table, replace_partitions, stage, staged_days
 
 HITS = (
     "ARRAY<STRUCT<anomaly_type: STRING, severity: STRING, field_name: STRING, actual_value: DOUBLE, "
@@ -63,8 +63,15 @@ def facts_of(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("reject_reason").isNull()).drop("hits", "reject_reason")
 
 
-def fact_measures(spark: SparkSession, root: str) -> DataFrame:
-    return facts_of(read_table(spark, root, "judged_measures", JUDGED))
+def fact_measures(spark: SparkSession, root: str, since: Column | None = None) -> DataFrame:
+    """The fact table; ``since`` prunes partitions whose captures all lie before that instant.
+
+    A capture never lies after its lake hour, so the lake date bounds it.
+    """
+    judged = read_table(spark, root, "judged_measures", JUDGED)
+    if since is not None:
+        judged = judged.filter(F.col("lake_date") >= F.to_date(since))
+    return facts_of(judged)
 
 
 def measure_anomalies(spark: SparkSession, root: str) -> DataFrame:
@@ -110,16 +117,19 @@ def run_batch(
     Touched city-hours are computed anew from the whole lake and replace their
     rows, so with fixed ``stats`` the result does not depend on how the entries were
     cut into batches. Without, the statistics are those of the facts before the batch.
-    Records that feed both a dimension and a fact are parsed once and staged.
+    Records that feed both a dimension and a fact are parsed once and staged. So are
+    the touched hours and the city statistics: from their real size the planner sees
+    whether it may broadcast them, and a broadcast prunes the partitions to read.
     """
     at = F.lit(as_of)
     dim_date, dim_weather = reference.dim_date(spark), reference.dim_weather_condition(spark)
 
     # Weather and air.
-    touched = _touched(batch, schemas.WEATHER, schemas.AIR)
+    touched = staged_days(_touched(batch, schemas.WEATHER, schemas.AIR), "collected_date")
     old = read_table(spark, root, "judged_measures", JUDGED)
     if stats is None:
-        stats = anomalies.city_stats(facts_of(old), at)
+        month = fact_measures(spark, root, at - F.make_dt_interval(days=F.lit(30)))
+        stats = stage(anomalies.city_stats(month, at, 30), "city-stats")
     judged = judged_measures(_affected(lake, touched, schemas.WEATHER, schemas.AIR), at, stats, forest)
     fresh = judged_rows(judged, dim_weather, dim_date, at)
     keys = touched.select("city_id", "lake_hour")
@@ -141,10 +151,10 @@ def run_batch(
         lambda dim: dimensions.traffic_points(dim, flows.drop("date_value")), ["city_id", "code_point"],
     )
     old_flow = read_table(spark, root, "fact_traffic_flow_hourly", traffic.FLOW_FACT)
-    new_flow = traffic.load_flow(old_flow, flows.drop("date_value"), points).drop("id")
+    new_flow = traffic.load_flow(old_flow, flows.drop("date_value"), points, within="date_value").drop("id")
     append_table(stage(new_flow, "flow"), root, "fact_traffic_flow_hourly", "date_value")
 
-    hours = _touched(batch, schemas.INCIDENTS)
+    hours = staged_days(_touched(batch, schemas.INCIDENTS), "collected_date")
     incidents, no_date = m.date_gate(
         stage(parse.incident_records(_affected(lake, hours, schemas.INCIDENTS)), "incident-records").withColumn(
             "date_value", F.to_date("collected_at")
@@ -177,7 +187,7 @@ def run_batch(
     rows, no_date = m.date_gate(rows, dim_date, "date_value")
     rejects += [bad, no_date.select("id", "reason")]
     old_water = read_table(spark, root, "fact_eau_potable", water.DRINKING_FACT)
-    fresh_water = water.keep_first(old_water, rows, water.DRINKING_KEY).drop("id")
+    fresh_water = water.keep_first(old_water, rows, water.DRINKING_KEY, within="date_value").drop("id")
     append_table(stage(fresh_water, "water"), root, "fact_eau_potable", "date_value")
 
     observations = stage(parse.river_obs_records(batch), "river-records")
@@ -189,7 +199,7 @@ def run_batch(
     rows, no_date = m.date_gate(water.river_rows(observations, stations), dim_date, "date_value")
     rejects.append(no_date.select("id", "reason"))
     old_river = read_table(spark, root, "fact_cours_deau_observation", water.RIVER_FACT)
-    fresh_river = water.keep_first(old_river, rows, water.RIVER_KEY).drop("id")
+    fresh_river = water.keep_first(old_river, rows, water.RIVER_KEY, within="date_value").drop("id")
     append_table(stage(fresh_river, "river"), root, "fact_cours_deau_observation", "date_value")
 
     # Outcomes: rejected entries with their reason, all others as processed.

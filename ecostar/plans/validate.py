@@ -20,7 +20,7 @@ def run_validation(
     """Check the last hours, append the issues and return the report row."""
     at = F.lit(as_of)
     facts = quality.union_facts(
-        fact_measures(spark, root),
+        fact_measures(spark, root, at - F.make_dt_interval(hours=F.lit(hours))),
         read_table(spark, root, "fact_traffic_flow_hourly", traffic.FLOW_FACT),
         read_table(spark, root, "fact_traffic_incident_hourly", traffic.INCIDENT_FACT),
         at,

@@ -421,7 +421,7 @@ def dim_station_upsert(spark, sf):
 
 
 def _stats(spark, sf):
-    return anomalies.city_stats(v.measures(spark, sf), v.as_of())
+    return warehouse.stage(anomalies.city_stats(v.measures(spark, sf), v.as_of()), "city-stats")
 
 
 @query

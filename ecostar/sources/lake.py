@@ -73,9 +73,20 @@ def export_city(lake: DataFrame, city_name: str, path: str) -> None:
 
 
 def unprocessed(lake: DataFrame, done: DataFrame, n: int | None = 1000) -> DataFrame:
-    """Entries without a recorded outcome, lowest ids first, at most ``n``."""
-    pending = lake.filter(~F.coalesce("processed", F.lit(False))).join(done.select("id"), "id", "left_anti")
-    return pending if n is None else pending.orderBy("id").limit(n)
+    """Entries without a recorded outcome, lowest ids first, at most ``n``.
+
+    The ids are chosen without their payloads; the entries are then looked up by id
+    and lake partition, so other partitions are not read.
+    """
+    keys = [c for c in ("source", "collected_date", "id") if c in lake.columns]
+    pending = (
+        lake.filter(~F.coalesce("processed", F.lit(False)))
+        .select(*keys)
+        .join(done.select("id"), "id", "left_anti")
+    )
+    if n is not None:
+        pending = pending.orderBy("id").limit(n)
+    return lake.join(pending, keys, "left_semi")
 
 
 def outcomes(df: DataFrame, at: Column, outcome: Column) -> DataFrame:

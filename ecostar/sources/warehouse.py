@@ -41,6 +41,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_days(df: DataFrame, day: str) -> DataFrame:
+    """Rows that a partitioned table is joined with to read only the days they name.
+
+    Staged, so that the planner knows their size; the comparison marks them as a
+    selective side, which makes a broadcast of them prune the folders of the table.
+    """
+    return stage(df, "days").filter(F.col(day) >= F.lit("0001-01-01").cast("date"))
+
+
 def replace_partitions(df: DataFrame, root: str, name: str, partition: str) -> None:
     """Overwrite just the partitions that occur in ``df``; staged before, as ``df`` may read them."""
     (
@@ -60,19 +69,30 @@ def append_table(df: DataFrame, root: str, name: str, partition: str | None = No
     writer.mode("append").parquet(table_path(root, name))
 
 
-_BLOCK = 1 << 16
+_BLOCK_BITS = 16
+_SPAN_BITS = 40
 
 
 def number_rows(df: DataFrame, order: str, key: str, after: Column) -> DataFrame:
     """Consecutive keys above ``after`` in the order of a unique integer column.
 
-    Rows are numbered inside blocks of 65,536 order values; a block starts where
-    the counts of the blocks before it end. Only the block counts meet in one task.
+    Rows are numbered inside blocks of 2^16 order values. A block starts where the
+    counts of the blocks before it end; these are added up inside spans of 2^40
+    values, and only the counts of the spans meet in one task, however sparse the
+    order values are.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(_BLOCK)))
-    counts = blocked.groupBy("_block").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    blocked = df.withColumn("_block", F.shiftright(F.col(order).cast("bigint"), _BLOCK_BITS))
+    span = F.shiftright("_block", _SPAN_BITS - _BLOCK_BITS).alias("_span")
+    blocks = blocked.groupBy("_block").agg(F.count("*").alias("_n")).select("_block", "_n", span)
+    spans = blocks.groupBy("_span").agg(F.sum("_n").alias("_n"))
+
+    def before(window):
+        return F.coalesce(F.sum("_n").over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    span_starts = spans.select("_span", before(W.orderBy("_span")).alias("_span_start"))
+    starts = blocks.withColumn("_offset", before(W.partitionBy("_span").orderBy("_block"))).join(
+        span_starts, "_span"
+    ).select("_block", (F.col("_span_start") + F.col("_offset")).alias("_start"))
     within = W.partitionBy("_block").orderBy(order)
     return (
         blocked.join(starts, "_block")
