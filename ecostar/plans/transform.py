@@ -10,7 +10,7 @@ from ecostar import schemas
 from ecostar.functions import expr
 from ecostar.operators import anomalies, dimensions, forest as iforest, measures as m, parse, traffic, water
 from ecostar.sources import lake as lake_io, reference
-from ecostar.sources.warehouse import append_table, read_table, replace_partitions, stage, staged_days
+from ecostar.sources.warehouse import append_table, read_table, replace_partitions, stage, staged_days, staging
 
 HITS = (
     "ARRAY<STRUCT<anomaly_type: STRING, severity: STRING, field_name: STRING, actual_value: DOUBLE, "
@@ -121,6 +121,11 @@ def run_batch(
     the touched hours and the city statistics: from their real size the planner sees
     whether it may broadcast them, and a broadcast prunes the partitions to read.
     """
+    with staging(spark):
+        _run_batch(spark, batch, lake, root, as_of, forest, stats)
+
+
+def _run_batch(spark, batch, lake, root, as_of, forest, stats) -> None:
     at = F.lit(as_of)
     dim_date, dim_weather = reference.dim_date(spark), reference.dim_weather_condition(spark)
 
@@ -229,5 +234,6 @@ def run_transform(
     """Process the lowest unprocessed ids of the lake, at most ``batch_size``."""
     lake = lake_io.load_lake(spark, lake_path)
     done = read_table(spark, root, "lake_processed", PROCESSED)
-    batch = stage(lake_io.unprocessed(lake, done, batch_size), "batch")
-    run_batch(spark, batch, lake, root, as_of, forest, stats)
+    with staging(spark):
+        batch = stage(lake_io.unprocessed(lake, done, batch_size), "batch")
+        run_batch(spark, batch, lake, root, as_of, forest, stats)

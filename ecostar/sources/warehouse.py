@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from pyspark.errors import AnalysisException
 
@@ -29,6 +32,23 @@ def read_table(spark: SparkSession, root: str, name: str, schema: str | T.Struct
         raise
 
 
+_STAGED: ContextVar[list | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Tables staged inside the block are deleted when the job that needed them ends."""
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -37,6 +57,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    if _STAGED.get() is not None:
+        _STAGED.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

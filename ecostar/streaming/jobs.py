@@ -13,7 +13,7 @@ from ecostar.functions import expr
 from ecostar.operators import parse
 from ecostar.plans.transform import run_batch
 from ecostar.sources import lake as lake_io
-from ecostar.sources.warehouse import read_table, replace_partitions
+from ecostar.sources.warehouse import read_table, replace_partitions, stage, staged_days, staging
 
 
 def lake_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -45,9 +45,9 @@ def stream_transform(
 
     def each(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        batch.persist()
-        run_batch(session, batch, lake_io.load_lake(session, lake_path), root, clock(), forest, stats)
-        batch.unpersist()
+        with staging(session):
+            entries = stage(batch, "batch")
+            run_batch(session, entries, lake_io.load_lake(session, lake_path), root, clock(), forest, stats)
 
     return (
         lake_stream(spark, lake_path, files_per_batch)
@@ -118,12 +118,12 @@ def write_updates(
     schema = stream.schema
 
     def each(batch: DataFrame, _: int) -> None:
-        batch.persist()
-        old = read_table(batch.sparkSession, root, name, schema)
-        days = batch.select(partition).distinct()
-        kept = old.join(days, partition, "left_semi").join(batch.select(*keys), keys, "left_anti")
-        replace_partitions(kept.unionByName(batch), root, name, partition)
-        batch.unpersist()
+        with staging(batch.sparkSession):
+            new = stage(batch, name)
+            old = read_table(batch.sparkSession, root, name, schema)
+            days = staged_days(new.select(partition).distinct(), partition)
+            kept = old.join(days, partition, "left_semi").join(new.select(*keys), keys, "left_anti")
+            replace_partitions(kept.unionByName(new), root, name, partition)
 
     return (
         stream.writeStream.outputMode("update")
