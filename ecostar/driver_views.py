@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ecostar import schemas
 from ecostar.operators import anomalies, measures as m
-from ecostar.session import shared_folder
+from ecostar.session import folder_exists, shared_folder
 from ecostar.sources import reference
 
 AS_OF = dt.datetime(2024, 1, 30, tzinfo=dt.timezone.utc)
@@ -142,7 +142,7 @@ def _stored(entries: DataFrame, *key) -> DataFrame:
     """Lake entries as a stored table, by source; written once per application and key."""
     spark = entries.sparkSession
     key = (spark.sparkContext.applicationId, *key)
-    if key not in _LAKES:
+    if key not in _LAKES or not folder_exists(spark, _LAKES[key]):
         path = shared_folder(spark, "lake")
         entries.hint("rebalance", "source").write.partitionBy("source").parquet(path)
         _LAKES[key] = path

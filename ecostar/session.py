@@ -44,3 +44,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="ecostar-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)

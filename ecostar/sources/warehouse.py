@@ -8,7 +8,7 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from pyspark.errors import AnalysisException
 
-from ecostar.session import shared_folder
+from ecostar.session import delete_folder, shared_folder
 
 
 def table_path(root: str, name: str) -> str:
@@ -45,8 +45,7 @@ def staging(spark: SparkSession):
     finally:
         _STAGED.reset(token)
         for path in paths:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            delete_folder(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
