@@ -25,8 +25,9 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int, narrow: bool) -> pa.Schema:
+    """ids in 16 bits where the vocabulary allows it, else 32; mask in one bit each."""
+    return pa.schema([("ids", pa.list_(pa.uint16() if narrow else pa.uint32(), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 class ShardWriter:
@@ -36,13 +37,14 @@ class ShardWriter:
     writes the same bytes under the same names.
     """
 
-    def __init__(self, folder: str, shard: int, length: int):
+    def __init__(self, folder: str, shard: int, length: int, narrow: bool):
         self.fs, self.folder = _open(folder)
-        self.name, self.length = f"shard-{shard:06d}", length
+        self.name, self.length, self.schema = f"shard-{shard:06d}", length, sequence_schema(length, narrow)
+        self.kind = "<u2" if narrow else "<u4"
         self.attempt = f"{self.folder}/_{self.name}-{TaskContext.get().taskAttemptId() if TaskContext.get() else 0}"
         self.fs.create_dir(self.folder)
         self.sink = self.fs.open_output_stream(self.attempt + ".arrow")
-        self.writer = pa.ipc.new_file(self.sink, sequence_schema(length))
+        self.writer = pa.ipc.new_file(self.sink, self.schema)
         self.index_sink = self.fs.open_output_stream(self.attempt + ".index")
         self.index = pa.ipc.new_file(self.index_sink, pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())]))
         self.open, self.held, self.docs, self.tokens, self.documents = [], 0, [], 0, 0
@@ -61,12 +63,13 @@ class ShardWriter:
         now, rest = flat[:upto], flat[upto:]
         self.open, self.held = [rest.tobytes()] if len(rest) else [], len(rest)
         pad = -len(now) % self.length
-        ids, mask = np.append(now, np.zeros(pad, "<u4")), np.append(np.ones(len(now), "u1"), np.zeros(pad, "u1"))
+        ids = np.append(now, np.zeros(pad, "<u4")).astype(self.kind)
+        mask = np.append(np.ones(len(now), bool), np.zeros(pad, bool))
         for at in range(0, len(ids), self.length * BATCH):
             columns = [
                 pa.FixedSizeListArray.from_arrays(pa.array(x[at : at + self.length * BATCH]), self.length) for x in (ids, mask)
             ]
-            self.writer.write_batch(pa.record_batch(columns, schema=sequence_schema(self.length)))
+            self.writer.write_batch(pa.record_batch(columns, schema=self.schema))
         if self.docs:
             self.index.write_batch(
                 pa.record_batch([pa.array([d for d, _ in self.docs], pa.int64()), pa.array([n for _, n in self.docs], pa.int64())], names=["doc_id", "n_tokens"])
@@ -99,10 +102,11 @@ def write_files(
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, writer, encode = TaskContext.get().partitionId(), None, Encoder.of(tokenizer)
+        narrow = max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         end = np.array([end_id], "<u4").tobytes()
         for pdf in batches:
             for doc_id, text in zip(pdf["id"].astype(object), pdf["text"], strict=True):
-                writer = writer or ShardWriter(folder, shard, length)
+                writer = writer or ShardWriter(folder, shard, length, narrow)
                 writer.add(None if pd.isna(doc_id) else int(doc_id), encode(text) + end)
         if writer:
             name = writer.close()
@@ -124,29 +128,33 @@ class Shard:
         self.docs = pa.ipc.open_file(self.fs.open_input_file(path.removesuffix("arrow") + "index"))
         self.length = self.file.schema.field("ids").type.list_size
 
-    def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """ids and mask of each record batch, (sequences, length)."""
-        for i in range(self.file.num_record_batches):
-            batch = self.file.get_batch(i)
-            yield tuple(batch.column(c).flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length) for c in (0, 1))
+    def _batch(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """ids, (sequences, length), a view of the file; mask, packed bits of the same order."""
+        batch = self.file.get_batch(i)
+        ids = batch.column(0).flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
+        return ids, np.frombuffer(batch.column(1).flatten().buffers()[1], np.uint8)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and mask of one sequence, views of the file: batches hold BATCH of them, but the last."""
-        per = BATCH
-        batch, row = self.file.get_batch(i // per), i % per
-        return tuple(batch.column(c).flatten().to_numpy(zero_copy_only=True)[row * self.length :][: self.length] for c in (0, 1))
+        """ids (a view of the file) and mask of one sequence; batches hold BATCH of them, but the last."""
+        (ids, mask), row = self._batch(i // BATCH), i % BATCH
+        return ids[row], np.unpackbits(mask, count=ids.size, bitorder="little").reshape(ids.shape)[row].astype(bool)
+
+    def _used(self) -> Iterator[np.ndarray]:
+        """The ids of each record batch without padding, which only a last sequence has."""
+        for i in range(self.file.num_record_batches):
+            ids, mask = self._batch(i)
+            yield ids.reshape(-1)[: int(np.unpackbits(mask, count=ids.size, bitorder="little").sum(dtype=np.int64))]
 
     def documents(self) -> Iterator[tuple[int | None, int, int, int]]:
         """(doc_id, first, n_tokens, crc32 of the ids) of each document, in file order, a batch in memory at a time."""
-        stream, held, first = self.batches(), np.empty(0, "<u4"), 0
+        stream, held, first = self._used(), np.empty(0, "<u4"), 0
         for i in range(self.docs.num_record_batches):
             for row in self.docs.get_batch(i).to_pylist():
                 crc, left = 0, row["n_tokens"]
                 while left:
                     if not len(held):
-                        ids, mask = next(stream)
-                        held = ids[mask.astype(bool)] if not mask[-1, -1] else ids.reshape(-1)
-                    crc = zlib.crc32(np.ascontiguousarray(held[:left], "<u4"), crc)
+                        held = next(stream)
+                    crc = zlib.crc32(held[:left].astype("<u4"), crc)
                     left, held = left - min(left, len(held)), held[left:]
                 yield row["doc_id"], first, row["n_tokens"], crc
                 first += row["n_tokens"]
