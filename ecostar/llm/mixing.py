@@ -117,15 +117,19 @@ def land(p: np.ndarray, sizes: np.ndarray, expected: float) -> np.ndarray:
         out[at] = 1 - out[at]
 
 
-def _round(key: tuple, pdf: pd.DataFrame, leave: int = 2) -> pd.DataFrame:
+def _fly(pdf: pd.DataFrame, seed: int, leave: int) -> pd.DataFrame:
     pdf = pdf.sort_values(["rank", "id", "size"], kind="stable", ignore_index=True)
-    pdf["p"] = flight(pdf["p"].to_numpy(), pdf["size"].to_numpy(float), seed=int(key[1]) % (1 << 31), leave=leave)
+    pdf["p"] = flight(pdf["p"].to_numpy(), pdf["size"].to_numpy(float), seed=seed, leave=leave)
     return pdf
 
 
+def _round(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    return _fly(pdf, int(key[1]) % (1 << 31), 2)
+
+
 def _landing(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     expected = float(pdf["p"].to_numpy() @ pdf["size"].to_numpy(float))
-    pdf = _round((0, 0), pdf, LANDING)
+    pdf = _fly(pdf, 0, LANDING)
     pdf["p"] = land(pdf["p"].to_numpy(), pdf["size"].to_numpy(float), expected)
     return pdf
 
