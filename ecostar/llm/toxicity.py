@@ -18,6 +18,8 @@ FIT_ROWS = 8000
 #: Fits that are averaged, each over its own part of the sample.
 FITS = 4
 EPOCHS, RATE, RIDGE, SMOOTH = 6, 0.5, 1e-6, 1.0
+#: Buckets in fewer of the sample's texts have no weight.
+LEAST_TEXTS = 4
 
 
 class Model(NamedTuple):
@@ -45,8 +47,8 @@ def _fit(pdf: pd.DataFrame, ratio: np.ndarray) -> pd.DataFrame:
     """Logistic regression by AdaGrad on one part of the sample, rows in a fixed order."""
     w, b = np.zeros(len(ratio)), 0.0
     gw, gb = np.full(len(ratio), 1e-8), 1e-8
-    rows = [(np.asarray(g, np.int64), y) for g, y in zip(pdf["grams"], pdf["y"], strict=True)]
-    rows = [(g, _scaled(ratio, g), y) for g, y in rows]
+    rows = [(np.asarray(g, np.int32), y) for g, y in zip(pdf["grams"], pdf["y"], strict=True)]
+    rows = [(g, _scaled(ratio, g).astype(np.float32), y) for g, y in rows]
     rng = np.random.default_rng(len(rows))
     for _ in range(EPOCHS):
         for i in rng.permutation(len(rows)):
@@ -95,6 +97,7 @@ def train(
     p[seen["g"]] += seen["p"]
     q[seen["g"]] += seen["q"]
     ratio = np.log((p / p.sum()) / (q / q.sum()))
+    ratio[p + q < LEAST_TEXTS + 2 * SMOOTH] = 0.0
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     found = rows.groupBy("fit").applyInPandas(lambda pdf: _fit(pdf, shared.value), "bucket long, w double")
     mean = found.groupBy("bucket").agg(F.sum("w").alias("w")).toPandas()  # at most 2^BITS rows and the bias
