@@ -23,7 +23,7 @@ def is_object(text: Column) -> Column:
 
 
 def weather_struct(raw: Column) -> Column:
-    return F.from_json(payload_text(raw), schemas.WEATHER_PAYLOAD)
+    return F.from_json(payload_text(raw), schemas.WEATHER_PAYLOAD, JSON)
 
 
 # The 14 weather values of a parsed weather payload ``w``.
@@ -55,17 +55,20 @@ def fields(sources: dict[str, str]) -> list[str]:
     return [f"{sql} AS {name}" for name, sql in sources.items()]
 
 
+#: A text such as "NaN" is no number.
+JSON = {"allowNonNumericNumbers": "false"}
+
 _BARE_POLLUTANT = r'"(' + "|".join(schemas.POLLUTANTS) + r')"\s*:\s*-?[0-9]'
 
 
 def air_struct(raw: Column) -> Column:
-    return F.from_json(payload_text(raw), schemas.AIR_PAYLOAD)
+    return F.from_json(payload_text(raw), schemas.AIR_PAYLOAD, JSON)
 
 
 def bare_air_struct(raw: Column) -> Column:
     """Second reading for ``"pm25": 4.5``; skipped where no such text occurs."""
     text = payload_text(raw)
-    return F.when(text.rlike(_BARE_POLLUTANT), F.from_json(text, schemas.AIR_PAYLOAD_BARE))
+    return F.when(text.rlike(_BARE_POLLUTANT), F.from_json(text, schemas.AIR_PAYLOAD_BARE, JSON))
 
 
 def air_attribution(raw: Column) -> Column:

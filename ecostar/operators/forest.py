@@ -27,7 +27,7 @@ def mean_path(n):
     return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
 
-def training_rows(facts: DataFrame, limit: int | None = 5000) -> DataFrame:
+def training_rows(facts: DataFrame, limit: int | None = None) -> DataFrame:
     """The latest normal measures; those with all required values, taken after the limit."""
     normal = facts.filter(~F.col("is_anomaly"))
     if limit is not None:
@@ -127,7 +127,7 @@ class Forest:
 
 def train_forest(
     facts: DataFrame,
-    limit: int | None = 5000,
+    limit: int | None = None,
     trees: int = 100,
     contamination: float = 0.05,
     seed: int = 42,
@@ -140,10 +140,7 @@ def train_forest(
     nodes = grow_trees(tree_samples(rows, scale["n"], trees, seed), scale, seed).toPandas()
     forest = Forest(nodes, scale, min(SAMPLE, scale["n"]))
     scored = rows.select(score(forest, {f: F.col(f) for f in FEATURES}).alias("score"))
-    if limit is None:
-        cut = F.percentile_approx("score", F.lit(contamination), F.lit(100000))
-    else:
-        cut = F.percentile("score", F.lit(contamination))
+    cut = F.percentile_approx("score", F.lit(contamination), F.lit(100000))
     forest.threshold = float(scored.agg(cut).first()[0])
     return forest
 

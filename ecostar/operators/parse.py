@@ -46,7 +46,7 @@ def flatten_flow(answers: DataFrame, raw: str = "raw_data") -> DataFrame:
     """Flow answers to records with their two ratios; answers without a segment are dropped."""
     seg = F.col("api.flowSegmentData")
     return (
-        answers.withColumn("api", F.from_json(raw, schemas.FLOW_API))
+        answers.withColumn("api", F.from_json(raw, schemas.FLOW_API, p.JSON))
         .filter(seg.isNotNull())
         .withColumns(
             {
@@ -69,7 +69,7 @@ def explode_incidents(answers: DataFrame, raw: str = "raw_data") -> DataFrame:
     """One record per incident of an incidents answer."""
     props = F.col("incident.properties")
     return (
-        answers.withColumn("incident", F.explode(F.from_json(raw, schemas.INCIDENTS_API)["incidents"]))
+        answers.withColumn("incident", F.explode(F.from_json(raw, schemas.INCIDENTS_API, p.JSON)["incidents"]))
         .withColumns(
             {
                 "incident_id": props["id"],
@@ -89,7 +89,7 @@ def explode_incidents(answers: DataFrame, raw: str = "raw_data") -> DataFrame:
 
 
 def _flatten_list(answers: DataFrame, raw: str, fields: str) -> DataFrame:
-    items = F.from_json(raw, f"data ARRAY<STRUCT<{_as_struct(fields)}>>")["data"]
+    items = F.from_json(raw, f"data ARRAY<STRUCT<{_as_struct(fields)}>>", p.JSON)["data"]
     return answers.withColumn("item", F.explode(items)).select(
         *[c for c in answers.columns if c != raw], "item.*"
     )
@@ -113,7 +113,7 @@ def flatten_river_obs(answers: DataFrame, raw: str = "raw_data") -> DataFrame:
 
 def flatten_groundwater(answers: DataFrame, raw: str = "raw_data") -> DataFrame:
     """Level above sea and depth stay two values in their own units."""
-    rows = _flatten_list(answers, raw, schemas.GROUNDWATER_FIELDS)
+    rows = _flatten_list(answers, raw, schemas.GROUNDWATER_FIELDS, p.JSON)
     return rows.withColumn(
         "measured_at",
         F.coalesce(
@@ -128,7 +128,7 @@ def flatten_groundwater(answers: DataFrame, raw: str = "raw_data") -> DataFrame:
 
 
 def _records(lake: DataFrame, source: str, schema: str) -> DataFrame:
-    rec = F.from_json(p.payload_text(F.col("raw_data")), schema)
+    rec = F.from_json(p.payload_text(F.col("raw_data")), schema, p.JSON)
     return _of(lake, source).withColumn("rec", rec).select(*_KEYS, "raw_data", "rec.*")
 
 
@@ -166,7 +166,7 @@ def river_obs_records(lake: DataFrame) -> DataFrame:
 
 
 def groundwater_records(lake: DataFrame) -> DataFrame:
-    rec = F.from_json(p.payload_text(F.col("raw_data")), schemas.GROUNDWATER_FIELDS)
+    rec = F.from_json(p.payload_text(F.col("raw_data")), schemas.GROUNDWATER_FIELDS, p.JSON)
     return (
         _of(lake, *schemas.GROUNDWATER)
         .withColumn("rec", rec)

@@ -255,7 +255,7 @@ def check_coverage(df: DataFrame, cities: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
         F.to_json(
             F.struct(
-                F.map_from_entries(F.array_sort(F.collect_list(F.struct(name.alias("name"), "n")))).alias("cities"),
+                F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("city_id").cast("string").alias("city_id"), F.struct(name.alias("name"), "n").alias("v"))))).alias("cities"),
                 F.max("average").alias("average"),
             )
         ).alias("details"),

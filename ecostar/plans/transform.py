@@ -228,10 +228,10 @@ def _grow_dimension(spark, root, name, schema, grow, keys) -> DataFrame:
 
 
 def run_transform(
-    spark: SparkSession, lake_path: str, root: str, as_of: dt.datetime, batch_size: int | None = 1000,
+    spark: SparkSession, lake_path: str, root: str, as_of: dt.datetime, batch_size: int | None = None,
     forest: iforest.Forest | None = None, stats: DataFrame | None = None,
 ) -> None:
-    """Process the lowest unprocessed ids of the lake, at most ``batch_size``."""
+    """Process the lowest unprocessed ids of the lake, all of them or at most ``batch_size``."""
     lake = lake_io.load_lake(spark, lake_path)
     done = read_table(spark, root, "lake_processed", PROCESSED)
     with staging(spark):

@@ -555,7 +555,7 @@ def zscore_anomalies(spark, sf):
     return hits.drop("description").withColumns({c: _r(c, 4) for c in _HIT_NUMBERS})
 
 
-def _forest(spark, sf, limit=5000):
+def _forest(spark, sf, limit=None):
     judged = anomalies.judge(v.measures(spark, sf)).withColumn(
         "measure_id", m.measure_id()
     )

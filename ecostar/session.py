@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,16 +31,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that ``spark.checkpoint.dir`` names.
 
-    Every executor must see the path, so a machine-local folder is taken only
-    in local mode with the setting absent.
+    With the setting absent, it is a folder below the warehouse, which executors see too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="ecostar-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -4,6 +4,7 @@ from helpers import entry, lake, naive, rows, utc
 from pyspark.sql import functions as F
 
 from ecostar import schemas
+from ecostar.functions import payload
 from ecostar.operators import measures as m, parse
 
 AT = utc(2026, 1, 20, 15, 11)
@@ -162,3 +163,10 @@ def test_severity(spark):
     bad = spark.sql("SELECT 1 AS id, 1D AS gravite_retard, -1D AS retard_s, 1 AS categorie_incident")
     ok, rejects = traffic.scored_incidents(bad)
     assert ok.count() == 0 and rejects.first().reason == "negative_delay"
+
+
+def test_texts_that_name_no_number_are_null(spark):
+    raw = '{"status":"ok","data":{"iaqi":{"pm25":{"v":"NaN"},"pm10":{"v":"Infinity"},"no2":{"v":3.5}}}}'
+    df = spark.createDataFrame([(raw,)], "raw string").select(payload.air_struct(F.col("raw"))["data"]["iaqi"].alias("i"))
+    row = df.select("i.pm25.v", "i.pm10.v", "i.no2.v").first()
+    assert tuple(row) == (None, None, 3.5)
