@@ -16,8 +16,8 @@ COSINE = 0.93
 SHARD_ROWS, OVERLAP, CENTRES = 1500, 3, 1024
 #: Vectors of a chunk; a larger shard is searched in pairs of its chunks, so a cell holds two at most.
 CHUNK = 3000
-#: Out-degree, pruning slack, beam, nodes expanded per step, queries per block.
-DEGREE, ALPHA, BEAM, STEP, BLOCK = 16, 1.2, 16, 8, 256
+#: Out-degree, pruning slack, beam, nodes expanded per step (more where many lie in range), queries per block.
+DEGREE, ALPHA, BEAM, STEP, WIDE, BLOCK = 16, 1.2, 16, 8, 64, 256
 #: Vectors of one task when centres are looked up.
 PART = 50_000
 #: Vectors whose links are recounted by brute force, and the share of them that must have been found.
@@ -87,14 +87,20 @@ def build_graph(v: np.ndarray) -> list[list[int]]:
     return [list(dict.fromkeys([*o, *b])) for o, b in zip(out, back, strict=True)]
 
 
-def range_search(v: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts: np.ndarray, cosine: float) -> np.ndarray:
-    """(queries, n) booleans: members met at ``cosine`` or more.
+def flat(graph: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(first, to): node i's neighbours are to[first[i] : first[i + 1]], so that hubs widen no other node."""
+    first = np.append(0, np.cumsum([len(links) for links in graph]))
+    return first, np.fromiter((b for links in graph for b in links), np.int64, int(first[-1]))
+
+
+def range_search(v: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: np.ndarray, starts: np.ndarray, cosine: float) -> np.ndarray:
+    """(queries, n) booleans: members met at ``cosine`` or more; ``graph`` as of ``flat``.
 
     Greedy search from the medoids and the query's own node expands the best open members
     of the beam; whatever lies in range is expanded too, beam or not, until nothing in
     either is open.
     """
-    n = len(v)
+    n, (first, to_) = len(v), graph
     sims = np.full((len(queries), n), -2.0)
     open_ = np.zeros((len(queries), n), bool)
     sims[:, starts] = v[queries] @ v[starts].T
@@ -105,16 +111,18 @@ def range_search(v: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts:
     while len(active):
         s = sims[active]
         beam = np.partition(s, n - min(BEAM, n), axis=1)[:, n - min(BEAM, n)]
-        go = np.where(open_[active] & (s >= np.minimum(beam, cosine)[:, None]), s, -3.0)
-        k = min(STEP, n)
+        still = open_[active]
+        go = np.where(still & (s >= np.minimum(beam, cosine)[:, None]), s, -3.0)
+        k = min(n, max(STEP, min(WIDE, int((still & (s >= cosine)).sum(axis=1).max()))))
         best = np.argpartition(-go, k - 1, axis=1)[:, :k] if k < n else np.tile(np.arange(n), (len(active), 1))
         picked = np.take_along_axis(go, best, axis=1) > -3.0
         rows = np.repeat(active, picked.sum(axis=1))
         nodes = best[picked]
         open_[rows, nodes] = False
-        near = graph[nodes]
-        q, to = np.repeat(rows, near.shape[1]), near.ravel()
-        new = (to >= 0) & (sims[q, np.maximum(to, 0)] == -2.0)
+        degree = first[nodes + 1] - first[nodes]
+        q = np.repeat(rows, degree)
+        to = to_[np.repeat(first[nodes] - (np.cumsum(degree) - degree), degree) + np.arange(len(q))]
+        new = sims[q, to] == -2.0
         codes = np.unique(q[new] * n + to[new])
         q, to = codes // n, codes % n
         sims[q, to] = np.einsum("ij,ij->i", v[queries[q]], v[to])
@@ -143,10 +151,7 @@ def _search(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     pdf = _chunks(pdf)
     v, reps = unit(pdf["embedding"]), pdf["rep"].to_numpy()
     n, place = len(v), {r: i for i, r in enumerate(pdf["rep"])}
-    lists = [[place[x] for x in near if x in place] if near is not None else [] for near in pdf["near"]]
-    graph = np.full((n, max(1, *map(len, lists)) if n > 1 else 1), -1)
-    for i, links in enumerate(lists):
-        graph[i, : len(links)] = links
+    graph = flat([[place[x] for x in near if x in place] if near is not None else [] for near in pdf["near"]])
     means = [m.mean(axis=0) for m in np.array_split(v, -(-n // 256))]
     starts = np.unique([int((v @ m).argmax()) for m in (v.mean(axis=0), *means)])
     found = np.zeros((n, n), bool)
