@@ -12,8 +12,10 @@ from ecostar.llm.common import drop_staged, spread_join, staged
 from ecostar.llm.graph import components
 
 COSINE = 0.93
-#: Vectors that a shard is meant to hold, shards that a vector goes to, most centres of a label.
-SHARD_ROWS, OVERLAP, CENTRES = 1500, 3, 1024
+#: Vectors per centre (a shard holds ``OVERLAP`` times as many), shards that a vector goes to, most centres of a label.
+SHARD_ROWS, OVERLAP, CENTRES = 300, 3, 8192
+#: A centre this near to an earlier one is left out, so that a dense group shares its shards.
+APART = 0.9
 #: Vectors of a chunk; a larger shard is searched in pairs of its chunks, so a cell holds two at most.
 CHUNK = 3000
 #: Out-degree, pruning slack, beam, nodes expanded per step (more where many lie in range), queries per block.
@@ -37,19 +39,37 @@ def unit(embeddings) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
+def apart(c: np.ndarray, cosine: float = APART) -> np.ndarray:
+    """Positions of the unit vectors that have no earlier kept one at ``cosine`` or more."""
+    kept = np.empty(0, int)
+    for at in range(0, len(c), 512):
+        block = np.arange(at, min(at + 512, len(c)))
+        block = block[(c[block] @ c[kept].T < cosine).all(axis=1)]
+        near, free = c[block] @ c[block].T >= cosine, np.ones(len(block), bool)
+        for i in range(len(block)):
+            if free[i]:
+                free[i + 1 :] &= ~near[i, i + 1 :]
+        kept = np.append(kept, block[free])
+    return kept
+
+
+def nearest_centres(v: np.ndarray, c: np.ndarray, overlap: int) -> list[list[int]]:
+    """Ascending numbers of each vector's nearest centres; one shard for all where every vector would go to every centre's."""
+    kept = apart(c)
+    if len(kept) <= overlap:
+        return [[0]] * len(v)
+    shards, rows = [], max(1, (1 << 22) // len(kept))  # bounded memory for any number of centres
+    for at in range(0, len(v), rows):
+        near = np.argpartition(-(v[at : at + rows] @ c[kept].T), overlap - 1, axis=1)[:, :overlap]
+        shards += np.sort(kept[near], axis=1).tolist()
+    return shards
+
+
 def _assign(left: pd.DataFrame, right: pd.DataFrame, overlap: int) -> pd.DataFrame:
-    """The nearest centres of each vector, the lowest numbers first."""
-    if not len(left):
-        return left.assign(shards=[])[["rep", "label", "dim", "embedding", "copies", "shards"]]
+    """Each vector with its shards: its nearest centres, by their places in the order of ids."""
     shards = [[0]] * len(left)
-    if len(right):
-        centres = right.sort_values("rep", ignore_index=True)
-        k, c = min(overlap, len(centres)), unit(centres["embedding"])
-        v = unit(left["embedding"])
-        shards = []
-        for at in range(0, len(v), 4096):
-            near = np.argsort(-(v[at : at + 4096] @ c.T), axis=1, kind="stable")[:, :k]
-            shards += np.sort(near, axis=1).tolist()
+    if len(left) and len(right):
+        shards = nearest_centres(unit(left["embedding"]), unit(right.sort_values("rep")["embedding"]), overlap)
     return left.assign(shards=shards)[["rep", "label", "dim", "embedding", "copies", "shards"]]
 
 
@@ -249,7 +269,8 @@ def near_vectors(
 
     Vectors of equal label and length link at ``cosine`` or more. Equal vectors are one
     node that counts each of them. Every vector goes to the shards of its ``overlap``
-    nearest centres (vectors drawn by a hash, one per ``shard_rows``); graphs are built per
+    nearest centres (vectors drawn by a hash, one per ``shard_rows``, less those that are
+    nearer than APART to another, so that a dense group stays together); graphs are built per
     shard, adjacency lists of a vector united, and searched in every shard it is in. A
     pair is counted in one place only, so links need no list of pairs. A shard larger
     than ``chunk`` is built and searched in pairs of chunks, which leaves out no pair.

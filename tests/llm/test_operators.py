@@ -229,6 +229,24 @@ def test_near_vectors(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vector_shards_and_search():
+    rng = np.random.default_rng(8)
+    v = vectors.unit(np.vstack([rng.normal(size=(1, 24)) + rng.normal(size=(500, 24)) * 0.05, rng.normal(size=(700, 24))]))
+    c = v[rng.permutation(len(v))[:900]]
+    kept = vectors.apart(c)
+    sims = c @ c[kept].T
+    assert (sims.max(axis=1) >= vectors.APART).all() and ((sims[kept] >= vectors.APART).sum() == len(kept))
+    shards = vectors.nearest_centres(v, c, 3)
+    assert set(sum(shards, [])) <= set(kept.tolist()) and all(sorted(set(s)) == s and len(s) == 3 for s in shards)
+    assert vectors.nearest_centres(v, c[:2], 3) == [[0]] * len(v)
+    found = vectors.range_search(v, vectors.flat(vectors.build_graph(v)), np.arange(len(v)), np.array([0]), 0.93)
+    truth = v @ v.T >= 0.93
+    np.fill_diagonal(truth, False)
+    assert (found <= truth).all() and found.sum() >= 0.99 * truth.sum()
+    lonely = vectors.range_search(v[:3], vectors.flat([[], [], []]), np.arange(3), np.array([0]), 0.93)
+    assert lonely.shape == (3, 3)
+
+
 # packing, mixing, token files
 
 TEXTS = ["a  b", " a", "a ", "x <|endoftext|> y", "it's we'll  they 're", "é\u0301 \u0301b", "\x1c a \x1c b", "ΣΣ Σa AΣ", "한국 12 345 !!! ...a", "a\t.b,\r\nc", "), x.\n\nY"]
