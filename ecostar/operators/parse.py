@@ -139,7 +139,7 @@ def flow_records(lake: DataFrame) -> DataFrame:
 def incident_records(lake: DataFrame) -> DataFrame:
     """An absent category counts as 0, a null one stays null."""
     rows = _records(lake, schemas.INCIDENTS, schemas.INCIDENT_RECORD)
-    present = F.array_contains(F.json_object_keys("raw_data"), "categorie_incident")
+    present = F.array_contains(F.json_object_keys(p.payload_text(F.col("raw_data"))), "categorie_incident")
     return rows.withColumns(
         {
             "categorie_incident": F.when(~present, 0).otherwise(F.col("categorie_incident")),

@@ -22,8 +22,8 @@ INCIDENT_FACT = (
 )
 
 
-def _model_id():
-    text = F.substring("traffic_model_id", 1, 30)
+def _model_id(chars: int | None = None):
+    text = F.substring("traffic_model_id", 1, chars) if chars else F.col("traffic_model_id")
     return F.when(F.length(text) > 0, text)
 
 
@@ -33,12 +33,13 @@ def _dated(df: DataFrame) -> DataFrame:
     )
 
 
-def flow_rows(flows: DataFrame, dim_points: DataFrame) -> DataFrame:
+def flow_rows(flows: DataFrame, dim_points: DataFrame, model_chars: int | None = None) -> DataFrame:
+    """Flow records as fact rows; ``model_chars`` cuts the model id, by default it stays whole."""
     points = dim_points.select("city_id", "code_point", "traffic_point_id")
     return _dated(flows.join(points, ["city_id", "code_point"])).select(
         "id",
         *FLOW_KEY,
-        _model_id().alias("traffic_model_id"),
+        _model_id(model_chars).alias("traffic_model_id"),
         "vitesse_actuelle_kmph",
         "vitesse_fluide_kmph",
         "temps_trajet_actuel_s",
@@ -67,10 +68,12 @@ def scored_incidents(incidents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return scored.filter(~bad), scored.filter(bad).withColumn("reason", F.lit("negative_delay"))
 
 
-def load_incidents(incidents: DataFrame, dim_categories: DataFrame) -> DataFrame:
+def load_incidents(
+    incidents: DataFrame, dim_categories: DataFrame, model_chars: int | None = None
+) -> DataFrame:
     """One row per hour, city and category; whole hours are recomputed, so reruns agree.
 
-    Model id and length come from the first incident of the group.
+    Model id and length come from the first incident of the group; ``model_chars`` cuts the id.
     """
     scored, _ = scored_incidents(incidents)
     cats = dim_categories.select(
@@ -79,7 +82,7 @@ def load_incidents(incidents: DataFrame, dim_categories: DataFrame) -> DataFrame
     delay = F.coalesce("retard_s", F.lit(0.0))
     return (
         _dated(scored.join(cats, "categorie_incident"))
-        .withColumn("traffic_model_id", _model_id())
+        .withColumn("traffic_model_id", _model_id(model_chars))
         .groupBy(*INCIDENT_KEY)
         .agg(
             F.min_by("traffic_model_id", "id").alias("traffic_model_id"),

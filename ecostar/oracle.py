@@ -295,7 +295,7 @@ flow AS (
   SELECT id, city_id, 'P' || (user_id % 3) AS code_point, collected_at, CAST(collected_at AS DATE) AS date_value,
          CAST(hour(collected_at) AS INTEGER) AS hour_of_day, 40.0::DOUBLE + city_id AS latitude,
          CAST(user_id % 3 AS DOUBLE) AS longitude,
-         left('model-' || k || '-with-a-rather-long-identifier', 30) AS traffic_model_id,
+         'model-' || k || '-with-a-rather-long-identifier' AS traffic_model_id,
          CAST(k AS DOUBLE) AS vitesse_actuelle_kmph, CAST(50 + (k % 3) * 20 AS DOUBLE) AS vitesse_fluide_kmph,
          value AS temps_trajet_actuel_s, 30.0::DOUBLE AS temps_trajet_fluide_s,
          round(value / 30.0::DOUBLE, 6) AS congestion_ratio,
@@ -868,6 +868,6 @@ put("stream_hourly_dedup", LAKE, """
 SELECT lake_hour, city_id, source, max(id) AS id, arg_max(collected_at, id) AS collected_at
 FROM lake WHERE source IN ('openweather', 'aqicn') GROUP BY ALL""", "lake_hour collected_at")
 put("stream_incidents_hourly", TRAFFIC, """
-SELECT date_value, hour_of_day, city_id, icon_category AS categorie_incident, nombre_incidents, retard_total_s,
-       retard_moyen_s, longueur_moyenne_m, incident_severity_score
+SELECT date_value, hour_of_day, city_id, icon_category AS categorie_incident, traffic_model_id, nombre_incidents,
+       retard_total_s, retard_moyen_s, longueur_moyenne_m, incident_severity_score
 FROM incident_facts JOIN categories USING (incident_category_id)""", "date_value")

@@ -81,7 +81,8 @@ def measure_anomalies(spark: SparkSession, root: str) -> DataFrame:
     return anomalies.format_hits(anomalies.stored_hits(judged), reference.dim_city(spark))
 
 
-def _touched(batch: DataFrame, *sources: str) -> DataFrame:
+def touched(batch: DataFrame, *sources: str) -> DataFrame:
+    """The city-hours of a batch's entries."""
     return (
         batch.filter(F.col("source").isin(*sources))
         .select(
@@ -93,12 +94,12 @@ def _touched(batch: DataFrame, *sources: str) -> DataFrame:
     )
 
 
-def _affected(lake: DataFrame, touched: DataFrame, *sources: str) -> DataFrame:
+def affected(lake: DataFrame, hours: DataFrame, *sources: str) -> DataFrame:
     """All lake entries of the touched city-hours; the date prunes lake folders."""
     return (
         lake.filter(F.col("source").isin(*sources))
         .withColumn("lake_hour", expr.hour_of(F.col("collected_at")))
-        .join(touched, ["collected_date", "city_id", "lake_hour"], "left_semi")
+        .join(hours, ["collected_date", "city_id", "lake_hour"], "left_semi")
         .drop("lake_hour")
     )
 
@@ -130,16 +131,16 @@ def _run_batch(spark, batch, lake, root, as_of, forest, stats) -> None:
     dim_date, dim_weather = reference.dim_date(spark), reference.dim_weather_condition(spark)
 
     # Weather and air.
-    touched = staged_days(_touched(batch, schemas.WEATHER, schemas.AIR), "collected_date")
+    city_hours = staged_days(touched(batch, schemas.WEATHER, schemas.AIR), "collected_date")
     old = read_table(spark, root, "judged_measures", JUDGED)
     if stats is None:
         month = fact_measures(spark, root, at - F.make_dt_interval(days=F.lit(30)))
         stats = stage(anomalies.city_stats(month, at, 30), "city-stats")
-    judged = judged_measures(_affected(lake, touched, schemas.WEATHER, schemas.AIR), at, stats, forest)
+    judged = judged_measures(affected(lake, city_hours, schemas.WEATHER, schemas.AIR), at, stats, forest)
     fresh = judged_rows(judged, dim_weather, dim_date, at)
-    keys = touched.select("city_id", "lake_hour")
+    keys = city_hours.select("city_id", "lake_hour")
     same_days = old.join(
-        touched.select(F.col("collected_date").alias("lake_date")).distinct(), "lake_date", "left_semi"
+        city_hours.select(F.col("collected_date").alias("lake_date")).distinct(), "lake_date", "left_semi"
     )
     kept = same_days.join(keys, ["city_id", "lake_hour"], "left_anti")
     replace_partitions(kept.unionByName(fresh), root, "judged_measures", "lake_date")
@@ -159,9 +160,9 @@ def _run_batch(spark, batch, lake, root, as_of, forest, stats) -> None:
     new_flow = traffic.load_flow(old_flow, flows.drop("date_value"), points, within="date_value").drop("id")
     append_table(stage(new_flow, "flow"), root, "fact_traffic_flow_hourly", "date_value")
 
-    hours = staged_days(_touched(batch, schemas.INCIDENTS), "collected_date")
+    hours = staged_days(touched(batch, schemas.INCIDENTS), "collected_date")
     incidents, no_date = m.date_gate(
-        stage(parse.incident_records(_affected(lake, hours, schemas.INCIDENTS)), "incident-records").withColumn(
+        stage(parse.incident_records(affected(lake, hours, schemas.INCIDENTS)), "incident-records").withColumn(
             "date_value", F.to_date("collected_at")
         ),
         dim_date,

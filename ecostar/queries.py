@@ -953,11 +953,11 @@ def stream_drain(spark, sf):
 @query
 def stream_hourly_dedup(spark, sf):
     path, root = _lake_files(spark, sf), shared_folder(spark, "warehouse")
-    winners = jobs.stream_dedup(jobs.lake_stream(spark, path)).withColumn("lake_date", F.to_date("lake_hour"))
-    jobs.write_updates(
-        winners, root, "hourly", ["lake_hour", "city_id", "source"], "lake_date", shared_folder(spark, "offsets")
+    jobs.stream_hours(
+        spark, path, root, "hourly", jobs.hourly_winners, (schemas.WEATHER, schemas.AIR), shared_folder(spark, "offsets"),
+        files_per_batch=100,
     ).awaitTermination()
-    return warehouse.read_table(spark, root, "hourly", winners.schema).select(
+    return jobs.read_hours(spark, root, "hourly", jobs.hourly_winners).select(
         "lake_hour", "city_id", "source", "id", "collected_at"
     )
 
@@ -965,11 +965,12 @@ def stream_hourly_dedup(spark, sf):
 @query
 def stream_incidents_hourly(spark, sf):
     path, root = _lake_files(spark, sf), shared_folder(spark, "warehouse")
-    totals = jobs.stream_incidents(jobs.lake_stream(spark, path))
-    jobs.write_updates(
-        totals, root, "incidents", ["date_value", "hour_of_day", "city_id", "categorie_incident"], "date_value",
-        shared_folder(spark, "offsets"),
+    jobs.stream_hours(
+        spark, path, root, "incidents", jobs.hourly_incidents, (schemas.INCIDENTS,), shared_folder(spark, "offsets"),
+        files_per_batch=100,
     ).awaitTermination()
-    return warehouse.read_table(spark, root, "incidents", totals.schema).withColumn(
-        "retard_moyen_s", _r("retard_moyen_s", 4)
+    return jobs.read_hours(spark, root, "incidents", jobs.hourly_incidents).select(
+        F.col("lake_date").alias("date_value"), F.hour("lake_hour").alias("hour_of_day"), "city_id", "categorie_incident",
+        "traffic_model_id", "nombre_incidents", "retard_total_s", _r("retard_moyen_s", 4).alias("retard_moyen_s"),
+        "longueur_moyenne_m", "incident_severity_score",
     )

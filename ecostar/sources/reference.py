@@ -183,11 +183,17 @@ def read_cities(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def resolve_stations(cities: DataFrame, reference: DataFrame) -> DataFrame:
-    """A city's own station, else the reference's by id, else the reference's by name."""
-    ref = reference.filter(F.length("aqi_station") > 0)
-    by_id = ref.groupBy(F.col("id").alias("id")).agg(F.max("aqi_station").alias("station_by_id"))
-    by_name = ref.groupBy(F.col("name").alias("name")).agg(F.max("aqi_station").alias("station_by_name"))
+def resolve_stations(cities: DataFrame, reference: DataFrame, order: str | None = None) -> DataFrame:
+    """A city's own station, else the reference's by id, else the reference's by name.
+
+    Of reference rows with one id or name the last counts: by column ``order``, else by
+    their place in the file.
+    """
+    place = F.col(order) if order else F.monotonically_increasing_id()
+    ref = reference.withColumn("_place", place).filter(F.length("aqi_station") > 0)
+    last = F.max_by("aqi_station", "_place")
+    by_id = ref.groupBy(F.col("id").alias("id")).agg(last.alias("station_by_id"))
+    by_name = ref.groupBy(F.col("name").alias("name")).agg(last.alias("station_by_name"))
     own = F.when(F.length("aqi_station") > 0, F.col("aqi_station"))
     return (
         cities.join(by_id, "id", "left")

@@ -1,4 +1,4 @@
-"""The lake as a stream: the same transform per micro-batch, hourly windows with state."""
+"""The lake as a stream: the same transform and hourly tables per micro-batch."""
 
 from __future__ import annotations
 
@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ecostar import schemas
 from ecostar.functions import expr
 from ecostar.operators import parse
-from ecostar.plans.transform import run_batch
+from ecostar.plans.transform import PROCESSED, affected, run_batch, touched
 from ecostar.sources import lake as lake_io
-from ecostar.sources.warehouse import read_table, replace_partitions, stage, staged_days, staging
+from ecostar.sources.warehouse import empty_table, read_table, replace_partitions, stage, staged_days, staging
 
 
 def lake_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -40,13 +40,17 @@ def stream_transform(
 ) -> StreamingQuery:
     """New lake files through the transform; the checkpoint stands in for a processed flag.
 
-    A replayed batch recomputes and replaces the same rows.
+    A replayed batch recomputes and replaces the same rows; entries that have an outcome
+    already are left out, so that rows without a whole key are not added twice.
     """
 
     def each(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         with staging(session):
-            entries = stage(batch, "batch")
+            fresh = stage(batch, "fresh")
+            ids = fresh.agg(F.min("id"), F.max("id")).first()  # prunes the outcomes to read
+            done = read_table(session, root, "lake_processed", PROCESSED).filter(F.col("id").between(*map(F.lit, ids)))
+            entries = stage(fresh.join(done.select("id"), "id", "left_anti").select(*batch.columns), "batch")
             run_batch(session, entries, lake_io.load_lake(session, lake_path), root, clock(), forest, stats)
 
     return (
@@ -65,69 +69,78 @@ def stream_drain(spark: SparkSession, lake_path: str, root: str, checkpoint: str
     ).awaitTermination()
 
 
-def stream_dedup(entries: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Per city, source and hour the largest lake id and its payload; state ends with the watermark."""
+def hourly_winners(entries: DataFrame) -> DataFrame:
+    """Per hour, city and source the largest lake id and its payload."""
     return (
         entries.filter(F.col("source").isin(schemas.WEATHER, schemas.AIR))
-        .withWatermark("collected_at", delay)
-        .groupBy(F.window("collected_at", "1 hour"), "city_id", "source")
+        .groupBy(expr.hour_of(F.col("collected_at")).alias("lake_hour"), "city_id", "source")
         .agg(
             F.max("id").alias("id"),
             F.max_by("collected_at", "id").alias("collected_at"),
             F.max_by("raw_data", "id").alias("raw_data"),
         )
-        .select(F.col("window.start").alias("lake_hour"), "city_id", "source", "id", "collected_at", "raw_data")
     )
 
 
-def stream_incidents(entries: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Running totals of incidents per hour, city and category."""
+def hourly_incidents(entries: DataFrame) -> DataFrame:
+    """Totals of incidents per hour, city and category; model id and length of the first of them."""
     score = expr.incident_severity(F.col("gravite_retard"), F.col("retard_s"), F.col("categorie_incident"))
     delay_s = F.coalesce("retard_s", F.lit(0.0))
     return (
         parse.incident_records(entries)
         .withColumn("score", score)
         .filter(delay_s > -1)
-        .withWatermark("collected_at", delay)
-        .groupBy(F.window("collected_at", "1 hour"), "city_id", "categorie_incident")
+        .groupBy(expr.hour_of(F.col("collected_at")).alias("lake_hour"), "city_id", "categorie_incident")
         .agg(
+            F.min_by("traffic_model_id", "id").alias("traffic_model_id"),
             F.count("*").alias("nombre_incidents"),
             F.sum(delay_s).alias("retard_total_s"),
             (F.sum(delay_s) / F.count("*")).alias("retard_moyen_s"),
             F.min_by("longueur_m", "id").alias("longueur_moyenne_m"),
             F.max("score").alias("incident_severity_score"),
         )
-        .select(
-            F.to_date("window.start").alias("date_value"),
-            F.hour("window.start").alias("hour_of_day"),
-            "city_id",
-            "categorie_incident",
-            "nombre_incidents",
-            "retard_total_s",
-            "retard_moyen_s",
-            "longueur_moyenne_m",
-            "incident_severity_score",
-        )
     )
 
 
-def write_updates(
-    stream: DataFrame, root: str, name: str, keys: list[str], partition: str, checkpoint: str, **trigger
+def read_hours(spark: SparkSession, root: str, name: str, totals: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The table that ``stream_hours`` keeps."""
+    shape = totals(empty_table(spark, schemas.LAKE)).schema
+    return read_table(spark, root, name, shape.add("lake_date", "date"))
+
+
+def stream_hours(
+    spark: SparkSession,
+    lake_path: str,
+    root: str,
+    name: str,
+    totals: Callable[[DataFrame], DataFrame],
+    sources: tuple[str, ...],
+    checkpoint: str,
+    files_per_batch: int | None = None,
+    **trigger,
 ) -> StreamingQuery:
-    """Updated groups of a stateful aggregate replace their rows in a partitioned table."""
-    schema = stream.schema
+    """A table of ``totals`` per hour and city, kept up with the lake.
+
+    Each micro-batch names the (city, hour) pairs it touches; these are computed anew from
+    the lake and replace their rows. So entries count however late they come, in any
+    order, and a replayed batch changes nothing; no state grows with the stream.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        with staging(batch.sparkSession):
-            new = stage(batch, name)
-            old = read_table(batch.sparkSession, root, name, schema)
-            days = staged_days(new.select(partition).distinct(), partition)
-            kept = old.join(days, partition, "left_semi").join(new.select(*keys), keys, "left_anti")
-            replace_partitions(kept.unionByName(new), root, name, partition)
+        session = batch.sparkSession
+        with staging(session):
+            hours = staged_days(touched(batch, *sources), "collected_date")
+            entries = affected(lake_io.load_lake(session, lake_path), hours, *sources)
+            new = totals(entries).withColumn("lake_date", F.to_date("lake_hour"))
+            old = read_hours(session, root, name, totals)
+            days = hours.select(F.col("collected_date").alias("lake_date")).distinct()
+            keys = hours.select("city_id", "lake_hour")
+            kept = old.join(days, "lake_date", "left_semi").join(keys, ["city_id", "lake_hour"], "left_anti")
+            replace_partitions(kept.unionByName(new), root, name, "lake_date")
 
     return (
-        stream.writeStream.outputMode("update")
-        .foreachBatch(each)
+        lake_stream(spark, lake_path, files_per_batch)
+        .writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

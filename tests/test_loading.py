@@ -110,7 +110,8 @@ def test_incident_hour(spark):
     cats = spark.sql("SELECT 1 AS incident_category_id, 8 AS icon_category")
     row = traffic.load_incidents(inc, cats).first()
     assert (row.nombre_incidents, row.retard_total_s, row.retard_moyen_s, row.longueur_moyenne_m) == (2, 420.0, 210.0, 30.0)
-    assert row.incident_severity_score == 4.81 and row.traffic_model_id == "x" * 30
+    assert row.incident_severity_score == 4.81 and row.traffic_model_id == "x" * 40
+    assert traffic.load_incidents(inc, cats, model_chars=30).first().traffic_model_id == "x" * 30
 
 
 def test_water_dates(spark):

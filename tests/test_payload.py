@@ -118,8 +118,9 @@ def test_incidents(spark):
 
 
 def test_incident_category_default_only_if_absent(spark):
-    df = lake(spark, [entry(1, "tomtom_incidents", {"retard_s": 1}, AT), entry(2, "tomtom_incidents", {"categorie_incident": None}, AT)])
-    assert sorted(rows(parse.incident_records(df), "id", "categorie_incident"), key=lambda r: r[0]) == [(1, 0), (2, None)]
+    df = lake(spark, [entry(1, "tomtom_incidents", {"retard_s": 1}, AT), entry(2, "tomtom_incidents", {"categorie_incident": None}, AT),
+                      entry(3, "tomtom_incidents", json.dumps(json.dumps({"retard_s": 1})), AT)])
+    assert sorted(rows(parse.incident_records(df), "id", "categorie_incident"), key=lambda r: r[0]) == [(1, 0), (2, None), (3, 0)]
 
 
 def test_aqi_levels(spark):

@@ -29,6 +29,9 @@ def test_stations_and_targets(spark, tmp_path):
     cities = reference.read_cities(spark, str(tmp_path / "c.json"))
     ref = spark.createDataFrame([(9, "Lyon ", "by-name"), (1, "other", "by-id")], "id INT, name STRING, aqi_station STRING")
     got = reference.resolve_stations(cities, ref)
+    twice = spark.createDataFrame([(1, "x", "zzz", 1), (1, "x", "aaa", 2)], "id INT, name STRING, aqi_station STRING, at INT")
+    assert reference.resolve_stations(cities, twice, "at").filter("id = 1").first().aqi_station == "aaa"
+    assert reference.resolve_stations(cities, twice.coalesce(1)).filter("id = 1").first().aqi_station == "aaa"
     assert sorted(rows(got, "id", "aqi_station")) == [(1, "by-id"), (2, "/n/"), (3, None)]
     targets = {(r.id, r.code_point): r for r in reference.collection_targets(got).collect()}
     assert set(targets) == {(1, "LYO_C"), (1, "LYO_E"), (1, "LYO_W"), (2, "NIC_C"), (2, "NIC_E"), (2, "NIC_W"), (3, None)}

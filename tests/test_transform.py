@@ -2,8 +2,9 @@ import datetime as dt
 import json
 
 import pytest
-from helpers import entry, lake, utc
+from helpers import entry, lake, rows, utc
 
+from ecostar import schemas
 from ecostar.plans import transform, validate
 from ecostar.sources import lake as lake_io, warehouse
 from ecostar.operators import dimensions, traffic, water
@@ -113,17 +114,42 @@ def test_validation_and_cleanup(spark, loaded):
     assert transform.fact_measures(spark, root).count() == before - dry.total_deleted
 
 
+def hours(spark, path, root, name, totals, sources, *columns, **options):
+    jobs.stream_hours(spark, path, root, name, totals, sources, f"{root}/offsets-{name}", **options).awaitTermination()
+    return sorted(rows(jobs.read_hours(spark, root, name, totals), *columns))
+
+
 def test_hourly_streams(spark, loaded, tmp_path):
     _, path, _ = loaded
-    from pyspark.sql import functions as F
-
-    winners = jobs.stream_dedup(jobs.lake_stream(spark, path)).withColumn("lake_date", F.to_date("lake_hour"))
-    jobs.write_updates(
-        winners, str(tmp_path), "hourly", ["lake_hour", "city_id", "source"], "lake_date", str(tmp_path / "c")
-    ).awaitTermination()
-    got = {r.id for r in warehouse.read_table(spark, str(tmp_path), "hourly", winners.schema).collect()}
+    weather = (schemas.WEATHER, schemas.AIR)
+    got = hours(spark, path, str(tmp_path), "hourly", jobs.hourly_winners, weather, "id", files_per_batch=2)
     best = {}
     for id_, city, _, source, _, at, *_ in entries():
-        if source in ("openweather", "aqicn"):
+        if source in weather:
             best[city, source, at.replace(minute=0)] = id_
-    assert got == set(best.values())
+    assert got == sorted((i,) for i in best.values())
+
+
+def test_late_entries_count(spark, tmp_path):
+    path, root = str(tmp_path / "lake"), str(tmp_path / "wh")
+
+    def incident(id_, hour, day=1):
+        raw = {"categorie_incident": 8, "retard_s": 10.0, "traffic_model_id": f"m{id_}"}
+        return entry(id_, schemas.INCIDENTS, raw, utc(2026, 1, day, hour, id_))
+
+    for late in ([incident(2, 5)], [incident(3, 23, 9)], [incident(1, 5), incident(4, 5)], []):
+        if late:
+            lake_io.append_lake(lake(spark, late), path)
+        got = hours(
+            spark, path, root, "incidents", jobs.hourly_incidents, (schemas.INCIDENTS,),
+            "nombre_incidents", "traffic_model_id", "retard_total_s",
+        )
+    assert got == [(1, "m3", 10.0), (3, "m1", 30.0)]
+
+
+def test_replayed_batch_changes_nothing(spark, loaded, tmp_path):
+    _, path, want = loaded
+    root = str(tmp_path / "wh")
+    for offsets in ("a", "b"):  # new offsets: every batch comes again
+        jobs.stream_drain(spark, path, root, str(tmp_path / offsets), clock=lambda: AS_OF, stats=snapshot(spark))
+    assert content(spark, root) == want
