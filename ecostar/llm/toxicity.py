@@ -83,9 +83,12 @@ def train(
     part = F.when(F.col("y") == 1, fit_rows / 2 / max(counts.get(1, 0), 1)).otherwise(fit_rows / 2 / max(counts.get(0, 0), 1))
     drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < part * (1 << 30)
     sample = known.filter(drawn).select("id", "y", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FITS)).cast("int").alias("fit"))
+    sample = staged(sample, "toxic-sample")
+    small = sample.count() <= 2 * fit_rows  # sent to the texts, which then need no shuffle
     rows = staged(
-        texts.join(sample, "id").select("y", "fit", "text").mapInPandas(_features, "y int, fit int, grams array<int>"), "toxic-grams"
+        texts.join(F.broadcast(sample) if small else sample, "id").select("y", "fit", "text").mapInPandas(_features, "y int, fit int, grams array<int>"), "toxic-grams"
     )
+    drop_staged(sample)
     size = 1 << BITS
     empty = Model(np.zeros((2, size)), float(np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))))
     seen = rows.select("y", F.explode("grams").alias("g")).groupBy("g").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q"))
