@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +12,8 @@ from ecostar.llm.common import drop_staged, spread_join, staged
 from ecostar.llm.graph import components
 
 COSINE = 0.93
+#: Only vectors of equal label and length are compared.
+GROUP = ["label", "dim"]
 #: Vectors per centre (a shard holds ``OVERLAP`` times as many), shards that a vector goes to, most centres of a label.
 SHARD_ROWS, OVERLAP, CENTRES = 300, 3, 8192
 #: A centre this near to an earlier one is left out, so that a dense group shares its shards.
@@ -22,8 +24,12 @@ CHUNK = 3000
 DEGREE, ALPHA, BEAM, STEP, WIDE, BLOCK = 16, 1.2, 16, 8, 64, 256
 #: Vectors of one task when centres are looked up.
 PART = 50_000
-#: Vectors whose links are recounted by brute force, and the share of them that must have been found.
+#: Up to this many centres ``OVERLAP`` is as given; a shard more for every doubling, as near pairs share fewer of many cells.
+FEW_CENTRES = 16
+#: Vectors of a label whose links are recounted by brute force, the share of pairs that must have been found, rounds of more overlap.
 AUDIT, RECALL, ROUNDS = 256, 0.95, 3
+#: Audited vectors with 1 to SPARSE - 1 links that a verdict needs, and audited vectors of a label beyond which all of it is compared instead.
+LEAST, SPARSE, DENSE, AUDIT_MOST = 32, 4, 32, 16_384
 
 
 def usable(embedding: Column, label: Column, id_: Column) -> Column:
@@ -65,11 +71,16 @@ def nearest_centres(v: np.ndarray, c: np.ndarray, overlap: int) -> list[list[int
     return shards
 
 
+def reach(overlap: int, centres: int) -> int:
+    """Shards of a vector: ``overlap``, and one more for every doubling of the centres."""
+    return overlap + max(0, int(np.ceil(np.log2(max(centres, 1) / FEW_CENTRES))))
+
+
 def _assign(left: pd.DataFrame, right: pd.DataFrame, overlap: int) -> pd.DataFrame:
     """Each vector with its shards: its nearest centres, by their places in the order of ids."""
     shards = [[0]] * len(left)
     if len(left) and len(right):
-        shards = nearest_centres(unit(left["embedding"]), unit(right.sort_values("rep")["embedding"]), overlap)
+        shards = nearest_centres(unit(left["embedding"]), unit(right.sort_values("rep")["embedding"]), reach(overlap, len(right)))
     return left.assign(shards=shards)[["rep", "label", "dim", "embedding", "copies", "shards"]]
 
 
@@ -167,17 +178,25 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _search(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links of a cell that are counted here: the pair's lowest common shard, and of its chunk pairs one."""
+    """Links of a cell that are counted here: the pair's lowest common shard, and of its chunk pairs one.
+
+    Without adjacency lists all pairs of the cell are compared.
+    """
     pdf = _chunks(pdf)
     v, reps = unit(pdf["embedding"]), pdf["rep"].to_numpy()
     n, place = len(v), {r: i for i, r in enumerate(pdf["rep"])}
-    graph = flat([[place[x] for x in near if x in place] if near is not None else [] for near in pdf["near"]])
-    means = [m.mean(axis=0) for m in np.array_split(v, -(-n // 256))]
-    starts = np.unique([int((v @ m).argmax()) for m in (v.mean(axis=0), *means)])
     found = np.zeros((n, n), bool)
-    for at in range(0, n, BLOCK):
-        queries = np.arange(at, min(at + BLOCK, n))
-        found[queries] = range_search(v, graph, queries, starts, cosine)
+    if "near" in pdf:
+        graph = flat([[place[x] for x in near if x in place] if near is not None else [] for near in pdf["near"]])
+        means = [m.mean(axis=0) for m in np.array_split(v, -(-n // 256))]
+        starts = np.unique([int((v @ m).argmax()) for m in (v.mean(axis=0), *means)])
+        for at in range(0, n, BLOCK):
+            queries = np.arange(at, min(at + BLOCK, n))
+            found[queries] = range_search(v, graph, queries, starts, cosine)
+    else:
+        for at in range(0, n, BLOCK):
+            found[at : at + BLOCK] = v[at : at + BLOCK] @ v.T >= cosine
+        np.fill_diagonal(found, False)
     found |= found.T
     shards, here = pdf["shards"].map(list).to_list(), int(pdf["shard"].iloc[0])
     width = max(map(len, shards))
@@ -186,14 +205,14 @@ def _search(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     i_, j_ = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
     other = np.where(chunk == i_, j_, i_)
     whole = (parts == 1) | (other == (chunk + 1) % parts)
-    copies, links = pdf["copies"].to_numpy(), np.zeros(n, np.int64)
+    copies, links, pairs = pdf["copies"].to_numpy(), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for a in np.flatnonzero(found.any(axis=1)):
         near = np.flatnonzero(found[a])
         common = (of[a][None, :, None] == of[near][:, None, :]).any(axis=2)
         first = np.where(common, of[a][None], np.iinfo(np.int64).max).min(axis=1)
         ours = (first == here) & ((chunk[near] != chunk[a]) | whole[a])
         found[a, near[~ours]] = False
-        links[a] = copies[near[ours]].sum()
+        links[a], pairs[a] = copies[near[ours]].sum(), ours.sum()
     root = np.full(n, -1)
     for a in range(n):  # ascending ids: the first of a group is its least
         if root[a] < 0:
@@ -202,12 +221,12 @@ def _search(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
             while len(reach):
                 reach = np.flatnonzero(found[reach].any(axis=0) & (root < 0))
                 root[reach] = a
-    return pd.DataFrame({"rep": reps, "links": links, "root": reps[root]})
+    return pd.DataFrame({"rep": reps, "label": pdf["label"], "dim": pdf["dim"], "links": links, "pairs": pairs, "root": reps[root]})
 
 
-def _links(distinct: DataFrame, cosine: float, overlap: int, shard_rows: int, chunk: int) -> DataFrame:
-    """(rep, links, root): the counted links of each distinct vector and the least of its group, per cell."""
-    spark, group = distinct.sparkSession, ["label", "dim"]
+def _shards(distinct: DataFrame, overlap: int, shard_rows: int) -> DataFrame:
+    """The distinct vectors with the shards each goes to."""
+    group = GROUP
     sizes = distinct.groupBy(*group).agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("centres", F.least(F.ceil(F.col("n") / shard_rows), F.lit(CENTRES)))
     sizes = staged(sizes.withColumn("pieces", F.ceil(F.col("n") / PART)), "label-sizes")
@@ -219,6 +238,21 @@ def _links(distinct: DataFrame, cosine: float, overlap: int, shard_rows: int, ch
     schema = "rep long, label string, dim int, embedding array<double>, copies long, shards array<int>"
     near = parts.groupBy(*group, "piece").cogroup(centres.groupBy(*group, "piece")).applyInPandas(lambda a, b: _assign(a, b, overlap), schema)
     assigned = staged(near, "vector-shards")
+    drop_staged(sizes)
+    drop_staged(centres)
+    return assigned
+
+
+def _links(distinct: DataFrame, cosine: float, overlap: int | None, shard_rows: int, chunk: int) -> DataFrame:
+    """(rep, label, dim, links, pairs, root): the counted links of each distinct vector and the least of its group, per cell.
+
+    ``links`` count copies, ``pairs`` do not. Without ``overlap`` a label is one shard whose pairs are all compared.
+    """
+    group = GROUP
+    if overlap is None:
+        assigned = staged(distinct.withColumn("shards", F.array(F.lit(0))), "vector-shards")
+    else:
+        assigned = _shards(distinct, overlap, shard_rows)
     dealt = assigned.withColumn("shard", F.explode("shards"))
     counts = dealt.groupBy(*group, "shard").agg(F.count("*").alias("n")).select(*group, "shard", F.ceil(F.col("n") / chunk).alias("parts"))
     dealt = spread_join(dealt, counts, [*group, "shard"], ["rep"]).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("parts")))
@@ -226,39 +260,75 @@ def _links(distinct: DataFrame, cosine: float, overlap: int, shard_rows: int, ch
     dealt = dealt.withColumn("other", F.explode(F.coalesce(others, F.array(F.lit(0).cast("long")))))
     cells = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
     key = [*group, "shard", "i", "j"]
-    graph = cells.groupBy(*key).applyInPandas(_build, "rep long, label string, dim int, near long")
-    lists = staged(graph.groupBy("rep", *group).agg(F.collect_set("near").alias("near")), "vector-graph")
-    joined = cells.join(lists, ["rep", *group], "left")
-    out = staged(joined.groupBy(*key).applyInPandas(lambda pdf: _search(pdf, cosine), "rep long, links long, root long"), "vector-links")
-    for df in (sizes, centres, assigned, lists):
-        drop_staged(df)
+    schema = "rep long, label string, dim int, links long, pairs long, root long"
+    if overlap is None:
+        out = staged(cells.groupBy(*key).applyInPandas(lambda pdf: _search(pdf, cosine), schema), "vector-links")
+    else:
+        graph = cells.groupBy(*key).applyInPandas(_build, "rep long, label string, dim int, near long")
+        lists = staged(graph.groupBy("rep", *group).agg(F.collect_set("near").alias("near")), "vector-graph")
+        joined = cells.join(lists, ["rep", *group], "left")
+        out = staged(joined.groupBy(*key).applyInPandas(lambda pdf: _search(pdf, cosine), schema), "vector-links")
+        drop_staged(lists)
+    drop_staged(assigned)
     return out
 
 
-def audit(distinct: DataFrame, totals: DataFrame, cosine: float, queries: int = AUDIT) -> float:
-    """Share of the links of ``queries`` vectors, counted by brute force over all vectors, that was found."""
-    picked = distinct.withColumn("h", F.xxhash64("rep", F.lit(11))).orderBy("h", "rep").limit(queries).collect()
-    if not picked:
-        return 1.0
-    shared = distinct.sparkSession.sparkContext.broadcast([(r["rep"], r["label"], r["dim"], list(r["embedding"])) for r in picked])
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted: dict = {}
-        for rep, label, dim, e in shared.value:
-            wanted.setdefault((label, dim), []).append((rep, e))
-        for pdf in batches:
-            for key, part in pdf.groupby(["label", "dim"]):
-                if key in wanted:
-                    reps = np.array([r for r, _ in wanted[key]])
-                    for at in range(0, len(part), 4096):
-                        some = part.iloc[at : at + 4096]
-                        near = unit([e for _, e in wanted[key]]) @ unit(some["embedding"]).T >= cosine
-                        near &= reps[:, None] != some["rep"].to_numpy()[None]
-                        yield pd.DataFrame({"rep": reps, "truth": near @ some["copies"].to_numpy()})
-
-    truth = distinct.mapInPandas(count, "rep long, truth long").groupBy("rep").agg(F.sum("truth").alias("truth"))
-    sums = truth.join(totals, "rep", "left").agg(F.sum("truth").alias("t"), F.sum("links").alias("f")).first()
-    return min(1.0, (sums["f"] or 0) / sums["t"]) if sums["t"] else 1.0
+def _count(left: pd.DataFrame, right: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Vectors of ``left`` that each audited one of ``right`` links with."""
+    truth = np.zeros(len(right), np.int64)
+    if len(left) and len(right):
+        asked, reps = unit(right["embedding"]), right["rep"].to_numpy()
+        rows = max(1, (1 << 22) // len(right))  # bounded memory for any number of audited vectors
+        for at in range(0, len(left), rows):
+            some = left.iloc[at : at + rows]
+            near = asked @ unit(some["embedding"]).T >= cosine
+            truth += (near & (reps[:, None] != some["rep"].to_numpy()[None])).sum(axis=1)
+    return right.assign(truth=truth)[["rep", "label", "dim", "truth"]]
+
+
+def audit(distinct: DataFrame, totals: DataFrame, cosine: float, queries: int = AUDIT) -> DataFrame:
+    """(label, dim, recall, state): whether each label's links were found, by brute force for about ``queries`` vectors of it.
+
+    Pairs count once, whatever their copies, and apart for vectors of few, some and many
+    links; ``recall`` is the least of the three, null where no audited vector has a link. A
+    label is unproven where fewer than LEAST audited vectors have few links, unless all of
+    its vectors were audited.
+    """
+    sizes = distinct.groupBy(*GROUP).agg(F.count("*").alias("n")).withColumn("pieces", F.ceil(F.col("n") / PART))
+    sizes = staged(sizes, "audit-sizes")
+    rated = spread_join(distinct.select("rep", *GROUP, "embedding"), sizes, GROUP, ["rep"])
+    drawn = F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1 << 30)) * F.col("n") < F.lit(queries << 30)
+    picked = rated.filter(drawn).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("n", "pieces")
+    picked = staged(picked.select(*GROUP, "piece", "rep", "embedding"), "audited")
+    parts = rated.withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces"))).drop("n", "pieces")
+    key = [*GROUP, "piece"]
+    counted = parts.groupBy(*key).cogroup(picked.groupBy(*key)).applyInPandas(lambda a, b: _count(a, b, cosine), "rep long, label string, dim int, truth long")
+    truth = counted.groupBy("rep", *GROUP).agg(F.sum("truth").alias("truth")).filter("truth > 0")
+    both = truth.join(totals.select("rep", "pairs"), "rep", "left").withColumn("met", F.least("truth", F.coalesce("pairs", F.lit(0))))
+    stratum = F.when(F.col("truth") < SPARSE, 0).when(F.col("truth") < DENSE, 1).otherwise(2)
+    strata = both.groupBy(*GROUP, stratum.alias("stratum")).agg((F.sum("met") / F.sum("truth")).alias("r"), F.count("*").alias("m"))
+    of = strata.groupBy(*GROUP).agg(F.min("r").alias("recall"), F.sum(F.when(F.col("stratum") == 0, F.col("m"))).alias("sparse"))
+    proved = (F.col("n") <= queries) | (F.coalesce("sparse", F.lit(0)) >= LEAST)
+    state = F.when(F.col("recall") < RECALL, "failed").when(proved, "passed").otherwise("unproven")
+    return sizes.join(of, GROUP, "left").select(*GROUP, "recall", state.alias("state"))
+
+
+def _of(df: DataFrame, labels: DataFrame) -> DataFrame:
+    return spread_join(df, labels.select(*GROUP), GROUP, ["rep"])
+
+
+def _verdicts(distinct: DataFrame, totals: DataFrame, cosine: float) -> DataFrame:
+    """(label, dim, state): audits of more and more vectors where too few have links."""
+    queries, asked, out = AUDIT, distinct, None
+    while True:
+        found = staged(audit(asked, totals, cosine, queries).select(*GROUP, "state"), "audit")
+        more = found.filter("state = 'unproven'")
+        last = queries >= AUDIT_MOST or more.isEmpty()
+        some = found if last else found.filter("state <> 'unproven'")
+        out = some if out is None else out.unionByName(some)
+        if last:
+            return out
+        asked, queries = _of(distinct, more), queries * 8
 
 
 def near_vectors(
@@ -274,8 +344,9 @@ def near_vectors(
     shard, adjacency lists of a vector united, and searched in every shard it is in. A
     pair is counted in one place only, so links need no list of pairs. A shard larger
     than ``chunk`` is built and searched in pairs of chunks, which leaves out no pair.
-    Links found are exact in double precision; an audit recounts some vectors by brute
-    force, and below RECALL everything is built again with more overlap.
+    Links found are exact in double precision; an audit recounts vectors of every label by
+    brute force, and a label below RECALL is built again with more overlap. One that still
+    fails after ROUNDS, or has too few links to be judged, has all its pairs compared.
 
     Vectors that are null, empty, zero or hold null or non-finite components, null labels
     and null ids link with nothing and are their own component. Repeated rows of an id
@@ -286,11 +357,26 @@ def near_vectors(
     good = base.filter("ok").drop("ok")
     same = good.groupBy("label", "embedding").agg(F.min("rep").alias("rep"), F.count_distinct("rep").alias("copies"))
     distinct = staged(same.select("rep", "label", F.size("embedding").alias("dim"), "embedding", "copies"), "distinct-vectors")
+    todo, parts = distinct, []
     for round_ in range(ROUNDS):
-        found = _links(distinct, cosine, overlap << round_, shard_rows, chunk)
-        totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
-        if round_ == ROUNDS - 1 or audit(distinct, totals, cosine) >= RECALL:
+        found = _links(todo, cosine, overlap << round_, shard_rows, chunk)
+        totals = staged(found.groupBy("rep").agg(F.sum("pairs").alias("pairs")), "pair-counts")
+        verdicts = _verdicts(todo, totals, cosine)
+        short = verdicts.filter("state <> 'passed'")
+        if short.isEmpty():
+            parts.append(found)
+            break
+        parts.append(_of(found, verdicts.filter("state = 'passed'")))
+        # too few links to judge more overlap by, or no round left
+        whole = short if round_ == ROUNDS - 1 else short.filter("state = 'unproven'")
+        if not whole.isEmpty():
+            parts.append(_links(_of(distinct, whole), cosine, None, shard_rows, chunk))
+        again = short.filter("state = 'failed'")
+        if again.isEmpty():
             break
+        todo = staged(_of(distinct, again), "vectors-again")
+    found = reduce(DataFrame.unionByName, parts)
+    totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = distinct.join(totals, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select(

@@ -229,6 +229,40 @@ def test_near_vectors(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def pairs_and_a_group(pairs, group, dim=64, cosine=0.935):
+    """Isotropic unit vectors in pairs at ``cosine``, then one dense group."""
+    rng = np.random.default_rng(21)
+    a, b = vectors.unit(rng.normal(size=(pairs, dim))), rng.normal(size=(pairs, dim))
+    b = vectors.unit(b - (a * b).sum(axis=1, keepdims=True) * a)
+    dense = rng.normal(size=dim) + rng.normal(size=(group, dim)) * 0.02
+    return np.vstack([a, cosine * a + (1 - cosine**2) ** 0.5 * b, vectors.unit(dense)])
+
+
+def test_audit_sees_lost_pairs_beside_a_dense_group(spark):
+    v = pairs_and_a_group(60, 150)
+    frame = spark.createDataFrame([(i, lab, 64, e.tolist(), 1000 if i >= 120 else 1) for lab in "xy" for i, e in enumerate(v, 0 if lab == "x" else 1000)], "rep long, label string, dim int, embedding array<double>, copies long")
+    # label x: the group's links were found, none of the pairs'; label y: all of them
+    found = [(i, 149) for i in range(120, 270)] + [(1000 + i, 149 if i >= 120 else 1) for i in range(270)]
+    totals = spark.createDataFrame(found, "rep long, pairs long")
+    got = {r.label: (r.recall, r.state) for r in vectors.audit(frame, totals, 0.93).collect()}
+    assert got["x"][1] == "failed" and got["x"][0] < 0.1 and got["y"] == (1.0, "passed")
+    nothing = vectors.audit(frame.filter("rep < 60"), totals, 0.93, queries=20).collect()
+    assert [r.state for r in nothing] == ["unproven"]
+
+
+def test_near_vectors_keep_isolated_pairs(spark):
+    v = pairs_and_a_group(300, 200)
+    frame = spark.createDataFrame([(i, e.tolist(), 0) for i, e in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    near = v @ v.T >= 0.93
+    got = {r.vec_id: r for r in vectors.near_vectors(frame, overlap=1, shard_rows=4).collect()}
+    assert sum(got[i].n_links for i in range(600)) >= 0.95 * (near[:600].sum() - 600)
+    assert all(got[i].n_links <= near[i].sum() - 1 for i in range(len(v)))
+
+
+def test_overlap_grows_with_the_centres():
+    assert [vectors.reach(3, n) for n in (0, 1, 16, 32, 8192)] == [3, 3, 3, 4, 12]
+
+
 def test_vector_shards_and_search():
     rng = np.random.default_rng(8)
     v = vectors.unit(np.vstack([rng.normal(size=(1, 24)) + rng.normal(size=(500, 24)) * 0.05, rng.normal(size=(700, 24))]))
