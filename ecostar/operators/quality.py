@@ -89,6 +89,21 @@ def check_missing(df: DataFrame, hours: int = 24) -> DataFrame:
     )
 
 
+def check_missing_windows(df: DataFrame, hours: int = 24) -> DataFrame:
+    """``check_missing`` for every window of ``hours`` from the first fact's to the one after the last fact's.
+
+    Windows follow one another from the epoch on; without any fact a single one is missing.
+    """
+    slot = F.floor(F.unix_timestamp("captured_at") / (hours * 3600)).alias("slot")
+    seen = df.filter(F.col("captured_at").isNotNull()).select(slot).distinct()
+    first, last = F.coalesce(F.min("slot"), F.lit(0)), F.coalesce(F.max("slot") + 1, F.lit(0))
+    windows = seen.agg(F.sequence(first, last).alias("slots")).select(F.explode("slots").alias("slot"))
+    return _check(
+        windows.join(seen, "slot", "left_anti"), "critical", "data_missing",
+        F.lit(f"Aucune donnée trouvée dans les {hours} dernières heures"),
+    )
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """(field, nulls, total) per required column."""
     counts = df.agg(

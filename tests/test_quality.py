@@ -4,6 +4,7 @@ import pandas as pd
 from helpers import naive, rows, utc
 from pyspark.sql import functions as F
 
+from ecostar import queries
 from ecostar.operators import quality, rolling
 from ecostar.sources import reference
 
@@ -59,6 +60,23 @@ def test_checks_and_report(spark):
     assert {r.category for r in empty.collect()} == {"data_missing", "data_coverage"}
 
 
+def test_missing_query_looks_at_windows_of_the_facts(spark, monkeypatch):
+    days = facts(spark, [("m", 1, utc(2026, 1, d, h)) for d, h in ((1, 23), (2, 0), (5, 12))] + [("m", 1, None)])
+    monkeypatch.setattr(queries, "_union", lambda *_: days)
+    assert len(queries.QUERIES["dq_missing"](spark, "").collect()) == 3  # 3, 4 and 6 January
+    monkeypatch.setattr(queries, "_union", lambda *_: days.limit(0))
+    assert rows(queries.QUERIES["dq_missing"](spark, ""), "severity", "category") == [("critical", "data_missing")]
+
+
+def test_coverage_query_counts_all_facts(spark, monkeypatch):
+    cities = [r.city_id for r in reference.dim_city(spark).orderBy("city_id").collect()]
+    data = [(c, 10.0, 0.0) for c in cities[:-1] for _ in range(1 if c == cities[0] else 10)] + [(cities[1], 55.0, 9.0)]
+    frame = spark.createDataFrame(data, "city_id INT, temperature DOUBLE, incident_severity_score DOUBLE")
+    monkeypatch.setattr(queries, "_union", lambda *_: frame)
+    got = {r.severity: r.message for r in queries.QUERIES["dq_coverage"](spark, "").collect()}
+    assert got["warning"].startswith("1 villes sans") and got["info"].startswith("1 villes avec")
+
+
 def test_report_strictness(spark):
     issues = spark.sql("SELECT 'warning' AS severity")
     assert quality.report(issues).first().status == "ok"
