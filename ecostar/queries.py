@@ -140,14 +140,10 @@ def source_caps(spark, sf):
     def of(source):
         return lake.filter(F.col("source") == source)
 
-    incidents = lake_io.cap_per_city(of(schemas.INCIDENTS), 5, pull="day")
-    drinking = lake_io.cap_per_city(of(schemas.DRINKING_WATER), 2, pull="day")
-    stations = lake_io.cap_stations(parse.river_obs_records(lake), pull="day")
-    return (
-        capped(incidents, schemas.INCIDENTS)
-        .unionByName(capped(drinking, schemas.DRINKING_WATER))
-        .unionByName(capped(stations, schemas.RIVER_OBSERVATIONS))
-    )
+    out = capped(lake_io.cap_stations(parse.river_obs_records(lake)), schemas.RIVER_OBSERVATIONS)
+    for source, n in lake_io.SOURCE_CAPS.items():
+        out = out.unionByName(capped(lake_io.cap_per_city(of(source), n), source))
+    return out
 
 
 HISTORY_START, HISTORY_END = dt.date(2024, 1, 5), dt.date(2024, 1, 25)

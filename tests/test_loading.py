@@ -3,11 +3,22 @@ import random
 from helpers import entry, lake, naive, rows, utc
 from pyspark.sql import functions as F
 
+from ecostar import queries
 from ecostar.operators import dimensions, measures as m, traffic, water
 from ecostar.operators.loading import keep_first
 from ecostar.sources import lake as lake_io, reference, warehouse
 
 
+def test_source_caps_hold_per_pull(spark, monkeypatch):
+    """30 incidents and 20 drinking-water rows per city and pull, so that a day's later pulls stay."""
+    sources = {"tomtom_incidents": 40, "hubeau_eau_potable": 25}
+    raw = [entry(i, s, "{}", utc(2026, 1, 20, h)) for k, s in enumerate(sources) for h in (8, 9)
+           for i in range(1000 * k + 100 * h, 1000 * k + 100 * h + sources[s])]
+    monkeypatch.setattr(queries.v, "lake", lambda *_: lake(spark, raw))
+    got = queries.QUERIES["source_caps"](spark, "").groupBy("source").count()
+    assert sorted(rows(got, "source", "count")) == [("hubeau_eau_potable", 40), ("tomtom_incidents", 60)]
+
+
 def test_larger_id_wins_over_later_time(spark):
     df = lake(
         spark,
