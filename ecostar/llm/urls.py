@@ -1,10 +1,12 @@
 """URL filter: rules by longest match, else a path-template tree judged by labelled purity.
 
-DataFrame operations only. ``tree_sql`` states the same rules for DuckDB.
+DataFrame operations only. ``tree_sql`` states the same rules for DuckDB, down to DEPTH levels.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ecostar.llm.common import ascii_lower, spread_join, staged
@@ -17,7 +19,7 @@ RULES = (
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
-#: Levels of a host's tree; deeper segments are one tail.
+#: Levels that ``tree_sql`` spells out, with deeper segments as one tail; ``judge_urls`` reads all levels.
 DEPTH = 3
 #: A branch with fewer pages than this is variable; one whose labels differ by less than CHI2 from its siblings' merges.
 SUPPORT, CHI2 = 5, 3.84
@@ -45,15 +47,18 @@ def matched_rule(host: Column, path: Column, rules) -> Column:
     return found if chosen is None else chosen
 
 
-def templates(shapes: DataFrame, depth: int, support: int, chi2: float, prior: float, purity: float) -> DataFrame:
-    """(shape, host, template, verdict) from (shape, host, segs, n, known, good), one row per shape."""
-    now = shapes.withColumn("template", F.lit(""))
-    for k in range(depth):
-        seg = F.get("segs", F.lit(k))
-        now = now.withColumn("seg", seg)
-        inner = now.filter("seg IS NOT NULL")
+def templates(shapes: DataFrame, support: int, chi2: float, prior: float, purity: float) -> DataFrame:
+    """(shape, host, template, verdict) from (shape, host, segs, n, known, good), one row per shape.
+
+    A node is settled where it has fewer than ``support`` pages or labels of one kind at
+    most: everything below is variable then, and its paths get their wildcards at once.
+    """
+    now, done, k = shapes.withColumn("template", F.lit("")), [], 0
+    while True:
+        done.append(now.filter(F.size("segs") <= k))
+        inner = now.filter(F.size("segs") > k).withColumn("seg", F.get("segs", F.lit(k)))
         branch = inner.groupBy("host", "template", "seg").agg(*[F.sum(c).alias(f"b_{c}") for c in ("n", "known", "good")])
-        node = branch.groupBy("host", "template").agg(F.sum("b_known").alias("t_known"), F.sum("b_good").alias("t_good"))
+        node = branch.groupBy("host", "template").agg(*[F.sum(f"b_{c}").alias(f"t_{c}") for c in ("n", "known", "good")])
         judged = spread_join(branch, node, ["host", "template"], ["seg"])
         rest = F.col("t_known") - F.col("b_known")
         share = F.try_divide("t_good", "t_known")
@@ -61,11 +66,17 @@ def templates(shapes: DataFrame, depth: int, support: int, chi2: float, prior: f
         spread = share * (1 - share) * (F.try_divide(F.lit(1.0), "b_known") + F.try_divide(F.lit(1.0), rest))
         alike = (F.col("b_known") == 0) | (rest == 0) | (spread == 0) | (apart * apart < F.lit(chi2) * spread)
         variable = F.col("seg").contains("#") | (F.col("b_n") < support) | alike
-        judged = judged.select("host", "template", "seg", F.when(variable, "*").otherwise(F.col("seg")).alias("token"))
+        settled = (F.col("t_n") < support) | (F.col("t_good") == 0) | (F.col("t_good") == F.col("t_known"))
+        judged = judged.select("host", "template", "seg", F.when(variable, "*").otherwise(F.col("seg")).alias("token"), settled.alias("settled"))
         named = spread_join(inner, judged, ["host", "template", "seg"], ["shape"])
-        named = named.withColumn("template", F.concat_ws("/", "template", "token")).drop("token", "seg")
-        now = staged(named.unionByName(now.filter("seg IS NULL").drop("seg")), "url-tree")
-    now = now.withColumn("template", F.when(F.size("segs") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+        below = F.when(F.col("settled"), F.repeat(F.lit("/*"), F.size("segs") - k - 1)).otherwise("")
+        named = named.withColumn("template", F.concat("template", F.lit("/"), "token", below)).drop("token", "seg")
+        named = staged(named, "url-tree")
+        done.append(named.filter("settled").drop("settled"))
+        now, k = named.filter("NOT settled").drop("settled"), k + 1
+        if now.isEmpty():
+            break
+    now = staged(reduce(DataFrame.unionByName, done), "url-templates")
     total = now.agg(F.try_divide(F.sum("good"), F.sum("known")).alias("p")).first()["p"]  # one number
     share = 0.5 if total is None else total
     leaf = now.groupBy("host", "template").agg(F.sum("known").alias("l_known"), F.sum("good").alias("l_good"))
@@ -76,7 +87,7 @@ def templates(shapes: DataFrame, depth: int, support: int, chi2: float, prior: f
 
 def judge_urls(
     pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id",
-    label_col: str = "quality", rules=RULES, depth: int = DEPTH, support: int = SUPPORT, chi2: float = CHI2,
+    label_col: str = "quality", rules=RULES, support: int = SUPPORT, chi2: float = CHI2,
     prior: float = PRIOR, purity: float = PURITY,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, template, purity), one row per row of ``pages``.
@@ -85,6 +96,7 @@ def judge_urls(
     anything else, so the tree works on them, not on pages. Level by level a branch
     becomes the wildcard * if it holds digits, has fewer than ``support`` pages, or its
     labels don't differ from its siblings' (chi-square of two shares); the others stay.
+    This goes on down to the last segment of every path.
     A template whose labelled purity, smoothed towards the corpus', is below ``purity``
     is rejected. A label is ``label_col`` of the page's id (the larger of two; others than
     0 and 1 are none). The verdict is the rule's where one fits.
@@ -101,7 +113,7 @@ def judge_urls(
     base = staged(base.join(known, "id", "left"), "page-shapes")
     counts = base.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("y").alias("known"), F.coalesce(F.sum("y"), F.lit(0)).alias("good"))
     segs = F.filter(F.split("shape", "/"), lambda s: s != "")
-    found = staged(templates(counts.withColumn("segs", segs), depth, support, chi2, prior, purity), "url-verdicts")
+    found = staged(templates(counts.withColumn("segs", segs), support, chi2, prior, purity), "url-verdicts")
     rule = matched_rule(F.col("host"), F.col("path"), rules)
     judged = spread_join(base, found.withColumnRenamed("verdict", "tree_verdict"), ["host", "shape"], ["id", "path"])
     judged = judged.withColumn("_rule", rule)

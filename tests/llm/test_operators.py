@@ -208,6 +208,17 @@ def test_url_rules(spark, none):
     assert urls.judge_urls(pages.limit(0), labels).count() == 0
 
 
+def test_url_tree_reads_all_segments(spark):
+    paths = [(f"x://h.net/a/b/c/d{j}/e/{kind}/{n}", int(kind == "good")) for j in range(2) for n in range(40) for kind in ("good", "bad")]
+    paths += [("x://h.net/a/b/c/d0/e/rare/1/2/3", 1), ("x://h.net", 1)]
+    pages = spark.createDataFrame([(i, url) for i, (url, _) in enumerate(paths)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(paths)], "doc_id long, quality int")
+    got = {r.page_id: (r.verdict, r.template) for r in urls.judge_urls(pages, labels).collect()}
+    assert {got[i][0] for i, (url, _) in enumerate(paths) if "/good/" in url} == {"allow"}
+    assert {got[i][0] for i, (url, _) in enumerate(paths) if "/bad/" in url} == {"block"}
+    assert got[160][1] == "/*/*/*/*/*/*/*/*/*" and got[161][1] == "" and len(got) == len(paths)
+
+
 # embeddings
 
 
