@@ -69,8 +69,11 @@ def union_facts(
     return out
 
 
-def _check(df: DataFrame, severity: str, category: str, message: Column, details: Column | None = None) -> DataFrame:
+def _check(
+    df: DataFrame, severity: str, category: str, message: Column, details: Column | None = None, by: list[str] = []  # noqa: B006
+) -> DataFrame:
     return df.select(
+        *by,
         F.lit(severity).alias("severity"),
         F.lit(category).alias("category"),
         message.alias("message"),
@@ -92,16 +95,15 @@ def check_missing(df: DataFrame, hours: int = 24) -> DataFrame:
 def check_missing_windows(df: DataFrame, hours: int = 24) -> DataFrame:
     """``check_missing`` for every window of ``hours`` from the first fact's to the one after the last fact's.
 
-    Windows follow one another from the epoch on; without any fact a single one is missing.
+    Windows follow one another from the epoch on, ``window_start`` is theirs; without any fact a single one is missing.
     """
     slot = F.floor(F.unix_timestamp("captured_at") / (hours * 3600)).alias("slot")
     seen = df.filter(F.col("captured_at").isNotNull()).select(slot).distinct()
     first, last = F.coalesce(F.min("slot"), F.lit(0)), F.coalesce(F.max("slot") + 1, F.lit(0))
     windows = seen.agg(F.sequence(first, last).alias("slots")).select(F.explode("slots").alias("slot"))
-    return _check(
-        windows.join(seen, "slot", "left_anti"), "critical", "data_missing",
-        F.lit(f"Aucune donnée trouvée dans les {hours} dernières heures"),
-    )
+    empty = windows.join(seen, "slot", "left_anti").withColumn("window_start", F.timestamp_seconds(F.col("slot") * (hours * 3600)))
+    text = F.lit(f"Aucune donnée trouvée dans les {hours} dernières heures")
+    return _check(empty, "critical", "data_missing", text, by=["window_start"])
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -245,28 +247,33 @@ def check_limits(df: DataFrame, limits: dict = LIMITS) -> DataFrame:
     )
 
 
-def city_counts(df: DataFrame) -> DataFrame:
+def city_counts(df: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
     return (
-        df.filter(~F.col("city_id").isin(0, -1)).groupBy("city_id").agg(F.count("*").alias("n"))
+        df.filter(~F.col("city_id").isin(0, -1)).groupBy(*by, "city_id").agg(F.count("*").alias("n"))
     )
 
 
-def low_coverage(df: DataFrame) -> DataFrame:
-    """Cities with less than half of the mean count, with that mean."""
-    counts = city_counts(df).withColumn("average", F.avg("n").over(W.partitionBy()))
+def low_coverage(df: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """Cities with less than half of the mean count (of their group of ``by``), with that mean."""
+    counts = city_counts(df, by).withColumn("average", F.avg("n").over(W.partitionBy(*by)))
     return counts.filter(F.col("n") < F.col("average") * 0.5)
 
 
-def check_coverage(df: DataFrame, cities: DataFrame) -> DataFrame:
-    seen = city_counts(df).select("city_id")
-    absent = cities.select("city_id", "city_name").join(seen, "city_id", "left_anti").agg(
-        F.count("*").alias("n"),
-        F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.struct("city_id", "city_name"))),
-                                      lambda c: c["city_name"])).alias("names"),
-    ).filter(F.col("n") > 0)
-    names = cities.select("city_id", "city_name")
+def check_coverage(df: DataFrame, cities: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """Cities without facts and cities with few, over all facts or in each group of ``by`` that has facts.
+
+    What a group collects is bounded by the cities of the reference table.
+    """
+    expected = cities.agg(F.array_sort(F.collect_list(F.struct("city_id", "city_name"))).alias("e")).scalar()
+    known = city_counts(df, by).join(cities.select("city_id"), "city_id", "left_semi")
+    seen = known.groupBy(*by).agg(F.collect_list("city_id").alias("seen"))
+    if by:
+        seen = df.select(*by).distinct().join(seen, by, "left")
+    lost = F.filter("expected", lambda c: ~F.array_contains(F.coalesce("seen", F.array().cast("array<int>")), c["city_id"]))
+    absent = seen.withColumn("expected", expected).withColumn("lost", lost).filter(F.size("lost") > 0)
+    names = F.concat_ws(", ", F.transform("lost", lambda c: c["city_name"]))
     name = F.coalesce("city_name", F.concat(F.lit("ID "), F.col("city_id").cast("string")))
-    low = low_coverage(df).join(names, "city_id", "left").agg(
+    low = low_coverage(df, by).join(cities.select("city_id", "city_name"), "city_id", "left").groupBy(*by).agg(
         F.count("*").alias("n"),
         F.to_json(
             F.struct(
@@ -276,9 +283,9 @@ def check_coverage(df: DataFrame, cities: DataFrame) -> DataFrame:
         ).alias("details"),
     ).filter(F.col("n") > 0)
     return _check(
-        absent, "warning", "data_coverage", _text(F.col("n"), " villes sans données : ", F.col("names"))
+        absent, "warning", "data_coverage", _text(F.size("lost"), " villes sans données : ", names), by=by
     ).unionByName(
-        _check(low, "info", "data_coverage", _text(F.col("n"), " villes avec couverture faible"), F.col("details"))
+        _check(low, "info", "data_coverage", _text(F.col("n"), " villes avec couverture faible"), F.col("details"), by)
     )
 
 

@@ -240,10 +240,10 @@ FROM cities JOIN (VALUES ('_C', 0.0::DOUBLE), ('_E', 0.02::DOUBLE), ('_W', -0.02
 
 put("source_caps", LAKE, """
 SELECT id, city_id, source FROM (
-  SELECT *, row_number() OVER (PARTITION BY source, city_id, date_trunc('day', collected_at) ORDER BY id) AS r,
-         first_value(user_id % 15) OVER (PARTITION BY source, city_id, date_trunc('day', collected_at) ORDER BY id) AS station
+  SELECT *, row_number() OVER (PARTITION BY source, city_id, lake_hour ORDER BY id) AS r,
+         first_value(user_id % 15) OVER (PARTITION BY source, city_id, lake_hour ORDER BY id) AS station
   FROM lake)
-WHERE (source = 'tomtom_incidents' AND r <= 5) OR (source = 'hubeau_eau_potable' AND r <= 2)
+WHERE (source = 'tomtom_incidents' AND r <= 30) OR (source = 'hubeau_eau_potable' AND r <= 20)
    OR (source = 'hubeau_cd_observations' AND user_id % 15 = station)""")
 
 _SPECIES_TEXT = [*SPECIES, "uvi"]
@@ -639,7 +639,13 @@ SELECT table_source, city_id, captured_at, capture_date, temperature, speed_rati
 _MISSING = """
 SELECT 'critical' AS severity, 'data_missing' AS category,
        'Aucune donnée trouvée dans les {h} dernières heures' AS message WHERE (SELECT count(*) FROM u) = 0"""
-put("dq_missing", _union(24, "TIMESTAMP '2024-03-01 00:00:00'"), _MISSING.format(h=24))
+_ALL_HOURS = 24 * 365 * 200
+put("dq_missing", _union(_ALL_HOURS), """,
+days AS (SELECT CAST(range AS DATE) AS d FROM range((SELECT date_trunc('day', min(captured_at)) FROM u),
+         (SELECT date_trunc('day', max(captured_at)) FROM u) + INTERVAL 2 DAY, INTERVAL 1 DAY))
+SELECT CAST(d AS TIMESTAMP) AS window_start, 'critical' AS severity, 'data_missing' AS category,
+       'Aucune donnée trouvée dans les 24 dernières heures' AS message
+FROM days WHERE d NOT IN (SELECT CAST(captured_at AS DATE) FROM u)""", "window_start")
 put("dq_nulls", MEASURES, """,
 n AS (SELECT count(*) AS total, count(*) FILTER (raw_weather_id IS NULL) AS w, count(*) FILTER (raw_aqi_id IS NULL) AS a FROM measures)
 SELECT 'critical' AS severity, 'null_values' AS category, nulls || ' mesures avec ' || field || ' NULL sur ' || total AS message
@@ -686,7 +692,18 @@ FROM (SELECT n, avg(n) OVER () AS mean FROM (SELECT city_id, count(*) AS n FROM
 WHERE n < mean * 0.5 HAVING count(*) > 0"""
 
 
-put("dq_coverage", U, _coverage("SELECT * FROM u WHERE temperature > 52 OR incident_severity_score > 5.4"))
+put("dq_coverage", _union(_ALL_HOURS), """,
+g AS (SELECT DISTINCT table_source, capture_date FROM u),
+n AS (SELECT table_source, capture_date, city_id, count(*) AS n FROM u GROUP BY ALL)
+SELECT g.table_source, g.capture_date, 'warning' AS severity, 'data_coverage' AS category,
+       count(*) || ' villes sans données : ' || string_agg(city_name, ', ' ORDER BY c.city_id) AS message
+FROM g CROSS JOIN dim_city c
+WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.table_source = g.table_source AND n.capture_date = g.capture_date AND n.city_id = c.city_id)
+GROUP BY g.table_source, g.capture_date
+UNION ALL
+SELECT table_source, capture_date, 'info', 'data_coverage', count(*) || ' villes avec couverture faible'
+FROM (SELECT *, avg(n) OVER (PARTITION BY table_source, capture_date) AS mean FROM n)
+WHERE n < mean * 0.5 GROUP BY table_source, capture_date""", "capture_date")
 
 
 def _outlier(field: str) -> str:

@@ -706,7 +706,9 @@ def dq_limits(spark, sf):
 
 @query
 def dq_coverage(spark, sf):
-    return quality.check_coverage(_union(spark, sf), reference.dim_city(spark)).drop("details")
+    """Cities without or with few facts, per table and day; over all facts no city is short of any."""
+    facts = _union(spark, sf, ALL_HOURS)
+    return quality.check_coverage(facts, reference.dim_city(spark), ["table_source", "capture_date"]).drop("details")
 
 
 @query

@@ -70,11 +70,16 @@ def test_missing_query_looks_at_windows_of_the_facts(spark, monkeypatch):
 
 def test_coverage_query_counts_all_facts(spark, monkeypatch):
     cities = [r.city_id for r in reference.dim_city(spark).orderBy("city_id").collect()]
-    data = [(c, 10.0, 0.0) for c in cities[:-1] for _ in range(1 if c == cities[0] else 10)] + [(cities[1], 55.0, 9.0)]
-    frame = spark.createDataFrame(data, "city_id INT, temperature DOUBLE, incident_severity_score DOUBLE")
+    day, next_day = naive(2026, 1, 1).date(), naive(2026, 1, 2).date()
+    data = [(c, day) for c in cities[:-1] for _ in range(1 if c == cities[0] else 10)]
+    data += [(c, next_day) for c in cities] + [(0, naive(2026, 1, 3).date())]
+    frame = spark.createDataFrame(data, "city_id INT, capture_date DATE").withColumn("table_source", F.lit("t"))
     monkeypatch.setattr(queries, "_union", lambda *_: frame)
-    got = {r.severity: r.message for r in queries.QUERIES["dq_coverage"](spark, "").collect()}
-    assert got["warning"].startswith("1 villes sans") and got["info"].startswith("1 villes avec")
+    got = {(r.capture_date, r.severity): r.message for r in queries.QUERIES["dq_coverage"](spark, "").collect()}
+    assert got[("2026-01-01", "warning")].startswith("1 villes sans") and got[("2026-01-01", "info")].startswith("1 villes avec")
+    assert got[("2026-01-03", "warning")].startswith("10 villes sans") and len(got) == 3
+    whole = {r.severity: r.message for r in quality.check_coverage(frame.limit(0), reference.dim_city(spark)).collect()}
+    assert list(whole) == ["warning"] and whole["warning"].startswith("10 villes")
 
 
 def test_report_strictness(spark):
