@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ecostar.llm import exact, language, licenses, mixing, packing, simhash, tokenfiles, toxicity, urls, vectors
+from ecostar.llm import codes, exact, language, licenses, mixing, packing, simhash, tokenfiles, toxicity, urls, vectors, whitening, wrapper
 from ecostar.llm.common import fold, table
 
 
@@ -61,17 +61,30 @@ def op10_exact(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf, "documents"))
 
 
+def op11_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.encode(table(spark, sf, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+def op13_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return wrapper.articles(table(spark, sf, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_licenses, op3_simhash, op4_urls, op5_embeddings, op6_language, op7_packing, op8_mixing,
-        op9_token_files, op10_exact,
+        op9_token_files, op10_exact, op11_codes, op12_whitening, op13_articles,
     )
 }
 
 ORACLE = {
     "op2_licenses": licenses.scan_sql(),
     "op4_urls": urls.tree_sql(),
+    "op11_codes": codes.codes_sql(),
     "op10_exact": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
