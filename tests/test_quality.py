@@ -1,4 +1,6 @@
 import random
+from decimal import Decimal
+from fractions import Fraction
 
 import pandas as pd
 from helpers import naive, rows, utc
@@ -123,3 +125,27 @@ def test_rolling_equals_pandas(spark):
             assert z[r.id] is None
         else:
             assert abs(z[r.id] - (r.v - w30.mean()) / sd) < 1e-6
+
+
+def test_rolling_keeps_six_decimals(spark):
+    """Values that differ in the sixth decimal only, beside a large level, many of them in one minute and some in one instant."""
+    random.seed(11)
+    data = [("a", 86_400_000_000 * 5 + random.randint(0, 59_999_999), random.randint(0, 99)) for _ in range(300)]
+    data += [("a", random.randint(0, 40 * 86_400_000_000), random.randint(0, 99)) for _ in range(200)] + [("a", 7, 5), ("a", 7, 6)]
+    data += [("b", 7, 1)]
+    frame = spark.createDataFrame([(i, k, us, Decimal(1_234_567_000_000 + x) / 1_000_000) for i, (k, us, x) in enumerate(data)], "id INT, k STRING, us BIGINT, d DECIMAL(18,6)")
+    frame = frame.withColumns({"ts": F.timestamp_micros("us"), "v": F.col("d").cast("double")})
+    for col in ("v", "d"):
+        mean = {r.id: r[f"{col}_mean_7d"] for r in rolling.rolling_mean(frame, "k", "ts", col, 7).collect()}
+        z = {r.id: r[f"{col}_z_30d"] for r in rolling.rolling_z(frame, "k", "ts", col, 30).collect()}
+        for i, (k, us, x) in enumerate(data):
+            week = [y for c, u, y in data if c == k and us - 7 * 86_400_000_000 <= u <= us]
+            month = [y for c, u, y in data if c == k and us - 30 * 86_400_000_000 <= u <= us]
+            assert mean[i] == float(Fraction(1_234_567_000_000 * len(week) + sum(week), 1_000_000 * len(week)))
+            n, s, ss = len(month), sum(month), sum(y * y for y in month)
+            if n * ss == s * s:
+                assert z[i] is None
+            else:
+                assert abs(z[i] - (x - s / n) / ((n * ss - s * s) / (n * (n - 1))) ** 0.5) < 1e-9
+    odd = spark.sql("SELECT 1 AS id, 'k' AS k, TIMESTAMP '2026-01-01 00:00:00' AS ts, v FROM VALUES (double('NaN')), (double('Infinity')), (1D), (NULL) AS t(v)")
+    assert {r.v_mean_7d for r in rolling.rolling_mean(odd, "k", "ts", "v").collect()} == {1.0}
