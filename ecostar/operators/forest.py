@@ -1,30 +1,44 @@
-"""Isolation forest: seeded samples and trees grown on Spark, a bounded model, vectorised scores."""
+"""Isolation forest: sampled, grown and walked by DataFrame expressions alone.
+
+All trees are one frame. A tree is grown level by level: its sampled rows stay in one
+partition, every level is a window over their nodes, and all random numbers are digests
+of the seed, the tree and the node, so a tree is the same wherever it is grown. Splits
+lie between the extremes of a feature, so scaling the features would change nothing.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ecostar.operators.anomalies import FOREST_SCORE, exploded, forest_hit, value_of
+from ecostar.sources.warehouse import stage
 
 FEATURES = ("temperature", "humidity", "pressure", "aqi", "pm2_5", "pm10")
 REQUIRED = ("temperature", "humidity", "pressure", "aqi")
-SAMPLE = 256
+SAMPLE, DEPTH = 256, 8
 MIN_ROWS = 100
+#: A prime below 2^53: the draws of a row for all trees are h1 + tree * h2 modulo it, so two trees draw independently.
+PRIME = (1 << 53) - 111
+#: Rows per tree that a draw lets through to the ranking, of which ``SAMPLE`` stay.
+NEAR = 4 * SAMPLE
+#: Paths are whole millionths, so that their sums don't depend on an order; scores have as many digits.
+UNIT, DIGITS = 1_000_000, 6
+EULER = 0.5772156649015329
+
+NODES = "tree INT, node INT, feature INT, cut DOUBLE, n BIGINT, path BIGINT"
+
 
-NODES = (
-    "tree INT, node INT, feature INT, cut DOUBLE, left_node INT, right_node INT, path DOUBLE"
-)
+def mean_path(n: str) -> str:
+    """SQL for the average path length of an unsuccessful search among ``n`` rows."""
+    return (
+        f"CASE WHEN {n} > 2 THEN 2D * (ln({n} - 1D) + {EULER}D) - 2D * ({n} - 1D) / {n} WHEN {n} = 2 THEN 1D ELSE 0D END"
+    )
 
 
-def mean_path(n):
-    """Average path length of an unsuccessful search among ``n`` rows."""
-    n = np.asarray(n, dtype=float)
-    big = 2.0 * (np.log(np.maximum(n - 1.0, 1.0)) + np.euler_gamma) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
-    return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
+def _bits(digest: str, first: int, digits: int) -> str:
+    return f"CAST(conv(substring({digest}, {first}, {digits}), 16, 10) AS BIGINT)"
 
 
 def training_rows(facts: DataFrame, limit: int | None = None) -> DataFrame:
@@ -36,154 +50,115 @@ def training_rows(facts: DataFrame, limit: int | None = None) -> DataFrame:
     return rows.dropna(subset=list(REQUIRED)).fillna(0.0, subset=list(FEATURES))
 
 
-def scaling(rows: DataFrame) -> dict[str, float]:
-    """Row count, mean and population deviation per feature (deviation 0 counts as 1)."""
-    stats = rows.agg(
-        F.count("*").alias("n"),
-        *(F.avg(f).alias(f"mean_{f}") for f in FEATURES),
-        *(F.stddev_pop(f).alias(f"std_{f}") for f in FEATURES),
-    ).first()
-    out = stats.asDict()
-    for f in FEATURES:
-        out[f"std_{f}"] = out[f"std_{f}"] or 1.0
-    return out
-
+def tree_samples(rows: DataFrame, trees: int, seed: int) -> DataFrame:
+    """(tree, measure_id, x): per tree the ``SAMPLE`` rows with the smallest draws, all rows where there are fewer.
 
-def _scaled(f: str, scale: dict) -> Column:
-    return ((F.col(f) - scale[f"mean_{f}"]) / scale[f"std_{f}"]).alias(f)
+    A row is sent only to the trees for which its draw is small enough to matter, NEAR rows
+    a tree in expectation, so the history is not multiplied by the number of trees.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col("measure_id").cast("string")))
+    halves = rows.select(
+        "measure_id", F.array(*FEATURES).alias("x"), digest.alias("digest"), rows.agg(F.count("*")).scalar().alias("total")
+    ).selectExpr(
+        "measure_id", "x", f"{_bits('digest', 1, 15)} % {PRIME} AS h1", f"{_bits('digest', 17, 15)} % {PRIME} AS h2",
+        f"CAST({PRIME} * least(1D, {NEAR}D / total) AS BIGINT) AS near",
+    )
+    drawn = halves.selectExpr(
+        "measure_id", "x",
+        f"explode(filter(transform(sequence(1, {trees}), t -> named_struct('tree', t, 'draw', (h1 + t * h2) % {PRIME})), d -> d.draw < near)) AS d",
+    ).select("d.tree", "d.draw", "measure_id", "x")
+    smallest = W.partitionBy("tree").orderBy("draw", "measure_id")
+    return drawn.withColumn("rank", F.row_number().over(smallest)).filter(F.col("rank") <= SAMPLE).select("tree", "measure_id", "x")
 
 
-def tree_samples(rows: DataFrame, n: int, trees: int, seed: int) -> DataFrame:
-    """Per tree the ``SAMPLE`` rows with the smallest seeded hashes.
+def grow_trees(samples: DataFrame, seed: int) -> DataFrame:
+    """Node table of the forest (``NODES``): node 1 is a root, 2i and 2i + 1 the children of i; a leaf has feature -1.
 
-    A row is sent only to the trees for which its hash is small enough to matter,
-    about four times the sample in all, so the history is not multiplied by the
-    number of trees.
+    One shuffle brings a tree's rows together; the windows of all levels need no other.
     """
-    grid = 1 << 40
-    near = grid if n <= 4 * SAMPLE else int(grid * 4 * SAMPLE / n)
-    draws = F.transform(
-        F.sequence(F.lit(1), F.lit(trees)),
-        lambda t: F.struct(
-            t.alias("tree"),
-            F.pmod(F.xxhash64(F.lit(seed), t, F.col("measure_id")), F.lit(grid)).alias("draw"),
-        ),
+    rows = samples.withColumns({"size": F.count("*").over(W.partitionBy("tree")), "node": F.lit(1), "seen": F.array()})
+    k = range(len(FEATURES))
+    for _ in range(DEPTH + 1):
+        here = W.partitionBy("tree", "node")
+        rows = rows.withColumns({
+            "n": F.count("*").over(here),
+            "lo": F.array(*(F.min(F.col("x")[i]).over(here) for i in k)),
+            "hi": F.array(*(F.max(F.col("x")[i]).over(here) for i in k)),
+        })
+        rows = rows.selectExpr("*", f"filter(sequence(0, {len(FEATURES) - 1}), i -> hi[i] > lo[i]) AS wide", f"md5(concat('{seed}|', tree, '|', node)) AS digest")
+        rows = rows.selectExpr(
+            "*",
+            "CASE WHEN n > 1 AND size(wide) > 0 AND floor(log2(node)) < ceil(log2(greatest(size, 2))) "
+            f"THEN wide[CAST({_bits('digest', 1, 8)} % size(wide) AS INT)] ELSE -1 END AS feature",
+        )
+        rows = rows.selectExpr("*", f"CASE WHEN feature >= 0 THEN lo[feature] + (hi[feature] - lo[feature]) * ({_bits('digest', 9, 8)} / 4294967296D) END AS drawn")
+        rows = rows.selectExpr("*", "CASE WHEN feature >= 0 THEN IF(drawn >= hi[feature], lo[feature], drawn) END AS cut")
+        rows = rows.selectExpr(
+            "tree", "x", "size", "CASE WHEN feature < 0 THEN node WHEN x[feature] <= cut THEN 2 * node ELSE 2 * node + 1 END AS node",
+            "concat(seen, array(struct(node, feature, cut, n))) AS seen",
+        )
+    path = f"CAST(round({UNIT} * (floor(log2(node)) + {mean_path('n')})) AS BIGINT)"
+    return rows.select("tree", F.explode("seen").alias("s")).select("tree", "s.*").distinct().selectExpr(
+        "CAST(tree AS INT) AS tree", "CAST(node AS INT) AS node", "CAST(feature AS INT) AS feature", "cut", "n", f"{path} AS path"
     )
-    drawn = rows.select(
-        *FEATURES, "measure_id", F.explode(F.filter(draws, lambda d: d["draw"] < near)).alias("d")
-    ).select("d.tree", "d.draw", "measure_id", *FEATURES)
-    smallest = W.partitionBy("tree").orderBy("draw", "measure_id")
-    return drawn.withColumn("rank", F.row_number().over(smallest)).filter(F.col("rank") <= SAMPLE)
-
-
-def _grow(seed: int):
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        tree = int(pdf["tree"].iloc[0])
-        x = pdf[list(FEATURES)].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        depth_limit = int(np.ceil(np.log2(max(len(x), 2))))
-        nodes: list[list] = []
-
-        def split(idx: np.ndarray, depth: int) -> int:
-            me = len(nodes)
-            nodes.append([tree, me, -1, 0.0, -1, -1, depth + float(mean_path(len(idx)))])
-            part = x[idx]
-            spread = np.flatnonzero(part.max(axis=0) > part.min(axis=0))
-            if depth >= depth_limit or len(idx) <= 1 or not len(spread):
-                return me
-            f = int(rng.choice(spread))
-            low, high = part[:, f].min(), part[:, f].max()
-            cut = rng.uniform(low, high)
-            goes_left = part[:, f] <= cut
-            if goes_left.all():
-                return me
-            left = split(idx[goes_left], depth + 1)
-            right = split(idx[~goes_left], depth + 1)
-            nodes[me][2:6] = [f, float(cut), left, right]
-            return me
-
-        split(np.arange(len(x)), 0)
-        return pd.DataFrame(nodes, columns=[c.split(" ")[0] for c in NODES.split(", ")])
-
-    return grow
-
-
-def grow_trees(samples: DataFrame, scale: dict, seed: int) -> DataFrame:
-    """Node table of the forest; each group holds at most ``SAMPLE`` rows."""
-    scaled = samples.select("tree", "rank", *(_scaled(f, scale) for f in FEATURES))
-    return scaled.groupBy("tree").applyInPandas(_grow(seed), NODES)
 
 
 @dataclass
 class Forest:
-    """A trained model. Its size is bounded by trees x 511 nodes, whatever it was trained on."""
+    """A trained model: a stored table of at most trees x 511 nodes, whatever it was trained on."""
 
-    nodes: pd.DataFrame
-    scale: dict
+    nodes: DataFrame
+    trees: int
     sample: int
     threshold: float | None = None
 
 
 def train_forest(
-    facts: DataFrame,
-    limit: int | None = None,
-    trees: int = 100,
-    contamination: float = 0.05,
-    seed: int = 42,
-) -> Forest | None:
-    """A forest, or None with fewer than ``MIN_ROWS`` usable rows."""
-    rows = training_rows(facts, limit)
-    scale = scaling(rows)
-    if scale["n"] < MIN_ROWS:
+    facts: DataFrame, limit: int | None = None, trees: int = 100, contamination: float = 0.05, seed: int = 42,
+) -> Forest | None:
+    """A forest, or None with fewer than ``MIN_ROWS`` usable rows. Only its row count and threshold reach the driver."""
+    rows = stage(training_rows(facts, limit), "forest-rows")
+    total = rows.count()
+    if total < MIN_ROWS:
         return None
-    nodes = grow_trees(tree_samples(rows, scale["n"], trees, seed), scale, seed).toPandas()
-    forest = Forest(nodes, scale, min(SAMPLE, scale["n"]))
-    scored = rows.select(score(forest, {f: F.col(f) for f in FEATURES}).alias("score"))
-    cut = F.percentile_approx("score", F.lit(contamination), F.lit(100000))
-    forest.threshold = float(scored.agg(cut).first()[0])
+    nodes = stage(grow_trees(tree_samples(rows, trees, seed), seed), "forest-nodes")
+    forest = Forest(nodes, trees, min(SAMPLE, total))
+    forest.threshold = threshold(scored(rows, forest, {f: F.col(f) for f in FEATURES}), contamination)
     return forest
 
 
-def _descend(tables, x: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
-    for feature, cut, left, right, path in tables:
-        at = np.zeros(len(x), dtype=np.int64)
-        while True:
-            f = feature[at]
-            inner = f >= 0
-            if not inner.any():
-                break
-            value = x[rows, np.where(inner, f, 0)]
-            at = np.where(inner, np.where(value <= cut[at], left[at], right[at]), at)
-        total += path[at]
-    return total / len(tables)
-
-
-def score(forest: Forest, features: dict[str, Column]) -> Column:
-    """Score in [-1, 0], lower is stranger; a missing value counts as 0."""
-    tables = []
-    for _, t in forest.nodes.sort_values(["tree", "node"]).groupby("tree"):
-        tables.append(
-            tuple(t[c].to_numpy() for c in ("feature", "cut", "left_node", "right_node", "path"))
-        )
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(tables)
-    means = np.array([forest.scale[f"mean_{f}"] for f in FEATURES])
-    stds = np.array([forest.scale[f"std_{f}"] for f in FEATURES])
-    usual = float(mean_path(forest.sample))
+def threshold(scores: DataFrame, contamination: float) -> float:
+    """The score at the share ``contamination`` from below; counted per rounded score, so at most 10^DIGITS rows meet."""
+    counts = scores.groupBy(FOREST_SCORE).agg(F.count("*").alias("n"))
+    upto = W.orderBy(FOREST_SCORE).rowsBetween(W.unboundedPreceding, 0)
+    ranked = counts.select(FOREST_SCORE, F.sum("n").over(upto).alias("upto"), F.sum("n").over(W.partitionBy()).alias("total"))
+    return ranked.filter(F.col("upto") >= F.col("total") * contamination).agg(F.min(FOREST_SCORE)).first()[0]
+
+
+def _arrays(forest: Forest) -> Column:
+    """The whole forest as one value: per tree the nodes in order; a right child follows its left one."""
+    in_order = F.array_sort(F.collect_list(F.struct("node", "feature", "cut", "path"))).alias("a")
+    trees = forest.nodes.groupBy("tree").agg(in_order).selectExpr(
+        "transform(a, v -> v.feature) AS f", "transform(a, v -> v.cut) AS c", "transform(a, v -> v.path) AS p",
+        "transform(a, v -> CAST(array_position(transform(a, u -> u.node), 2 * v.node) AS INT)) AS left",
+    )
+    return trees.agg(F.collect_list(F.struct("f", "c", "p", "left"))).scalar()
 
-    @F.pandas_udf("double")
-    def isolation(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series, g: pd.Series) -> pd.Series:
-        x = np.column_stack([s.to_numpy(dtype=float) for s in (a, b, c, d, e, g)])
-        x = (np.nan_to_num(x) - means) / stds
-        return pd.Series(-np.power(2.0, -_descend(shared.value, x) / usual))
 
-    return isolation(*(features[f].cast("double") for f in FEATURES))
+def scored(df: DataFrame, forest: Forest, features: dict[str, Column]) -> DataFrame:
+    """``df`` with its ``forest_score`` in [-1, 0], lower is stranger; a missing value counts as 0."""
+    values = F.array(*(F.coalesce(F.nanvl(features[f].cast("double"), F.lit(0.0)), F.lit(0.0)) for f in FEATURES))
+    step = "IF(t.f[at] < 0, at, t.left[at] - IF(_x[t.f[at]] <= t.c[at], 1, 0))"
+    walk = f"aggregate(sequence(1, {DEPTH}), 0, (at, _) -> {step})"
+    total = f"aggregate(_forest, 0L, (sum, t) -> sum + t.p[{walk}])"
+    usual = mean_path(str(forest.sample))
+    return df.withColumns({"_forest": _arrays(forest), "_x": values}).withColumn(
+        FOREST_SCORE, F.expr(f"round(-power(2D, -({total} / {forest.trees * UNIT}D) / ({usual})), {DIGITS})")
+    ).drop("_forest", "_x")
 
 
 def scored_measures(measures: DataFrame, forest: Forest) -> DataFrame:
-    return measures.withColumn(FOREST_SCORE, score(forest, {f: value_of(f) for f in FEATURES}))
+    return scored(measures, forest, {f: value_of(f) for f in FEATURES})
 
 
 def forest_hits(measures: DataFrame, forest: Forest) -> DataFrame:

@@ -596,6 +596,86 @@ SELECT h.city_id, city_name, captured_at, anomaly_type, severity, field_name, ac
 FROM hits h JOIN summary s ON h.city_id = s.city_id AND h.lake_hour = s.lake_hour
 JOIN dim_city c ON h.city_id = c.city_id
 WHERE NOT bad OR severity = 'critical'""", "captured_at")
+# The forest: 100 trees of 256 rows at most, 8 levels, contamination 5 %, seed 42.
+_PRIME, _TREES, _SAMPLE, _UNIT = 9007199254740881, 100, 256, 1000000
+
+
+def _hex(digest: str, first: int, digits: int) -> str:
+    return f"CAST('0x' || substr({digest}, {first}, {digits}) AS BIGINT)"
+
+
+def _usual(n: str) -> str:
+    return (f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1.0::DOUBLE) / {n} "
+            f"WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
+
+
+_X = "[" + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in ("temperature", "humidity", "pressure", "aqi_index", "pm25", "pm10")) + "]"
+FOREST = MEASURES + f""",
+bad AS (SELECT DISTINCT city_id, lake_hour FROM ({RULE_HITS})),
+usable AS (
+  SELECT {_MEASURE_ID} AS measure_id, m.*, {_X} AS x FROM measures m ANTI JOIN bad b ON m.city_id = b.city_id AND m.lake_hour = b.lake_hour
+  WHERE temperature IS NOT NULL AND humidity IS NOT NULL AND pressure IS NOT NULL AND aqi_index IS NOT NULL
+),
+halves AS (
+  SELECT measure_id, x, {_hex("h", 1, 15)} % {_PRIME} AS h1, {_hex("h", 17, 15)} % {_PRIME} AS h2
+  FROM (SELECT measure_id, x, md5('42|' || measure_id) AS h FROM usable)
+),
+sampled AS (
+  SELECT tree, x FROM halves, range(1, {_TREES} + 1) t(tree)
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (h1 + tree * h2) % {_PRIME}, measure_id) <= {_SAMPLE}
+),
+l0 AS (SELECT tree, x, count(*) OVER (PARTITION BY tree) AS size, 1 AS node, FALSE AS done FROM sampled),""" + ",".join(f"""
+g{k} AS (
+  SELECT *, count(*) OVER w AS n, {"[" + ", ".join(f"min(x[{i}]) OVER w" for i in range(1, 7)) + "]"} AS lo,
+         {"[" + ", ".join(f"max(x[{i}]) OVER w" for i in range(1, 7)) + "]"} AS hi, md5('42|' || tree || '|' || node) AS h
+  FROM l{k} WHERE NOT done WINDOW w AS (PARTITION BY tree, node)
+),
+s{k} AS (
+  SELECT *, CASE WHEN n > 1 AND len(wide) > 0 AND {k} < ceil(log2(greatest(size, 2)))
+                 THEN wide[{_hex("h", 1, 8)} % len(wide) + 1] ELSE -1 END AS feature
+  FROM (SELECT *, [i FOR i IN [0, 1, 2, 3, 4, 5] IF hi[i + 1] > lo[i + 1]] AS wide FROM g{k})
+),
+c{k} AS (
+  SELECT *, CASE WHEN feature >= 0 THEN CASE WHEN drawn >= hi[feature + 1] THEN lo[feature + 1] ELSE drawn END END AS cut
+  FROM (SELECT *, CASE WHEN feature >= 0 THEN lo[feature + 1] + (hi[feature + 1] - lo[feature + 1])
+                                              * ({_hex("h", 9, 8)} / 4294967296.0::DOUBLE) END AS drawn FROM s{k})
+),
+l{k + 1} AS (SELECT tree, x, size, CASE WHEN feature < 0 THEN node WHEN x[feature + 1] <= cut THEN 2 * node ELSE 2 * node + 1 END AS node,
+             feature < 0 AS done FROM c{k}),
+n{k} AS (SELECT DISTINCT tree, node, feature, cut, n, CAST(round({_UNIT} * ({k} + {_usual("n")})) AS BIGINT) AS path FROM c{k})""" for k in range(9)) + """,
+nodes AS MATERIALIZED (""" + " UNION ALL ".join(f"SELECT * FROM n{k}" for k in range(9)) + """),"""
+
+
+def _walk(rows: str, name: str) -> str:
+    """Rows with the score of their walks, one step per level."""
+    steps = "".join(f""",
+{name}{k + 1} AS (
+  SELECT p.* REPLACE (CASE WHEN feature < 0 THEN p.node WHEN x[feature + 1] <= cut THEN 2 * p.node ELSE 2 * p.node + 1 END AS node)
+  FROM {name}{k} p JOIN nodes ON p.tree = nodes.tree AND p.node = nodes.node)""" for k in range(8))
+    sample = f"(SELECT least({_SAMPLE}, count(*)) FROM usable)"
+    return f"""
+{name}0 AS (SELECT measure_id, x, tree, 1 AS node FROM {rows}, range(1, {_TREES} + 1) t(tree)){steps},
+{name} AS (
+  SELECT measure_id, round(-pow(2.0::DOUBLE, -(CAST(sum(path) AS DOUBLE) / {_TREES * _UNIT}.0::DOUBLE) / ({_usual(sample)})), 6) AS score
+  FROM {name}8 p JOIN nodes ON p.tree = nodes.tree AND p.node = nodes.node GROUP BY measure_id)"""
+
+
+_THRESHOLD = """,
+bar AS (
+  SELECT min(score) AS threshold
+  FROM (SELECT score, sum(count(*)) OVER (ORDER BY score) AS upto, sum(count(*)) OVER () AS total FROM trained GROUP BY score)
+  WHERE upto >= total * 0.05::DOUBLE)"""
+put("iforest_train", FOREST + _walk("usable", "trained") + _THRESHOLD, """
+SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature, round(cut, 6) AS cut, n, path, threshold
+FROM nodes CROSS JOIN bar WHERE (SELECT count(*) FROM usable) >= 100""")
+put("iforest_score", FOREST + _walk("usable", "trained") + _THRESHOLD + f""",
+everything AS (SELECT {_MEASURE_ID} AS measure_id, m.*, {_X} AS x FROM measures m),""" + _walk("everything", "judged"), """
+SELECT city_id, lake_hour, captured_at, severity, 'multivariate' AS field_name, score AS anomaly_score,
+       CASE WHEN severity IN ('low', 'medium') THEN 'flagged' ELSE 'rejected' END AS action_taken
+FROM (SELECT *, CASE WHEN score < -0.8 THEN 'critical' WHEN score < -0.6 THEN 'high' WHEN score < -0.4 THEN 'medium' ELSE 'low' END AS severity
+      FROM everything JOIN judged USING (measure_id) CROSS JOIN bar WHERE score < threshold AND (SELECT count(*) FROM usable) >= 100)""",
+    "lake_hour captured_at")
+
 put("rolling_zscore_30d", FACTS, """
 SELECT city_id, captured_at, temperature,
        CASE WHEN temperature IS NOT NULL THEN

@@ -551,34 +551,27 @@ def zscore_anomalies(spark, sf):
     return hits.drop("description").withColumns({c: _r(c, 4) for c in _HIT_NUMBERS})
 
 
-def _forest(spark, sf, limit=None):
+def _forest(spark, sf):
     judged = anomalies.judge(v.measures(spark, sf)).withColumn(
         "measure_id", m.measure_id()
     )
-    return judged, forest.train_forest(judged, limit=limit)
+    return judged, forest.train_forest(judged)
 
 
 @query
 def iforest_train(spark, sf):
-    """Trees of a forest trained on the whole history: nodes, leaves and mean depth."""
-    _, model = _forest(spark, sf, limit=None)
+    """The nodes of a forest trained on the whole history, and its threshold."""
+    _, model = _forest(spark, sf)
     if model is None:
-        return _empty(spark, "tree INT, nodes BIGINT, leaves BIGINT, path DOUBLE, threshold DOUBLE")
-    nodes = spark.createDataFrame(model.nodes, forest.NODES)
-    leaf = F.col("feature") < 0
-    return nodes.groupBy("tree").agg(
-        F.count("*").alias("nodes"), F.count_if(leaf).alias("leaves"), F.avg(F.when(leaf, F.col("path"))).alias("path")
-    ).withColumn("threshold", F.lit(model.threshold))
+        return _empty(spark, f"{forest.NODES}, threshold DOUBLE")
+    return model.nodes.withColumns({"cut": _r("cut"), "threshold": F.lit(model.threshold)})
 
 
 @query
 def iforest_score(spark, sf):
     judged, model = _forest(spark, sf)
     hits = anomalies.rule_hits(judged).limit(0) if model is None else forest.forest_hits(judged, model)
-    return hits.select(
-        "city_id", "lake_hour", "captured_at", "severity", "field_name", _r("anomaly_score").alias("anomaly_score"),
-        "action_taken",
-    )
+    return hits.select("city_id", "lake_hour", "captured_at", "severity", "field_name", "anomaly_score", "action_taken")
 
 
 def _judged(spark, sf):
