@@ -22,6 +22,11 @@ def is_object(text: Column) -> Column:
     return F.coalesce(F.trim(text).startswith("{"), F.lit(False))
 
 
+def is_readable(text: Column) -> Column:
+    """Whether the text is one whole JSON object."""
+    return F.coalesce(is_object(text) & F.json_object_keys(text).isNotNull(), F.lit(False))
+
+
 def weather_struct(raw: Column) -> Column:
     return F.from_json(payload_text(raw), schemas.WEATHER_PAYLOAD, JSON)
 

@@ -34,14 +34,8 @@ def dedup(lake: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entries.join(winners, "id", "left_semi"), entries.join(winners, "id", "left_anti")
 
 
-def combine(lake: DataFrame) -> DataFrame:
-    """One measure per city and UTC hour from its weather and/or air entry.
-
-    Both sources are parsed in one scan, then one aggregation picks per field the
-    value of the largest weather id and of the largest air id. This is the
-    per-source deduplication and the full outer join of the two sources at the
-    price of a single shuffle of partially aggregated numbers.
-    """
+def readings(lake: DataFrame) -> DataFrame:
+    """Weather and air entries with their values, in one scan; ``ok`` is whether an object was read."""
     raw, source = F.col("raw_data"), F.col("source")
     is_weather, is_air = source == schemas.WEATHER, source == schemas.AIR
     text = p.payload_text(raw)
@@ -64,7 +58,7 @@ def combine(lake: DataFrame) -> DataFrame:
     # Rain and snow default to 0 only where a weather object was read.
     for name in ("rain_1h", "snow_1h"):
         weather[name] = f"CASE WHEN ok AND wid IS NOT NULL THEN {weather[name]} END"
-    flat = entries.selectExpr(
+    return entries.selectExpr(
         "city_id",
         "collected_at",
         "lake_hour",
@@ -74,6 +68,28 @@ def combine(lake: DataFrame) -> DataFrame:
         *(f"{weather[c]} AS {c}" for c in schemas.WEATHER_COLUMNS),
         *(f"{p.AIR_FIELDS[c]} AS {c}" for c in schemas.AIR_COLUMNS),
     )
+
+
+def reading_rejects(readings: DataFrame, dim_date: DataFrame, as_of: Column) -> DataFrame:
+    """(id, reason) of entries whose day the calendar lacks or whose values don't fit the warehouse.
+
+    Each entry is judged by itself, so the outcome doesn't depend on how entries were cut
+    into batches, nor on whether a later twin of its hour replaces it.
+    """
+    days = dim_date.select(F.col("date_value").alias("day"), F.lit(True).alias("known"))
+    dated = readings.withColumn("day", F.to_date(expr.clamp_to(F.col("collected_at"), as_of))).join(days, "day", "left")
+    reason = F.when(F.col("known").isNull(), "date_out_of_range").when(~fits_warehouse(), "numeric_overflow")
+    return dated.select(F.coalesce("wid", "aid").alias("id"), reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def combine(lake: DataFrame) -> DataFrame:
+    """One measure per city and UTC hour from its weather and/or air entry.
+
+    Both sources are parsed in one scan, then one aggregation picks per field the
+    value of the largest weather id and of the largest air id. This is the
+    per-source deduplication and the full outer join of the two sources at the
+    price of a single shuffle of partially aggregated numbers.
+    """
     picks = [
         "coalesce(max_by(collected_at, wid), max_by(collected_at, aid)) AS captured_at",
         "max(wid) AS weather_lake_id",
@@ -85,7 +101,7 @@ def combine(lake: DataFrame) -> DataFrame:
         *(f"max_by({c}, wid) AS {c}" for c in schemas.WEATHER_COLUMNS),
         *(f"max_by({c}, aid) AS {c}" for c in schemas.AIR_COLUMNS),
     ]
-    return flat.groupBy("city_id", "lake_hour").agg(*map(F.expr, picks))
+    return readings(lake).groupBy("city_id", "lake_hour").agg(*map(F.expr, picks))
 
 
 def incomplete(measures: DataFrame, as_of: Column) -> DataFrame:

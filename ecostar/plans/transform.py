@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ecostar import schemas
-from ecostar.functions import expr
+from ecostar.functions import expr, payload
 from ecostar.operators import anomalies, dimensions, forest as iforest, measures as m, parse, traffic, water
 from ecostar.sources import lake as lake_io, reference
-from ecostar.sources.warehouse import append_table, read_table, replace_partitions, stage, staged_days, staging
+from ecostar.sources.warehouse import Batch, read_table, stage, staged_days, staging
 
 HITS = (
     "ARRAY<STRUCT<anomaly_type: STRING, severity: STRING, field_name: STRING, actual_value: DOUBLE, "
@@ -104,6 +105,11 @@ def affected(lake: DataFrame, hours: DataFrame, *sources: str) -> DataFrame:
     )
 
 
+def readable(entries: DataFrame) -> DataFrame:
+    """Entries whose payload is a whole JSON object."""
+    return entries.filter(payload.is_readable(payload.payload_text(F.col("raw_data"))))
+
+
 def run_batch(
     spark: SparkSession,
     batch: DataFrame,
@@ -112,6 +118,8 @@ def run_batch(
     as_of: dt.datetime,
     forest: iforest.Forest | None = None,
     stats: DataFrame | None = None,
+    stream: str | None = None,
+    epoch: int = 0,
 ) -> None:
     """Transform one batch of lake entries into the warehouse under ``root``.
 
@@ -121,95 +129,112 @@ def run_batch(
     Records that feed both a dimension and a fact are parsed once and staged. So are
     the touched hours and the city statistics: from their real size the planner sees
     whether it may broadcast them, and a broadcast prunes the partitions to read.
+
+    All tables are written through the ledger (``warehouse.Batch``): a batch that is cut
+    off at any point and run again leaves the same tables. Every entry gets an outcome,
+    ``processed`` or why it failed.
     """
     with staging(spark):
-        _run_batch(spark, batch, lake, root, as_of, forest, stats)
+        writes = Batch(spark, root, stream, epoch)
+        if not writes.published:
+            _run_batch(spark, batch, lake, root, as_of, forest, stats, writes)
+            writes.commit()
 
 
-def _run_batch(spark, batch, lake, root, as_of, forest, stats) -> None:
-    at = F.lit(as_of)
+def _run_batch(spark, batch, lake, root, as_of, forest, stats, writes) -> None:
+    begun, at = time.monotonic(), F.lit(as_of)
     dim_date, dim_weather = reference.dim_date(spark), reference.dim_weather_condition(spark)
+    known = [s for family in schemas.FAMILIES.values() for s in family]
+    present = {r["source"] for r in batch.filter(F.col("source").isin(*known)).select("source").distinct().collect()}
+    contract = readable(batch)
+    unreadable = batch.filter(F.col("source").isin(*known) & ~payload.is_readable(payload.payload_text(F.col("raw_data"))))
+    rejects = [
+        lake_io.route(batch)["rejects"].select("id", "reason"),
+        unreadable.select("id", F.lit("bad_payload").alias("reason")),
+    ]
+
+    def lacking(records: DataFrame, key: str) -> DataFrame:
+        return records.filter(F.col(key).isNull()).select("id", F.lit("missing_key").alias("reason"))
+
+    def dated(rows: DataFrame) -> DataFrame:
+        """Rows of known days; the others are rejects."""
+        ok, no_date = m.date_gate(rows, dim_date, "date_value")
+        rejects.append(no_date.select("id", "reason"))
+        return ok
+
+    if present & {schemas.WEATHER, schemas.AIR}:
+        city_hours = staged_days(touched(batch, schemas.WEATHER, schemas.AIR), "collected_date")
+        old = read_table(spark, root, "judged_measures", JUDGED)
+        if stats is None:
+            month = fact_measures(spark, root, at - F.make_dt_interval(days=F.lit(30)))
+            stats = stage(anomalies.city_stats(month, at, 30), "city-stats")
+        judged = judged_measures(affected(lake, city_hours, schemas.WEATHER, schemas.AIR), at, stats, forest)
+        fresh = judged_rows(judged, dim_weather, dim_date, at)
+        keys = city_hours.select("city_id", "lake_hour")
+        same_days = old.join(
+            city_hours.select(F.col("collected_date").alias("lake_date")).distinct(), "lake_date", "left_semi"
+        )
+        kept = same_days.join(keys, ["city_id", "lake_hour"], "left_anti")
+        writes.write(kept.unionByName(fresh), "judged_measures", "lake_date", replace=True)
+        rejects.append(m.reading_rejects(m.readings(batch), dim_date, at))
+
+    if schemas.FLOW in present:
+        flows = stage(parse.flow_records(contract), "flow-records").withColumn("date_value", F.to_date("collected_at"))
+        rejects.append(lacking(flows, "code_point"))
+        flows = dated(flows).drop("date_value")
+        points = _grow_dimension(
+            writes, "dim_traffic_point", dimensions.TRAFFIC_POINT,
+            lambda dim: dimensions.traffic_points(dim, flows), ["city_id", "code_point"],
+        )
+        old_flow = read_table(spark, root, "fact_traffic_flow_hourly", traffic.FLOW_FACT)
+        new_flow = traffic.load_flow(old_flow, flows, points, within="date_value").drop("id")
+        writes.write(new_flow, "fact_traffic_flow_hourly", "date_value")
+
+    if schemas.INCIDENTS in present:
+        hours = staged_days(touched(batch, schemas.INCIDENTS), "collected_date")
+        incidents = stage(parse.incident_records(readable(affected(lake, hours, schemas.INCIDENTS))), "incident-records")
+        incidents = dated(incidents.withColumn("date_value", F.to_date("collected_at")))
+        rejects += [lacking(incidents, "categorie_incident"), traffic.scored_incidents(incidents)[1].select("id", "reason")]
+        categories = _grow_dimension(
+            writes, "dim_incident_category", dimensions.INCIDENT_CATEGORY,
+            lambda dim: dimensions.incident_categories(dim, incidents), ["icon_category"],
+        )
+        new_incidents = traffic.load_incidents(incidents.drop("date_value"), categories)
+        old_incidents = read_table(spark, root, "fact_traffic_incident_hourly", traffic.INCIDENT_FACT)
+        hour_keys = hours.select(
+            "city_id", F.col("collected_date").alias("date_value"), F.hour("lake_hour").alias("hour_of_day")
+        )
+        kept = old_incidents.join(
+            hour_keys.select("date_value").distinct(), "date_value", "left_semi"
+        ).join(hour_keys, ["date_value", "hour_of_day", "city_id"], "left_anti")
+        writes.write(kept.unionByName(new_incidents), "fact_traffic_incident_hourly", "date_value", replace=True)
+
+    if schemas.DRINKING_WATER in present:
+        drinking = stage(parse.drinking_water_records(contract), "water-records")
+        _grow_dimension(
+            writes, "dim_eau_potable_commune", dimensions.COMMUNE,
+            lambda dim: dimensions.communes(dim, drinking), ["code_commune"],
+        )
+        rows, bad = water.drinking_rows(drinking)
+        rejects.append(bad)
+        old_water = read_table(spark, root, "fact_eau_potable", water.DRINKING_FACT)
+        fresh_water = water.keep_first(old_water, dated(rows), water.DRINKING_KEY, within="date_value").drop("id")
+        writes.write(fresh_water, "fact_eau_potable", "date_value")
+
+    if present & {schemas.RIVER_STATIONS, schemas.RIVER_OBSERVATIONS}:
+        observations = stage(parse.river_obs_records(contract), "river-records")
+        described = parse.river_station_records(contract)
+        rejects += [lacking(observations, "code_station"), lacking(described, "code_station")]
+        stations = _grow_dimension(
+            writes, "dim_cours_deau_station", dimensions.STATION,
+            lambda dim: dimensions.stations(dim, described, observations), ["code_station"],
+        )
+        old_river = read_table(spark, root, "fact_cours_deau_observation", water.RIVER_FACT)
+        rows = dated(water.river_rows(observations, stations))
+        fresh_river = water.keep_first(old_river, rows, water.RIVER_KEY, within="date_value").drop("id")
+        writes.write(fresh_river, "fact_cours_deau_observation", "date_value")
 
-    # Weather and air.
-    city_hours = staged_days(touched(batch, schemas.WEATHER, schemas.AIR), "collected_date")
-    old = read_table(spark, root, "judged_measures", JUDGED)
-    if stats is None:
-        month = fact_measures(spark, root, at - F.make_dt_interval(days=F.lit(30)))
-        stats = stage(anomalies.city_stats(month, at, 30), "city-stats")
-    judged = judged_measures(affected(lake, city_hours, schemas.WEATHER, schemas.AIR), at, stats, forest)
-    fresh = judged_rows(judged, dim_weather, dim_date, at)
-    keys = city_hours.select("city_id", "lake_hour")
-    same_days = old.join(
-        city_hours.select(F.col("collected_date").alias("lake_date")).distinct(), "lake_date", "left_semi"
-    )
-    kept = same_days.join(keys, ["city_id", "lake_hour"], "left_anti")
-    replace_partitions(kept.unionByName(fresh), root, "judged_measures", "lake_date")
-
-    # Traffic.
-    flows, no_date = m.date_gate(
-        stage(parse.flow_records(batch), "flow-records").withColumn("date_value", F.to_date("collected_at")),
-        dim_date,
-        "date_value",
-    )
-    rejects = [no_date.select("id", "reason")]
-    points = _grow_dimension(
-        spark, root, "dim_traffic_point", dimensions.TRAFFIC_POINT,
-        lambda dim: dimensions.traffic_points(dim, flows.drop("date_value")), ["city_id", "code_point"],
-    )
-    old_flow = read_table(spark, root, "fact_traffic_flow_hourly", traffic.FLOW_FACT)
-    new_flow = traffic.load_flow(old_flow, flows.drop("date_value"), points, within="date_value").drop("id")
-    append_table(stage(new_flow, "flow"), root, "fact_traffic_flow_hourly", "date_value")
-
-    hours = staged_days(touched(batch, schemas.INCIDENTS), "collected_date")
-    incidents, no_date = m.date_gate(
-        stage(parse.incident_records(affected(lake, hours, schemas.INCIDENTS)), "incident-records").withColumn(
-            "date_value", F.to_date("collected_at")
-        ),
-        dim_date,
-        "date_value",
-    )
-    rejects += [no_date.select("id", "reason"), traffic.scored_incidents(incidents)[1].select("id", "reason")]
-    categories = _grow_dimension(
-        spark, root, "dim_incident_category", dimensions.INCIDENT_CATEGORY,
-        lambda dim: dimensions.incident_categories(dim, incidents), ["icon_category"],
-    )
-    new_incidents = traffic.load_incidents(incidents.drop("date_value"), categories)
-    old_incidents = read_table(spark, root, "fact_traffic_incident_hourly", traffic.INCIDENT_FACT)
-    hour_keys = hours.select(
-        "city_id", F.col("collected_date").alias("date_value"), F.hour("lake_hour").alias("hour_of_day")
-    )
-    kept = old_incidents.join(
-        hour_keys.select("date_value").distinct(), "date_value", "left_semi"
-    ).join(hour_keys, ["date_value", "hour_of_day", "city_id"], "left_anti")
-    replace_partitions(kept.unionByName(new_incidents), root, "fact_traffic_incident_hourly", "date_value")
-
-    # Water.
-    drinking = stage(parse.drinking_water_records(batch), "water-records")
-    _grow_dimension(
-        spark, root, "dim_eau_potable_commune", dimensions.COMMUNE,
-        lambda dim: dimensions.communes(dim, drinking), ["code_commune"],
-    )
-    rows, bad = water.drinking_rows(drinking)
-    rows, no_date = m.date_gate(rows, dim_date, "date_value")
-    rejects += [bad, no_date.select("id", "reason")]
-    old_water = read_table(spark, root, "fact_eau_potable", water.DRINKING_FACT)
-    fresh_water = water.keep_first(old_water, rows, water.DRINKING_KEY, within="date_value").drop("id")
-    append_table(stage(fresh_water, "water"), root, "fact_eau_potable", "date_value")
-
-    observations = stage(parse.river_obs_records(batch), "river-records")
-    stations = _grow_dimension(
-        spark, root, "dim_cours_deau_station", dimensions.STATION,
-        lambda dim: dimensions.stations(dim, parse.river_station_records(batch), observations),
-        ["code_station"],
-    )
-    rows, no_date = m.date_gate(water.river_rows(observations, stations), dim_date, "date_value")
-    rejects.append(no_date.select("id", "reason"))
-    old_river = read_table(spark, root, "fact_cours_deau_observation", water.RIVER_FACT)
-    fresh_river = water.keep_first(old_river, rows, water.RIVER_KEY, within="date_value").drop("id")
-    append_table(stage(fresh_river, "river"), root, "fact_cours_deau_observation", "date_value")
-
-    # Outcomes: rejected entries with their reason, all others as processed.
-    rejects.append(lake_io.route(batch)["rejects"].select("id", "reason"))
+    # Outcomes: failed entries with their reason, all others as processed.
     reasons = rejects[0]
     for more in rejects[1:]:
         reasons = reasons.unionByName(more)
@@ -217,15 +242,15 @@ def _run_batch(spark, batch, lake, root, as_of, forest, stats) -> None:
     outcome = batch.select("id").join(reasons, "id", "left").select(
         "id", at.alias("processed_at"), F.coalesce("reason", F.lit("processed")).alias("outcome")
     )
-    append_table(outcome, root, "lake_processed")
+    done = writes.write(outcome, "lake_processed").select((F.col("outcome") == "processed").alias("ok"))
+    writes.write(lake_io.run_log(done, "transform", at, F.lit(time.monotonic() - begun)), "etl_log")
 
 
-def _grow_dimension(spark, root, name, schema, grow, keys) -> DataFrame:
-    """Append the new rows of a dimension and return it whole."""
-    dim = read_table(spark, root, name, schema)
-    new = stage(grow(dim).join(dim.select(*keys), keys, "left_anti"), name)
-    append_table(new.select(*dim.columns), root, name)
-    return read_table(spark, root, name, schema)
+def _grow_dimension(writes: Batch, name: str, schema: str, grow, keys: list[str]) -> DataFrame:
+    """The dimension with its new rows, which the batch will append."""
+    dim = read_table(writes.spark, writes.root, name, schema)
+    new = writes.write(grow(dim).join(dim.select(*keys), keys, "left_anti").select(*dim.columns), name)
+    return dim.unionByName(new)
 
 
 def run_transform(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ecostar.operators import quality, traffic
 from ecostar.plans.transform import JUDGED, fact_measures
 from ecostar.sources import reference
-from ecostar.sources.warehouse import append_table, read_table, replace_partitions, stage
+from ecostar.sources.warehouse import Batch, read_table, stage, staged_days, staging
 
 
 def run_validation(
@@ -27,25 +27,29 @@ def run_validation(
         hours,
     )
     checks = quality.all_checks(facts, reference.dim_city(spark), at, hours)
-    issues = stage(quality.issue_rows(checks, F.lit(run_id or str(uuid.uuid4())), at, hours), "issues")
-    append_table(issues, root, "quality_issues")
-    return quality.report(issues, strict)
+    writes = Batch(spark, root)
+    issues = writes.write(quality.issue_rows(checks, F.lit(run_id or str(uuid.uuid4())), at, hours), "quality_issues")
+    found = stage(quality.report(issues, strict), "report")
+    writes.commit()
+    return found
 
 
 def run_cleanup(spark: SparkSession, root: str, as_of: dt.datetime, dry_run: bool = False) -> DataFrame:
-    """Delete duplicate and future facts; a dry run only counts them."""
+    """Delete duplicate and future facts; a dry run only counts them.
+
+    The doomed rows are found once, with their day; only days that hold some are rewritten.
+    """
     at = F.lit(as_of)
-    table = read_table(spark, root, "judged_measures", JUDGED)
     facts = fact_measures(spark, root)
     counts = stage(quality.cleanup_counts(facts, at, dry_run), "cleanup")
     if not dry_run:
-        doomed = quality.find_duplicates(facts).unionByName(quality.find_future(facts, at)).select("measure_id")
-        marked = table.join(
-            doomed.distinct().withColumn("_gone", F.lit(True)), "measure_id", "left"
-        )
-        days = marked.filter("_gone").select("lake_date").distinct()
-        rewritten = marked.join(days, "lake_date", "left_semi").withColumn(
-            "reject_reason", F.when(F.col("_gone"), F.lit("cleaned")).otherwise(F.col("reject_reason"))
-        )
-        replace_partitions(rewritten.drop("_gone"), root, "judged_measures", "lake_date")
+        with staging(spark):
+            writes, key = Batch(spark, root), ["lake_date", "measure_id"]
+            doomed = quality.find_duplicates(facts).unionByName(quality.find_future(facts, at)).select(*key)
+            doomed = stage(doomed.distinct().withColumn("_gone", F.lit(True)), "doomed")
+            days = staged_days(doomed.select("lake_date").distinct(), "lake_date")
+            marked = read_table(spark, root, "judged_measures", JUDGED).join(days, "lake_date", "left_semi").join(doomed, key, "left")
+            rewritten = marked.withColumn("reject_reason", F.when(F.col("_gone"), F.lit("cleaned")).otherwise(F.col("reject_reason")))
+            writes.write(rewritten.drop("_gone"), "judged_measures", "lake_date", replace=True)
+            writes.commit()
     return counts

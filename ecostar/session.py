@@ -31,13 +31,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that ``spark.checkpoint.dir`` names.
 
-    With the setting absent, it is a folder below the warehouse, which executors see too.
+    With the setting absent, it is a folder below the warehouse, which executors see too,
+    unless that lies on the driver's disk and executors run elsewhere.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base is None:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local = warehouse.startswith(("file:", "/")) or ":" not in warehouse.split("/")[0]
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{warehouse.rstrip('/')}/_working"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -52,6 +57,56 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of all files below a folder, relative to it, without those of marker or hidden names."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    found, root = fs.listFiles(target, True), fs.makeQualified(target).toString().rstrip("/") + "/"
+    out = []
+    while found.hasNext():
+        name = found.next().getPath().toString().removeprefix(root)
+        if not name.split("/")[-1].startswith(("_", ".")):
+            out.append(name)
+    return sorted(out)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Gives a file its final name; nothing happens where an earlier attempt has done so."""
+    fs, old = _file_system(spark, source)
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(old):
+        fs.mkdirs(new.getParent())
+        if not fs.rename(old, new):
+            raise OSError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    fs, target = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), "_" + target.getName() + ".draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.java.lang.String(stream.readAllBytes(), "UTF-8")
+    finally:
+        stream.close()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)

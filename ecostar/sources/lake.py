@@ -151,6 +151,13 @@ def run_status(errors: Column, successes: Column) -> Column:
     return F.when(errors == 0, "success").when(successes > 0, "warning").otherwise("error")
 
 
+#: The log table that jobs append to.
+RUN_LOG = (
+    "execution_time TIMESTAMP, status STRING, source STRING, city_id INT, records_inserted BIGINT, "
+    "error_message STRING, execution_duration_seconds DOUBLE"
+)
+
+
 def run_log(outcome: DataFrame, source: str, at: Column, seconds: Column) -> DataFrame:
     """One log row from a frame with a boolean column ``ok`` per unit of work."""
     counts = outcome.agg(

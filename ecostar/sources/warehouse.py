@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from pyspark.errors import AnalysisException
 
-from ecostar.session import delete_folder, shared_folder
+from ecostar.session import delete_folder, list_files, list_folders, move_file, read_text, shared_folder, write_text
 
 
 def table_path(root: str, name: str) -> str:
@@ -71,23 +73,78 @@ def staged_days(df: DataFrame, day: str) -> DataFrame:
     return stage(df, "days").filter(F.col(day) >= F.lit("0001-01-01").cast("date"))
 
 
-def replace_partitions(df: DataFrame, root: str, name: str, partition: str) -> None:
-    """Overwrite just the partitions that occur in ``df``; staged before, as ``df`` may read them."""
-    (
-        stage(df, f"staged-{name}")
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(table_path(root, name))
-    )
+_LEDGER = "_ledger"
+
+
+class Batch:
+    """The writes of one batch, prepared apart and then published together.
 
+    First every table's new files are written below the batch's own folder. Then one
+    manifest names them all: from here on the batch counts. Publishing moves the files
+    into their tables under names that carry the batch, and of replaced partitions removes
+    the others. Each step can be repeated, so a batch that was cut off is dropped where it
+    has no manifest and is finished where it has (``recover``), whatever its rows' keys.
+    One job at a time writes a warehouse.
+
+    ``stream`` and ``epoch`` name a micro-batch: one that was published is never begun again.
+    """
 
-def append_table(df: DataFrame, root: str, name: str, partition: str | None = None) -> None:
-    writer = df.hint("rebalance", partition).write if partition else df.write
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.mode("append").parquet(table_path(root, name))
+    def __init__(self, spark: SparkSession, root: str, stream: str | None = None, epoch: int = 0):
+        self.spark, self.root, self.stream, self.epoch = spark, root, stream, epoch
+        self.name = uuid.uuid4().hex if stream is None else f"{stream}-{epoch}"
+        self.folder = f"{table_path(root, _LEDGER)}/{self.name}"
+        self.writes: list[dict] = []
+        recover(spark, root)
+        done = [f for f in list_folders(spark, table_path(root, _LEDGER)) if f.startswith(f"done-{stream}-")]
+        self.published = stream is not None and any(int(f.rsplit("-", 1)[1]) >= epoch for f in done)
+
+    def write(self, df: DataFrame, name: str, partition: str | None = None, replace: bool = False) -> DataFrame:
+        """Prepare rows to append, or to stand in place of the partitions they occur in; returns them as written."""
+        path = f"{self.folder}/{name}"
+        writer = df.hint("rebalance", partition).write.partitionBy(partition) if partition else df.write
+        writer.parquet(path)
+        self.writes.append({"table": name, "replace": replace})
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def commit(self) -> None:
+        files = {w["table"]: list_files(self.spark, f"{self.folder}/{w['table']}") for w in self.writes}
+        manifest = {"writes": [w | {"files": files[w["table"]]} for w in self.writes], "stream": self.stream, "epoch": self.epoch}
+        write_text(self.spark, f"{self.folder}/manifest.json", json.dumps(manifest))
+        _publish(self.spark, self.root, self.name)
+
+
+def _publish(spark: SparkSession, root: str, batch: str) -> None:
+    ledger = table_path(root, _LEDGER)
+    manifest = json.loads(read_text(spark, f"{ledger}/{batch}/manifest.json"))
+    for write in manifest["writes"]:
+        table, folders = table_path(root, write["table"]), set()
+        for file in write["files"]:
+            folder, _, name = f"/{file}".rpartition("/")
+            folders.add(folder)
+            move_file(spark, f"{ledger}/{batch}/{write['table']}/{file}", f"{table}{folder}/{batch}-{name}")
+        for folder in folders if write["replace"] else ():
+            for file in list_files(spark, table + folder):
+                if not file.startswith(batch):
+                    delete_folder(spark, f"{table}{folder}/{file}")
+    if manifest["stream"] is not None:
+        mark = f"done-{manifest['stream']}-"
+        write_text(spark, f"{ledger}/{mark}{manifest['epoch']}", "")
+        for old in list_folders(spark, ledger):
+            if old.startswith(mark) and int(old.rsplit("-", 1)[1]) < manifest["epoch"]:
+                delete_folder(spark, f"{ledger}/{old}")
+    delete_folder(spark, f"{ledger}/{batch}")
+
+
+def recover(spark: SparkSession, root: str) -> None:
+    """Finish batches that have a manifest and drop those that were cut off before."""
+    ledger = table_path(root, _LEDGER)
+    for batch in list_folders(spark, ledger):
+        if batch.startswith(("done-", "_")):
+            continue
+        if "manifest.json" in list_folders(spark, f"{ledger}/{batch}"):
+            _publish(spark, root, batch)
+        else:
+            delete_folder(spark, f"{ledger}/{batch}")
 
 
 _BLOCK_BITS = 16

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +14,7 @@ from ecostar.functions import expr
 from ecostar.operators import parse
 from ecostar.plans.transform import PROCESSED, affected, run_batch, touched
 from ecostar.sources import lake as lake_io
-from ecostar.sources.warehouse import empty_table, read_table, replace_partitions, stage, staged_days, staging
+from ecostar.sources.warehouse import Batch, empty_table, read_table, stage, staged_days, staging
 
 
 def lake_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -27,6 +28,10 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def _stream_name(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def stream_transform(
     spark: SparkSession,
     lake_path: str,
@@ -40,19 +45,22 @@ def stream_transform(
 ) -> StreamingQuery:
     """New lake files through the transform; the checkpoint stands in for a processed flag.
 
-    A replayed batch recomputes and replaces the same rows; entries that have an outcome
-    already are left out, so that rows without a whole key are not added twice.
+    A micro-batch is published once: the ledger knows it by the checkpoint and its number.
+    Entries that have an outcome already, from another job, are left out.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
+        if Batch(session, root, stream, epoch).published:
+            return
         with staging(session):
             fresh = stage(batch, "fresh")
             ids = fresh.agg(F.min("id"), F.max("id")).first()  # prunes the outcomes to read
             done = read_table(session, root, "lake_processed", PROCESSED).filter(F.col("id").between(*map(F.lit, ids)))
             entries = stage(fresh.join(done.select("id"), "id", "left_anti").select(*batch.columns), "batch")
-            run_batch(session, entries, lake_io.load_lake(session, lake_path), root, clock(), forest, stats)
+            run_batch(session, entries, lake_io.load_lake(session, lake_path), root, clock(), forest, stats, stream, epoch)
 
+    stream = _stream_name(checkpoint)
     return (
         lake_stream(spark, lake_path, files_per_batch)
         .writeStream.foreachBatch(each)
@@ -126,8 +134,11 @@ def stream_hours(
     order, and a replayed batch changes nothing; no state grows with the stream.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
+        writes = Batch(session, root, f"{name}-{_stream_name(checkpoint)}", epoch)
+        if writes.published:
+            return
         with staging(session):
             hours = staged_days(touched(batch, *sources), "collected_date")
             entries = affected(lake_io.load_lake(session, lake_path), hours, *sources)
@@ -136,7 +147,8 @@ def stream_hours(
             days = hours.select(F.col("collected_date").alias("lake_date")).distinct()
             keys = hours.select("city_id", "lake_hour")
             kept = old.join(days, "lake_date", "left_semi").join(keys, ["city_id", "lake_hour"], "left_anti")
-            replace_partitions(kept.unionByName(new), root, name, "lake_date")
+            writes.write(kept.unionByName(new), name, "lake_date", replace=True)
+            writes.commit()
 
     return (
         lake_stream(spark, lake_path, files_per_batch)

@@ -147,6 +147,84 @@ def test_late_entries_count(spark, tmp_path):
     assert got == [(1, "m3", 10.0), (3, "m1", 30.0)]
 
 
+class Cut(Exception):
+    pass
+
+
+def broken_entries():
+    at = utc(2026, 2, 1, 3)
+    payloads = {
+        schemas.WEATHER: ["{broken", {"main": {"temp": 123456.0}}, {"main": {"temp": 5}}],
+        schemas.AIR: [None, {"data": {"aqi": 40, "iaqi": {"pm25": {"v": 1e9}}}}],
+        schemas.FLOW: ["nothing", {"vitesse_actuelle_kmph": 3}, {"code_point": "P"}],
+        schemas.INCIDENTS: ["[1]", {"categorie_incident": None}, {"retard_s": -5, "categorie_incident": 1}, {}],
+        schemas.DRINKING_WATER: ["{", {"date_prelevement": "soon"}, {"libelle_parametre": "pH"}, {"libelle_parametre": "pH"}],
+        schemas.RIVER_OBSERVATIONS: ["", {"date_prelevement": "2026-01-06"}, {"code_station": "S", "date_prelevement": "1999-01-06"}],
+        schemas.RIVER_STATIONS: ['{"code_station": "S"', {"libelle_station": "x"}, {"code_station": "S"}],
+    }
+    sources = [(s, raw) for s, raws in payloads.items() for raw in raws] + [("mystery", {})]
+    out = [entry(i, s, raw, at) for i, (s, raw) in enumerate(sources, 1)]
+    return [*out, entry(99, schemas.WEATHER, {"main": {"temp": 5}}, utc(2019, 1, 1, 3))]
+
+
+REASONS = [
+    "bad_payload", "numeric_overflow", "processed", "bad_payload", "numeric_overflow", "bad_payload", "missing_key", "processed",
+    "bad_payload", "missing_key", "negative_delay", "processed", "bad_payload", "bad_date", "processed", "processed",
+    "bad_payload", "missing_key", "date_out_of_range", "bad_payload", "missing_key", "processed", "unknown_source", "date_out_of_range",
+]
+
+
+def everything(spark, root):
+    dims = {"dim_traffic_point": dimensions.TRAFFIC_POINT, "dim_cours_deau_station": dimensions.STATION, "dim_incident_category": dimensions.INCIDENT_CATEGORY}
+    out = content(spark, root)
+    for name, schema in dims.items():
+        out[name] = sorted(map(str, warehouse.read_table(spark, root, name, schema).collect()))
+    log = warehouse.read_table(spark, root, "etl_log", lake_io.RUN_LOG).drop("execution_duration_seconds")
+    out["log"] = sorted(map(str, log.collect()))
+    return out
+
+
+def test_failed_entries_and_batches_cut_anywhere(spark, tmp_path, monkeypatch):
+    """A micro-batch that is cut off after any write, or at any move of a file, and comes again leaves what a whole one does."""
+    path = str(tmp_path / "lake")
+    lake_io.append_lake(lake(spark, broken_entries()), path)
+
+    def drain(root):
+        jobs.stream_drain(spark, path, str(root), f"{root}-offsets", clock=lambda: AS_OF, stats=snapshot(spark))
+        return everything(spark, str(root))
+
+    want = drain(tmp_path / "whole")
+    assert [o for _, o in want["done"]] == REASONS
+    assert len(want["fact_eau_potable"]) == 2  # without a commune, so each stands for itself
+    assert len(want["log"]) == 1 and "records_inserted=6" in want["log"][0] and "18 échecs" in want["log"][0]
+
+    write, move, steps = warehouse.Batch.write, warehouse.move_file, {"left": 0}
+
+    def counted(real):
+        def run(*args, **kw):
+            out = real(*args, **kw)
+            steps["left"] -= 1
+            if steps["left"] == 0:
+                raise Cut
+            return out
+
+        return run
+
+    monkeypatch.setattr(warehouse.Batch, "write", counted(write))
+    monkeypatch.setattr(warehouse, "move_file", counted(move))
+    root, cuts = tmp_path / "cut", 0
+    for step in (1, 2, 4, 6, 9, 11, 13, 14, 17):  # twelve writes, then moves; a batch with a manifest is finished first
+        steps["left"] = step
+        try:
+            drain(root)
+        except Exception as e:
+            assert "Cut" in str(e)
+            cuts += 1
+    steps["left"] = 0
+    assert drain(root) == want and cuts >= 6
+    assert not [f for f in warehouse.list_folders(spark, f"{root}/_ledger") if not f.startswith("done-")]
+
+
 def test_replayed_batch_changes_nothing(spark, loaded, tmp_path):
     _, path, want = loaded
     root = str(tmp_path / "wh")
