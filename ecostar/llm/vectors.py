@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -26,10 +27,8 @@ DEGREE, ALPHA, BEAM, STEP, WIDE, BLOCK = 16, 1.2, 16, 8, 64, 256
 PART = 50_000
 #: Up to this many centres ``OVERLAP`` is as given; a shard more for every doubling, as near pairs share fewer of many cells.
 FEW_CENTRES = 16
-#: Vectors of a label whose links are recounted by brute force, the share of pairs that must have been found, rounds of more overlap.
-AUDIT, RECALL, ROUNDS = 256, 0.95, 3
-#: Audited vectors with 1 to SPARSE - 1 links that a verdict needs, and audited vectors of a label beyond which all of it is compared instead.
-LEAST, SPARSE, DENSE, AUDIT_MOST = 32, 4, 32, 16_384
+#: Planted vectors of a label at most and per so many of its own, the range of their cosines, and the share that must be found.
+AUDIT, AUDIT_SHARE, PLANTED, RECALL = 256, 8, (0.932, 0.97), 0.95
 
 
 def usable(embedding: Column, label: Column, id_: Column) -> Column:
@@ -81,7 +80,7 @@ def _assign(left: pd.DataFrame, right: pd.DataFrame, overlap: int) -> pd.DataFra
     shards = [[0]] * len(left)
     if len(left) and len(right):
         shards = nearest_centres(unit(left["embedding"]), unit(right.sort_values("rep")["embedding"]), reach(overlap, len(right)))
-    return left.assign(shards=shards)[["rep", "label", "dim", "embedding", "copies", "shards"]]
+    return left.assign(shards=shards)[["rep", "planted", "label", "dim", "embedding", "copies", "shards"]]
 
 
 def robust_prune(sims: np.ndarray, near: np.ndarray, v: np.ndarray) -> list[int]:
@@ -165,172 +164,138 @@ def range_search(v: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: n
 
 
 def _chunks(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values("rep", ignore_index=True)
+    return pdf.sort_values(["planted", "rep"], ignore_index=True)
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = _chunks(pdf)
-    reps = pdf["rep"].to_numpy()
+    reps, planted = pdf["rep"].to_numpy(), pdf["planted"].to_numpy()
     graph = build_graph(unit(pdf["embedding"]))
-    pairs = [(reps[a], reps[b]) for a, links in enumerate(graph) for b in links]
-    out = pd.DataFrame(pairs, columns=["rep", "near"])
-    return out.assign(label=pdf["label"].iloc[0], dim=pdf["dim"].iloc[0])[["rep", "label", "dim", "near"]].astype({"rep": "int64", "near": "int64"})
+    a, b = (np.array(x, np.int64) for x in (np.repeat(np.arange(len(reps)), [len(g) for g in graph]), [b for g in graph for b in g]))
+    out = pd.DataFrame({"rep": reps[a], "planted": planted[a], "near": reps[b], "near_planted": planted[b]})
+    return out.assign(label=pdf["label"].iloc[0], dim=pdf["dim"].iloc[0])[["rep", "planted", "label", "dim", "near", "near_planted"]]
 
 
 def _search(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links of a cell that are counted here: the pair's lowest common shard, and of its chunk pairs one.
+    """Links of a cell that are counted here (the pair's lowest common shard, and of its chunk pairs one) and groups by all links found.
 
-    Without adjacency lists all pairs of the cell are compared.
+    Planted vectors are searched like others; only whether their source was met is told.
     """
     pdf = _chunks(pdf)
-    v, reps = unit(pdf["embedding"]), pdf["rep"].to_numpy()
-    n, place = len(v), {r: i for i, r in enumerate(pdf["rep"])}
+    v, reps, planted = unit(pdf["embedding"]), pdf["rep"].to_numpy(), pdf["planted"].to_numpy()
+    n, own = len(v), int((~planted).sum())  # the planted ones come last
+    place, place_planted = {r: i for i, r in enumerate(reps[:own])}, {r: i for i, r in enumerate(reps[own:], own)}
     found = np.zeros((n, n), bool)
-    if "near" in pdf:
-        graph = flat([[place[x] for x in near if x in place] if near is not None else [] for near in pdf["near"]])
-        means = [m.mean(axis=0) for m in np.array_split(v, -(-n // 256))]
-        starts = np.unique([int((v @ m).argmax()) for m in (v.mean(axis=0), *means)])
-        for at in range(0, n, BLOCK):
-            queries = np.arange(at, min(at + BLOCK, n))
-            found[queries] = range_search(v, graph, queries, starts, cosine)
-    else:
-        for at in range(0, n, BLOCK):
-            found[at : at + BLOCK] = v[at : at + BLOCK] @ v.T >= cosine
-        np.fill_diagonal(found, False)
+    lists = [
+        [at[x] for near, at in ((a, place), (b, place_planted)) if near is not None for x in near if x in at]
+        for a, b in zip(pdf["near"], pdf["near_planted"], strict=True)
+    ]
+    graph = flat(lists)
+    means = [m.mean(axis=0) for m in np.array_split(v, -(-n // 256))]
+    starts = np.unique([int((v @ m).argmax()) for m in (v.mean(axis=0), *means)])
+    for at in range(0, n, BLOCK):
+        queries = np.arange(at, min(at + BLOCK, n))
+        found[queries] = range_search(v, graph, queries, starts, cosine)
     found |= found.T
     shards, here = pdf["shards"].map(list).to_list(), int(pdf["shard"].iloc[0])
     width = max(map(len, shards))
-    of = np.array([[*s, *[-1 - i] * (width - len(s))] for i, s in enumerate(shards)])
+    of = np.array([[*s, *[-1 - i] * (width - len(s))] for i, s in enumerate(shards)], np.int64)
     chunk, parts = pdf["own"].to_numpy(), int(pdf["parts"].iloc[0])
     i_, j_ = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
     other = np.where(chunk == i_, j_, i_)
     whole = (parts == 1) | (other == (chunk + 1) % parts)
-    copies, links, pairs = pdf["copies"].to_numpy(), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    copies, links, met = pdf["copies"].to_numpy(), np.zeros(n, np.int64), np.zeros(n, bool)
     for a in np.flatnonzero(found.any(axis=1)):
         near = np.flatnonzero(found[a])
         common = (of[a][None, :, None] == of[near][:, None, :]).any(axis=2)
         first = np.where(common, of[a][None], np.iinfo(np.int64).max).min(axis=1)
         ours = (first == here) & ((chunk[near] != chunk[a]) | whole[a])
-        found[a, near[~ours]] = False
-        links[a], pairs[a] = copies[near[ours]].sum(), ours.sum()
+        links[a], met[a] = copies[near[ours]].sum(), bool(planted[a]) and place.get(reps[a], -1) in near[ours]
+    found[own:], found[:, own:] = False, False
     root = np.full(n, -1)
     for a in range(n):  # ascending ids: the first of a group is its least
         if root[a] < 0:
-            reach = np.array([a])
+            group = np.array([a])
             root[a] = a
-            while len(reach):
-                reach = np.flatnonzero(found[reach].any(axis=0) & (root < 0))
-                root[reach] = a
-    return pd.DataFrame({"rep": reps, "label": pdf["label"], "dim": pdf["dim"], "links": links, "pairs": pairs, "root": reps[root]})
+            while len(group):
+                group = np.flatnonzero(found[group].any(axis=0) & (root < 0))
+                root[group] = a
+    return pd.DataFrame({"rep": reps, "planted": planted, "label": pdf["label"], "dim": pdf["dim"], "links": links, "met": met, "root": reps[root]})
+
+
+def _planted(distinct: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Vectors at known cosines from some of each label's, to be found again; their ``rep`` is that of their source."""
+
+    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for rep, v in zip(pdf["rep"], unit(pdf["embedding"]) if len(pdf) else [], strict=True):
+                rng = np.random.default_rng(int(rep) & (1 << 63) - 1)
+                aside = rng.normal(size=len(v))
+                aside -= (aside @ v) * v
+                c = rng.uniform(*PLANTED)
+                out.append((c * v + (1 - c * c) ** 0.5 * aside / np.linalg.norm(aside)).tolist())
+            yield pdf.assign(embedding=out)
+
+    rated = spread_join(distinct.filter("dim > 1"), sizes.select(*GROUP, "n"), GROUP, ["rep"])
+    share = F.least(F.lit(float(AUDIT)), F.col("n") / AUDIT_SHARE) / F.col("n")
+    drawn = F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1 << 30)) < share * (1 << 30)
+    some = rated.filter(drawn).select("rep", F.lit(True).alias("planted"), *GROUP, "embedding", F.lit(0).cast("long").alias("copies"))
+    return some.mapInPandas(turn, some.schema)
 
 
 def _shards(distinct: DataFrame, overlap: int, shard_rows: int) -> DataFrame:
-    """The distinct vectors with the shards each goes to."""
+    """The distinct vectors and the planted ones with the shards each goes to."""
     group = GROUP
     sizes = distinct.groupBy(*group).agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("centres", F.least(F.ceil(F.col("n") / shard_rows), F.lit(CENTRES)))
     sizes = staged(sizes.withColumn("pieces", F.ceil(F.col("n") / PART)), "label-sizes")
-    rated = spread_join(distinct, sizes, group, ["rep"])
-    drawn = (F.col("centres") > 1) & (F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(1 << 30)) * F.col("n") < F.col("centres") * F.lit(1 << 30))
+    own = distinct.select("rep", F.lit(False).alias("planted"), *group, "embedding", "copies")
+    planted = staged(_planted(distinct, sizes), "planted-vectors")
+    rated = spread_join(own.unionByName(planted), sizes, group, ["rep"])
+    drawn = ~F.col("planted") & (F.col("centres") > 1) & (F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(1 << 30)) * F.col("n") < F.col("centres") * F.lit(1 << 30))
     centres = rated.filter(drawn).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
     parts = rated.withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces"))).drop("n", "centres", "pieces")
     centres = staged(centres.select(*group, "piece", "rep", "embedding"), "centres")
-    schema = "rep long, label string, dim int, embedding array<double>, copies long, shards array<int>"
+    schema = "rep long, planted boolean, label string, dim int, embedding array<double>, copies long, shards array<int>"
     near = parts.groupBy(*group, "piece").cogroup(centres.groupBy(*group, "piece")).applyInPandas(lambda a, b: _assign(a, b, overlap), schema)
     assigned = staged(near, "vector-shards")
-    drop_staged(sizes)
-    drop_staged(centres)
+    for used in (sizes, centres, planted):
+        drop_staged(used)
     return assigned
 
 
-def _links(distinct: DataFrame, cosine: float, overlap: int | None, shard_rows: int, chunk: int) -> DataFrame:
-    """(rep, label, dim, links, pairs, root): the counted links of each distinct vector and the least of its group, per cell.
-
-    ``links`` count copies, ``pairs`` do not. Without ``overlap`` a label is one shard whose pairs are all compared.
-    """
+def _links(distinct: DataFrame, cosine: float, overlap: int, shard_rows: int, chunk: int) -> DataFrame:
+    """(rep, planted, label, dim, links, met, root): the counted links of each vector and the least of its group, per cell."""
     group = GROUP
-    if overlap is None:
-        assigned = staged(distinct.withColumn("shards", F.array(F.lit(0))), "vector-shards")
-    else:
-        assigned = _shards(distinct, overlap, shard_rows)
+    assigned = _shards(distinct, overlap, shard_rows)
     dealt = assigned.withColumn("shard", F.explode("shards"))
     counts = dealt.groupBy(*group, "shard").agg(F.count("*").alias("n")).select(*group, "shard", F.ceil(F.col("n") / chunk).alias("parts"))
     dealt = spread_join(dealt, counts, [*group, "shard"], ["rep"]).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("parts")))
     others = F.when(F.col("parts") > 1, F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), F.col("own")))
     dealt = dealt.withColumn("other", F.explode(F.coalesce(others, F.array(F.lit(0).cast("long")))))
     cells = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
-    key = [*group, "shard", "i", "j"]
-    schema = "rep long, label string, dim int, links long, pairs long, root long"
-    if overlap is None:
-        out = staged(cells.groupBy(*key).applyInPandas(lambda pdf: _search(pdf, cosine), schema), "vector-links")
-    else:
-        graph = cells.groupBy(*key).applyInPandas(_build, "rep long, label string, dim int, near long")
-        lists = staged(graph.groupBy("rep", *group).agg(F.collect_set("near").alias("near")), "vector-graph")
-        joined = cells.join(lists, ["rep", *group], "left")
-        out = staged(joined.groupBy(*key).applyInPandas(lambda pdf: _search(pdf, cosine), schema), "vector-links")
-        drop_staged(lists)
+    key, node = [*group, "shard", "i", "j"], ["rep", "planted", *group]
+    graph = cells.groupBy(*key).applyInPandas(_build, "rep long, planted boolean, label string, dim int, near long, near_planted boolean")
+    two = (F.collect_set(F.when(F.col("near_planted") == which, F.col("near"))).alias(name) for which, name in ((False, "near"), (True, "near_planted")))
+    lists = staged(graph.groupBy(*node).agg(*two), "vector-graph")
+    schema = "rep long, planted boolean, label string, dim int, links long, met boolean, root long"
+    out = staged(cells.join(lists, node, "left").groupBy(*key).applyInPandas(lambda pdf: _search(pdf, cosine), schema), "vector-links")
+    drop_staged(lists)
     drop_staged(assigned)
     return out
 
 
-def _count(left: pd.DataFrame, right: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Vectors of ``left`` that each audited one of ``right`` links with."""
-    truth = np.zeros(len(right), np.int64)
-    if len(left) and len(right):
-        asked, reps = unit(right["embedding"]), right["rep"].to_numpy()
-        rows = max(1, (1 << 22) // len(right))  # bounded memory for any number of audited vectors
-        for at in range(0, len(left), rows):
-            some = left.iloc[at : at + rows]
-            near = asked @ unit(some["embedding"]).T >= cosine
-            truth += (near & (reps[:, None] != some["rep"].to_numpy()[None])).sum(axis=1)
-    return right.assign(truth=truth)[["rep", "label", "dim", "truth"]]
-
-
-def audit(distinct: DataFrame, totals: DataFrame, cosine: float, queries: int = AUDIT) -> DataFrame:
-    """(label, dim, recall, state): whether each label's links were found, by brute force for about ``queries`` vectors of it.
-
-    Pairs count once, whatever their copies, and apart for vectors of few, some and many
-    links; ``recall`` is the least of the three, null where no audited vector has a link. A
-    label is unproven where fewer than LEAST audited vectors have few links, unless all of
-    its vectors were audited.
-    """
-    sizes = distinct.groupBy(*GROUP).agg(F.count("*").alias("n")).withColumn("pieces", F.ceil(F.col("n") / PART))
-    sizes = staged(sizes, "audit-sizes")
-    rated = spread_join(distinct.select("rep", *GROUP, "embedding"), sizes, GROUP, ["rep"])
-    drawn = F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1 << 30)) * F.col("n") < F.lit(queries << 30)
-    picked = rated.filter(drawn).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("n", "pieces")
-    picked = staged(picked.select(*GROUP, "piece", "rep", "embedding"), "audited")
-    parts = rated.withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces"))).drop("n", "pieces")
-    key = [*GROUP, "piece"]
-    counted = parts.groupBy(*key).cogroup(picked.groupBy(*key)).applyInPandas(lambda a, b: _count(a, b, cosine), "rep long, label string, dim int, truth long")
-    truth = counted.groupBy("rep", *GROUP).agg(F.sum("truth").alias("truth")).filter("truth > 0")
-    both = truth.join(totals.select("rep", "pairs"), "rep", "left").withColumn("met", F.least("truth", F.coalesce("pairs", F.lit(0))))
-    stratum = F.when(F.col("truth") < SPARSE, 0).when(F.col("truth") < DENSE, 1).otherwise(2)
-    strata = both.groupBy(*GROUP, stratum.alias("stratum")).agg((F.sum("met") / F.sum("truth")).alias("r"), F.count("*").alias("m"))
-    of = strata.groupBy(*GROUP).agg(F.min("r").alias("recall"), F.sum(F.when(F.col("stratum") == 0, F.col("m"))).alias("sparse"))
-    proved = (F.col("n") <= queries) | (F.coalesce("sparse", F.lit(0)) >= LEAST)
-    state = F.when(F.col("recall") < RECALL, "failed").when(proved, "passed").otherwise("unproven")
-    return sizes.join(of, GROUP, "left").select(*GROUP, "recall", state.alias("state"))
+def audit(found: DataFrame) -> DataFrame:
+    """(label, dim, planted, recall): the share of each label's planted vectors whose link with their source was counted."""
+    each = found.filter("planted").groupBy("rep", *GROUP).agg(F.max("met").alias("met"))
+    return each.groupBy(*GROUP).agg(F.count("*").alias("planted"), F.avg(F.col("met").cast("double")).alias("recall"))
 
 
 def _of(df: DataFrame, labels: DataFrame) -> DataFrame:
     return spread_join(df, labels.select(*GROUP), GROUP, ["rep"])
 
 
-def _verdicts(distinct: DataFrame, totals: DataFrame, cosine: float) -> DataFrame:
-    """(label, dim, state): audits of more and more vectors where too few have links."""
-    queries, asked, out = AUDIT, distinct, None
-    while True:
-        found = staged(audit(asked, totals, cosine, queries).select(*GROUP, "state"), "audit")
-        more = found.filter("state = 'unproven'")
-        last = queries >= AUDIT_MOST or more.isEmpty()
-        some = found if last else found.filter("state <> 'unproven'")
-        out = some if out is None else out.unionByName(some)
-        if last:
-            return out
-        asked, queries = _of(distinct, more), queries * 8
-
-
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
     cosine: float = COSINE, overlap: int = OVERLAP, shard_rows: int = SHARD_ROWS, chunk: int = CHUNK,
@@ -344,9 +309,11 @@ def near_vectors(
     shard, adjacency lists of a vector united, and searched in every shard it is in. A
     pair is counted in one place only, so links need no list of pairs. A shard larger
     than ``chunk`` is built and searched in pairs of chunks, which leaves out no pair.
-    Links found are exact in double precision; an audit recounts vectors of every label by
-    brute force, and a label below RECALL is built again with more overlap. One that still
-    fails after ROUNDS, or has too few links to be judged, has all its pairs compared.
+    Links found are exact in double precision. The audit plants, in every label, vectors
+    at known cosines from some of its own and looks how many are found again, so recall is
+    known however few links a label has, and the check grows with the label only up to
+    AUDIT vectors. A label below RECALL is built again with twice the overlap, until its
+    vectors go to every centre.
 
     Vectors that are null, empty, zero or hold null or non-finite components, null labels
     and null ids link with nothing and are their own component. Repeated rows of an id
@@ -358,24 +325,15 @@ def near_vectors(
     same = good.groupBy("label", "embedding").agg(F.min("rep").alias("rep"), F.count_distinct("rep").alias("copies"))
     distinct = staged(same.select("rep", "label", F.size("embedding").alias("dim"), "embedding", "copies"), "distinct-vectors")
     todo, parts = distinct, []
-    for round_ in range(ROUNDS):
-        found = _links(todo, cosine, overlap << round_, shard_rows, chunk)
-        totals = staged(found.groupBy("rep").agg(F.sum("pairs").alias("pairs")), "pair-counts")
-        verdicts = _verdicts(todo, totals, cosine)
-        short = verdicts.filter("state <> 'passed'")
-        if short.isEmpty():
+    while True:
+        found = _links(todo, cosine, overlap, shard_rows, chunk)
+        short = staged(audit(found).filter(F.col("recall") < RECALL), "audit")
+        if overlap >= CENTRES or short.isEmpty():
             parts.append(found)
             break
-        parts.append(_of(found, verdicts.filter("state = 'passed'")))
-        # too few links to judge more overlap by, or no round left
-        whole = short if round_ == ROUNDS - 1 else short.filter("state = 'unproven'")
-        if not whole.isEmpty():
-            parts.append(_links(_of(distinct, whole), cosine, None, shard_rows, chunk))
-        again = short.filter("state = 'failed'")
-        if again.isEmpty():
-            break
-        todo = staged(_of(distinct, again), "vectors-again")
-    found = reduce(DataFrame.unionByName, parts)
+        parts.append(spread_join(found, short.select(*GROUP, F.lit(True).alias("again")), GROUP, ["rep"], "left").filter("again IS NULL").drop("again"))
+        todo, overlap = staged(_of(todo, short), "vectors-again"), overlap * 2
+    found = reduce(DataFrame.unionByName, parts).filter("NOT planted")
     totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = distinct.join(totals, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")

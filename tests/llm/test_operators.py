@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -249,16 +250,39 @@ def pairs_and_a_group(pairs, group, dim=64, cosine=0.935):
     return np.vstack([a, cosine * a + (1 - cosine**2) ** 0.5 * b, vectors.unit(dense)])
 
 
-def test_audit_sees_lost_pairs_beside_a_dense_group(spark):
-    v = pairs_and_a_group(60, 150)
-    frame = spark.createDataFrame([(i, lab, 64, e.tolist(), 1000 if i >= 120 else 1) for lab in "xy" for i, e in enumerate(v, 0 if lab == "x" else 1000)], "rep long, label string, dim int, embedding array<double>, copies long")
-    # label x: the group's links were found, none of the pairs'; label y: all of them
-    found = [(i, 149) for i in range(120, 270)] + [(1000 + i, 149 if i >= 120 else 1) for i in range(270)]
-    totals = spark.createDataFrame(found, "rep long, pairs long")
-    got = {r.label: (r.recall, r.state) for r in vectors.audit(frame, totals, 0.93).collect()}
-    assert got["x"][1] == "failed" and got["x"][0] < 0.1 and got["y"] == (1.0, "passed")
-    nothing = vectors.audit(frame.filter("rep < 60"), totals, 0.93, queries=20).collect()
-    assert [r.state for r in nothing] == ["unproven"]
+def test_search_counts_links_whatever_the_type_of_shards():
+    """Pairs that share some of their shards, which arrive as 32-bit numbers."""
+    v = pairs_and_a_group(40, 1)[:80]
+    rng = np.random.default_rng(4)
+    shards = [np.array(sorted({1, *rng.choice(np.arange(2, 9), 2, replace=False)}), np.int32) for _ in v]
+    graph = vectors.build_graph(v)
+    cell = pd.DataFrame({
+        "rep": range(80), "planted": False, "label": "a", "dim": 64, "embedding": list(v), "copies": 1, "shards": shards, "shard": 1, "own": 0,
+        "parts": 1, "i": 0, "j": 0, "near": graph, "near_planted": None,
+    })
+    got = vectors._search(cell, 0.93)
+    assert got.links.tolist() == [1] * 80 and got.root.tolist() == [*range(40)] * 2 and not got.met.any()
+
+
+def test_audit_sees_what_was_lost(spark):
+    rows = [(i, True, lab, 8, 0, lab == "y" or i % 4 == 0, i) for i in range(40) for lab in "xy"] + [(i, False, "x", 8, 1, False, i) for i in range(9)]
+    found = spark.createDataFrame(rows, "rep long, planted boolean, label string, dim int, links long, met boolean, root long")
+    assert {r.label: (r.planted, r.recall) for r in vectors.audit(found).collect()} == {"x": (40, 0.25), "y": (40, 1.0)}
+
+
+@pytest.mark.parametrize("pairs", [0, 30, 700])
+def test_links_of_several_densities_beyond_a_chunk(spark, pairs):
+    """A label without, with few and with many isolated pairs, in more shards and chunks than one."""
+    rng = np.random.default_rng(pairs)
+    v = np.vstack([pairs_and_a_group(max(pairs, 1), 150)[0 if pairs else 2 :], vectors.unit(rng.normal(size=(1500, 64)))])
+    data = [(i, e.tolist(), 0) for i, e in enumerate(v)]
+    near = v @ v.T >= 0.93
+    for sizes in ({"shard_rows": 60}, {"shard_rows": 400, "chunk": 300}):
+        got = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"), **sizes).collect()}
+        lone = slice(0, 2 * pairs)
+        assert sum(got[i].n_links for i in range(2 * pairs)) >= 0.9 * (near[lone].sum() - 2 * pairs)
+        assert sum(got[i].n_links for i in range(len(v))) >= 0.95 * (near.sum() - len(v))
+        assert all(got[i].n_links <= near[i].sum() - 1 for i in range(len(v)))
 
 
 def test_near_vectors_keep_isolated_pairs(spark):
