@@ -89,6 +89,7 @@ def _references(pages: DataFrame) -> DataFrame:
         names = ["host", "reference", "tree"]
         yield from _rows(((r.host, r.reference, dom.Page(r.html).tree()[0].dump()) for pdf in batches for r in pdf.itertuples(index=False)), names)
 
+    chosen = staged(chosen, "reference-pages")  # its size is known now, so that pages needn't be shuffled for a few of them
     found = keyed.join(chosen, ["host", "draw"]).select("host", "reference", "html").mapInPandas(trees, "host string, reference int, tree string")
     return staged(found.groupBy("host", "reference").agg(F.min("tree").alias("tree")), "page-trees")
 
