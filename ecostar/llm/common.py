@@ -41,6 +41,14 @@ def drop_staged(df: DataFrame) -> None:
     delete_folder(df.sparkSession, df.staged_path)
 
 
+def text_rows(batches, *columns: str, rows: int = 256):
+    """Rows of Arrow batches as tuples, a few at a time as Python objects, so that whole texts don't pile up."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, also where a lambda inside uses it many times."""
     return F.transform(F.array(value), body)[0]

@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from ecostar.llm.common import staged
+from ecostar.llm.common import staged, text_rows
 from ecostar.llm.tokens import Encoder
 from ecostar.session import shared_folder
 
@@ -26,8 +26,13 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def sequence_schema(length: int, narrow: bool) -> pa.Schema:
-    """ids in 16 bits where the vocabulary allows it, else 32; mask in one bit each."""
-    return pa.schema([("ids", pa.list_(pa.uint16() if narrow else pa.uint32(), length)), ("mask", pa.list_(pa.bool_(), length))])
+    """ids in 16 bits where the vocabulary allows it, else 32; ``mask`` is where a sequence's mask begins in the shared one.
+
+    The shared mask, ``length`` ones and as many zeros in bytes, stands in the schema: a
+    sequence of n used ids has the ``length`` bytes from place ``length`` - n on.
+    """
+    shared = b"\1" * length + b"\0" * length
+    return pa.schema([("ids", pa.list_(pa.uint16() if narrow else pa.uint32(), length)), ("mask", pa.int32())], {"mask": shared})
 
 
 class ShardWriter:
@@ -56,7 +61,7 @@ class ShardWriter:
         self.tokens += len(ids) // 4
         self.documents += 1
         if self.held >= self.length * BATCH:
-            self._flush(self.held // self.length * self.length)
+            self._flush(self.held // (self.length * BATCH) * self.length * BATCH)
 
     def _flush(self, upto: int) -> None:
         flat = np.frombuffer(b"".join(self.open), "<u4")
@@ -64,12 +69,11 @@ class ShardWriter:
         self.open, self.held = [rest.tobytes()] if len(rest) else [], len(rest)
         pad = -len(now) % self.length
         ids = np.append(now, np.zeros(pad, "<u4")).astype(self.kind)
-        mask = np.append(np.ones(len(now), bool), np.zeros(pad, bool))
-        for at in range(0, len(ids), self.length * BATCH):
-            columns = [
-                pa.FixedSizeListArray.from_arrays(pa.array(x[at : at + self.length * BATCH]), self.length) for x in (ids, mask)
-            ]
-            self.writer.write_batch(pa.record_batch(columns, schema=self.schema))
+        unused = np.zeros(len(ids) // self.length, np.int32)
+        unused[len(unused) - 1 :] = pad  # only the last sequence of a shard has any
+        for at in range(0, len(unused), BATCH):
+            some = pa.FixedSizeListArray.from_arrays(pa.array(ids[at * self.length : (at + BATCH) * self.length]), self.length)
+            self.writer.write_batch(pa.record_batch([some, pa.array(unused[at : at + BATCH])], schema=self.schema))
         if self.docs:
             self.index.write_batch(
                 pa.record_batch([pa.array([d for d, _ in self.docs], pa.int64()), pa.array([n for _, n in self.docs], pa.int64())], names=["doc_id", "n_tokens"])
@@ -100,21 +104,21 @@ def write_files(
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "token-files")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, writer, encode = TaskContext.get().partitionId(), None, Encoder.of(tokenizer)
         narrow = max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         end = np.array([end_id], "<u4").tobytes()
-        for pdf in batches:
-            for doc_id, text in zip(pdf["id"].astype(object), pdf["text"], strict=True):
-                writer = writer or ShardWriter(folder, shard, length, narrow)
-                writer.add(None if pd.isna(doc_id) else int(doc_id), encode(text) + end)
+        for doc_id, text in text_rows(batches, "id", "text"):
+            writer = writer or ShardWriter(folder, shard, length, narrow)
+            writer.add(doc_id, encode(text) + end)
         if writer:
             name = writer.close()
-            yield pd.DataFrame({"shard": [shard], "file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
+            values = [pa.array([shard], pa.int32()), pa.array([name]), pa.array([writer.documents]), pa.array([writer.tokens])]
+            yield pa.RecordBatch.from_arrays(values, ["shard", "file", "documents", "tokens"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-    return staged(rows.select("id", "text").mapInPandas(write, SHARD_SCHEMA), "token-manifest"), folder
+    return staged(rows.select("id", "text").mapInArrow(write, SHARD_SCHEMA), "token-manifest"), folder
 
 
 class Shard:
@@ -127,23 +131,24 @@ class Shard:
         self.file = pa.ipc.open_file(pa.memory_map(path) if local else self.fs.open_input_file(path))
         self.docs = pa.ipc.open_file(self.fs.open_input_file(path.removesuffix("arrow") + "index"))
         self.length = self.file.schema.field("ids").type.list_size
+        self.mask = np.frombuffer(self.file.schema.metadata[b"mask"], bool)
 
     def _batch(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids, (sequences, length), a view of the file; mask, packed bits of the same order."""
+        """(sequences, length) of ids and where the mask of each begins, both views of the file."""
         batch = self.file.get_batch(i)
         ids = batch.column(0).flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
-        return ids, np.frombuffer(batch.column(1).flatten().buffers()[1], np.uint8)
+        return ids, batch.column(1).to_numpy(zero_copy_only=True)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids (a view of the file) and mask of one sequence; batches hold BATCH of them, but the last."""
-        (ids, mask), row = self._batch(i // BATCH), i % BATCH
-        return ids[row], np.unpackbits(mask, count=ids.size, bitorder="little").reshape(ids.shape)[row].astype(bool)
+        """ids and mask of one sequence, neither copied nor unpacked; batches hold BATCH of them, but the last."""
+        (ids, begins), row = self._batch(i // BATCH), i % BATCH
+        return ids[row], self.mask[begins[row] : begins[row] + self.length]
 
     def _used(self) -> Iterator[np.ndarray]:
         """The ids of each record batch without padding, which only a last sequence has."""
         for i in range(self.file.num_record_batches):
-            ids, mask = self._batch(i)
-            yield ids.reshape(-1)[: int(np.unpackbits(mask, count=ids.size, bitorder="little").sum(dtype=np.int64))]
+            ids, begins = self._batch(i)
+            yield ids.reshape(-1)[: ids.size - int(begins[-1])]
 
     def documents(self) -> Iterator[tuple[int | None, int, int, int]]:
         """(doc_id, first, n_tokens, crc32 of the ids) of each document, in file order, a batch in memory at a time."""

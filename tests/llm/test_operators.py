@@ -318,7 +318,7 @@ def test_vector_shards_and_search():
 
 # packing, mixing, token files
 
-TEXTS = ["a  b", " a", "a ", "x <|endoftext|> y", "it's we'll  they 're", "é\u0301 \u0301b", "\x1c a \x1c b", "ΣΣ Σa AΣ", "한국 12 345 !!! ...a", "a\t.b,\r\nc", "), x.\n\nY"]
+TEXTS = ["\u0130stanbul \u0131I \u01c5 \u01c6ungla \u017ftra\u00dfe \ufb01ne \u0152UVRE \u1e00", "a\u0301b e\u0308", "\u00aa\u00ba word_x x2y", "a  b", " a", "a ", "x <|endoftext|> y", "it's we'll  they 're", "é\u0301 \u0301b", "\x1c a \x1c b", "ΣΣ Σa AΣ", "한국 12 345 !!! ...a", "a\t.b,\r\nc", "), x.\n\nY"]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -326,6 +326,8 @@ def test_encoder_equals_the_library(name):
     encode = Encoder(tokenizer(name))
     rng = np.random.default_rng(0)
     odd = ["".join(rng.choice(["a", "B", " ", "  ", "\n", "'s", "1", ".", ",", "é", "\u0301", "\u3000", "<|endoftext|>", "\x85", "\0"], 30)) for _ in range(2000)]
+    letters = [chr(c) for c in range(0x41, 0x260) if chr(c).isalpha()]
+    odd += [" ".join("".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(40)) for _ in range(100)]
     for text in [*TEXTS, *odd, LONG, ""]:
         assert np.frombuffer(encode(text), "<u4").tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -350,6 +352,38 @@ def test_packing(docs, none, spark):
     assert packing.pack(none, path).count() == 0
 
 
+def plain_packing(lengths, capacity):
+    """Sum of squares by trying every open bin in turn, longest first."""
+    bins, made, out = {}, 0, [None] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        n = lengths[i]
+
+        def squares(changed, left):
+            gaps = [g for b, g in bins.items() if b != changed] + [left]
+            return sum(gaps.count(g) ** 2 for g in set(gaps) if g)
+
+        fits = [b for b, g in bins.items() if g >= n] if n < capacity else []
+        if fits:
+            best = min(fits, key=lambda b: (squares(b, bins[b] - n), bins[b]))
+            same = [b for b in fits if bins[b] == bins[best]]
+            out[i] = (bins[best], len(same))
+            gap = bins[best]
+        else:
+            best, gap, made = made, capacity, made + 1
+            out[i] = (capacity, 0)
+        bins[best] = gap - n
+    return out, made
+
+
+def test_packing_equals_a_plain_sum_of_squares():
+    """The gap that each piece is put into, and the number of bins."""
+    for seed in range(6):
+        lengths = np.random.default_rng(seed).integers(1, 33, 60)
+        to, offset = packing.place(lengths, 32)
+        want, made = plain_packing(lengths.tolist(), 32)
+        assert (32 - offset).tolist() == [gap for gap, _ in want] and to.max() + 1 == made
+
+
 def test_packing_wastes_little():
     lengths = np.random.default_rng(1).integers(1, 2049, 5000)
     to, _ = packing.place(lengths)
@@ -392,9 +426,13 @@ def test_token_files(docs, none, spark):
         ids = encode(text) + np.array([2], "<u4").tobytes()
         assert (doc_id, start, n, crc) == (want, at, len(ids) // 4, zlib.crc32(ids))
         at += n
-    shard = tokenfiles.Shard(folder, manifest.first()["file"])
-    ids, mask = shard.sequence(0)
-    assert len(ids) == 16 and mask.dtype == bool
+    for one in manifest.collect():
+        shard, last = tokenfiles.Shard(folder, one["file"]), -(-one["tokens"] // 16) - 1
+        for i in {0, last}:
+            ids, mask = shard.sequence(i)
+            used = min(16, one["tokens"] - 16 * i)
+            assert mask.tolist() == [True] * used + [False] * (16 - used) and len(ids) == 16 and not ids[used:].any()
+            assert not ids.flags.owndata and np.shares_memory(mask, shard.mask)
     manifest, folder = tokenfiles.write_files(none, path)
     assert tokenfiles.read_files(spark, manifest, folder).count() == 0
 
@@ -412,6 +450,26 @@ def test_pipeline_stages(spark, docs):
     assert rows(corpus_pipeline.drop_near_copies(spark, docs, SF), "doc_id") == [(1,), (3,), (5,), (7,)]
 
 
+def test_pipeline_tells_rows_of_one_id_apart(spark):
+    """Null and repeated ids: a near copy goes although its id stays elsewhere, copies don't multiply."""
+    text, other = "one two three four five six seven eight", "other words that stand for themselves in here now"
+    made = [(1, text), (5, text.replace("eight", "eight ")), (5, other), (None, text + " "), (None, "a b c d e f g h i")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 1, "x") for i, t in made], DOCS)
+    assert rows(corpus_pipeline.drop_near_copies(spark, docs, SF), "doc_id", "text") == sorted([(1, text), (5, other), (None, "a b c d e f g h i")], key=str)
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == docs.columns and mixed.count() <= 3 * len(made)
+
+
+def test_pipeline_edges(spark, docs):
+    """Toxicity and packing stand the same rows as the other stages, and none."""
+    kept = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() <= len(ROWS)
+    assert corpus_pipeline.drop_toxic(spark, docs.limit(0), SF).count() == 0
+    packed = corpus_pipeline.pack_sequences(spark, docs, SF)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r[0] for r in ROWS}
+    assert corpus_pipeline.pack_sequences(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline_run(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     got = corpus_pipeline.run(spark, SF)
