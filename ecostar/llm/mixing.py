@@ -138,7 +138,7 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK,
 ) -> DataFrame:
-    """(id, size, source_size, target, copies, taken), one row per row of ``docs``.
+    """(id, size, source_size, target, copies, taken, text_key), one row per row of ``docs``; text_key is a hash of the text.
 
     A source whose target is r times its size takes each document floor(r) times, and
     once more with probability r - floor(r), by balanced sampling: blocks of about
@@ -150,7 +150,7 @@ def mix(
     give no rows.
     """
     base = staged(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
+        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("text_key"))
         .withColumn("rank", F.xxhash64("id")), "sizes",
     )
     found = staged(targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")), weights, most), "targets")
@@ -158,8 +158,8 @@ def mix(
     keyed = base.withColumn("source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rated = spread_join(keyed, by_source, ["source"], ["id", "size"]).withColumn("rate", rate)
-    drawn = rated.select("id", "size", "rank", "place", "source_size", "target", F.floor("rate").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"), "docs")
-    schema = "id long, size long, rank long, place long, source_size long, target double, whole long, p double, docs long, blocks long"
+    drawn = rated.select("id", "size", "rank", "place", "source_size", "target", F.floor("rate").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"), "docs", "text_key")
+    schema = "id long, size long, rank long, place long, source_size long, target double, whole long, p double, docs long, text_key long, blocks long"
     now = drawn.withColumn("blocks", F.ceil(F.col("docs") / block))
     done = []
     largest = found.agg(F.max("docs")).first()[0] or 0
@@ -174,4 +174,4 @@ def mix(
     for part in done:
         landed = landed.unionByName(part)
     copies = (F.col("whole") + F.when(F.col("size") > 0, F.round("p")).otherwise(0)).cast("long")
-    return landed.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return landed.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), "text_key")

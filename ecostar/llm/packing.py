@@ -7,8 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ecostar.llm.common import text_rows
 from ecostar.llm.tokens import Encoder
 
 CAPACITY = 2048
@@ -39,9 +41,9 @@ def place(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np
         n = int(lengths[i])
         here = count[n:capacity]
         if n < capacity and here.any():
-            after = count[: capacity - n].copy()
+            after = 2 * count[: capacity - n]  # of a change of the sum less 2, which all places share
             after[0] = -1  # a bin that becomes full leaves the sum
-            change = np.where(here > 0, after - here, np.iinfo(np.int64).max)
+            change = np.where(here > 0, after - 2 * here, np.iinfo(np.int64).max)
             gap = n + int(change.argmin())
             count[gap] -= 1
             to[i], offset[i] = bins[gap].pop(), capacity - gap
@@ -69,23 +71,23 @@ def pack(
     """
     shards = max(1, -(-docs.count() // shard_docs))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = Encoder.of(tokenizer), np.array([end_id], "<u4").tobytes()
-        for pdf in batches:
-            rows, size = [], 0
-            for doc_id, text, shard in zip(pdf["id"].astype(object), pdf["text"], pdf["shard"], strict=True):
-                ids = ids_of(text) + end
-                for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    own = ids[4 * start : 4 * (start + n)]
-                    rows.append((None if pd.isna(doc_id) else doc_id, k, start, n, zlib.crc32(own), own if with_ids else None, shard))
-                size += len(ids)
-                if size > 1 << 24:
-                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        rows, size = [], 0
+        for doc_id, text, shard in text_rows(batches, "id", "text", "shard"):
+            ids = ids_of(text) + end
+            for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
+                own = ids[4 * start : 4 * (start + n)]
+                rows.append((doc_id, k, start, n, zlib.crc32(own), own if with_ids else None, shard))
+            size += len(ids)
+            if size > 1 << 23:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "shard"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
     def put(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
@@ -93,9 +95,9 @@ def pack(
         pdf["sequence_id"], pdf["offset"] = (int(key[0]) << 40) + to, offset
         return pdf[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]]
 
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     dealt = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
-    found = rows.withColumn("shard", dealt).mapInPandas(encode, PIECES)
+    found = rows.withColumn("shard", dealt).mapInArrow(encode, PIECES)
     return found.groupBy("shard").applyInPandas(put, PACKED)
 
 

@@ -26,7 +26,7 @@ def op2_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
-    return simhash.near_groups(table(spark, sf, "documents"))
+    return simhash.near_groups(table(spark, sf, "documents")).drop("text_key")
 
 
 def op4_urls(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix(table(spark, sf, "documents")).drop("copies")
+    return mixing.mix(table(spark, sf, "documents")).drop("copies", "text_key")
 
 
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:

@@ -42,7 +42,7 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         prints = np.array([fingerprint(t) for t in pdf["text"]], np.uint64).view(np.int64)
-        yield pd.DataFrame({"id": pdf["id"], "fp": prints})
+        yield pd.DataFrame({"id": pdf["id"], "fp": prints, "text_key": pdf["text_key"]})
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -205,7 +205,7 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, shared: int = SHARED
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """(id, fingerprint, component_id), one row per row of ``docs``.
+    """(id, fingerprint, component_id, text_key), one row per row of ``docs``; text_key is a hash of the text.
 
     component_id is the least id reachable by links of at most ``distance`` bits. Null and
     empty texts have fingerprint zero and link like any other; null ids never become a
@@ -214,7 +214,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     node over a spread join, so a text with any number of copies stays spread.
     """
     prints = staged(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(_fingerprints, "id long, fp long"), "fingerprints"
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+        .mapInPandas(_fingerprints, "id long, fp long, text_key long"), "fingerprints"
     )
     nodes = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     links = staged(near_links(nodes.select("fp"), distance), "near-links")
@@ -224,5 +225,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = spread_join(rooted, found, ["root"], ["fp"]).select("fp", "component_id")
     return spread_join(prints, named, ["fp"], ["id"]).select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_key"
     )
