@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ecostar.llm import exact, mixing, packing, simhash, toxicity
-from ecostar.llm.common import ascii_lower, staged, table
+from ecostar.llm.common import ascii_lower, drop_staged, staged, table
 from ecostar.llm.queries import _tokenizer
 
 # columns of the stages' own, which documents don't have
@@ -38,16 +38,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows with the least doc_id of each group of linked SimHash fingerprints."""
+    """The rows with the least doc_id of each group of linked SimHash fingerprints; rows of one id are told apart by their texts."""
     groups = simhash.near_groups(docs)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(_ID)).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[_ID]), "left_semi")
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(_ID), F.col("text_key").alias(_DIGEST)).distinct()
+    same = docs["doc_id"].eqNullSafe(kept[_ID]) & (F.xxhash64(docs["text"]) == kept[_DIGEST])
+    return docs.join(kept, same, "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as many times as the mix takes its document."""
-    mixed = mixing.mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias(_ID)).agg(F.max("copies").alias("_stage_copies"))
-    joined = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed[_ID]))
+    """Each row as many times as the mix takes its document; of rows with equal id and text each as often as the most taken one."""
+    taken = mixing.mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias(_ID), F.col("text_key").alias(_DIGEST))
+    mixed = taken.agg(F.max("copies").alias("_stage_copies"))
+    joined = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed[_ID]) & (F.xxhash64(docs["text"]) == mixed[_DIGEST]))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_stage_copies"))).alias("_stage_copy")
     return joined.select(*[docs[c] for c in docs.columns], each).drop("_stage_copy")
 
@@ -70,7 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces; a stage's input, if written here, goes when its output is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        done = staged(stage(spark, docs, sf_dir), name)
+        if hasattr(docs, "staged_path"):
+            drop_staged(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
