@@ -17,6 +17,12 @@ def _dated(facts: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame
     return facts.join(days, "capture_date")
 
 
+def _of_years(facts: DataFrame, *years: int) -> DataFrame:
+    """Facts of the span of some years; literals, so that a table by date is read in part only."""
+    first, last = f"{min(years)}-01-01", f"{max(years)}-12-31"
+    return facts.filter(F.col("capture_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
 def _in_city(facts: DataFrame, dim_city: DataFrame, *attributes: str) -> DataFrame:
     return facts.join(dim_city.select("city_id", *attributes), "city_id")
 
@@ -32,7 +38,7 @@ def star_view(facts: DataFrame, dim_city: DataFrame, dim_date: DataFrame, n: int
 
 
 def monthly_city(facts, dim_date, dim_city, years=(2025, 2026)) -> DataFrame:
-    df = _in_city(_dated(facts, dim_date, "year", "month", "month_name"), dim_city, "city_name")
+    df = _in_city(_dated(_of_years(facts, *years), dim_date, "year", "month", "month_name"), dim_city, "city_name")
     return (
         df.filter(F.col("year").isin(*years))
         .groupBy("city_name", "year", "month", "month_name")
@@ -153,7 +159,7 @@ def cube(facts, dim_city, dim_date, dim_aqi, year: int = 2026) -> DataFrame:
     The facts are summed per finest cell before the cube, so the cube expands cells
     and not facts.
     """
-    df = _in_city(_dated(facts, dim_date, "year", "month", "month_name"), dim_city, "city_name")
+    df = _in_city(_dated(_of_years(facts, year), dim_date, "year", "month", "month_name"), dim_city, "city_name")
     cells = (
         df.filter(F.col("year") == year)
         .join(dim_aqi.select("aqi_level_id", "level_name"), "aqi_level_id")
@@ -205,38 +211,41 @@ def season_pollution(facts, dim_date) -> DataFrame:
     )
 
 
-def _number_text(col: Column, type_: str) -> Column:
-    return col.cast(type_).cast("string")
-
-
 def kpi_24h(facts, dim_city, dim_date, as_of: Column) -> DataFrame:
-    """Three lines of text: mean temperature, mean AQI, most polluted city."""
+    """Three lines of text: mean temperature, mean AQI, most polluted city; from one scan of the days that count."""
     start = as_of - F.make_dt_interval(hours=F.lit(24))
-    days = dim_date.filter(F.col("date_value").cast("timestamp") >= start)
-    last = _dated(facts, days)
-
-    def line(kpi: str, value: Column, unit: Column) -> list[Column]:
-        return [F.lit(kpi).alias("kpi"), value.alias("valeur"), unit.alias("unite")]
-
-    overall = last.agg(
-        mean_2(F.col("temperature")).alias("t"), mean_2(F.col("aqi_index"), 0).alias("a")
-    )
-    worst = (
-        _in_city(last, dim_city, "city_name")
-        .groupBy("city_name")
-        .agg(mean_2(F.col("aqi_index"), 6).alias("exact"), mean_2(F.col("aqi_index"), 0).alias("a"))
-        .orderBy(F.desc_nulls_first("exact"), "city_name")
-        .limit(1)
-    )
-    return (
-        overall.select(*line("Température moyenne", _number_text(F.col("t"), "decimal(10,2)"), F.lit("°C")))
-        .unionAll(overall.select(*line("AQI moyen", _number_text(F.col("a"), "bigint"), F.lit("index"))))
-        .unionAll(
-            worst.select(
-                *line("Ville la plus polluée", F.col("city_name"), _number_text(F.col("a"), "bigint"))
-            )
-        )
+    recent = facts.filter(F.col("capture_date").cast("timestamp") >= start)
+    last = _dated(recent, dim_date).join(dim_city.select("city_id", "city_name"), "city_id", "left")
+    per_city = last.groupBy("city_name").agg(
+        F.sum("temperature").cast("decimal(26,2)").alias("ts"), F.count("temperature").alias("tn"),
+        F.sum("aqi_index").cast("decimal(26,2)").alias("qs"), F.count("aqi_index").alias("qn"),
+    )
+
+    def mean(total: Column, n: Column, digits: int) -> Column:
+        return F.round(F.try_divide(total.cast("decimal(26,2)"), n.cast("decimal(20,0)")), digits)
+
+    exact = mean(F.col("qs"), F.col("qn"), 6)
+    # the first in the order of: no value first, then the highest mean, then the name
+    place = F.when(F.col("city_name").isNotNull(), F.struct(exact.isNotNull(), -F.coalesce(exact, F.lit(0)), F.col("city_name")))
+    one = per_city.agg(
+        F.sum("ts").alias("ts"), F.sum("tn").alias("tn"), F.sum("qs").alias("qs"), F.sum("qn").alias("qn"),
+        F.min_by(F.struct("city_name", mean(F.col("qs"), F.col("qn"), 0).cast("bigint").cast("string").alias("a")), place).alias("worst"),
+    )
+
+    def line(kpi: str, value: Column, unit: Column) -> Column:
+        return F.struct(F.lit(kpi).alias("kpi"), value.alias("valeur"), unit.alias("unite"))
+
+    def overall(total: str, n: str, digits: int, kind: str) -> Column:
+        return mean(F.col(total), F.col(n), digits).cast(kind).cast("string")
+
+    lines = F.array(
+        line("Température moyenne", overall("ts", "tn", 2, "decimal(10,2)"), F.lit("°C")),
+        line("AQI moyen", overall("qs", "qn", 0, "bigint"), F.lit("index")),
+        line("Ville la plus polluée", F.col("worst.city_name"), F.col("worst.a")),
     )
+    # without any fact there is no most polluted city
+    found = F.filter(lines, lambda x: (x["kpi"] != "Ville la plus polluée") | F.col("worst").isNotNull())
+    return one.select(F.explode(found).alias("l")).select("l.*")
 
 
 def top5_now(facts, dim_city, dim_weather, dim_date, as_of: Column, n: int = 5) -> DataFrame:
@@ -255,14 +264,44 @@ def top5_now(facts, dim_city, dim_weather, dim_date, as_of: Column, n: int = 5)
     )
 
 
-def monthly_averages(facts, dim_city, dim_date) -> DataFrame:
-    """The table ``mv_monthly_avg``, written anew after each run."""
-    df = _in_city(_dated(facts, dim_date, "year", "month", "month_name"), dim_city, "city_name")
-    return df.groupBy("city_id", "city_name", "year", "month", "month_name").agg(
-        mean_2(F.col("temperature")).alias("temp_avg"),
-        mean_2(F.col("humidity")).alias("humidity_avg"),
-        mean_2(F.col("aqi_index"), 0).alias("aqi_avg"),
-        F.count("*").alias("measure_count"),
+#: What the months' averages are made of, per day of the lake; such parts add up in any order.
+MONTHLY_STATE = (
+    "city_id INT, month DATE, n BIGINT, n_temperature BIGINT, sum_temperature DECIMAL(26,2), n_humidity BIGINT, "
+    "sum_humidity DECIMAL(26,2), n_aqi_index BIGINT, sum_aqi_index DECIMAL(26,2), lake_date DATE"
+)
+_AVERAGED = ("temperature", "humidity", "aqi_index")
+
+
+def monthly_states(judged) -> DataFrame:
+    """Counts and sums of the accepted measures per city and month, for each day of the lake.
+
+    A day without accepted measures keeps its rows, with counts of 0, so that they replace older ones.
+    """
+    ok = F.col("reject_reason").isNull()
+    sums = [
+        part
+        for c in _AVERAGED
+        for part in (F.count(F.when(ok, F.col(c))).alias(f"n_{c}"), F.sum(F.when(ok, F.col(c))).cast("decimal(26,2)").alias(f"sum_{c}"))
+    ]
+    month = F.trunc("capture_date", "month").alias("month")
+    states = judged.groupBy("city_id", month, "lake_date").agg(F.count_if(ok).alias("n"), *sums)
+    return states.select("city_id", "month", "n", *(f"{kind}_{c}" for c in _AVERAGED for kind in ("n", "sum")), "lake_date")
+
+
+def monthly_averages(states, dim_city, dim_date) -> DataFrame:
+    """The view ``mv_monthly_avg``, merged from the days' parts."""
+    whole = states.groupBy("city_id", F.col("month").alias("capture_date")).agg(
+        F.sum("n").alias("measure_count"), *(F.sum(f"{kind}_{c}").alias(f"{kind}_{c}") for c in _AVERAGED for kind in ("n", "sum"))
+    ).filter("measure_count > 0")
+
+    def mean(c: str, digits: int = 2) -> Column:
+        exact = F.try_divide(F.col(f"sum_{c}").cast("decimal(26,2)"), F.col(f"n_{c}").cast("decimal(20,0)"))
+        return F.round(exact, digits).cast("double")
+
+    df = _in_city(_dated(whole, dim_date, "year", F.col("month").alias("month_"), "month_name"), dim_city, "city_name")
+    return df.select(
+        "city_id", "city_name", "year", F.col("month_").alias("month"), "month_name", mean("temperature").alias("temp_avg"),
+        mean("humidity").alias("humidity_avg"), mean("aqi_index", 0).alias("aqi_avg"), "measure_count",
     )
 
 

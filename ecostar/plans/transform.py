@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ecostar import schemas
 from ecostar.functions import expr, payload
 from ecostar.operators import anomalies, dimensions, forest as iforest, measures as m, parse, traffic, water
-from ecostar.sources import lake as lake_io, reference
-from ecostar.sources.warehouse import Batch, read_table, stage, staged_days, staging
+from ecostar.plans import olap
+from ecostar.sources import done, lake as lake_io, reference
+from ecostar.sources.warehouse import Batch, read_table, recover, stage, staged_days, staging
 
 HITS = (
     "ARRAY<STRUCT<anomaly_type: STRING, severity: STRING, field_name: STRING, actual_value: DOUBLE, "
@@ -82,6 +83,18 @@ def measure_anomalies(spark: SparkSession, root: str) -> DataFrame:
     return anomalies.format_hits(anomalies.stored_hits(judged), reference.dim_city(spark))
 
 
+def write_judged(writes: Batch, days: DataFrame) -> None:
+    """Whole days of judged measures, and the parts of the monthly averages that come from them."""
+    written = writes.write(days, "judged_measures", "lake_date", replace=True)
+    writes.write(olap.monthly_states(written), "monthly_state", "lake_date", replace=True)
+
+
+def monthly_averages(spark: SparkSession, root: str) -> DataFrame:
+    """The monthly view, as of the last batch: only the days' parts are read, no facts."""
+    states = read_table(spark, root, "monthly_state", olap.MONTHLY_STATE)
+    return olap.monthly_averages(states, reference.dim_city(spark), reference.dim_date(spark))
+
+
 def touched(batch: DataFrame, *sources: str) -> DataFrame:
     """The city-hours of a batch's entries."""
     return (
@@ -149,7 +162,7 @@ def _run_batch(spark, batch, lake, root, as_of, forest, stats, writes) -> None:
     contract = readable(batch)
     unreadable = batch.filter(F.col("source").isin(*known) & ~payload.is_readable(payload.payload_text(F.col("raw_data"))))
     rejects = [
-        lake_io.route(batch)["rejects"].select("id", "reason"),
+        lake_io.rejected_sources(batch).select("id", "reason"),
         unreadable.select("id", F.lit("bad_payload").alias("reason")),
     ]
 
@@ -175,7 +188,7 @@ def _run_batch(spark, batch, lake, root, as_of, forest, stats, writes) -> None:
             city_hours.select(F.col("collected_date").alias("lake_date")).distinct(), "lake_date", "left_semi"
         )
         kept = same_days.join(keys, ["city_id", "lake_hour"], "left_anti")
-        writes.write(kept.unionByName(fresh), "judged_measures", "lake_date", replace=True)
+        write_judged(writes, kept.unionByName(fresh))
         rejects.append(m.reading_rejects(m.readings(batch), dim_date, at))
 
     if schemas.FLOW in present:
@@ -242,8 +255,11 @@ def _run_batch(spark, batch, lake, root, as_of, forest, stats, writes) -> None:
     outcome = batch.select("id").join(reasons, "id", "left").select(
         "id", at.alias("processed_at"), F.coalesce("reason", F.lit("processed")).alias("outcome")
     )
-    done = writes.write(outcome, "lake_processed").select((F.col("outcome") == "processed").alias("ok"))
-    writes.write(lake_io.run_log(done, "transform", at, F.lit(time.monotonic() - begun)), "etl_log")
+    told = writes.write(outcome, "lake_processed")
+    ranges = read_table(spark, root, "done_ranges", done.RANGES)
+    writes.write(done.with_ids(ranges, told.select("id")), "done_ranges", "span", replace=True)
+    ok = told.select((F.col("outcome") == "processed").alias("ok"))
+    writes.write(lake_io.run_log(ok, "transform", at, F.lit(time.monotonic() - begun)), "etl_log")
 
 
 def _grow_dimension(writes: Batch, name: str, schema: str, grow, keys: list[str]) -> DataFrame:
@@ -255,11 +271,18 @@ def _grow_dimension(writes: Batch, name: str, schema: str, grow, keys: list[str]
 
 def run_transform(
     spark: SparkSession, lake_path: str, root: str, as_of: dt.datetime, batch_size: int | None = None,
-    forest: iforest.Forest | None = None, stats: DataFrame | None = None,
-) -> None:
-    """Process the lowest unprocessed ids of the lake, all of them or at most ``batch_size``."""
+    forest: iforest.Forest | None = None, stats: DataFrame | None = None, train: bool = False, train_rows: int | None = None,
+) -> None:
+    """Process the lowest unprocessed ids of the lake, all of them or at most ``batch_size``.
+
+    ``train`` first grows a forest from the facts so far, the latest ``train_rows`` or all;
+    with too few of them no forest is used.
+    """
+    recover(spark, root)
     lake = lake_io.load_lake(spark, lake_path)
-    done = read_table(spark, root, "lake_processed", PROCESSED)
+    ranges = read_table(spark, root, "done_ranges", done.RANGES)
     with staging(spark):
-        batch = stage(lake_io.unprocessed(lake, done, batch_size), "batch")
+        if train and forest is None:
+            forest = iforest.train_forest(fact_measures(spark, root), train_rows)
+        batch = stage(lake_io.unprocessed(lake, ranges, batch_size), "batch")
         run_batch(spark, batch, lake, root, as_of, forest, stats)

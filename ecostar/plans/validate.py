@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ecostar.operators import quality, traffic
-from ecostar.plans.transform import JUDGED, fact_measures
+from ecostar.plans.transform import JUDGED, fact_measures, write_judged
 from ecostar.sources import reference
 from ecostar.sources.warehouse import Batch, read_table, stage, staged_days, staging
 
@@ -17,7 +17,7 @@ def run_validation(
     spark: SparkSession, root: str, as_of: dt.datetime, hours: int = 24, strict: bool = False,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Check the last hours, append the issues and return the report row."""
+    """Check the last hours, append the issues and every gap between facts, and return the report row."""
     at = F.lit(as_of)
     facts = quality.union_facts(
         fact_measures(spark, root, at - F.make_dt_interval(hours=F.lit(hours))),
@@ -26,9 +26,10 @@ def run_validation(
         at,
         hours,
     )
-    checks = quality.all_checks(facts, reference.dim_city(spark), at, hours)
-    writes = Batch(spark, root)
-    issues = writes.write(quality.issue_rows(checks, F.lit(run_id or str(uuid.uuid4())), at, hours), "quality_issues")
+    checks, gaps = quality.all_checks_and_gaps(facts, reference.dim_city(spark), at, hours)
+    writes, run = Batch(spark, root), F.lit(run_id or str(uuid.uuid4()))
+    issues = writes.write(quality.issue_rows(checks, run, at, hours), "quality_issues")
+    writes.write(gaps.withColumn("validation_run_id", run), "quality_gaps")
     found = stage(quality.report(issues, strict), "report")
     writes.commit()
     return found
@@ -50,6 +51,6 @@ def run_cleanup(spark: SparkSession, root: str, as_of: dt.datetime, dry_run: boo
             days = staged_days(doomed.select("lake_date").distinct(), "lake_date")
             marked = read_table(spark, root, "judged_measures", JUDGED).join(days, "lake_date", "left_semi").join(doomed, key, "left")
             rewritten = marked.withColumn("reject_reason", F.when(F.col("_gone"), F.lit("cleaned")).otherwise(F.col("reject_reason")))
-            writes.write(rewritten.drop("_gone"), "judged_measures", "lake_date", replace=True)
+            write_judged(writes, rewritten.drop("_gone"))
             writes.commit()
     return counts

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ecostar import schemas
+from ecostar.session import delete_folder, list_folders
+from ecostar.sources import done
+from ecostar.sources.warehouse import number_rows, read_table, stage
 
 
 def read_lake(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
@@ -30,12 +36,24 @@ def as_entries(df: DataFrame, ingested_at: Column) -> DataFrame:
     )
 
 
+def with_ids(df: DataFrame, path: str, order: str | None = None) -> DataFrame:
+    """Entries without an ``id``, numbered above the lake's largest one, in the order of a unique integer column if given."""
+    spark = df.sparkSession
+    root, _, name = path.rstrip("/").rpartition("/")
+    largest = read_table(spark, root, name, schemas.LAKE + ", collected_date DATE").agg(F.max("id")).scalar()
+    if order is None:  # written first, as these numbers change when a partition is computed again
+        df, order = stage(df.withColumn("_place", F.monotonically_increasing_id()), "new-entries"), "_place"
+    return number_rows(df, order, "id", largest).drop("_place")
+
+
 def append_lake(df: DataFrame, path: str, ingested_at: Column | None = None) -> None:
-    """Append entries, partitioned by source and day.
+    """Append entries, partitioned by source and day; entries without an ``id`` column get ids above all others.
 
     The rebalance hint lets the runtime split a hot (source, day) over several
     files and join small ones.
     """
+    if "id" not in df.columns:
+        df = with_ids(df, path)
     entries = as_entries(df, F.current_timestamp() if ingested_at is None else ingested_at)
     (
         entries.withColumn("collected_date", F.to_date("collected_at"))
@@ -72,21 +90,17 @@ def export_city(lake: DataFrame, city_name: str, path: str) -> None:
     export_entries(city.orderBy(F.desc("collected_at"), F.desc("id")), path)
 
 
-def unprocessed(lake: DataFrame, done: DataFrame, n: int | None = 1000) -> DataFrame:
-    """Entries without a recorded outcome, lowest ids first, at most ``n``.
+def unprocessed(lake: DataFrame, ranges: DataFrame, n: int | None = 1000) -> DataFrame:
+    """Entries whose id lies in none of the ``ranges`` of done ones, lowest ids first, at most ``n``.
 
     The ids are chosen without their payloads; the entries are then looked up by id
     and lake partition, so other partitions are not read.
     """
     keys = [c for c in ("source", "collected_date", "id") if c in lake.columns]
-    pending = (
-        lake.filter(~F.coalesce("processed", F.lit(False)))
-        .select(*keys)
-        .join(done.select("id"), "id", "left_anti")
-    )
+    open_ = done.pending(lake.filter(~F.coalesce("processed", F.lit(False))).select(*keys), ranges)
     if n is not None:
-        pending = pending.orderBy("id").limit(n)
-    return lake.join(pending, keys, "left_semi")
+        open_ = open_.orderBy("id").limit(n)
+    return lake.join(open_, keys, "left_semi")
 
 
 def outcomes(df: DataFrame, at: Column, outcome: Column) -> DataFrame:
@@ -120,12 +134,13 @@ def family_of(source: Column) -> Column:
     return family
 
 
-def route(lake: DataFrame) -> dict[str, DataFrame]:
-    """One frame per family of sources; ``rejects`` holds entries of unknown sources."""
-    routed = lake.withColumn("family", family_of(F.col("source")))
-    parts = {name: routed.filter(F.col("family") == name) for name in schemas.FAMILIES}
-    parts["rejects"] = routed.filter(F.col("family").isNull()).withColumn("reason", F.lit("unknown_source"))
-    return parts
+def routed(lake: DataFrame) -> DataFrame:
+    """Entries with their ``family``, ``rejects`` for unknown sources; a sink splits them by that column."""
+    return lake.withColumn("family", F.coalesce(family_of(F.col("source")), F.lit("rejects")))
+
+
+def rejected_sources(lake: DataFrame) -> DataFrame:
+    return routed(lake).filter("family = 'rejects'").withColumn("reason", F.lit("unknown_source"))
 
 
 # Rows kept per city and pull.
@@ -195,6 +210,18 @@ def footprint(lake: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
     return lines
 
 
-def retained(df: DataFrame, date_col: str, days: int, as_of: Column) -> DataFrame:
-    """Rows young enough to keep; a filter on the partition date prunes whole folders."""
-    return df.filter(F.col(date_col) >= F.date_sub(F.to_date(as_of), days))
+def purge(spark: SparkSession, path: str, days: int, as_of: dt.date, dry_run: bool = False) -> list[tuple[str, str]]:
+    """Drop the lake's days older than ``days`` before ``as_of``; returns their (source, day), a dry run only that.
+
+    A day is a folder per source, so whole folders go and no entry is read. What was cut
+    off is finished by the next run; entries without a time stay.
+    """
+    oldest, doomed = as_of - dt.timedelta(days=days), []
+    for source in list_folders(spark, path):
+        for day in list_folders(spark, f"{path}/{source}") if "=" in source else ():
+            text = day.partition("=")[2]
+            if re.fullmatch(r"\d{4}-\d\d-\d\d", text) and dt.date.fromisoformat(text) < oldest:
+                doomed.append((source.partition("=")[2], text))
+                if not dry_run:
+                    delete_folder(spark, f"{path}/{source}/{day}")
+    return doomed

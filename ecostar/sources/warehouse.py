@@ -96,6 +96,7 @@ class Batch:
         self.writes: list[dict] = []
         recover(spark, root)
         done = [f for f in list_folders(spark, table_path(root, _LEDGER)) if f.startswith(f"done-{stream}-")]
+        self.resumed = bool(done)  # whether a micro-batch of the stream was published before
         self.published = stream is not None and any(int(f.rsplit("-", 1)[1]) >= epoch for f in done)
 
     def write(self, df: DataFrame, name: str, partition: str | None = None, replace: bool = False) -> DataFrame:

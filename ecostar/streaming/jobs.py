@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ecostar import schemas
 from ecostar.functions import expr
 from ecostar.operators import parse
-from ecostar.plans.transform import PROCESSED, affected, run_batch, touched
-from ecostar.sources import lake as lake_io
+from ecostar.plans.transform import run_batch
+from ecostar.sources import done, lake as lake_io, reference
 from ecostar.sources.warehouse import Batch, empty_table, read_table, stage, staged_days, staging
 
 
@@ -54,10 +55,8 @@ def stream_transform(
         if Batch(session, root, stream, epoch).published:
             return
         with staging(session):
-            fresh = stage(batch, "fresh")
-            ids = fresh.agg(F.min("id"), F.max("id")).first()  # prunes the outcomes to read
-            done = read_table(session, root, "lake_processed", PROCESSED).filter(F.col("id").between(*map(F.lit, ids)))
-            entries = stage(fresh.join(done.select("id"), "id", "left_anti").select(*batch.columns), "batch")
+            ranges = read_table(session, root, "done_ranges", done.RANGES)
+            entries = stage(done.pending(batch, ranges), "batch")
             run_batch(session, entries, lake_io.load_lake(session, lake_path), root, clock(), forest, stats, stream, epoch)
 
     stream = _stream_name(checkpoint)
@@ -77,42 +76,65 @@ def stream_drain(spark: SparkSession, lake_path: str, root: str, checkpoint: str
     ).awaitTermination()
 
 
+class Hours(NamedTuple):
+    """What an hourly table keeps: totals of entries, and how totals of the same hour add up to totals."""
+
+    totals: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    sources: tuple[str, ...]
+
+
 def hourly_winners(entries: DataFrame) -> DataFrame:
     """Per hour, city and source the largest lake id and its payload."""
-    return (
-        entries.filter(F.col("source").isin(schemas.WEATHER, schemas.AIR))
-        .groupBy(expr.hour_of(F.col("collected_at")).alias("lake_hour"), "city_id", "source")
-        .agg(
-            F.max("id").alias("id"),
-            F.max_by("collected_at", "id").alias("collected_at"),
-            F.max_by("raw_data", "id").alias("raw_data"),
-        )
+    rows = entries.filter(F.col("source").isin(schemas.WEATHER, schemas.AIR))
+    return merge_winners(rows.withColumn("lake_hour", expr.hour_of(F.col("collected_at"))))
+
+
+def merge_winners(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("lake_hour", "city_id", "source").agg(
+        F.max("id").alias("id"),
+        F.max_by("collected_at", "id").alias("collected_at"),
+        F.max_by("raw_data", "id").alias("raw_data"),
     )
 
 
 def hourly_incidents(entries: DataFrame) -> DataFrame:
-    """Totals of incidents per hour, city and category; model id and length of the first of them."""
+    """Totals of incidents of known days per hour, city and category; model id and length of the first of them."""
     score = expr.incident_severity(F.col("gravite_retard"), F.col("retard_s"), F.col("categorie_incident"))
     delay_s = F.coalesce("retard_s", F.lit(0.0))
+    days = reference.dim_date(entries.sparkSession).select("date_value")
+    rows = parse.incident_records(entries).withColumn("date_value", F.to_date("collected_at")).join(days, "date_value", "left_semi")
+    return merge_incidents(
+        rows.filter(delay_s > -1).select(
+            expr.hour_of(F.col("collected_at")).alias("lake_hour"), "city_id", "categorie_incident", F.col("id").alias("first_id"),
+            "traffic_model_id", F.lit(1).cast("bigint").alias("nombre_incidents"), delay_s.alias("retard_total_s"),
+            F.col("longueur_m").alias("longueur_moyenne_m"), score.alias("incident_severity_score"),
+        )
+    )
+
+
+def merge_incidents(rows: DataFrame) -> DataFrame:
     return (
-        parse.incident_records(entries)
-        .withColumn("score", score)
-        .filter(delay_s > -1)
-        .groupBy(expr.hour_of(F.col("collected_at")).alias("lake_hour"), "city_id", "categorie_incident")
+        rows.groupBy("lake_hour", "city_id", "categorie_incident")
         .agg(
-            F.min_by("traffic_model_id", "id").alias("traffic_model_id"),
-            F.count("*").alias("nombre_incidents"),
-            F.sum(delay_s).alias("retard_total_s"),
-            (F.sum(delay_s) / F.count("*")).alias("retard_moyen_s"),
-            F.min_by("longueur_m", "id").alias("longueur_moyenne_m"),
-            F.max("score").alias("incident_severity_score"),
+            F.min("first_id").alias("first_id"),
+            F.min_by("traffic_model_id", "first_id").alias("traffic_model_id"),
+            F.sum("nombre_incidents").alias("nombre_incidents"),
+            F.sum("retard_total_s").alias("retard_total_s"),
+            F.min_by("longueur_moyenne_m", "first_id").alias("longueur_moyenne_m"),
+            F.max("incident_severity_score").alias("incident_severity_score"),
         )
+        .withColumn("retard_moyen_s", F.col("retard_total_s") / F.col("nombre_incidents"))
     )
 
 
-def read_hours(spark: SparkSession, root: str, name: str, totals: Callable[[DataFrame], DataFrame]) -> DataFrame:
+WINNERS = Hours(hourly_winners, merge_winners, (schemas.WEATHER, schemas.AIR))
+INCIDENTS = Hours(hourly_incidents, merge_incidents, (schemas.INCIDENTS,))
+
+
+def read_hours(spark: SparkSession, root: str, name: str, hours: Hours) -> DataFrame:
     """The table that ``stream_hours`` keeps."""
-    shape = totals(empty_table(spark, schemas.LAKE)).schema
+    shape = hours.totals(empty_table(spark, schemas.LAKE)).schema
     return read_table(spark, root, name, shape.add("lake_date", "date"))
 
 
@@ -121,33 +143,35 @@ def stream_hours(
     lake_path: str,
     root: str,
     name: str,
-    totals: Callable[[DataFrame], DataFrame],
-    sources: tuple[str, ...],
+    hours: Hours,
     checkpoint: str,
     files_per_batch: int | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """A table of ``totals`` per hour and city, kept up with the lake.
+    """A table of totals per hour and city, kept up with the lake.
 
-    Each micro-batch names the (city, hour) pairs it touches; these are computed anew from
-    the lake and replace their rows. So entries count however late they come, in any
-    order, and a replayed batch changes nothing; no state grows with the stream.
+    The totals of a micro-batch's entries are added to those kept for the same hours; the
+    lake is not read again, and hours without new entries are not touched but for their
+    day's files. The ledger publishes each micro-batch once, so nothing counts twice, and
+    entries count however late they come, in any order: the table itself is the state,
+    and needs no watermark. A table belongs to the checkpoint that began it.
     """
+    stream = f"{name}-{_stream_name(checkpoint)}"
 
     def each(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        writes = Batch(session, root, f"{name}-{_stream_name(checkpoint)}", epoch)
+        writes = Batch(session, root, stream, epoch)
         if writes.published:
             return
         with staging(session):
-            hours = staged_days(touched(batch, *sources), "collected_date")
-            entries = affected(lake_io.load_lake(session, lake_path), hours, *sources)
-            new = totals(entries).withColumn("lake_date", F.to_date("lake_hour"))
-            old = read_hours(session, root, name, totals)
-            days = hours.select(F.col("collected_date").alias("lake_date")).distinct()
-            keys = hours.select("city_id", "lake_hour")
-            kept = old.join(days, "lake_date", "left_semi").join(keys, ["city_id", "lake_hour"], "left_anti")
-            writes.write(kept.unionByName(new), name, "lake_date", replace=True)
+            old = read_hours(session, root, name, hours)
+            if not writes.resumed and not old.isEmpty():
+                raise ValueError(f"the table {name} was begun with another checkpoint")
+            new = stage(hours.totals(batch.filter(F.col("source").isin(*hours.sources))).withColumn("lake_date", F.to_date("lake_hour")), "new-hours")
+            days = staged_days(new.select("lake_date").distinct(), "lake_date")
+            both = old.join(days, "lake_date", "left_semi").unionByName(new)
+            merged = hours.merge(both).withColumn("lake_date", F.to_date("lake_hour"))
+            writes.write(merged.select(*old.columns), name, "lake_date", replace=True)
             writes.commit()
 
     return (

@@ -1,4 +1,6 @@
+import io
 import random
+from contextlib import redirect_stdout
 
 from helpers import entry, lake, naive, rows, utc
 from pyspark.sql import functions as F
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 from ecostar import queries
 from ecostar.operators import dimensions, measures as m, traffic, water
 from ecostar.operators.loading import keep_first
-from ecostar.sources import lake as lake_io, reference, warehouse
+from ecostar.sources import done, lake as lake_io, reference, warehouse
 
 
 def test_source_caps_hold_per_pull(spark, monkeypatch):
@@ -157,10 +159,41 @@ def test_export_round_trip_and_array_files(spark, tmp_path):
 
 def test_routes_and_log(spark):
     df = lake(spark, [entry(i, s, "{}", utc(2026, 1, 1)) for i, s in enumerate(("aqicn", "tomtom_flow", "hubeau_cd_stations", "odd"))])
-    parts = lake_io.route(df)
-    assert {k: rows(p, "id") for k, p in parts.items()} == {
-        "weather_air": [(0,)], "traffic": [(1,)], "water": [(2,)], "rejects": [(3,)]
-    }
+    assert sorted(rows(lake_io.routed(df), "id", "family")) == [(0, "weather_air"), (1, "traffic"), (2, "water"), (3, "rejects")]
+    assert rows(lake_io.rejected_sources(df), "id", "reason") == [(3, "unknown_source")]
     for oks, want in (([True], "success"), ([True, False], "warning"), ([False], "error")):
         log = lake_io.run_log(spark.createDataFrame([(o,) for o in oks], "ok BOOLEAN"), "t", F.lit(utc(2026, 1, 1)), F.lit(1))
         assert log.first().status == want
+
+
+def test_done_ranges_equal_sets(spark, tmp_path):
+    """Islands over blocks and spans, grown batch by batch, against sets of ids."""
+    random.seed(3)
+    edge, far = 1 << done.BLOCK_BITS, 1 << done.SPAN_BITS
+    whole = [*range(edge - 40, edge + 40), *range(-5, 9), *range(far - 3, far + 4), 10**12]
+    seen, ranges = set(), warehouse.empty_table(spark, done.RANGES)
+    everything = spark.createDataFrame([(i,) for i in [*whole, edge + 99, -9]] + [(None,)], "id BIGINT")
+    for part in (whole[::3], random.sample(whole, 30), whole[1::3] + whole[2::3]):
+        batch = spark.createDataFrame([(i,) for i in part] + [(None,)], "id BIGINT")
+        new = done.with_ids(ranges, batch)
+        kept = ranges.join(new.select("span").distinct(), "span", "left_anti").unionByName(new)
+        ranges = warehouse.stage(kept.select("block", "lo", "hi", "span"), "ranges")
+        seen |= set(part)
+        got = {r.id for r in done.pending(everything, ranges).collect()}
+        assert got == {i for i in [*whole, edge + 99, -9]} - seen | {None}
+    # dense ids stay few rows: an island per block and gap
+    assert sorted(rows(ranges, "lo", "hi")) == [
+        (-5, -1), (0, 8), (edge - 40, edge - 1), (edge, edge + 39), (far - 3, far - 1), (far, far + 3), (10**12, 10**12)]
+    assert done.first_island(ranges) == (-5, 8) and done.first_island(ranges.limit(0)) is None
+
+
+def test_pending_entries_skip_what_was_done_in_order(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    lake_io.append_lake(lake(spark, [entry(i, "aqicn", "{}", utc(2026, 1, 1 + i // 50)) for i in range(200)]), path)
+    ranges = warehouse.stage(done.ranges_of(spark.range(150)), "ranges")
+    found = lake_io.unprocessed(lake_io.load_lake(spark, path), ranges, None)
+    assert sorted(r.id for r in found.collect()) == list(range(150, 200))
+    out = io.StringIO()
+    with redirect_stdout(out):
+        found.explain("formatted")
+    assert "GreaterThan(id,149)" in out.getvalue() and "LessThan(id,0)" in out.getvalue()

@@ -5,7 +5,7 @@ import pytest
 from helpers import entry, lake, rows, utc
 
 from ecostar import schemas
-from ecostar.plans import transform, validate
+from ecostar.plans import imports, transform, validate
 from ecostar.sources import lake as lake_io, warehouse
 from ecostar.operators import dimensions, traffic, water
 from ecostar.streaming import jobs
@@ -114,37 +114,112 @@ def test_validation_and_cleanup(spark, loaded):
     assert transform.fact_measures(spark, root).count() == before - dry.total_deleted
 
 
-def hours(spark, path, root, name, totals, sources, *columns, **options):
-    jobs.stream_hours(spark, path, root, name, totals, sources, f"{root}/offsets-{name}", **options).awaitTermination()
-    return sorted(rows(jobs.read_hours(spark, root, name, totals), *columns))
+def hours(spark, path, root, name, kind, *columns, **options):
+    jobs.stream_hours(spark, path, root, name, kind, f"{root}/offsets-{name}", **options).awaitTermination()
+    return sorted(rows(jobs.read_hours(spark, root, name, kind), *columns))
 
 
 def test_hourly_streams(spark, loaded, tmp_path):
     _, path, _ = loaded
-    weather = (schemas.WEATHER, schemas.AIR)
-    got = hours(spark, path, str(tmp_path), "hourly", jobs.hourly_winners, weather, "id", files_per_batch=2)
+    got = hours(spark, path, str(tmp_path), "hourly", jobs.WINNERS, "id", files_per_batch=2)
     best = {}
     for id_, city, _, source, _, at, *_ in entries():
-        if source in weather:
+        if source in jobs.WINNERS.sources:
             best[city, source, at.replace(minute=0)] = id_
     assert got == sorted((i,) for i in best.values())
 
 
 def test_late_entries_count(spark, tmp_path):
+    """Entries of any order and lateness, of an unknown day and with a delay that has no logarithm."""
     path, root = str(tmp_path / "lake"), str(tmp_path / "wh")
 
-    def incident(id_, hour, day=1):
-        raw = {"categorie_incident": 8, "retard_s": 10.0, "traffic_model_id": f"m{id_}"}
-        return entry(id_, schemas.INCIDENTS, raw, utc(2026, 1, day, hour, id_))
+    def incident(id_, hour, day=1, year=2026, delay=10.0):
+        raw = {"categorie_incident": 8, "retard_s": delay, "traffic_model_id": f"m{id_}"}
+        return entry(id_, schemas.INCIDENTS, raw, utc(year, 1, day, hour, id_))
 
-    for late in ([incident(2, 5)], [incident(3, 23, 9)], [incident(1, 5), incident(4, 5)], []):
+    for late in ([incident(2, 5)], [incident(3, 23, 9)], [incident(1, 5), incident(4, 5), incident(5, 5, delay=-1.0)], [incident(6, 5, year=2019)], []):
         if late:
             lake_io.append_lake(lake(spark, late), path)
-        got = hours(
-            spark, path, root, "incidents", jobs.hourly_incidents, (schemas.INCIDENTS,),
-            "nombre_incidents", "traffic_model_id", "retard_total_s",
-        )
-    assert got == [(1, "m3", 10.0), (3, "m1", 30.0)]
+        got = hours(spark, path, root, "incidents", jobs.INCIDENTS, "nombre_incidents", "traffic_model_id", "retard_total_s", "retard_moyen_s")
+    assert got == [(1, "m3", 10.0, 10.0), (3, "m1", 30.0, 10.0)]
+    with pytest.raises(Exception, match="another checkpoint"):
+        jobs.stream_hours(spark, path, root, "incidents", jobs.INCIDENTS, f"{root}/others").awaitTermination()
+
+
+def test_monthly_view_follows_late_entries_and_cleanup(spark, tmp_path):
+    """The kept view equals the averages of all facts after every run, and reads no facts."""
+    path, root = str(tmp_path / "lake"), str(tmp_path / "wh")
+    raw = [e for e in entries() if e[3] in (schemas.WEATHER, schemas.AIR)]
+
+    def facts():
+        by = {}
+        for r in transform.fact_measures(spark, root).collect():
+            by.setdefault((r.city_id, r.capture_date.month), []).append(r)
+        out = {}
+        for key, group in by.items():
+            t = [r.temperature for r in group if r.temperature is not None]
+            out[key] = (len(group), round(float(sum(t)) / len(t), 2) if t else None)
+        return out
+
+    def view():
+        return {(r.city_id, r.month): (r.measure_count, r.temp_avg) for r in transform.monthly_averages(spark, root).collect()}
+
+    for part in (raw[::2], raw[1::2]):
+        lake_io.append_lake(lake(spark, part), path)
+        transform.run_transform(spark, path, root, AS_OF, stats=snapshot(spark))
+        got, want = view(), facts()
+        assert got.keys() == want.keys()
+        assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=0.0051) for k in want)
+    validate.run_cleanup(spark, root, utc(2026, 2, 2))
+    assert {k: n for k, (n, _) in view().items()} == {k: n for k, (n, _) in facts().items()}
+    assert "judged_measures" not in "".join(transform.monthly_averages(spark, root).inputFiles())
+
+
+def test_history_import(spark, tmp_path):
+    path, csv = str(tmp_path / "lake"), tmp_path / "history.csv"
+    csv.write_text("Date,Country,City,Specie,count,median\n" + "\n".join(f"2026-01-{d:02d},FR,{c},pm25,1,{d}" for d in (3, 1, 2) for c in ("Paris", "Lyon")))
+    there = entry(500, schemas.AIR, {"data": {}}, utc(2026, 1, 2, 9), 1, "Paris")
+    lake_io.append_lake(lake(spark, [there]), path)
+
+    def run(**options):
+        got = imports.import_history(spark, str(csv), path, dt.date(2026, 1, 1), dt.date(2026, 1, 31), **options)
+        return sorted(rows(got, "city_name", "inserted", "skipped"))
+
+    assert run(dry_run=True) == [("Lyon", 3, 0), ("Paris", 2, 1)] and lake_io.load_lake(spark, path).count() == 1
+    assert run(cities=["Lyon"]) == [("Lyon", 3, 0)]
+    assert run() == [("Lyon", 0, 3), ("Paris", 2, 1)] and run() == [("Lyon", 0, 3), ("Paris", 0, 3)]
+    got = sorted(rows(lake_io.load_lake(spark, path), "id", "city_name", "collected_date"))
+    assert [i for i, *_ in got] == list(range(500, 506)) and [c for _, c, _ in got[1:]] == ["Lyon"] * 3 + ["Paris"] * 2
+    for wrong in ({"cities": ["Atlantis"]}, {}):
+        with pytest.raises(ValueError):
+            end = dt.date(2026, 1, 31) if wrong else dt.date(2020, 1, 1)
+            imports.import_history(spark, str(csv), path, dt.date(2026, 1, 1), end, **wrong)
+    lake_io.append_lake(lake(spark, [there]).drop("id"), path)
+    assert lake_io.load_lake(spark, path).filter("id = 506").count() == 1
+
+
+def test_job_trains_its_forest(spark, tmp_path):
+    path, root = str(tmp_path / "lake"), str(tmp_path / "wh")
+    raw = [entry(2 * i + k, s, p, utc(2026, 1, 1 + i // 24, i % 24), 1) for i in range(150) for k, (s, p) in enumerate([
+        (schemas.WEATHER, {"main": {"temp": 10 + i % 7, "humidity": 50 + i % 11, "pressure": 1000 + i % 5}}), (schemas.AIR, {"data": {"aqi": 40 + i % 13}})])]
+    odd = [entry(1000, schemas.WEATHER, {"main": {"temp": 45, "humidity": 3, "pressure": 905}}, utc(2026, 2, 1)), entry(1001, schemas.AIR, {"data": {"aqi": 390}}, utc(2026, 2, 1))]
+    for part in (raw, odd):
+        lake_io.append_lake(lake(spark, part), path)
+        transform.run_transform(spark, path, root, AS_OF, stats=snapshot(spark).limit(0), train=True)
+    hits = transform.measure_anomalies(spark, root).filter("anomaly_type = 'ml_isolation_forest'")
+    assert rows(hits, "field_name", "actual_value") == [("multivariate", None)]
+
+
+def test_purge_drops_whole_days(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    days = [utc(2026, 1, 1), utc(2026, 1, 2), utc(2026, 1, 3)]
+    lake_io.append_lake(lake(spark, [entry(i, s, "{}", d) for i, (s, d) in enumerate([(s, d) for s in ("aqicn", "odd") for d in days])]), path)
+    doomed = [(s, d) for s in ("aqicn", "odd") for d in ("2026-01-01", "2026-01-02")]
+    assert lake_io.purge(spark, path, 7, dt.date(2026, 1, 10), dry_run=True) == doomed
+    assert lake_io.load_lake(spark, path).count() == 6
+    assert lake_io.purge(spark, path, 7, dt.date(2026, 1, 10)) == doomed
+    assert sorted(rows(lake_io.load_lake(spark, path), "id")) == [(2,), (5,)]
+    assert lake_io.purge(spark, path, 7, dt.date(2026, 1, 10)) == [] == lake_io.purge(spark, str(tmp_path / "none"), 7, dt.date(2026, 1, 10))
 
 
 class Cut(Exception):
