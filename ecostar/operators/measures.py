@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ecostar import schemas
 from ecostar.functions import expr, payload as p
@@ -23,15 +23,21 @@ def source_hour_winners(lake: DataFrame) -> DataFrame:
     )
 
 
-def dedup(lake: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, discarded) entries.
+def marked_duplicates(lake: DataFrame) -> DataFrame:
+    """Weather and air entries with ``kept``: whether each is the winner of its city, hour and source.
 
     Only ids meet per hour; the entries join back on their unique id, so a hot
     hour or source never lands in one task.
     """
     entries = lake.filter(F.col("source").isin(schemas.WEATHER, schemas.AIR))
-    winners = source_hour_winners(lake).select("id")
-    return entries.join(winners, "id", "left_semi"), entries.join(winners, "id", "left_anti")
+    winners = source_hour_winners(lake).select("id", F.lit(True).alias("kept"))
+    return entries.join(winners, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+def dedup(lake: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept, discarded) entries."""
+    marked = marked_duplicates(lake)
+    return marked.filter("kept").drop("kept"), marked.filter("NOT kept").drop("kept")
 
 
 def readings(lake: DataFrame) -> DataFrame:
@@ -268,5 +274,8 @@ def upsert_measures(old: DataFrame, new: DataFrame, order: str) -> DataFrame:
     return merged.unionByName(created)
 
 
-def latest_measures(facts: DataFrame, city_id: int, n: int = 10) -> DataFrame:
-    return facts.filter(F.col("city_id") == city_id).orderBy(F.desc("captured_at")).limit(n)
+def latest_measures(facts: DataFrame, city_id: int | None = None, n: int = 10) -> DataFrame:
+    """The last ``n`` measures of a city, or of every city; the larger id comes first among equal instants."""
+    rows = facts if city_id is None else facts.filter(F.col("city_id") == city_id)
+    newest = W.partitionBy("city_id").orderBy(F.desc("captured_at"), F.desc("measure_id"))
+    return rows.withColumn("rank", F.row_number().over(newest)).filter(F.col("rank") <= n)

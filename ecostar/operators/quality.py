@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ecostar.operators.measures import recent, recent_days
+from ecostar.sources.warehouse import stage
 
 # Limits per field of the validation (stricter on pressure than the transform).
 LIMITS = {
@@ -85,11 +88,12 @@ def _text(*parts) -> Column:
     return F.concat(*(p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts))
 
 
+def _missing(none: DataFrame, hours: int) -> DataFrame:
+    return _check(none, "critical", "data_missing", F.lit(f"Aucune donnée trouvée dans les {hours} dernières heures"))
+
+
 def check_missing(df: DataFrame, hours: int = 24) -> DataFrame:
-    total = df.agg(F.count("*").alias("n")).filter(F.col("n") == 0)
-    return _check(
-        total, "critical", "data_missing", F.lit(f"Aucune donnée trouvée dans les {hours} dernières heures")
-    )
+    return _missing(df.agg(F.count("*").alias("total")).filter("total = 0"), hours)
 
 
 def check_missing_windows(df: DataFrame, hours: int = 24) -> DataFrame:
@@ -106,45 +110,52 @@ def check_missing_windows(df: DataFrame, hours: int = 24) -> DataFrame:
     return _check(empty, "critical", "data_missing", text, by=["window_start"])
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """(field, nulls, total) per required column."""
-    counts = df.agg(
-        F.count("*").alias("total"), *(F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED_COLUMNS)
-    )
-    return counts.unpivot("total", list(REQUIRED_COLUMNS), "field", "nulls")
+def null_columns() -> list[Column]:
+    return [F.count("*").alias("total"), *(F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED_COLUMNS)]
 
 
-def check_nulls(df: DataFrame) -> DataFrame:
-    found = null_counts(df).filter(F.col("nulls") > 0)
+def _nulls(counts: DataFrame) -> DataFrame:
+    found = counts.unpivot("total", list(REQUIRED_COLUMNS), "field", "nulls").filter(F.col("nulls") > 0)
     message = _text(F.col("nulls"), " mesures avec ", F.col("field"), " NULL sur ", F.col("total"))
     return _check(found, "critical", "null_values", message)
 
 
+def check_nulls(df: DataFrame) -> DataFrame:
+    return _nulls(df.agg(*null_columns()))
+
+
 def duplicate_groups(df: DataFrame) -> DataFrame:
     """Keys that occur more than once, NULLs taken as equal, with their count."""
+    return key_counts(df).filter(F.col("copies") > 1)
+
+
+def key_counts(df: DataFrame) -> DataFrame:
+    """One row per key with its ``copies``: what duplicates, gaps and coverage need of the facts."""
     keys = [c if c in df.columns else F.lit(None).cast("int").alias(c) for c in DUPLICATE_KEY]
-    return (
-        df.select(*keys).groupBy(*DUPLICATE_KEY).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
-    )
+    return df.select(*keys).groupBy(*DUPLICATE_KEY).agg(F.count("*").alias("copies"))
 
 
-def check_duplicates(df: DataFrame) -> DataFrame:
-    extra = duplicate_groups(df).agg(F.sum(F.col("copies") - 1).alias("n")).filter(F.col("n") > 0)
+def check_duplicates(groups: DataFrame) -> DataFrame:
+    """From the groups of equal keys."""
+    extra = groups.agg(F.sum(F.col("copies") - 1).alias("n")).filter(F.col("n") > 0)
     return _check(
         extra, "critical", "duplicates", _text(F.col("n"), " doublons détectés (même city_id + captured_at)")
     )
 
 
-def temporal_counts(df: DataFrame, as_of: Column) -> DataFrame:
+def temporal_columns(as_of: Column) -> list[Column]:
     both = F.col("created_at").isNotNull() & F.col("captured_at").isNotNull()
-    return df.agg(
+    return [
         F.count_if(both & (F.col("created_at") < F.col("captured_at"))).alias("created_before"),
         F.count_if(both & (F.col("captured_at") > as_of)).alias("in_future"),
-    )
+    ]
 
 
-def check_temporal(df: DataFrame, as_of: Column) -> DataFrame:
-    counts = temporal_counts(df, as_of)
+def temporal_counts(df: DataFrame, as_of: Column) -> DataFrame:
+    return df.agg(*temporal_columns(as_of))
+
+
+def _temporal(counts: DataFrame) -> DataFrame:
     before = _check(
         counts.filter("created_before > 0"), "warning", "temporal_coherence",
         _text(F.col("created_before"), " mesures avec created_at < captured_at"),
@@ -178,9 +189,9 @@ def gaps(df: DataFrame, max_hours: int = 2) -> DataFrame:
     )
 
 
-def check_gaps(df: DataFrame, max_hours: int = 2) -> DataFrame:
-    """One warning; the details give count and longest silence per city (the rows are ``gaps``)."""
-    per_city = gaps(df, max_hours).groupBy("city_id").agg(
+def check_gaps(silences: DataFrame) -> DataFrame:
+    """One warning from the rows of ``gaps``, which are kept beside it; the details give count and longest silence per city."""
+    per_city = silences.groupBy("city_id").agg(
         F.count("*").alias("n"), F.max("gap_hours").alias("longest")
     )
     total = per_city.agg(
@@ -215,7 +226,10 @@ def limit_violations(df: DataFrame, limits: dict = LIMITS) -> DataFrame:
 
 def limit_counts(df: DataFrame, limits: dict = LIMITS, examples: int = 3) -> DataFrame:
     """(field, violations, examples): at most three examples per field, earliest first."""
-    found = limit_violations(df, limits)
+    return counted_violations(limit_violations(df, limits), examples)
+
+
+def counted_violations(found: DataFrame, examples: int = 3) -> DataFrame:
     counts = found.groupBy("field").agg(F.count("*").alias("violations"))
     order = ["captured_at", "city_id", "value", "table_source"]
     first = W.partitionBy("field").orderBy(*order)
@@ -232,8 +246,8 @@ def limit_counts(df: DataFrame, limits: dict = LIMITS, examples: int = 3) -> Dat
     return counts.join(shown, "field")
 
 
-def check_limits(df: DataFrame, limits: dict = LIMITS) -> DataFrame:
-    per_field = limit_counts(df, limits)
+def check_limits(per_field: DataFrame) -> DataFrame:
+    """From the counts per field."""
     total = per_field.agg(
         F.sum("violations").alias("n"),
         F.to_json(
@@ -248,8 +262,11 @@ def check_limits(df: DataFrame, limits: dict = LIMITS) -> DataFrame:
 
 
 def city_counts(df: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """Facts per city; rows of ``key_counts`` count with their copies."""
     return (
-        df.filter(~F.col("city_id").isin(0, -1)).groupBy(*by, "city_id").agg(F.count("*").alias("n"))
+        df.filter(~F.col("city_id").isin(0, -1))
+        .groupBy(*by, "city_id")
+        .agg((F.sum("copies") if "copies" in df.columns else F.count("*")).alias("n"))
     )
 
 
@@ -289,37 +306,59 @@ def check_coverage(df: DataFrame, cities: DataFrame, by: list[str] = []) -> Data
     )
 
 
+def outlier_bounds(df: DataFrame, fields=OUTLIER_FIELDS) -> list[Column]:
+    """Aggregates per field: number, mean and population deviation of its values."""
+    out = []
+    for f in fields:
+        if _column(f) in df.columns:
+            value = F.col(_column(f)).cast("double")
+            out += [F.count(value).alias(f"n_{f}"), F.avg(value).alias(f"mean_{f}"), F.stddev_pop(value).alias(f"std_{f}")]
+    return out
+
+
+_STRANGE = "named_struct('field', {field!r}, 'value', {value}, 'z', {z}, 'limits', {limits})"
+
+
+def _strange_values(df: DataFrame, bounds: dict, limits: dict, z: float) -> DataFrame:
+    """One row per value outside its limits (``limits`` given) or beyond ``z`` deviations (``z`` given), in one scan."""
+    found = [F.expr("CAST(NULL AS STRUCT<field: STRING, value: DOUBLE, z: DOUBLE, limits: STRING>)")]
+    for field, (low, high) in limits.items():
+        if _column(field) in df.columns:
+            value = f"CAST({_column(field)} AS DOUBLE)"
+            row = _STRANGE.format(field=field, value=value, z="CAST(NULL AS DOUBLE)", limits=f"'[{low}, {high}]'")
+            found.append(F.expr(f"CASE WHEN {value} < {low} OR {value} > {high} THEN {row} END"))
+    for name, n in bounds.items():
+        field = name.removeprefix("n_")
+        if name.startswith("n_") and n >= MIN_OUTLIER_VALUES and bounds[f"std_{field}"] and isfinite(bounds[f"std_{field}"]):
+            value = f"CAST({_column(field)} AS DOUBLE)"
+            score = f"abs({value} - CAST({bounds[f'mean_{field}']!r} AS DOUBLE)) / CAST({bounds[f'std_{field}']!r} AS DOUBLE)"
+            row = _STRANGE.format(field=field, value=value, z=score, limits="CAST(NULL AS STRING)")
+            found.append(F.expr(f"CASE WHEN {score} > {z}D THEN {row} END"))
+    hits = F.filter(F.array(*found), lambda h: h.isNotNull())
+    base = [c if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (("table_source", "string"), ("city_id", "int"), ("captured_at", "timestamp"))]
+    return df.select(*base, F.explode(hits).alias("hit")).select("table_source", "city_id", "captured_at", "hit.*")
+
+
+def counted_outliers(found: DataFrame, bounds: dict) -> DataFrame:
+    """(field, outliers, percentage, mean, std, max_z_score) from the values beyond their bounds; the largest is one of them."""
+    counts = found.groupBy("field").agg(F.count("*").alias("outliers"), F.max("z").alias("max_z_score"))
+
+    def of(kind: str) -> Column:
+        pairs = [x for c, v in bounds.items() if c.startswith(kind) for x in (F.lit(c.removeprefix(kind)), F.lit(v).cast("double"))]
+        return F.element_at(F.create_map(*pairs), F.col("field"))
+
+    return counts.select("field", "outliers", (F.col("outliers") * 100.0 / of("n_")).alias("percentage"), of("mean_").alias("mean"), of("std_").alias("std"), "max_z_score")
+
+
 def outliers(df: DataFrame, fields=OUTLIER_FIELDS, z: float = 3.0) -> DataFrame:
-    """Per field with at least ten values the rows beyond ``z`` population deviations."""
-    present = [f for f in fields if _column(f) in df.columns]
-    pairs = F.array(
-        *(F.struct(F.lit(f).alias("field"), F.col(_column(f)).cast("double").alias("value")) for f in present)
-    )
-    long = df.select(F.explode(pairs).alias("v")).select("v.*").filter(F.col("value").isNotNull())
-    stats = long.groupBy("field").agg(
-        F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
-    ).filter(F.col("n") >= MIN_OUTLIER_VALUES)
-    # One row per checked field: the broadcast is bounded by the field list.
-    measured = long.join(F.broadcast(stats), "field")
-    score = F.abs(F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
-    return (
-        measured.withColumn("zscore", score)
-        .groupBy("field")
-        .agg(
-            F.count_if(F.col("zscore") > z).alias("outliers"),
-            F.max("n").alias("total"),
-            F.max("mean").alias("mean"),
-            F.max("std").alias("std"),
-            F.max("zscore").alias("max_z_score"),
-        )
-        .filter(F.col("outliers") > 0)
-        .withColumn("percentage", F.col("outliers") * 100.0 / F.col("total"))
-        .drop("total")
-    )
+    """Per field with at least ten values the rows beyond ``z`` population deviations; two scans, of which one row returns first."""
+    bounds = df.agg(*outlier_bounds(df, fields)).first().asDict()
+    return counted_outliers(_strange_values(df, bounds, {}, z), bounds)
 
 
-def check_outliers(df: DataFrame, fields=OUTLIER_FIELDS, z: float = 3.0) -> DataFrame:
-    total = outliers(df, fields, z).agg(
+def check_outliers(found: DataFrame) -> DataFrame:
+    """From the outliers per field."""
+    total = found.agg(
         F.sum("outliers").alias("n"),
         F.to_json(
             F.struct(
@@ -336,14 +375,31 @@ def check_outliers(df: DataFrame, fields=OUTLIER_FIELDS, z: float = 3.0) -> Data
 
 
 def all_checks(df: DataFrame, cities: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
+    return all_checks_and_gaps(df, cities, as_of, hours)[0]
+
+
+def all_checks_and_gaps(df: DataFrame, cities: DataFrame, as_of: Column, hours: int = 24) -> tuple[DataFrame, DataFrame]:
+    """The issues, and every single gap, from three scans of the facts.
+
+    One scan counts nulls and wrong times and measures the fields, one counts the keys, from
+    which duplicates, gaps and coverage follow, and one finds the few values outside their
+    limits or bounds. Only the one row of the first returns to the driver.
+    """
+    wide = null_columns() + temporal_columns(as_of) + outlier_bounds(df)
+    one = stage(df.agg(*wide), "fact-counts")
+    bounds = {c: x for c, x in one.first().asDict().items() if c.startswith(("n_", "mean_", "std_"))}
+    keys = stage(key_counts(df), "fact-keys")
+    strange = stage(_strange_values(df, bounds, LIMITS, 3.0), "strange-values")
+    silences = gaps(keys)
     checks = [
-        check_missing(df, hours), check_nulls(df), check_duplicates(df), check_temporal(df, as_of),
-        check_gaps(df), check_limits(df), check_coverage(df, cities), check_outliers(df),
-    ]
+        _missing(one.filter("total = 0"), hours), _nulls(one), check_duplicates(keys.filter("copies > 1")), _temporal(one),
+        check_gaps(silences), check_limits(counted_violations(strange.filter("limits IS NOT NULL"))), check_coverage(keys, cities),
+        check_outliers(counted_outliers(strange.filter("z IS NOT NULL"), bounds)),
+    ]
     out = checks[0]
     for more in checks[1:]:
         out = out.unionByName(more)
-    return out
+    return out, silences
 
 
 def issue_rows(checks: DataFrame, run_id: Column, as_of: Column, hours: int = 24) -> DataFrame:
@@ -390,31 +446,15 @@ def find_future(facts: DataFrame, as_of: Column) -> DataFrame:
     return facts.filter(F.col("captured_at") > as_of)
 
 
-def cleaned(facts: DataFrame, as_of: Column) -> DataFrame:
-    """The facts without duplicates, then without future rows."""
-    kept = (
-        facts.groupBy("city_id", "captured_at")
-        .agg(F.max(F.struct("created_at", "measure_id")).alias("kept"))
-        .select(F.col("kept.measure_id").alias("measure_id"))
-    )
-    return facts.join(kept, "measure_id", "left_semi").filter(
-        ~F.coalesce(F.col("captured_at") > as_of, F.lit(False))
-    )
-
-
 def cleanup_counts(facts: DataFrame, as_of: Column, dry_run: bool = False) -> DataFrame:
-    """Duplicates, future dates and their sum.
+    """Duplicates, future dates and their sum, from the number of facts per city and instant.
 
     A dry run deletes nothing in between, so a row that is both counts twice.
     """
-    doubles = find_duplicates(facts)
-    rest = facts if dry_run else facts.join(doubles.select("measure_id"), "measure_id", "left_anti")
-    counts = (
-        doubles.select(F.lit("duplicates").alias("what"))
-        .unionByName(find_future(rest, as_of).select(F.lit("future_dates").alias("what")))
-        .agg(
-            F.count_if(F.col("what") == "duplicates").alias("duplicates"),
-            F.count_if(F.col("what") == "future_dates").alias("future_dates"),
-        )
+    groups = facts.groupBy("city_id", "captured_at").agg(F.count("*").alias("n"))
+    left = F.col("n") if dry_run else F.lit(1)
+    counts = groups.agg(
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(F.when(F.col("captured_at") > as_of, left)), F.lit(0)).cast("bigint").alias("future_dates"),
     )
     return counts.withColumn("total_deleted", F.col("duplicates") + F.col("future_dates"))

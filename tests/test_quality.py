@@ -98,7 +98,6 @@ def test_cleanup(spark):
     )
     at = F.lit(utc(2026, 6, 1))
     assert sorted(rows(quality.find_duplicates(df), "measure_id")) == [(1,), (2,), (4,)]
-    assert rows(quality.cleaned(df, at), "measure_id") == [(3,)]
     assert tuple(quality.cleanup_counts(df, at).first()) == (3, 1, 4)
     assert tuple(quality.cleanup_counts(df, at, dry_run=True).first()) == (3, 2, 5)
 
@@ -149,3 +148,30 @@ def test_rolling_keeps_six_decimals(spark):
                 assert abs(z[i] - (x - s / n) / ((n * ss - s * s) / (n * (n - 1))) ** 0.5) < 1e-9
     odd = spark.sql("SELECT 1 AS id, 'k' AS k, TIMESTAMP '2026-01-01 00:00:00' AS ts, v FROM VALUES (double('NaN')), (double('Infinity')), (1D), (NULL) AS t(v)")
     assert {r.v_mean_7d for r in rolling.rolling_mean(odd, "k", "ts", "v").collect()} == {1.0}
+
+
+def test_all_checks_scan_the_facts_three_times(spark, tmp_path):
+    day = [(i % 7, utc(2026, 1, 1, i % 24), float(i % 50 if i else 400), float(i % 90)) for i in range(600)]
+    df = spark.createDataFrame(day, "city_id INT, captured_at TIMESTAMP, temperature DOUBLE, humidity DOUBLE").withColumns(
+        {"created_at": F.col("captured_at"), "capture_date": F.to_date("captured_at"), "table_source": F.lit("t")})
+    df.write.parquet(str(tmp_path / "facts"))
+    seen = spark.read.parquet(str(tmp_path / "facts"))
+    scans = []
+    real = quality.stage
+
+    def counting(frame, name):
+        scans.append(str(tmp_path) in "".join(frame.inputFiles()))
+        return real(frame, name)
+
+    quality.stage = counting
+    try:
+        checks, silences = quality.all_checks_and_gaps(seen, reference.dim_city(spark), F.lit(utc(2026, 1, 2)))
+    finally:
+        quality.stage = real
+    assert scans == [True] * 3 and not any(str(tmp_path) in f for out in (checks, silences) for f in out.inputFiles())
+    found = {(r.category, r.severity): r for r in checks.collect()}
+    assert found["business_rules", "critical"].message.startswith("1 ") and "400" in found["business_rules", "critical"].details
+    assert '"field":"temperature","outliers":1' in found["statistical_outliers", "info"].details
+    assert found["duplicates", "critical"].message.startswith(str(600 - 7 * 24))
+    assert {r.city_id for r in quality.gaps(seen).collect()} == {r.city_id for r in silences.collect()}
+    assert quality.all_checks(seen.limit(0), reference.dim_city(spark), F.lit(utc(2026, 1, 2))).count() == 2
