@@ -49,6 +49,7 @@ def main() -> None:
         driver_views.lake(spark, sf_dir)
         driver_views.lake(spark, sf_dir, months=True)
         driver_views.groundwater_lake(spark, sf_dir)
+        driver_views.facts(spark, sf_dir)
 
     seconds = {"lake_build": timed(lakes)}
     for name in HEADLINE:

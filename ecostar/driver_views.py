@@ -135,6 +135,17 @@ def lake_entries(spark: SparkSession, sf_dir: str, months: bool = False) -> Data
     )
 
 
+def broken_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Further entries that fail: cut-off payloads, empty ones, values beyond their columns, unreadable and far dates."""
+    raw = """CASE k % 4 WHEN 0 THEN '{"code_point": "P1", "vitesse' WHEN 1 THEN '{}'
+      WHEN 2 THEN '{"main": {"temp": 123456}, "data": {"aqi": 1, "iaqi": {"pm25": {"v": 123456789}}}, "retard_s": -7, "date_prelevement": "soon", "code_point": "P1", "code_station": "S1"}' END"""
+    shifted = "CASE WHEN k % 8 = 3 THEN collected_at - INTERVAL 5 YEARS ELSE collected_at END"
+    return events(spark, sf_dir).filter("k % 5 = 0").selectExpr(
+        "id + 4294967296 AS id", "city_id", "city_name", "CASE WHEN k % 40 = 35 THEN 'unheard_of' ELSE source END AS source", f"{raw} AS raw_data",
+        f"{shifted} AS collected_at", "FALSE AS processed", "timestamp(NULL) AS processed_at",
+    )
+
+
 _LAKES: dict[tuple, str] = {}
 
 
@@ -289,7 +300,19 @@ def as_facts(spark, rows: DataFrame) -> DataFrame:
     )
 
 
+_FACTS: dict[tuple, str] = {}
+
+
 def facts(spark, sf_dir, months: bool = True) -> DataFrame:
-    """Measures within the physical limits as fact rows."""
+    """Measures within the physical limits as a stored fact table, a folder per capture date and ordered by city.
+
+    Written once per application, as the transform leaves it; reports prune its folders.
+    """
     judged = anomalies.judge(measures(spark, sf_dir, months))
-    return as_facts(spark, judged.filter(~F.col("is_rejected")))
+    rows = as_facts(spark, judged.filter(~F.col("is_rejected")))
+    key = (spark.sparkContext.applicationId, sf_dir, months)
+    if key not in _FACTS or not folder_exists(spark, _FACTS[key]):
+        path = shared_folder(spark, "facts")
+        rows.hint("rebalance", "capture_date").sortWithinPartitions("capture_date", "city_id").write.partitionBy("capture_date").parquet(path)
+        _FACTS[key] = path
+    return spark.read.schema(rows.schema).parquet(_FACTS[key])

@@ -197,8 +197,8 @@ put("lake_pending_by_source", LAKE,
     "SELECT source, count(*) AS pending FROM lake WHERE NOT processed GROUP BY source")
 
 put("latest_measures", FACTS, """
-SELECT city_id, captured_at, temperature, aqi_index, pm25 FROM facts WHERE city_id = 1
-ORDER BY captured_at DESC LIMIT 10""", "captured_at")
+SELECT city_id, CAST(row_number() OVER w AS INTEGER) AS rank, captured_at, temperature, aqi_index, pm25 FROM facts
+WINDOW w AS (PARTITION BY city_id ORDER BY captured_at DESC, measure_id DESC) QUALIFY row_number() OVER w <= 10""", "captured_at")
 
 _CITY_SOURCE = """
 own AS (
@@ -269,7 +269,7 @@ records AS (
 put("aqicn_history_csv", HISTORY, "SELECT city_id, city_name, day, specie, median FROM hist", "day")
 put("history_last_value", HISTORY, "SELECT * FROM last_hist", "day")
 put("aqicn_history_records", HISTORY + "," + _DIMS, """
-SELECT r.city_id, r.city_name, CAST(day AS TIMESTAMP) AS collected_at, aqi, CAST(n_species AS INTEGER) AS n_species,
+SELECT row_number() OVER (ORDER BY day, r.city_id) AS id, r.city_id, r.city_name, CAST(day AS TIMESTAMP) AS collected_at, aqi, CAST(n_species AS INTEGER) AS n_species,
        t, uvi, r.city_name || ', France' AS station,
        'https://aqicn.org/city/' || c.station AS url, strftime(day, '%Y-%m-%dT00:00:00+00:00') AS iso,
        CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) AS epoch
@@ -371,9 +371,9 @@ SELECT 'raw_data_lake' AS table_name, count(*) AS row_count, round(count(*) * 20
 UNION ALL SELECT 'fact_measures', count(*), round(count(*) * 200 / 1048576.0::DOUBLE, 6) FROM facts
 UNION ALL SELECT 'fact_traffic_flow_hourly', count(*), round(count(*) * 200 / 1048576.0::DOUBLE, 6) FROM flow_facts""")
 
-put("retention_purge", _events(True), """
+put("retention_purge", LAKE, """
 SELECT source, CAST(collected_at AS DATE) AS collected_date, count(*) AS entries FROM lake
-WHERE CAST(collected_at AS DATE) >= DATE '2024-08-20' - 30 GROUP BY ALL""", "collected_date")
+WHERE CAST(collected_at AS DATE) >= DATE '2024-02-14' - 30 GROUP BY ALL""", "collected_date")
 
 # JSON to columns ---------------------------------------------------------------------------------
 
@@ -718,7 +718,7 @@ SELECT table_source, city_id, captured_at, capture_date, temperature, speed_rati
     "captured_at capture_date")
 _MISSING = """
 SELECT 'critical' AS severity, 'data_missing' AS category,
-       'Aucune donnée trouvée dans les {h} dernières heures' AS message WHERE (SELECT count(*) FROM u) = 0"""
+       'Aucune donnée trouvée dans les {h} dernières heures' AS message, CAST(NULL AS VARCHAR) AS details WHERE (SELECT count(*) FROM u) = 0"""
 _ALL_HOURS = 24 * 365 * 200
 put("dq_missing", _union(_ALL_HOURS), """,
 days AS (SELECT CAST(range AS DATE) AS d FROM range((SELECT date_trunc('day', min(captured_at)) FROM u),
@@ -761,15 +761,20 @@ WINDOW w AS (PARTITION BY field ORDER BY captured_at, city_id, value, table_sour
 QUALIFY row_number() OVER w <= 3""", "captured_at")
 
 
+def _listed(key: str, rows: str) -> str:
+    item = f"{key} || '=' || n"
+    return f"(SELECT string_agg({item}, ';' ORDER BY {item}) FROM ({rows}))"
+
+
 def _coverage(rows: str) -> str:
+    low = f"SELECT city_id, n FROM (SELECT *, avg(n) OVER () AS mean FROM (SELECT city_id, count(*) AS n FROM ({rows}) GROUP BY city_id)) WHERE n < mean * 0.5"
     return f"""
 SELECT 'warning' AS severity, 'data_coverage' AS category,
-       count(*) || ' villes sans données : ' || string_agg(city_name, ', ' ORDER BY city_id) AS message
+       count(*) || ' villes sans données : ' || string_agg(city_name, ', ' ORDER BY city_id) AS message, NULL AS details
 FROM dim_city WHERE city_id NOT IN (SELECT city_id FROM ({rows})) HAVING count(*) > 0
 UNION ALL
-SELECT 'info', 'data_coverage', count(*) || ' villes avec couverture faible'
-FROM (SELECT n, avg(n) OVER () AS mean FROM (SELECT city_id, count(*) AS n FROM ({rows}) GROUP BY city_id))
-WHERE n < mean * 0.5 HAVING count(*) > 0"""
+SELECT 'info', 'data_coverage', count(*) || ' villes avec couverture faible', {_listed("city_id", low)}
+FROM ({low}) HAVING count(*) > 0"""
 
 
 put("dq_coverage", _union(_ALL_HOURS), """,
@@ -802,17 +807,20 @@ put("dq_outliers", U, _OUTLIERS)
 
 _ISSUES = f"""
 {_MISSING.format(h=960)}
-UNION ALL SELECT 'warning', 'temporal_coherence', n || ' mesures avec created_at < captured_at'
+UNION ALL SELECT 'warning', 'temporal_coherence', n || ' mesures avec created_at < captured_at', NULL
   FROM (SELECT count(*) AS n FROM u WHERE created_at < captured_at) WHERE n > 0
-UNION ALL SELECT 'critical', 'temporal_coherence', n || ' mesures avec captured_at dans le futur'
+UNION ALL SELECT 'critical', 'temporal_coherence', n || ' mesures avec captured_at dans le futur', NULL
   FROM (SELECT count(*) AS n FROM u WHERE created_at IS NOT NULL AND captured_at > {AS_OF}) WHERE n > 0
-UNION ALL SELECT 'critical', 'duplicates', n || ' doublons détectés (même city_id + captured_at)'
+UNION ALL SELECT 'critical', 'duplicates', n || ' doublons détectés (même city_id + captured_at)', NULL
   FROM (SELECT sum(c - 1) AS n FROM (SELECT count(*) AS c FROM dup GROUP BY t, city_id, captured_at, p)) WHERE n > 0
-UNION ALL SELECT 'warning', 'temporal_gaps', count(*) || ' gaps temporels détectés dans ' || count(DISTINCT city_id) || ' villes'
+UNION ALL SELECT 'warning', 'temporal_gaps', count(*) || ' gaps temporels détectés dans ' || count(DISTINCT city_id) || ' villes',
+  {_listed("city_id", f"SELECT city_id, count(*) AS n FROM ({_GAPS}) GROUP BY city_id")}
   FROM ({_GAPS}) HAVING count(*) > 0
-UNION ALL SELECT 'critical', 'business_rules', count(*) || ' violations de limites physiques' FROM ({_VIOLATIONS}) HAVING count(*) > 0
+UNION ALL SELECT 'critical', 'business_rules', count(*) || ' violations de limites physiques',
+  {_listed("field", f"SELECT field, count(*) AS n FROM ({_VIOLATIONS}) GROUP BY field")} FROM ({_VIOLATIONS}) HAVING count(*) > 0
 UNION ALL {_coverage("SELECT * FROM u")}
-UNION ALL SELECT 'info', 'statistical_outliers', CAST(sum(outliers) AS BIGINT) || ' outliers statistiques détectés (>3σ)'
+UNION ALL SELECT 'info', 'statistical_outliers', CAST(sum(outliers) AS BIGINT) || ' outliers statistiques détectés (>3σ)',
+  {_listed("field", f"SELECT field, outliers AS n FROM ({_OUTLIERS})")}
   FROM ({_OUTLIERS}) HAVING count(*) > 0"""
 ISSUES = U.replace("\nu AS (", "\nu AS MATERIALIZED (") + f""",
 dup AS (
@@ -822,7 +830,7 @@ dup AS (
 ),
 issues AS ({_ISSUES})"""
 put("dq_issue_rows", ISSUES, f"""
-SELECT 'run-1' AS validation_run_id, severity, category, message, {AS_OF} AS detected_at, 960 AS validation_period_hours
+SELECT 'run-1' AS validation_run_id, severity, category, message, details, {AS_OF} AS detected_at, 960 AS validation_period_hours
 FROM issues""", "detected_at")
 put("dq_report", ISSUES, """
 SELECT count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'warning') AS warning,
@@ -925,7 +933,7 @@ SELECT city_name, CAST(sign(temperature) * ((2 * abs(CAST(round(temperature * 10
 FROM facts f {_CITY} LEFT JOIN dim_weather w ON f.weather_condition_id = w.weather_condition_id
 WHERE capture_date = (SELECT max(date_value) FROM dim_date WHERE CAST(date_value AS TIMESTAMP) <= {NOW})
 ORDER BY f.temperature DESC NULLS FIRST, measure_id LIMIT 5""")
-put("q15_monthly_mv", FACTS, f"""
+put("q15_monthly_mv", FACTS_NOW, f"""
 SELECT f.city_id, city_name, year, month, month_name, {_T} AS temp_avg, {_H} AS humidity_avg, {_Q} AS aqi_avg,
        count(*) AS measure_count
 FROM facts f {_CITY} {_DATE} GROUP BY f.city_id, city_name, year, month, month_name""")
@@ -960,7 +968,14 @@ SELECT city_id, lake_hour, captured_at, capture_date, weather_condition_id, aqi_
 put("stream_drain", LAKE, """
 SELECT id, CASE WHEN source IN ('hubeau_eau_potable', 'hubeau_cd_observations')
                  AND CAST(collected_at AS DATE) - k % 5 < DATE '2024-01-01' THEN 'date_out_of_range' ELSE 'processed' END AS outcome
-FROM lake""")
+FROM lake
+UNION ALL
+SELECT id + 4294967296,
+       CASE WHEN k % 40 = 35 THEN 'unknown_source' WHEN k % 4 IN (0, 3) THEN 'bad_payload'
+            WHEN k % 4 = 1 THEN CASE WHEN source IN ('tomtom_flow', 'hubeau_cd_observations') THEN 'missing_key' ELSE 'processed' END
+            ELSE CASE source WHEN 'openweather' THEN 'numeric_overflow' WHEN 'aqicn' THEN 'numeric_overflow'
+                             WHEN 'tomtom_incidents' THEN 'negative_delay' WHEN 'hubeau_eau_potable' THEN 'bad_date' ELSE 'processed' END END
+FROM lake WHERE k % 5 = 0""")
 put("stream_hourly_dedup", LAKE, """
 SELECT lake_hour, city_id, source, max(id) AS id, arg_max(collected_at, id) AS collected_at
 FROM lake WHERE source IN ('openweather', 'aqicn') GROUP BY ALL""", "lake_hour collected_at")

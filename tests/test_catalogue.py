@@ -68,3 +68,11 @@ def test_combine_reads_two_sources_with_one_shuffle(spark):
 def test_dedup_never_reads_payloads(spark):
     text = plan(QUERIES["dedup_source_hour"](spark, SF))
     assert "raw_data" not in text
+
+
+@pytest.mark.parametrize(("name", "bound"), [("q01_monthly_city", "2025-01-01"), ("q10_cube", "2025-12-31"), ("q13_kpi_24h", "2025-03-14"), ("q14_top5_now", "Subquery")])
+def test_reports_read_their_days_only(spark, name, bound):
+    """Facts by date: the days are chosen before files are listed, and the facts are scanned once."""
+    text = plan(QUERIES[name](spark, SF))
+    scans = [line for line in text.splitlines() if "PartitionFilters" in line and "capture_date" in line]
+    assert len(scans) == 1 and bound in scans[0].lower().replace("subquery", "Subquery")
