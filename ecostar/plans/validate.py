@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ecostar.operators import quality, traffic
 from ecostar.plans.transform import JUDGED, fact_measures, write_judged
-from ecostar.sources import reference
+from ecostar.sources import lake as lake_io, reference
 from ecostar.sources.warehouse import Batch, read_table, stage, staged_days, staging
 
 
@@ -18,7 +19,7 @@ def run_validation(
     run_id: str | None = None,
 ) -> DataFrame:
     """Check the last hours, append the issues and every gap between facts, and return the report row."""
-    at = F.lit(as_of)
+    begun, at = time.monotonic(), F.lit(as_of)
     facts = quality.union_facts(
         fact_measures(spark, root, at - F.make_dt_interval(hours=F.lit(hours))),
         read_table(spark, root, "fact_traffic_flow_hourly", traffic.FLOW_FACT),
@@ -31,6 +32,8 @@ def run_validation(
     issues = writes.write(quality.issue_rows(checks, run, at, hours), "quality_issues")
     writes.write(gaps.withColumn("validation_run_id", run), "quality_gaps")
     found = stage(quality.report(issues, strict), "report")
+    ok = issues.select((F.col("severity") != "critical").alias("ok"))
+    writes.write(lake_io.run_log(ok, "validation", at, F.lit(time.monotonic() - begun)), "etl_log")
     writes.commit()
     return found
 
@@ -40,7 +43,7 @@ def run_cleanup(spark: SparkSession, root: str, as_of: dt.datetime, dry_run: boo
 
     The doomed rows are found once, with their day; only days that hold some are rewritten.
     """
-    at = F.lit(as_of)
+    begun, at = time.monotonic(), F.lit(as_of)
     facts = fact_measures(spark, root)
     counts = stage(quality.cleanup_counts(facts, at, dry_run), "cleanup")
     if not dry_run:
@@ -52,5 +55,7 @@ def run_cleanup(spark: SparkSession, root: str, as_of: dt.datetime, dry_run: boo
             marked = read_table(spark, root, "judged_measures", JUDGED).join(days, "lake_date", "left_semi").join(doomed, key, "left")
             rewritten = marked.withColumn("reject_reason", F.when(F.col("_gone"), F.lit("cleaned")).otherwise(F.col("reject_reason")))
             write_judged(writes, rewritten.drop("_gone"))
+            ok = doomed.select(F.lit(True).alias("ok"))
+            writes.write(lake_io.run_log(ok, "cleanup", at, F.lit(time.monotonic() - begun)), "etl_log")
             writes.commit()
     return counts

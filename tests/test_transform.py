@@ -112,6 +112,9 @@ def test_validation_and_cleanup(spark, loaded):
     before = transform.fact_measures(spark, root).count()
     assert validate.run_cleanup(spark, root, utc(2026, 2, 2)).first().total_deleted == dry.total_deleted
     assert transform.fact_measures(spark, root).count() == before - dry.total_deleted
+    log = warehouse.read_table(spark, root, "etl_log", lake_io.RUN_LOG)
+    assert [(r.source, r.status) for r in log.collect() if r.source != "transform"].count(("cleanup", "success")) == 1
+    assert log.filter("source = 'validation'").count() == 1 and log.filter("source = 'transform'").count() == 1
 
 
 def hours(spark, path, root, name, kind, *columns, **options):
