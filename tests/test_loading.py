@@ -187,6 +187,23 @@ def test_done_ranges_equal_sets(spark, tmp_path):
     assert done.first_island(ranges) == (-5, 8) and done.first_island(ranges.limit(0)) is None
 
 
+def test_pending_looks_up_one_row_per_entry(spark):
+    """Every other id of a block is done; whole blocks, edges of words and gaps at the end of a span too."""
+    block, span = 1 << done.BLOCK_BITS, 1 << done.SPAN_BITS
+    dense = [(0, 5 * block + 2 * i, 5 * block + 2 * i, 0) for i in range(3000)]
+    far = [((span >> done.BLOCK_BITS) - 1, span - 3, span - 1, 0), (span >> done.BLOCK_BITS, span + 100, span + 170, 1)]
+    parts = [(-2, -2 * block, -block - 1, -1), (2, 2 * block, 3 * block - 1, 0), (4, 4 * block + 63, 4 * block + 64, 0), *((5, *r[1:]) for r in dense), *far]
+    ranges = warehouse.stage(spark.createDataFrame(parts, done.RANGES), "ranges")
+    probes = [x for _, lo, hi, _ in parts for x in (lo - 1, lo, hi, hi + 1)] + [2 * block + 777, -block - 700, span + 50, span + 128]
+    entries = spark.createDataFrame([(x,) for x in probes], "id BIGINT").repartition(4)
+    covered = {x for x in probes for _, lo, hi, _ in (*parts[:3], *far) if lo <= x <= hi} | {r[1] for r in dense}
+    assert sorted(r.id for r in done.pending(entries, ranges).collect()) == sorted(x for x in probes if x not in covered)
+    assert done.words(ranges.filter("block = 5")).count() == -(-6000 // 64)  # not one row per range, to be met by every id of the block
+    only = spark.createDataFrame(far, done.RANGES)  # the first island ends with the span, as the next one begins later
+    assert done.first_island(only) == (span - 3, span - 1)
+    assert sorted(r.id for r in done.pending(spark.createDataFrame([(span - 1,), (span + 50,), (span + 100,)], "id BIGINT"), only).collect()) == [span + 50]
+
+
 def test_pending_entries_skip_what_was_done_in_order(spark, tmp_path):
     path = str(tmp_path / "lake")
     lake_io.append_lake(lake(spark, [entry(i, "aqicn", "{}", utc(2026, 1, 1 + i // 50)) for i in range(200)]), path)
