@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -57,17 +58,31 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+#: Calls to the file system that wait at the same time; a table may have a folder per day of many years.
+FILE_CALLS = 16
+
+
+def side_by_side(call, items) -> list:
+    """``call`` of every item, a few at a time."""
+    with ThreadPoolExecutor(FILE_CALLS) as pool:
+        return list(pool.map(call, items))
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Paths of all files below a folder, relative to it, without those of marker or hidden names."""
     fs, target = _file_system(spark, path)
     if not fs.exists(target):
         return []
-    found, root = fs.listFiles(target, True), fs.makeQualified(target).toString().rstrip("/") + "/"
-    out = []
-    while found.hasNext():
-        name = found.next().getPath().toString().removeprefix(root)
-        if not name.split("/")[-1].startswith(("_", ".")):
-            out.append(name)
+
+    def below(folder, prefix: str) -> tuple[list[str], list[tuple]]:
+        found = [(s, s.getPath()) for s in fs.listStatus(folder)]
+        files = [prefix + p.getName() for s, p in found if not s.isDirectory() and not p.getName().startswith(("_", "."))]
+        return files, [(p, f"{prefix}{p.getName()}/") for s, p in found if s.isDirectory()]
+
+    out, folders = below(target, "")
+    while folders:
+        levels = side_by_side(lambda f: below(*f), folders)
+        out, folders = out + [f for files, _ in levels for f in files], [f for _, inner in levels for f in inner]
     return sorted(out)
 
 

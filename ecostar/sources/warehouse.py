@@ -10,7 +10,7 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 from pyspark.errors import AnalysisException
 
-from ecostar.session import delete_folder, list_files, list_folders, move_file, read_text, shared_folder, write_text
+from ecostar.session import delete_folder, list_files, list_folders, move_file, read_text, shared_folder, side_by_side, write_text
 
 
 def table_path(root: str, name: str) -> str:
@@ -118,15 +118,19 @@ def _publish(spark: SparkSession, root: str, batch: str) -> None:
     ledger = table_path(root, _LEDGER)
     manifest = json.loads(read_text(spark, f"{ledger}/{batch}/manifest.json"))
     for write in manifest["writes"]:
-        table, folders = table_path(root, write["table"]), set()
+        table, folders = table_path(root, write["table"]), {}
         for file in write["files"]:
             folder, _, name = f"/{file}".rpartition("/")
-            folders.add(folder)
-            move_file(spark, f"{ledger}/{batch}/{write['table']}/{file}", f"{table}{folder}/{batch}-{name}")
-        for folder in folders if write["replace"] else ():
-            for file in list_files(spark, table + folder):
+            folders.setdefault(folder, []).append((file, name))
+
+        def place(folder: str, write=write, table=table, folders=folders) -> None:
+            for file, name in folders[folder]:
+                move_file(spark, f"{ledger}/{batch}/{write['table']}/{file}", f"{table}{folder}/{batch}-{name}")
+            for file in list_files(spark, table + folder) if write["replace"] else ():
                 if not file.startswith(batch):
                     delete_folder(spark, f"{table}{folder}/{file}")
+
+        side_by_side(place, folders)
     if manifest["stream"] is not None:
         mark = f"done-{manifest['stream']}-"
         write_text(spark, f"{ledger}/{mark}{manifest['epoch']}", "")

@@ -1,5 +1,7 @@
 import io
 import random
+import threading
+import time
 from contextlib import redirect_stdout
 
 from helpers import entry, lake, naive, rows, utc
@@ -187,6 +189,34 @@ def test_done_ranges_equal_sets(spark, tmp_path):
     assert done.first_island(ranges) == (-5, 8) and done.first_island(ranges.limit(0)) is None
 
 
+def test_folders_of_a_batch_are_published_side_by_side(spark, tmp_path, monkeypatch):
+    """Files of many folders, one of them replaced; moves overlap in time, files of an outer level and hidden ones are listed right."""
+    root, together, most = str(tmp_path), [0], [0]
+    move, lock = warehouse.move_file, threading.Lock()
+
+    def slow(*args):
+        with lock:
+            together[0] += 1
+            most[0] = max(most[0], together[0])
+        time.sleep(0.05)
+        move(*args)
+        with lock:
+            together[0] -= 1
+
+    monkeypatch.setattr(warehouse, "move_file", slow)
+    for rows_ in ("id % 12 AS d", "0L AS d"):
+        batch = warehouse.Batch(spark, root)
+        batch.write(spark.range(24).selectExpr("id", rows_), "t", "d", replace=True)
+        batch.commit()
+    kept = spark.read.schema("id BIGINT, d BIGINT").parquet(f"{root}/t")
+    assert sorted(rows(kept, "id", "d")) == sorted([(i, i % 12) for i in range(24) if i % 12] + [(i, 0) for i in range(24)])
+    assert most[0] > 1
+    (tmp_path / "t" / "_mark").touch()
+    (tmp_path / "t" / "plain").touch()
+    found = warehouse.list_files(spark, f"{root}/t")
+    assert len(found) == 13 and "plain" in found and warehouse.list_files(spark, f"{root}/none") == []
+
+
 def test_pending_looks_up_one_row_per_entry(spark):
     """Every other id of a block is done; whole blocks, edges of words and gaps at the end of a span too."""
     block, span = 1 << done.BLOCK_BITS, 1 << done.SPAN_BITS
