@@ -76,3 +76,10 @@ def test_reports_read_their_days_only(spark, name, bound):
     text = plan(QUERIES[name](spark, SF))
     scans = [line for line in text.splitlines() if "PartitionFilters" in line and "capture_date" in line]
     assert len(scans) == 1 and bound in scans[0].lower().replace("subquery", "Subquery")
+
+
+def test_monthly_view_covers_all_months(spark, duck):
+    """The view is made of entries of two years, not of the one month that the events lie in."""
+    months = {(r.year, r.month) for r in QUERIES["q15_monthly_mv"](spark, SF).collect()}
+    assert len(months) > 12
+    assert months == {tuple(r) for r in duck.sql(f"SELECT DISTINCT year, month FROM ({ORACLE['q15_monthly_mv']})").fetchall()}
