@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ecostar.llm.tokens import Encoder
 from ecostar.session import delete_folder, shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,12 +43,19 @@ def drop_staged(df: DataFrame) -> None:
     delete_folder(df.sparkSession, df.staged_path)
 
 
+def let_go() -> None:
+    """Frees what a Python worker holds from tasks of other kinds: workers outlive their tasks, and all of an executor's share its memory."""
+    Encoder.forget()
+    pa.default_memory_pool().release_unused()
+
+
 def text_rows(batches, *columns: str, rows: int = 256):
     """Rows of Arrow batches as tuples, a few at a time as Python objects, so that whole texts don't pile up."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+        pa.default_memory_pool().release_unused()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ecostar.llm.common import drop_staged, spread_join, staged
+from ecostar.llm.common import drop_staged, let_go, spread_join, staged
 
 #: Weights of the sources in their order, repeating; a source's target is at most so many times its size.
 WEIGHTS, MOST = (1, 2, 3), 3
@@ -118,6 +118,7 @@ def land(p: np.ndarray, sizes: np.ndarray, expected: float) -> np.ndarray:
 
 
 def _fly(pdf: pd.DataFrame, seed: int, leave: int) -> pd.DataFrame:
+    let_go()
     pdf = pdf.sort_values(["rank", "id", "size"], kind="stable", ignore_index=True)
     pdf["p"] = flight(pdf["p"].to_numpy(), pdf["size"].to_numpy(float), seed=seed, leave=leave)
     return pdf

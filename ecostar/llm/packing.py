@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ecostar.llm.common import text_rows
+from ecostar.llm.common import let_go, text_rows
 from ecostar.llm.tokens import Encoder
 
 CAPACITY = 2048
@@ -90,6 +90,7 @@ def pack(
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
     def put(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         to, offset = place(pdf["length"].to_numpy(), capacity)
         pdf["sequence_id"], pdf["offset"] = (int(key[0]) << 40) + to, offset

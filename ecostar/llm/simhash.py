@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ecostar.llm.common import drop_staged, spread_join, staged
+from ecostar.llm.common import drop_staged, let_go, spread_join, staged
 from ecostar.llm.graph import components
 
 WORDS, SEED, DISTANCE = 4, 42, 4
@@ -40,6 +40,7 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    let_go()
     for pdf in batches:
         prints = np.array([fingerprint(t) for t in pdf["text"]], np.uint64).view(np.int64)
         yield pd.DataFrame({"id": pdf["id"], "fp": prints, "text_key": pdf["text_key"]})

@@ -71,6 +71,12 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Frees the pieces of all tokenizers of the worker; the tokenizers stay."""
+        for encoder in cls._by_path.values():
+            encoder.known, encoder.other, encoder.kept = {}, {}, 0
+
     def _word(self, piece: str) -> bytes | None:
         """Ids of a word of Latin letters, perhaps after a space, by the tokenizer's model alone; None for other pieces.
 

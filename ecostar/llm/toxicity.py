@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ecostar.llm.common import drop_staged, fold, staged
+from ecostar.llm.common import drop_staged, fold, let_go, staged
 from ecostar.llm.grams import Grams
 
 ORDERS, BITS = (3, 4, 5), 18
@@ -30,6 +30,7 @@ class Model(NamedTuple):
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    let_go()
     grams = Grams(ORDERS, BITS)
     for pdf in batches:
         for at in range(0, len(pdf), 500):
@@ -118,6 +119,7 @@ def scorer(spark, model: Model):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         weights, bias = shared.value
         grams = Grams(ORDERS, BITS)
 

@@ -480,3 +480,20 @@ def test_pipeline_run(spark):
     copies = exact.exact_groups(documents.join(rejected, "doc_id", "left_anti")).filter("NOT kept").select("doc_id")
     assert ids.join(rejected, "doc_id").count() == ids.join(copies, "doc_id").count() == 0
     assert rejected.count() <= 0.1 * documents.count()
+
+
+def test_workers_let_go_of_remembered_pieces():
+    """A worker that goes on with a task of another kind holds no pieces of the packing before, and encodes as before."""
+    encode = Encoder.of(tokenizer("byte_bpe_50k.json"))
+    text = "some words here, and others there"
+    want = encode(text)
+    assert encode.known and encode.kept
+    for task in (
+        lambda: list(simhash._fingerprints(iter([pd.DataFrame({"id": [1], "text": [text], "text_key": [1]})]))),
+        lambda: list(toxicity._features(iter([pd.DataFrame({"y": [1], "fit": [0], "text": [text]})]))),
+        lambda: mixing._fly(pd.DataFrame({"rank": [1, 2], "id": [1, 2], "size": [3, 4], "p": [0.5, 0.5]}), 0, 2),
+    ):
+        assert encode(text) == want and encode.kept
+        task()
+        assert not encode.known and not encode.other and not encode.kept
+    assert encode(text) == want
