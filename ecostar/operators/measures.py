@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -178,10 +179,11 @@ def _warehouse_value(name: str, type_: str) -> str:
 
 
 def _bound(name: str, type_: str) -> str:
+    """Whether a value rounds half up to less than the column's limit: half a unit of its last digit below it, without rounding."""
     if type_ == "INT":
-        return f"abs(round({name})) <= 2147483647"
+        return f"abs({name}) < 2147483647.5D"
     precision, scale = map(int, re.findall(r"\d+", type_))
-    return f"abs(round({name}, {scale})) < {10 ** (precision - scale)}"
+    return f"abs({name}) < {10 ** (precision - scale) - Decimal(5).scaleb(-scale - 1)}D"
 
 
 def fits_warehouse() -> Column:

@@ -8,6 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 
+#: Bytes up to which the JVM compiles a method. Longer generated code, as of wide parsing steps, would be interpreted;
+#: beyond the limit the step's expressions are generated as several methods.
+METHOD_LIMIT = "8000"
+
+
 def build_session(app: str = "ecostar", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -16,6 +21,7 @@ def build_session(app: str = "ecostar", master: str | None = None, **conf) -> Sp
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.codegen.hugeMethodLimit": METHOD_LIMIT,
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
@@ -24,8 +30,9 @@ def build_session(app: str = "ecostar", master: str | None = None, **conf) -> Sp
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """All instants of the warehouse are UTC, hour keys included."""
+    """All instants of the warehouse are UTC, hour keys included; generated code is compiled, however wide a step is."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", METHOD_LIMIT)
     return spark
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ecostar import schemas
 from ecostar.functions import expr
 from ecostar.operators import parse
-from ecostar.plans.transform import run_batch
+from ecostar.plans.transform import run_batch, staged_batch
 from ecostar.sources import done, lake as lake_io, reference
 from ecostar.sources.warehouse import Batch, empty_table, read_table, stage, staged_days, staging
 
@@ -56,7 +56,7 @@ def stream_transform(
             return
         with staging(session):
             ranges = read_table(session, root, "done_ranges", done.RANGES)
-            entries = stage(done.pending(batch, ranges), "batch")
+            entries = staged_batch(done.pending(batch, ranges))
             run_batch(session, entries, lake_io.load_lake(session, lake_path), root, clock(), forest, stats, stream, epoch)
 
     stream = _stream_name(checkpoint)

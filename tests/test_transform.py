@@ -3,11 +3,12 @@ import json
 
 import pytest
 from helpers import entry, lake, rows, utc
+from pyspark.sql import functions as F
 
 from ecostar import schemas
 from ecostar.plans import imports, transform, validate
 from ecostar.sources import lake as lake_io, warehouse
-from ecostar.operators import dimensions, traffic, water
+from ecostar.operators import dimensions, measures, traffic, water
 from ecostar.streaming import jobs
 
 AS_OF = utc(2026, 3, 1)
@@ -309,3 +310,43 @@ def test_replayed_batch_changes_nothing(spark, loaded, tmp_path):
     for offsets in ("a", "b"):  # new offsets: every batch comes again
         jobs.stream_drain(spark, path, root, str(tmp_path / offsets), clock=lambda: AS_OF, stats=snapshot(spark))
     assert content(spark, root) == want
+
+
+def test_only_deciding_payloads_are_parsed(spark, tmp_path):
+    """Of many twins of an hour one entry per source reaches the parser, and the measures are those of all entries."""
+    path, at = str(tmp_path / "lake"), utc(2026, 2, 1, 3)
+    raw = [entry(i, (schemas.WEATHER, schemas.AIR)[i % 2], {"main": {"temp": i}, "data": {"aqi": i}}, at + dt.timedelta(minutes=i % 50), 1 + i % 3) for i in range(600)]
+    raw += [entry(None, schemas.AIR, {"data": {"aqi": 7}}, at, 1), entry(None, schemas.AIR, {"data": {"aqi": 7}}, at, 9), entry(700, schemas.FLOW, {}, at, 1)]
+    lake_io.append_lake(lake(spark, raw), path)
+    stored = lake_io.load_lake(spark, path)
+    sources = (schemas.WEATHER, schemas.AIR)
+    with warehouse.staging(spark):
+        hours = warehouse.staged_days(transform.touched(stored, *sources), "collected_date")
+        some = transform.deciding(stored, hours, *sources)
+        assert sorted(rows(some.filter("id IS NOT NULL"), "id")) == [(i,) for i in range(594, 600)]
+        assert rows(some.filter("id IS NULL"), "city_id") == [(9,)]
+        want = measures.combine(transform.affected(stored, hours, *sources))
+        assert sorted(map(str, measures.combine(some).collect())) == sorted(map(str, want.collect()))
+
+
+def test_batch_is_spread_by_source(spark, tmp_path):
+    """A source that lies in one file of the lake is worked on by all tasks."""
+    text = "concat('{\"v\": \"', sha2(string(id), 512), sha2(string(-id), 512), sha2(string(id * 3), 512), '\"', if(id % 10 = 0, '', '}'))"
+    source = "element_at(array('openweather', 'aqicn', 'tomtom_flow'), int(id % 3 + 1))"
+    some = spark.range(24000).selectExpr("id", "1 AS city_id", "'Paris' AS city_name", f"{source} AS source", f"{text} AS raw_data", "TIMESTAMP '2026-02-01 03:00:00' AS collected_at", "FALSE AS processed", "timestamp(NULL) AS processed_at")
+    some.repartition(1).write.partitionBy("source").parquet(str(tmp_path / "lake"))
+    with warehouse.staging(spark):
+        batch = transform.staged_batch(spark.read.schema(schemas.LAKE).parquet(str(tmp_path / "lake")))
+        shares = batch.groupBy("source", F.input_file_name().alias("file")).count().collect()
+        for name in ("openweather", "aqicn", "tomtom_flow"):
+            counts = [r["count"] for r in shares if r.source == name]
+            assert sum(counts) == 8000 and max(counts) < 4000
+        assert batch.filter("NOT readable").count() == 2400
+
+
+def test_bounds_are_those_of_rounded_values(spark):
+    edges = [x * f for x in (999.995, 99999.995, 2147483647.5, 1000.0, 100000.0, 2147483647.0) for f in (1, -1, 1 - 2.0**-52, 1 + 2.0**-52, 1 - 1e-9)]
+    df = spark.createDataFrame([(x,) for x in [*edges, None, 0.0, float("nan"), float("inf"), -float("inf")]], "x DOUBLE")
+    for type_, rounded in (("INT", "abs(round(x)) <= 2147483647"), ("DECIMAL(5,2)", "abs(round(x, 2)) < 1000"), ("DECIMAL(7,2)", "abs(round(x, 2)) < 100000")):
+        got = df.selectExpr("x", f"{measures._bound('x', type_)} AS got", f"{rounded} AS want", f"{measures._bound('x', type_).count('round')} AS rounds")
+        assert all(r.got == r.want and r.rounds == 0 for r in got.collect())
